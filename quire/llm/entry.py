@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, lines, packing, quality, urls, warc
+from . import bpe, lines, packing, quality, urls, vectors, warc
 from .common import table
 
 URL_RULES = [urls.Rule("block", "com/en/"), urls.Rule("allow", "example.com/en/7"), urls.Rule("allow", "net/de/"), urls.Rule("block", "example.net/de/8"), urls.Rule("block", "org/es/")]
@@ -29,6 +29,10 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.repetition(table(spark, sf_dir, "documents"))
 
 
+def op8_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op9_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(table(spark, sf_dir, "pages"), URL_RULES).drop("low")
 
@@ -69,7 +73,7 @@ SELECT doc_id, CASE WHEN text IS NULL THEN 0 ELSE len(parts) END::BIGINT AS line
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_warc, op3_bpe, op4_packing, op6_quality, op9_urls, op10_lines)}
+    return {f.__name__: f for f in (op1_warc, op3_bpe, op4_packing, op6_quality, op8_vectors, op9_urls, op10_lines)}
 
 
 def oracle_sql() -> dict[str, str]:
