@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, lines, packing, quality, urls, vectors, warc
+from . import bpe, lines, packing, pii, quality, toxicity, urls, vectors, warc
 from .common import table
 
 URL_RULES = [urls.Rule("block", "com/en/"), urls.Rule("allow", "example.com/en/7"), urls.Rule("allow", "net/de/"), urls.Rule("block", "example.net/de/8"), urls.Rule("block", "org/es/")]
@@ -25,10 +25,20 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN, with_ids=False)
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.repetition(table(spark, sf_dir, "documents"))
 
 
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return pii.find_pii(docs, pii.train(docs)).drop("found")
+
+
 def op8_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.near_vectors(table(spark, sf_dir, "embeddings"))
 
@@ -73,7 +83,7 @@ SELECT doc_id, CASE WHEN text IS NULL THEN 0 ELSE len(parts) END::BIGINT AS line
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_warc, op3_bpe, op4_packing, op6_quality, op8_vectors, op9_urls, op10_lines)}
+    return {f.__name__: f for f in (op1_warc, op3_bpe, op4_packing, op5_toxicity, op6_quality, op7_pii, op8_vectors, op9_urls, op10_lines)}
 
 
 def oracle_sql() -> dict[str, str]:
