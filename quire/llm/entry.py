@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, lines, packing, pii, quality, toxicity, urls, vectors, warc
+from . import bpe, jaccard_join, lines, packing, pii, quality, toxicity, urls, vectors, warc
 from .common import table
 
 URL_RULES = [urls.Rule("block", "com/en/"), urls.Rule("allow", "example.com/en/7"), urls.Rule("allow", "net/de/"), urls.Rule("block", "example.net/de/8"), urls.Rule("block", "org/es/")]
@@ -17,6 +17,10 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op2_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.near_texts(table(spark, sf_dir, "documents"))
+
+
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_texts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN, with_ids=False)
 
@@ -83,7 +87,7 @@ SELECT doc_id, CASE WHEN text IS NULL THEN 0 ELSE len(parts) END::BIGINT AS line
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_warc, op3_bpe, op4_packing, op5_toxicity, op6_quality, op7_pii, op8_vectors, op9_urls, op10_lines)}
+    return {f.__name__: f for f in (op1_warc, op2_jaccard, op3_bpe, op4_packing, op5_toxicity, op6_quality, op7_pii, op8_vectors, op9_urls, op10_lines)}
 
 
 def oracle_sql() -> dict[str, str]:
