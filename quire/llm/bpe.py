@@ -9,6 +9,7 @@ exactly, and after an edit only the entries near it change.
 from __future__ import annotations
 
 import base64
+import functools
 import hashlib
 import re
 import struct
@@ -21,10 +22,10 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_arrow, text_of
+from .common import Words, map_arrow, mix, prefix_hash, slices, span_hashes, text_of, utf8
 
-#: Pieces that a worker's cache holds at most; beyond, it starts anew. A memory bound only.
-CACHE_PIECES = 400_000
+#: Words that a worker's table holds at most; beyond, it starts anew. A memory bound only (about 60 bytes a word).
+CACHE_PIECES = 1_000_000
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -200,47 +201,171 @@ class Encoder:
         return struct.pack(f"<{len(ids)}I", *ids)
 
 
-class Pieces(dict):
-    """Little-endian 32-bit ids of text pieces, made as they are first met.
+class Pieces:
+    """Ids of texts, by a table of the words met so far.
 
-    A text is cut before single spaces between two other characters, which the pattern always cuts at, so what is
-    cached is mostly a word with its space and punctuation. A text with white space side by side is matched whole.
+    A text is cut at single spaces and line breaks between two other characters, and before a comma or full stop between
+    an ASCII letter and such a cut; the pattern always cuts there. The words of a slice of texts are hashed and looked up
+    in an open-addressing table all at once, by 64 bits that cover bytes, length and whether a space stands before: with
+    a million words in the table, about one lookup in 10**13 would meet another word's key. New words are encoded and
+    added. A text with white space side by side or at its end, or with bytes that may be white space beyond ASCII, is
+    matched whole by the pattern.
     """
 
-    def __init__(self, pattern: str, encode: Callable[[str], bytes], limit: int = CACHE_PIECES):
-        super().__init__()
-        self.find, self.encode, self.limit = regex.compile(pattern).findall, encode, limit
-        self.words: dict[str, bytes] = {}  # of pattern matches; this dict is of chunks
-
-    def __missing__(self, chunk: str) -> bytes:
-        if len(self) >= self.limit:
-            self.clear()
-        self[chunk] = ids = self._whole(chunk)
-        return ids
-
-    def ids(self, text: str) -> bytes:
-        if _crowded(text):
-            return self._whole(text)
-        first, *rest = text.split(" ")
-        if not rest:
-            return self._whole(first)
-        get = self.__getitem__
-        head = [get(first)] if first else []
-        return b"".join(head + [get(" " + x) for x in rest])
+    def __init__(self, pattern: str, encode: Callable[[str], bytes], encode_words: Callable[[list[str]], list[bytes]] | None = None, limit: int = CACHE_PIECES):
+        """encode gives the ids of one piece; encode_words, where it is quicker, those of many words of letters, each behind a space."""
+        self.find, self.encode, self.encode_words, self.limit = regex.compile(pattern).findall, encode, encode_words, limit
+        if any(self.find(x) != y for x, y in _CUT_SAMPLES.items()):
+            raise ValueError("the pattern does not cut at spaces, line breaks and marks as this cache does")
+        self.mask = np.uint64((1 << (2 * limit).bit_length()) - 1)
+        self.fixed = {m: self.encode(m) for m in "\n,."}
+        self._clear()
+
+    def _clear(self) -> None:
+        """The first three entries are the line break, comma and full stop."""
+        self.keys, self.slots = np.zeros(int(self.mask) + 1, np.uint64), np.zeros(int(self.mask) + 1, np.int32)
+        self.flat, self.begin, self.length, self.n = np.zeros(1 << 16, "<u4"), np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64), 0
+        self.known: dict[str, bytes] = {}
+        self._append(list(self.fixed.values()))
+
+    def _append(self, ids: list[bytes]) -> np.ndarray:
+        """Store ids; gives their entries' numbers."""
+        made = np.frombuffer(b"".join(ids), "<u4")
+        length = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        start = int(self.begin[self.n - 1] + self.length[self.n - 1]) if self.n else 0
+        while len(self.flat) < start + len(made):
+            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
+        while len(self.begin) < self.n + len(ids):
+            self.begin, self.length = (np.concatenate([x, np.zeros_like(x)]) for x in (self.begin, self.length))
+        self.flat[start : start + len(made)] = made
+        at = np.arange(self.n, self.n + len(ids))
+        self.begin[at], self.length[at] = start + np.cumsum(length) - length, length
+        self.n += len(ids)
+        return at
+
+    def _lookup(self, keys: np.ndarray) -> np.ndarray:
+        """Entries of keys, -1 for new ones."""
+        out, todo, at = np.full(len(keys), -1, np.int64), np.arange(len(keys)), keys & self.mask
+        while len(todo):
+            there = self.keys[at]
+            hit = there == keys[todo]
+            out[todo[hit]] = self.slots[at[hit]]
+            on = ~hit & (there != 0)
+            todo, at = todo[on], (at[on] + np.uint64(1)) & self.mask
+        return out
+
+    def _insert(self, keys: np.ndarray, entries: np.ndarray) -> None:
+        at = keys & self.mask
+        while len(keys):
+            free = np.flatnonzero(self.keys[at] == 0)
+            _, first = np.unique(at[free], return_index=True)
+            won = free[first]
+            self.keys[at[won]], self.slots[at[won]] = keys[won], entries[won]
+            on = np.ones(len(keys), bool)
+            on[won] = False
+            keys, entries, at = keys[on], entries[on], (at[on] + np.uint64(1)) & self.mask
 
     def _whole(self, text: str) -> bytes:
-        out, words = [], self.words
+        out, known = [], self.known
         for piece in self.find(text):
-            ids = words.get(piece)
+            ids = known.get(piece)
             if ids is None:
-                if len(words) >= self.limit:
-                    words.clear()
-                ids = words[piece] = self.encode(piece)
+                if len(known) >= self.limit:
+                    known.clear()
+                ids = known[piece] = self.encode(piece)
             out.append(ids)
         return b"".join(out)
 
-
-_crowded = re.compile(r"\s\s|\s\Z").search
+    def _new(self, words: list[str], lead: np.ndarray) -> list[bytes]:
+        """Ids of words not met before; lead: no space stands before it."""
+        made: list[bytes] = [b""] * len(words)
+        plain = [i for i, w in enumerate(words) if _letters(w) and not lead[i]] if self.encode_words else []
+        if plain:
+            for i, ids in zip(plain, self.encode_words([words[i] for i in plain]), strict=True):
+                made[i] = ids
+        for i, w in enumerate(words):
+            if not made[i]:
+                text = w if lead[i] else " " + w
+                made[i] = self.encode(text) if _letters(w) else self._whole(text)
+        return made
+
+    def ids(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts of a slice in one array, and where each text's begin and end in it."""
+        rows = len(offsets) - 1
+        if not len(data):
+            return np.zeros(0, "<u4"), np.zeros(rows + 1, np.int64)
+        odd, blank = np.zeros(rows, bool), _BLANK[data]
+        last = np.zeros(len(data) + 1, bool)
+        last[offsets] = True
+        follows = np.append(blank[1:], True) | last[1:]
+        after = np.append(data[1:], 0)
+        wide = _WIDE_BLANK[data] | ((data == 0xC2) & ((after == 0x85) | (after == 0xA0)))
+        odd[np.searchsorted(offsets, np.flatnonzero((blank & follows) | wide), "right") - 1] = True
+
+        chunks = Words(data, offsets, _CUTS)
+        use = ~odd[chunks.row]
+        start, end, row = chunks.start[use], chunks.end[use], chunks.row[use]
+        lead = (data[np.maximum(start - 1, 0)] != 32) | last[start]
+        mark = data[end - 1]
+        split = ((mark == 44) | (mark == 46)) & (end - start > 1) & _ASCII_LETTER[data[end - 2]]
+        end = end - split
+        keys = span_hashes(prefix_hash(data), start, end) ^ mix((end - start).astype(np.uint64) * np.uint64(2) + lead)
+        keys[keys == 0] = 1
+        entries = self._lookup(keys)
+        new = np.flatnonzero(entries < 0)
+        if len(new):
+            fresh, first, inverse = np.unique(keys[new], return_index=True, return_inverse=True)
+            if self.n + len(fresh) > self.limit:
+                self._clear()
+                new = np.arange(len(keys))
+                fresh, first, inverse = np.unique(keys, return_index=True, return_inverse=True)
+            at = new[first]
+            raw = data.tobytes()
+            made = self._append(self._new([raw[a:b].decode() for a, b in zip(start[at].tolist(), end[at].tolist(), strict=True)], lead[at]))
+            self._insert(fresh, made)
+            entries[new] = made[inverse]
+        breaks = np.flatnonzero(data == 10)
+        breaks = breaks[~odd[np.searchsorted(offsets, breaks, "right") - 1]]
+        rows_odd = np.flatnonzero(odd)
+        marked = end[split]
+        whole = [self._whole(data[offsets[r] : offsets[r + 1]].tobytes().decode()) for r in rows_odd.tolist()]
+        where = np.concatenate([start, marked, breaks, offsets[rows_odd]])
+        entry = np.concatenate([entries, np.where(data[marked] == 44, 1, 2), np.zeros(len(breaks), np.int64), -1 - np.arange(len(rows_odd))])
+        order = np.argsort(where, kind="stable")
+        where, entry = where[order], entry[order]
+        outside = entry < 0  # texts matched whole, whose ids stand behind those of the table
+        extra = np.frombuffer(b"".join(whole), "<u4")
+        extra_length = np.fromiter(map(len, whole), np.int64, len(whole)) // 4
+        size = int(self.begin[self.n - 1] + self.length[self.n - 1])
+        begin, counts = self.begin[entry], self.length[entry]
+        begin[outside], counts[outside] = size + (np.cumsum(extra_length) - extra_length)[-1 - entry[outside]], extra_length[-1 - entry[outside]]
+        flat = np.concatenate([self.flat[:size], extra]) if len(extra) else self.flat
+        total = np.concatenate([[0], np.cumsum(counts)])
+        ids = flat[np.repeat(begin - total[:-1], counts) + np.arange(total[-1])]
+        return ids, total[np.searchsorted(where, offsets)]
+
+
+#: What a pattern must do with these texts for the cuts to hold.
+_CUT_SAMPLES = {"a b": ["a", " b"], "a\nb": ["a", "\n", "b"], "a, b": ["a", ",", " b"], "a.\nb": ["a", ".", "\n", "b"], "1 é": ["1", " é"], "! -": ["!", " -"], " a": [" a"]}
+#: Letters of the Latin blocks, which every version of Unicode at hand has as letters.
+_letters = re.compile("[A-Za-zÀ-ÖØ-öø-ɏ]+").fullmatch
+_BLANK, _WIDE_BLANK, _CUTS, _ASCII_LETTER = (np.zeros(256, bool) for _ in range(4))
+_BLANK[[*range(9, 14), *range(28, 33)]] = True
+_WIDE_BLANK[[0xE1, 0xE2, 0xE3]] = True  # lead bytes of white space beyond U+00FF
+_CUTS[[10, 32]] = True
+_ASCII_LETTER[[*range(65, 91), *range(97, 123)]] = True
+#: Bytes of text whose words are looked up together.
+TOKEN_SLICE = 1 << 20
+
+
+@functools.lru_cache(maxsize=2)
+def rank_pieces(path: str, pattern: str) -> tuple[Pieces, np.ndarray]:
+    """The encoder of a rank file with its caches, and the bytes of each id; kept while the worker process lives."""
+    ranks = load_ranks(path)
+    names = np.empty(max(ranks.values(), default=-1) + 1, object)
+    for token, rank in ranks.items():
+        names[rank] = token
+    return Pieces(pattern, Encoder(ranks)), names
 
 
 def encode_texts(docs: DataFrame, ranks_path: str, pattern: str, key: str = "doc_id", text: str = "text", with_ids: bool = True) -> DataFrame:
@@ -254,21 +379,19 @@ def encode_texts(docs: DataFrame, ranks_path: str, pattern: str, key: str = "doc
     kind = docs.schema[key].dataType.simpleString()
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ranks = load_ranks(ranks_path)
-        pieces = Pieces(pattern, Encoder(ranks))
-        names = np.empty(max(ranks.values(), default=-1) + 1, object)
-        for token, rank in ranks.items():
-            names[rank] = token
+        pieces, names = rank_pieces(ranks_path, pattern)
         for batch in batches:
             counts, hashes, decoded, lists = [], [], [], []
-            for x in batch.column(1):
-                ids = pieces.ids(x.as_py())
-                numbers = np.frombuffer(ids, "<u4")
-                counts.append(len(numbers))
-                hashes.append(hashlib.sha256(ids).hexdigest())
-                decoded.append(hashlib.sha256(b"".join(names[numbers].tolist())).hexdigest())
-                if with_ids:
-                    lists.append(numbers.astype(np.int64))
+            data, offsets = utf8(batch.column(1))
+            for a, b in slices(offsets, TOKEN_SLICE):
+                every, borders = pieces.ids(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
+                for x, y in zip(borders.tolist(), borders[1:].tolist()):
+                    numbers = every[x:y]
+                    counts.append(y - x)
+                    hashes.append(hashlib.sha256(numbers).hexdigest())
+                    decoded.append(hashlib.sha256(b"".join(names[numbers].tolist())).hexdigest())
+                    if with_ids:
+                        lists.append(numbers.astype(np.int64))
             columns = [batch.column(0), pa.array(counts, pa.int64()), pa.array(hashes, pa.string()), pa.array(decoded, pa.string())]
             columns += [pa.array(lists, pa.list_(pa.int64()))] if with_ids else []
             yield pa.RecordBatch.from_arrays(columns, names=["key", "n_tokens", "ids_sha256", "decoded_sha256", "ids"][: len(columns)])

@@ -6,6 +6,7 @@ documents. Token counts decide everything, so no token ever moves between tasks
 
 from __future__ import annotations
 
+import functools
 import struct
 import zlib
 from collections.abc import Iterator
@@ -16,8 +17,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .bpe import Pieces
-from .common import BATCH_ROWS, map_arrow, text_of
+from .bpe import TOKEN_SLICE, Pieces
+from .common import BATCH_ROWS, map_arrow, slices, text_of, utf8
 
 SEQUENCE_TOKENS = 1024
 END_ID = 0
@@ -28,6 +29,26 @@ def lengths(n: int, most: int = SEQUENCE_TOKENS) -> list[int]:
     return [most] * (n // most) + [1 << k for k in reversed(range(most.bit_length() - 1)) if n % most >> k & 1]
 
 
+@functools.lru_cache(maxsize=2)
+def tokenizer_pieces(path: str, pattern: str) -> Pieces:
+    """The tokenizer of a file behind a cache of pieces; kept while the worker process lives."""
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(path)
+    tokenizer.encode_special_tokens = True
+    encode = tokenizer.encode
+
+    def words_of(words: list[str]) -> list[bytes]:
+        """One call for many words: the tokenizer's own word numbers part the ids."""
+        got = encode(" " + " ".join(words), add_special_tokens=False)
+        ids, number = np.array(got.ids, "<u4"), np.array(got.word_ids)
+        borders = np.concatenate([[0], np.flatnonzero(number[1:] != number[:-1]) + 1, [len(ids)]]) * 4
+        data = ids.tobytes()
+        return [data[a:b] for a, b in zip(borders.tolist(), borders[1:].tolist())]
+
+    return Pieces(pattern, lambda piece: struct.pack(f"<{len(x := encode(piece, add_special_tokens=False).ids)}I", *x), words_of)
+
+
 def pack(docs: DataFrame, tokenizer_path: str, pattern: str, key: str = "doc_id", text: str = "text", most: int = SEQUENCE_TOKENS, end_id: int = END_ID, with_ids: bool = True) -> DataFrame:
     """One row per piece: key, start, length, ids_crc32, doc_tokens, sequence_id, offset, bucket, and ids if asked for.
 
@@ -41,33 +62,30 @@ def pack(docs: DataFrame, tokenizer_path: str, pattern: str, key: str = "doc_id"
     kind, levels = docs.schema[key].dataType.simpleString(), most.bit_length()
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from tokenizers import Tokenizer
-
-        tokenizer = Tokenizer.from_file(tokenizer_path)
-        tokenizer.encode_special_tokens = True
-        encode = tokenizer.encode
-        ids_of = lambda piece: struct.pack(f"<{len(x := encode(piece, add_special_tokens=False).ids)}I", *x)
-        pieces, end = Pieces(pattern, ids_of), struct.pack("<I", end_id)
+        pieces, end = tokenizer_pieces(tokenizer_path, pattern), struct.pack("<I", end_id)
         task, counts = TaskContext.get().partitionId() << 32, [0] * levels
         names = ["key", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "bucket", *(["ids"] if with_ids else [])]
         for batch in batches:
             at, rows, lists = [], [], []
-            for i, x in enumerate(batch.column(1)):
-                ids = pieces.ids(x.as_py()) + end
-                n, start = len(ids) // 4, 0
-                for length in lengths(n, most):
-                    bucket, part = length.bit_length() - 1, ids[4 * start : 4 * (start + length)]
-                    rows.append((start, length, zlib.crc32(part), n, (task + counts[bucket]) * levels + bucket, 0, bucket))
-                    at.append(i)
-                    if with_ids:
-                        lists.append(np.frombuffer(part, "<u4").astype(np.int64))
-                    counts[bucket] += 1
-                    start += length
+            data, offsets = utf8(batch.column(1))
+            for a, b in slices(offsets, TOKEN_SLICE):
+                every, borders = pieces.ids(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
+                raw = every.tobytes()
+                for i, (x, y) in enumerate(zip(borders.tolist(), borders[1:].tolist()), a):
+                    ids, n, start = raw[4 * x : 4 * y] + end, y - x + 1, 0
+                    for length in lengths(n, most):
+                        bucket, part = length.bit_length() - 1, ids[4 * start : 4 * (start + length)]
+                        rows.append((start, length, zlib.crc32(part), n, (task + counts[bucket]) * levels + bucket, 0, bucket))
+                        at.append(i)
+                        if with_ids:
+                            lists.append(np.frombuffer(part, "<u4").astype(np.int32))
+                        counts[bucket] += 1
+                        start += length
             table = np.array(rows, np.int64).reshape(-1, 7)
-            columns = [batch.column(0).take(pa.array(at, pa.int64())), *(pa.array(c, pa.int64()) for c in table.T), *([pa.array(lists, pa.list_(pa.int64()))] if with_ids else [])]
+            columns = [batch.column(0).take(pa.array(at, pa.int64())), *(pa.array(c, pa.int64()) for c in table.T), *([pa.array(lists, pa.list_(pa.int32()))] if with_ids else [])]
             whole = pa.RecordBatch.from_arrays(columns, names=names)
             for first in range(0, whole.num_rows, BATCH_ROWS):
                 yield whole.slice(first, BATCH_ROWS)
 
-    schema = f"key {kind}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, bucket long" + (", ids array<long>" if with_ids else "")
+    schema = f"key {kind}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, bucket long" + (", ids array<int>" if with_ids else "")
     return map_arrow(docs.select(F.col(key).alias("key"), text_of(text).alias("body")), packed, schema).withColumnRenamed("key", key)
