@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -51,9 +53,24 @@ def batched(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
 
 
+def release_memory() -> None:
+    """Give what a finished task has freed back to the system; workers live on and would hold their largest task's memory."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def map_arrow(df: DataFrame, f: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+    """mapInArrow in bounded batches, with freed memory given back after each task."""
     batched(df.sparkSession)
-    return df.mapInArrow(f, schema)
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from f(batches)
+        finally:
+            release_memory()
+
+    return df.mapInArrow(task, schema)
 
 
 def text_of(name: str = "text") -> Column:
