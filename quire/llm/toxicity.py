@@ -23,8 +23,9 @@ SAMPLE_TOXIC, SAMPLE_CLEAN = 2000, 4000
 SAMPLE_CHARS = 20_000
 #: Lengths in bytes of the word beginnings that are features beside the word.
 BEGINNINGS = (4, 5, 6)
-#: A feature is fitted if it is in so many toxic sample documents, and so many times as frequent there by words.
-LEAST_DOCS, LEAST_LIFT = 4, 2.5
+#: A feature is fitted if it is in so many times the root of the number of toxic sample documents (two at least), and so
+#: many times as frequent there by words.
+LEAST_ROOT, LEAST_LIFT = 0.2, 2.5
 ROUNDS, RATE, DECAY = 150, 0.15, 1e-4
 
 _break = np.zeros(256, bool)
@@ -106,7 +107,8 @@ def fit(texts: list[str], labels: np.ndarray, rate: float) -> Model:
         pair = np.unique(np.stack([got.feature, doc.astype(np.uint64) + np.uint64(a)], 1)[toxic], axis=0)
         counts.append((pair[:, 0], got.feature[~toxic]))
     held, docs = np.unique(np.concatenate([x for x, _ in counts]), return_counts=True)
-    held, docs = held[docs >= LEAST_DOCS], docs[docs >= LEAST_DOCS]
+    enough = docs >= max(2, LEAST_ROOT * (labels == 1).sum() ** 0.5)
+    held, docs = held[enough], docs[enough]
     clean = np.zeros(len(held))
     for _, x in counts:
         slot = np.minimum(np.searchsorted(held, x), max(0, len(held) - 1))
@@ -128,7 +130,7 @@ def fit(texts: list[str], labels: np.ndarray, rate: float) -> Model:
     for step in range(1, ROUNDS + 1):
         z = w[k] + np.bincount(sentence, w[feature], len(document))
         total = softplus(w[k + 1]) + np.bincount(document, softplus(z), n)
-        slope = weight * np.where(y == 1, -1 / np.expm1(np.maximum(total, 1e-9)), 1.0)
+        slope = weight * np.where(y == 1, -1 / np.expm1(np.clip(total, 1e-9, 700)), 1.0)
         by = slope[document] / (1 + np.exp(-z))
         grad = np.concatenate([np.bincount(feature, by[sentence], k) + DECAY * w[:k] / max(1, n) ** 0.5, [by.sum(), slope.sum() / (1 + np.exp(-w[k + 1]))]])
         first, second = 0.9 * first + 0.1 * grad, 0.99 * second + 0.01 * grad**2

@@ -56,15 +56,15 @@ def reputation(outcomes: DataFrame) -> DataFrame:
     hosts = hosts.withColumns({"domain": F.substring_index("host", ".", -2), "suffix": F.substring_index("host", ".", -1)})
     domains = hosts.groupBy("domain", "suffix").agg(F.sum("n").alias("n"), F.sum("k").alias("k"))
     suffixes = domains.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("k").alias("k"))
-    whole = suffixes.agg(F.when(F.sum("n") > 0, F.sum("k") / F.sum("n")).otherwise(0.5).alias("top"))
+    whole = suffixes.agg(F.coalesce(F.try_divide(F.sum("k"), F.sum("n")), F.lit(0.5)).alias("top"))
 
     def strength(level: DataFrame, name: str) -> DataFrame:
         """By moments: rates spread about the mean m with variance m(1-m)(1/n + (1-1/n)/(s+1)) each."""
         x = level.where("n > 0").agg(F.sum("n").alias("a"), F.sum("k").alias("b"), F.count("*").alias("g"), F.sum(F.col("k") * F.col("k") / F.col("n")).alias("q"))
-        m = F.col("b") / F.col("a")
+        m = F.try_divide("b", "a")
         spread = F.col("q") - F.col("a") * m * m  # the weighted sum of squares
-        share = (spread / (m * (1 - m)) - F.col("g")) / F.nullif(F.col("a") - F.col("g"), F.lit(0.0))  # 1 / (s + 1)
-        s = F.when((m <= 0) | (m >= 1) | share.isNull() | (share <= 0), STRONGEST).otherwise(1 / share - 1)
+        share = F.try_divide(F.try_divide(spread, m * (1 - m)) - F.col("g"), F.col("a") - F.col("g"))  # 1 / (s + 1)
+        s = F.when((m <= 0) | (m >= 1) | share.isNull() | (share <= 0), STRONGEST).otherwise(F.try_divide(F.lit(1.0), share) - 1)
         return x.select(F.least(F.lit(STRONGEST), F.greatest(F.lit(WEAKEST), s)).alias(name))
 
     level = suffixes.crossJoin(whole).crossJoin(strength(suffixes, "s"))  # one row each
