@@ -77,7 +77,7 @@ def display_text(text: Column, list_items: Column) -> Column:
 def caps_ratio(text: Column) -> Column:
     """The share of words of two letters or more that begin in upper case; 0 without such words."""
     words = matches_of(filled(text), P.ALPHA_TOKEN)
-    return F.when(F.size(words) == 0, 0.0).otherwise(F.size(F.filter(words, lambda w: w.rlike(r"^\p{Lu}"))) / F.size(words))
+    return F.coalesce(F.try_divide(F.size(F.filter(words, lambda w: w.rlike(r"^\p{Lu}"))), F.size(words)), F.lit(0.0))
 
 
 def looks_like_prose(text: Column) -> Column:

@@ -39,7 +39,7 @@ def coverage(witness: DataFrame, content: DataFrame, top: int = 10) -> DataFrame
     worst = F.sort_array(F.collect_list(F.when((F.col("r") <= top) & (F.col("gone") > 0), F.struct((-F.col("gone")).alias("k"), "word"))))
     rows = ranked.groupBy("doc").agg(F.sum("a").alias("pdf_words"), F.sum("b").alias("content_words"), F.sum("gone").alias("missing"), worst.alias("w"))
     rows = rows.withColumn("top", F.transform("w", lambda x: F.struct(x.word.alias("word"), (-x.k).alias("n")))).drop("w")
-    return rows.withColumns({"rate": F.when(F.col("pdf_words") > 0, F.col("missing") / F.col("pdf_words")), "unverifiable": (F.col("pdf_words") == 0) | witness_short(F.col("pdf_words"), F.col("content_words"))})
+    return rows.withColumns({"rate": F.try_divide("missing", "pdf_words"), "unverifiable": (F.col("pdf_words") == 0) | witness_short(F.col("pdf_words"), F.col("content_words"))})
 
 
 def witness_short(pdf_words: Column, content_words: Column) -> Column:
@@ -127,7 +127,7 @@ def grounding_state(total: Column, ok: Column, missing: Column, symbolic: Column
     """struct(state, ratio): suspects over those that matching can tell; nothing to tell is not a pass."""
     suspect = total - ok - missing - symbolic
     known = ok + suspect
-    ratio = F.when(known > 0, suspect / known)
+    ratio = F.try_divide(suspect, known)
     return F.struct(F.when(known <= 0, "unverifiable").when(ratio <= threshold, "pass").otherwise("fail").alias("state"), ratio.alias("ratio"))
 
 
@@ -157,4 +157,4 @@ def muted_audit(items: DataFrame) -> DataFrame:
     rows = items.select("doc_id", "type", live.alias("live"), F.filter(removed, lambda x: x.isNotNull()).alias("gone"))
     chars = F.aggregate("gone", F.lit(0), lambda a, x: a + x.chars)
     per = rows.groupBy("doc_id").agg(F.sum(F.size("gone")).alias("removed"), F.sum(chars).alias("removed_chars"), F.sum("live").alias("live_chars"))
-    return per.withColumn("ratio", F.when(F.col("removed_chars") + F.col("live_chars") > 0, F.col("removed_chars") / (F.col("removed_chars") + F.col("live_chars"))).otherwise(0.0))
+    return per.withColumn("ratio", F.coalesce(F.try_divide(F.col("removed_chars"), F.col("removed_chars") + F.col("live_chars")), F.lit(0.0)))

@@ -101,7 +101,7 @@ def findings_for(measures: DataFrame, findings: DataFrame, drift: float = 0.5) -
     f = findings.select(F.col("check").alias("c"), F.col("metric").alias("m"), F.col("doc").alias("part"), "pos", F.col("value").alias("was"))
     hit = measures.join(f, (F.col("check") == F.col("c")) & (F.col("metric") == F.col("m")) & F.col("doc").contains(F.col("part")))
     first = hit.withColumn("r", F.row_number().over(W.partitionBy("check", "metric", "doc").orderBy("pos"))).where("r = 1")
-    moved = F.when(F.col("was") == 0, F.col("value") != 0).otherwise(F.abs(F.col("value") - F.col("was")) / F.abs("was") > drift)
+    moved = F.when(F.col("was") == 0, F.col("value") != 0).otherwise(F.try_divide(F.abs(F.col("value") - F.col("was")), F.abs("was")) > drift)
     return first.select("check", "metric", "doc", "pos", moved.alias("stale"))
 
 

@@ -15,7 +15,7 @@ from ..functions.unicode import file_words, key_of_name, tier_of, title_words
 def overlap(a: Column, b: Column) -> Column:
     """Shared members over the smaller set; 0 if it is empty."""
     least = F.least(F.size(a), F.size(b))
-    return F.when(least == 0, 0.0).otherwise(F.size(F.array_intersect(a, b)) / least)
+    return F.coalesce(F.try_divide(F.size(F.array_intersect(a, b)), least), F.lit(0.0))
 
 
 def score(a: Column, b: Column) -> Column:
@@ -26,7 +26,7 @@ def score(a: Column, b: Column) -> Column:
 
 def jaccard(a: Column, b: Column) -> Column:
     union = F.size(F.array_union(a, b))
-    return F.when(union == 0, 0.0).otherwise(F.size(F.array_intersect(a, b)) / union)
+    return F.coalesce(F.try_divide(F.size(F.array_intersect(a, b)), union), F.lit(0.0))
 
 
 def word_jaccard(a: Column, b: Column) -> Column:

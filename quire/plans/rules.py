@@ -47,7 +47,7 @@ def ratios(items: DataFrame, plan_rows: DataFrame) -> DataFrame:
     muted = plan_rows.where("action = 'mute'").select("doc_id", "item_idx", "rule", F.lit(True).alias("muted")).distinct()
     joined = sized.join(muted, ["doc_id", "item_idx", "rule"], "left")
     rows = joined.groupBy("doc_id", "rule").agg(F.sum("chars").alias("before"), F.sum(F.when(F.col("muted"), 0).otherwise(F.col("chars"))).alias("after"))
-    ratio = F.when(F.col("before") == 0, 0.0).otherwise((F.col("before") - F.col("after")) / F.col("before"))
+    ratio = F.coalesce(F.try_divide(F.col("before") - F.col("after"), F.col("before")), F.lit(0.0))
     limit = F.element_at(F.create_map(*(F.lit(x) for kv in P.SUSPICIOUS.items() for x in kv)), F.col("rule"))
     return rows.withColumn("ratio", ratio).withColumn("suspicious", F.col("ratio") > limit)
 

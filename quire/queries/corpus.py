@@ -28,7 +28,7 @@ def running_heads(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = F.count("*").over(W.partitionBy("doc_id", "key"))
     rows = items.withColumn("n", n).join(pages, "doc_id").withColumn("head", (F.col("key") != "") & (F.col("n") >= T.head_threshold(F.col("n_pages"))))
     per = rows.groupBy("doc_id").agg(F.count_if("head").alias("heads"), F.count_distinct(F.when(F.col("head"), F.col("key"))).alias("templates"), F.sum(F.length("text")).alias("before"), F.sum(F.when(F.col("head"), 0).otherwise(F.length("text"))).alias("after"))
-    ratio = F.when(F.col("before") == 0, 0.0).otherwise((F.col("before") - F.col("after")) / F.col("before"))
+    ratio = F.coalesce(F.try_divide(F.col("before") - F.col("after"), F.col("before")), F.lit(0.0))
     return per.withColumn("ratio", ratio).withColumn("suspicious", F.col("ratio") > P.SUSPICIOUS["noise"])
 
 

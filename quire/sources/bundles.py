@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -58,9 +62,25 @@ def read_pages(spark: SparkSession, workspace: str) -> DataFrame:
 
 
 def read_manifests(spark: SparkSession, workspace: str) -> DataFrame:
-    raw = spark.read.option("wholetext", "true").option("pathGlobFilter", "_manifest.json").option("recursiveFileLookup", "true").text(workspace)
+    """(doc_id, source_content_hash, …) of every bundle. Spark's listing hides names that begin with _, so the tasks open each
+    manifest beside its content list; a bundle without one gives no row."""
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            docs, texts = [], []
+            for doc, path in zip(batch.column("doc_id").to_pylist(), batch.column("path").to_pylist(), strict=True):
+                system, name = fs.FileSystem.from_uri(path if "://" in path or not path.startswith("file:") else "file://" + path.removeprefix("file:"))
+                try:
+                    with system.open_input_stream(name.rsplit("/", 1)[0] + "/_manifest.json") as f:
+                        texts.append(f.read().decode("utf-8"))
+                except FileNotFoundError:
+                    continue
+                docs.append(doc)
+            yield pa.RecordBatch.from_arrays([pa.array(docs, pa.string()), pa.array(texts, pa.string())], names=["doc_id", "value"])
+
     kind = "struct<source_content_hash: string, options_signature: string, critical_file: struct<path: string, size: bigint, sha256: string>, files: array<struct<path: string>>>"
-    return raw.select(doc_of(F.col("_metadata.file_path")).alias("doc_id"), F.from_json("value", kind).alias("m")).select("doc_id", "m.*")
+    raw = find_bundles(spark, workspace, allow_empty=True).mapInArrow(read, "doc_id string, value string")
+    return raw.select("doc_id", F.from_json("value", kind).alias("m")).select("doc_id", "m.*")
 
 
 def source_files(spark: SparkSession, folder: str, pattern: str = "*.pdf") -> DataFrame:
