@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import contextlib
 import ctypes
+import re
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -32,9 +33,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession, label: str) -> str:
-    """A new folder below spark.checkpoint.dir; a temporary folder is made only where that is unset."""
+    """A new folder below spark.checkpoint.dir. Where that is unset a temporary folder serves a local session; a cluster must set it."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not re.fullmatch(r"local(\[[\d*, ]+\])?", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         root = "file://" + tempfile.mkdtemp(prefix="quire-")
         spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/quire-{label}-{uuid.uuid4().hex}"

@@ -20,8 +20,10 @@ from .common import batched, components, cut, map_arrow
 
 #: Vectors of one list that a task compares with so many queries at most.
 BLOCK, CHUNK = 2048, 4096
-#: Sample rows for each coarse list, the most lists, and codewords of each subspace; they bound the fit at the driver.
+#: Sample rows for each coarse list, the most lists, codewords of each subspace, and components of all sample rows; they
+#: bound the fit at the driver.
 SAMPLE_PER_LIST, MOST_LISTS, CODEWORDS, SUBSPACES = 32, 4096, 64, 8
+SAMPLE_NUMBERS = 16 << 20
 #: Standard deviations that probes and table distances allow for; lists for each square root of the vectors.
 MARGIN, LISTS_PER_ROOT = 3.0, 0.25
 
@@ -144,14 +146,16 @@ def _links(classes: DataFrame, threshold: float) -> DataFrame:
     sizes = {r["dim"]: r["count"] for r in classes.groupBy("dim").count().collect()}
     out = None
     for dim, n in sizes.items():
-        part = _links_of(classes.where(F.col("dim") == dim), n, threshold, schema)
+        part = _links_of(classes.where(F.col("dim") == dim), dim, n, threshold, schema)
         out = part if out is None else out.unionByName(part)
     return out if out is not None else classes.sparkSession.createDataFrame([], schema)
 
 
-def _links_of(classes: DataFrame, n: int, threshold: float, schema: str) -> DataFrame:
+def _links_of(classes: DataFrame, dim: int, n: int, threshold: float, schema: str) -> DataFrame:
     lists = int(min(MOST_LISTS, max(1, round(LISTS_PER_ROOT * n**0.5))))
-    sample = classes.orderBy("k2", "k1").limit(lists * SAMPLE_PER_LIST).select("v").toArrow()
+    rows = max(1, min(lists * SAMPLE_PER_LIST, SAMPLE_NUMBERS // max(1, dim)))
+    lists = max(1, min(lists, rows // 4))
+    sample = classes.orderBy("k2", "k1").limit(rows).select("v").toArrow()
     index = Index(_unit(_matrix(sample.column(0), sample.num_rows)), lists)
     reach = float(np.sqrt(max(0.0, 2 - 2 * threshold))) + 1e-6
 
