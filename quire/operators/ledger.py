@@ -47,7 +47,7 @@ def summary(cells: DataFrame, docs: DataFrame) -> DataFrame:
 
 def tally(cells: DataFrame, docs: DataFrame) -> DataFrame:
     """(state, n) over all documents and gates; unset cells count too."""
-    grid = docs.crossJoin(docs.sparkSession.createDataFrame([(g,) for g in GATES], "gate string"))
+    grid = docs.select("doc", F.explode(F.array(*map(F.lit, GATES))).alias("gate"))
     return grid.join(cells, ["doc", "gate"], "left").groupBy(F.coalesce("state", F.lit("unset")).alias("state")).agg(F.count("*").alias("n"))
 
 

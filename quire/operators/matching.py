@@ -10,6 +10,7 @@ from ..functions import patterns as P
 from ..functions import text as T
 from ..functions.latex import equation_key, text_ratio
 from ..functions.unicode import file_words, key_of_name, tier_of, title_words
+from ..plans.storage import settled
 
 
 def overlap(a: Column, b: Column) -> Column:
@@ -175,16 +176,15 @@ def case_variants(names: DataFrame) -> DataFrame:
 def source_roots(sources: DataFrame) -> DataFrame:
     """(source, root): classes of sources declared the same work; the root is the least of the class.
 
-    sources: (source, same_work_as array). Least labels spread along edges until none changes; each round is one join, and
-    every few rounds the plan is cut at the session's checkpoint directory where one is set.
+    sources: (source, same_work_as array). Least labels spread along edges until none changes; each round is one join, whose
+    result is settled.
     """
     edges = sources.select(F.col("source").alias("a"), F.explode("same_work_as").alias("b"))
     edges = edges.union(edges.select("b", "a")).where("a <> b").distinct()
     labels = sources.select("source").union(edges.select("a")).distinct().withColumn("root", F.col("source"))
-    cut = (lambda df: df.checkpoint()) if sources.sparkSession.sparkContext.getCheckpointDir() else (lambda df: df)
     while True:
         spread = edges.join(labels, edges.b == labels.source).groupBy("a").agg(F.min("root").alias("near"))
-        fresh = cut(labels.join(spread, labels.source == spread.a, "left").select("source", F.least("root", F.coalesce("near", "root")).alias("root"), F.col("root").alias("old")))
+        fresh = settled(labels.join(spread, labels.source == spread.a, "left").select("source", F.least("root", F.coalesce("near", "root")).alias("root"), F.col("root").alias("old")))
         changed = not fresh.where("root <> old").isEmpty()
         labels = fresh.select("source", "root")
         if not changed:

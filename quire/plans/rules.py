@@ -12,6 +12,7 @@ from ..functions import text as T
 from ..functions.latex import fix_latex
 from ..operators import layout
 from ..sources.bundles import unpivoted
+from .storage import settled
 
 SHADOWS = {"text": "orig_text", "list_items": "orig_list_items", "table_body": "orig_table_body", "type": "orig_type"}
 
@@ -22,8 +23,8 @@ class Refused(ValueError):
 
 def plan(items: DataFrame, n_pages: DataFrame | None = None) -> DataFrame:
     """Rows of all five muting rules. Noise, references and titles claim first, then wrapper pages, then margins."""
-    first = layout.noise_plan(items, n_pages).unionByName(layout.reference_plan(items)).unionByName(layout.title_plan(items))
-    second = first.unionByName(layout.cover_plan(items, first))
+    first = settled(layout.noise_plan(items, n_pages).unionByName(layout.reference_plan(items)).unionByName(layout.title_plan(items)))
+    second = first.unionByName(settled(layout.cover_plan(items, first)))
     return second.unionByName(layout.margin_plan(items, second))
 
 

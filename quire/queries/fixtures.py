@@ -94,6 +94,29 @@ TABLES: dict[str, tuple[str, list]] = {
     "muted": ("doc string, text string", [("d1", "ab"), ("d1", "  "), ("d2", "zz")]),
     "hits": ("chunk string, doc string, content string", [("k1", "d1", "ab cab ababx"), ("k2", "d1", "nothing"), ("k3", "d2", "pizza zzzz")]),
     "notes": ("name string, body string", [("Li 2024 - Hybrid Lattice", "text\n## Sources\n- `Multifunctional hybrid lattice absorbers`\n* A listed source that is long enough\n## Links\n- `not this one here at all`"), ("loose", "no sources")]),
+    "payloads": ("doc string, failed array<string>, plan_doc string, planned boolean, pages int, items int, page_size array<double>, noise_ratio double, tables int, repair int, review int, refs_ratio double, refs_suspicious boolean, admitted boolean", [("a", [], "a", True, 10, 100, [600.0, 800.0], 0.05, 3, 0, 0, 0.1, False, False), ("b", ["未知的項目型別：seal", "頁序錯位"], "b", False, None, None, None, None, None, None, None, None, None, True), ("c", [], "x", True, 0, 100, [600.0], 1.5, 3, 2, 0, 0.316, True, True), ("d", [], None, False, None, None, None, None, None, None, None, None, None, False)]),
+    "measures": ("check string, metric string, doc string, value double", [("parse", "mangled", "2020 - Paper one.pdf", 10.0), ("parse", "mangled", "2021 - Paper two.pdf", 4.0), ("coverage", "rate", "2020 - Paper one.pdf", 0.2), ("parse", "leak", "none.pdf", 1.0)]),
+    "known": ("pos int, check string, metric string, doc string, value double", [(1, "parse", "mangled", "Paper one", 9.0), (2, "parse", "mangled", "Paper", 1.0), (3, "coverage", "rate", "Paper one", 0.0)]),
+    "attachments": ("key string, name string, title string", [("k1", "a.pdf", "Full Text"), ("k2", "a.pdf", "PDF"), ("k2", "b.pdf", "Snapshot"), ("k3", "a.pdf", "Translated text"), ("k3", "b.pdf", "Original"), ("k4", "a.pdf", "Translation one"), ("k4", "b.pdf", "Translation two"), ("k5", "a.pdf", "One"), ("k5", "b.pdf", "Two")]),
+    "index_rows": ("key string, status string", [("k1", "processed"), ("k1", "processed"), ("k2", "processed"), ("k2", "pending"), ("k3", "failed"), ("k3", "processed")]),
+    "images": ("doc string, file string, alias string", [("d1", "h1.jpg", "d1-p01-01.jpg"), ("d2", "h2.jpg", "d2-p01-01.jpg"), ("d3", "h2.jpg", "d3-p02-01.jpg")]),
+    "wanted": ("name string", [("h1.jpg",), ("d2-p01-01.jpg",), ("h2.jpg",), ("none.jpg",)]),
+    "label_list": ("label string", [("Sound Wave",), ("sound",), ("Noise",)]),
+    "asked": ("name string", [("soundwave",), ("Sound Wave",), ("NOISE ",), ("other",)]),
+    "reports": ("family string, path string, modified int, name string, at string", [("daily", "p1", 1, "daily", "2024-01-01T00:00:00Z"), ("daily", "p2", 2, "daily", "2024-01-02T00:00:00Z"), ("daily", "p3", 3, "daily", "2024-01-03T06:00:00Z"), ("weekly", "p4", 1, "weekly", "2024-01-01T12:00:00Z")]),
+    "requests": ("id int, mode string, high array<string>, low array<string>, allow string", [(1, "mix", [], [], None), (2, "mix", ["a"], [], None), (3, "naive", [], [], None), (4, "hybrid", None, None, "1"), (5, "local", [], None, "0")]),
+    "contexts": ("query string, context string", [("q1", "# One\na b c\n## Two\nd e\n"), ("q2", "no heading here")]),
+    "ratios": ("id int, ab double, ac double, bc double, ad double, bd double, cd double", [(1, 0.95, 0.92, 0.99, None, None, None), (2, 0.5, 0.5, 0.95, None, None, None), (3, 0.95, 0.5, 0.5, None, None, None), (4, 0.1, 0.2, 0.3, 0.95, 0.1, 0.1), (5, 0.1, 0.2, 0.3, 0.4, 0.1, 0.1)]),
+    "answers": ("name string, verdict string", [("Sound", "same"), ("sound", "same"), ("Lee", "different"), ("Nobody", "different")]),
+    "event_rows": ("reason string, processed_index int", [("參考文獻消音比例異常（31.6%）", 10), ("參考文獻消音比例異常（49.0%）", 25), ("頁序錯位", 7)]),
+    "pdfs": ("candidate_id string, name string, sha256 string", [("c1", "new.pdf", "h1"), ("c2", "known.pdf", "h2"), ("c3", "used.pdf", "h3"), ("c4", "../evil.pdf", "h4"), ("c5", "reset.pdf", "h5"), ("c6", ".hidden.pdf", "h6")]),
+    "used": ("candidate_id string", [("c3",)]),
+    "hashes": ("sha256 string", [("h2",), ("h5",)]),
+    "resets": ("sha256 string", [("h5",)]),
+    "voters": ("name string, family string", [("a", "f1"), ("b", "f1"), ("c", "f2")]),
+    "two_texts": ("id int, a string, b string", [(1, "sound waves in rooms", "Sound waves of halls"), (2, "", ""), (3, "alpha beta gamma", "alpha beta gamma")]),
+    "index_docs": ("filename string, index_status string", [("d.pdf", "Processed"), ("z.pdf", "processed"), ("a.pdf", "pending")]),
+    "raw_tables": ("id int, raw string, finish string, truth string, near array<string>, caption string, expected double", [(1, "<table><tr><td>impedance orifice partition absorber resonance cavity panel velocity 1.5</td></tr></table>", "stop", "impedance orifice partition absorber resonance cavity panel velocity 1.5", ["wholly different words about other matters"], "Impedance of the orifice", 1.0), (2, "<table><tr><td>few</td></tr></table>", "stop", "few words", [], "", None), (3, "<table><tr><td><img src='x'>", "length", "impedance orifice partition absorber resonance cavity panel velocity", [], "", None)]),
     "words_text": ("id int, text string", [(1, "absorp­\ntion of the ﬂuctuations"), (2, "\\mathrm { v e c t o r ~ f r o m } it"), (3, "Michał Raczyński 微穿孔板, naïve")]),
 }
 

@@ -529,3 +529,174 @@ def figures(items):
 def document_parts(items):
     return retrieval.doc_summary(items).groupBy("doc_id", "part").agg(F.count("*").alias("n"))
 
+
+
+def _payload_frame(payloads: DataFrame) -> DataFrame:
+    zero = F.lit(0)
+    plan = F.struct("pages", "items", "page_size", "noise_ratio", F.lit(False).alias("noise_suspicious"), "tables", "repair", "review", *(zero.alias(n) for n in ("mute", "held", "convert", "dangling")))
+    return payloads.withColumns({"plan": F.when(F.col("planned"), plan), "title_ratio": F.lit(None).cast("double"), "title_suspicious": F.lit(False)})
+
+
+@query("SELECT doc, doc = 'a' AS accepted, CASE doc WHEN 'a' THEN [] WHEN 'b' THEN ['未知型別 seal', '頁序錯位'] WHEN 'c' THEN ['preflight 擋下', '數字異常', '參考文獻消音比例異常（31.6%）'] ELSE ['preflight 擋下'] END AS reasons FROM payloads", joined=("reasons",))
+def plan_evaluation(payloads):
+    return ledger.evaluate_plans(_payload_frame(payloads)).select("doc", "accepted", "reasons")
+
+
+@query("SELECT doc, ['pages', 'page_size', 'ratio'] AS issues FROM payloads WHERE doc = 'c'", joined=("issues",))
+def plan_issues(payloads):
+    return _payload_frame(payloads).where("doc = 'c'").select("doc", ledger.plan_issues().alias("issues"))
+
+
+@query("""SELECT doc, 'pp.preflight' AS gate, CASE WHEN doc = 'a' THEN 'pass' WHEN admitted THEN 'unverifiable' ELSE 'fail' END AS state FROM payloads
+  UNION ALL SELECT doc, 'pp.tables', CASE WHEN NOT planned OR repair > 0 OR review > 0 THEN 'unverifiable' ELSE 'pass' END FROM payloads""")
+def plan_entries(payloads):
+    judged = ledger.evaluate_plans(_payload_frame(payloads)).select("doc", "accepted")
+    return ledger.entries_from_plan(payloads.join(judged, "doc").withColumn("has_tables", F.col("planned")))
+
+
+@query("""SELECT m."check", m.metric, m.doc, k.pos, CASE WHEN k.value = 0 THEN m.value <> 0 ELSE abs(m.value - k.value) / abs(k.value) > 0.5 END AS stale FROM measures m JOIN known k ON m."check" = k."check" AND m.metric = k.metric AND contains(m.doc, k.doc)
+  QUALIFY row_number() OVER (PARTITION BY m."check", m.metric, m.doc ORDER BY k.pos) = 1""")
+def finding_staleness(measures, known):
+    return ledger.findings_for(measures, known)
+
+
+@query("SELECT doc, row_number() OVER (ORDER BY doc)::INTEGER AS position, lead(doc) OVER (ORDER BY doc) AS next FROM corpus WHERE doc NOT IN (SELECT doc FROM live)")
+def review_queue(corpus, live):
+    return ledger.pending(corpus, live)
+
+
+@query("SELECT key, CASE key WHEN 'k1' THEN 'a.pdf' WHEN 'k2' THEN 'a.pdf' WHEN 'k3' THEN 'b.pdf' END AS chosen FROM (SELECT DISTINCT key FROM attachments)")
+def chosen_attachments(attachments):
+    return matching.choose_attachment(attachments)
+
+
+@query("SELECT key, CASE WHEN bool_or(status = 'failed') THEN 'failed' WHEN bool_and(status = 'processed') THEN 'done' ELSE 'pending' END AS state FROM index_rows GROUP BY key")
+def index_states(index_rows):
+    return matching.decide_by_key(index_rows)
+
+
+@query("""WITH n AS (SELECT doc, file, file AS name FROM images UNION SELECT doc, file, alias FROM images) SELECT name, CASE WHEN count(DISTINCT doc) = 1 THEN min(doc) END AS doc, CASE WHEN count(DISTINCT doc) = 1 THEN min(file) END AS file, count(DISTINCT doc) > 1 AS ambiguous FROM wanted JOIN n USING (name) GROUP BY name""")
+def image_lookup(images, wanted):
+    return matching.find_image(images, wanted)
+
+
+@query("SELECT name, label FROM asked JOIN label_list ON lower(regexp_replace(name, '\\s+', '', 'g')) = lower(regexp_replace(label, '\\s+', '', 'g')) WHERE name NOT IN (SELECT label FROM label_list)")
+def near_labels(asked, label_list):
+    return matching.near_matches(asked, label_list)
+
+
+@query("SELECT family, path FROM reports QUALIFY row_number() OVER (PARTITION BY family ORDER BY modified DESC, path) > 2")
+def pruned_reports(reports):
+    return ledger.newest(reports, 2).select("family", "path")
+
+
+@query("SELECT name, max(\"at\"::TIMESTAMPTZ) < TIMESTAMPTZ '2024-01-03 12:00:00+00' - INTERVAL 26 HOURS AS stale FROM reports GROUP BY name")
+def stale_reports(reports):
+    return workflow.stale(reports, F.lit("2024-01-03 12:00:00").cast("timestamp")).select("name", "stale")
+
+
+@query("SELECT id, mode IN ('local', 'global', 'hybrid', 'mix') AND coalesce(len(high), 0) = 0 AND coalesce(len(low), 0) = 0 AND coalesce(allow, '') NOT IN ('1', 'true', 'yes') AS missing FROM requests")
+def keyword_guard(requests):
+    return requests.select("id", retrieval.needs_keywords(F.col("mode"), F.col("high"), F.col("low"), F.col("allow")).alias("missing"))
+
+
+@query("SELECT query, section::INTEGER AS section, words::INTEGER AS words FROM (VALUES ('q1', 0, 5), ('q1', 1, 4), ('q2', 0, 3)) t(query, section, words)")
+def context_sizes(contexts):
+    return retrieval.section_sizes(contexts).select("query", "section", "words")
+
+
+@query("""SELECT id, CASE WHEN ab >= 0.9 AND ac >= 0.9 THEN 'consensus' WHEN bc >= 0.9 THEN 'suspect' WHEN ab >= 0.9 OR ac >= 0.9 THEN 'majority' WHEN coalesce(ad, 0) >= 0.9 OR coalesce(bd, 0) >= 0.9 OR coalesce(cd, 0) >= 0.9 THEN 'tie_broken' ELSE 'three_way' END AS kind FROM ratios""")
+def four_votes(ratios):
+    return votes.vote4(ratios).select("id", "kind")
+
+
+@query("""WITH s AS (SELECT name, count(*) AS slots FROM retrieved GROUP BY name), l AS (SELECT DISTINCT name FROM nodes)
+  SELECT verdict, count(*) AS n, count(l.name) AS matched, coalesce(sum(slots), 0)::BIGINT AS slots, count(*) FILTER (coalesce(slots, 0) > 0) AS hit FROM answers LEFT JOIN l USING (name) LEFT JOIN s USING (name) GROUP BY verdict""")
+def verdict_slots(answers, retrieved, nodes):
+    slots = retrieved.groupBy("name").agg(F.count("*").alias("slots"))
+    return votes.verdict_groups(answers, slots, nodes.select("name").distinct()).select("verdict", "n", "matched", "slots", "hit")
+
+
+@query("SELECT regexp_replace(reason, '（[^（()）]*[0-9][^（()）]*）$', '') AS kind, (30 - max(processed_index))::INTEGER AS distance, count(*) AS n FROM event_rows GROUP BY kind")
+def event_distance(event_rows):
+    return workflow.since_last_event(event_rows, 30)
+
+
+@query("SELECT candidate_id, name FROM pdfs WHERE candidate_id IN ('c1', 'c5')")
+def new_candidates(pdfs, used, hashes, resets):
+    return bundles.new_candidates(pdfs, used, [hashes], resets).select("candidate_id", "name")
+
+
+@query("SELECT family, count(*) AS n FROM voters GROUP BY family HAVING count(*) > 1")
+def shared_families(voters):
+    return workflow.shared_families(voters)
+
+
+@query("""SELECT id, CASE id WHEN 1 THEN 0.5 WHEN 2 THEN 0.0 ELSE 1.0 END::DOUBLE AS jaccard FROM two_texts""")
+def word_overlap(two_texts):
+    return two_texts.select("id", F.round(matching.word_jaccard(F.col("a"), F.col("b")), 9).alias("jaccard"))
+
+
+@query("SELECT job_id, status, CASE WHEN job_id = 'j6' THEN 'indexed' ELSE 'failed' END AS recovered FROM jobs WHERE status IN ('parsing', 'extracting')")
+def recovered_jobs(jobs, index_docs):
+    return workflow.recover(jobs.drop("index_status"), index_docs)
+
+
+@query("SELECT list_sort(list(job_id) FILTER (status = 'planned')) AS ready, bool_or(status IN ('parsing', 'extracting')) AS blocked FROM jobs", joined=("ready",))
+def batch_barrier(jobs):
+    return workflow.round_can_start(jobs)
+
+
+@query("SELECT filename, index_status FROM index_docs WHERE filename NOT IN (SELECT filename FROM jobs WHERE status IN ('admitted', 'scanning', 'extracting', 'indexed'))")
+def foreign_documents(index_docs, jobs):
+    return workflow.foreign_documents(index_docs, jobs)
+
+
+@query("""SELECT name, sha256('{"family":"' || family || '","name":"' || name || '"}') AS hash FROM voters""")
+def profile_hashes(voters):
+    return voters.select("name", ledger.profile_hash("name", "family").alias("hash"))
+
+
+@query("SELECT count(*) AS documents, '6|3|8|3|2024-01-05' AS fingerprint FROM corpus")
+def change_fingerprint(corpus, chunks, entities, relations):
+    return retrieval.change_fingerprint(corpus.withColumn("updated_at", F.lit("2024-01-05")), chunks, entities, relations).select("documents", "fingerprint")
+
+
+@query("SELECT doc_id, 0::BIGINT AS removed, 0.0::DOUBLE AS ratio FROM items GROUP BY doc_id")
+def removed_text(items):
+    return checks.muted_audit(items).select("doc_id", F.col("removed").cast("long").alias("removed"), "ratio")
+
+
+@query()
+def judged_tables(raw_tables):
+    got = raw_tables.select("id", votes.judge_table(F.col("raw"), F.col("finish"), F.col("truth"), F.col("near"), F.col("caption"), F.col("expected")).alias("j"))
+    return got.select("id", "j.ok", "j.unverified", F.array_join("j.failed", "|").alias("failed"))
+
+
+@query()
+def control_pairs(equations):
+    got = votes.control_pairs(matching.equations(equations), 3)
+    return got.select("a_id.doc", "a_id.item", F.col("b_id.doc").alias("other"), F.col("b_id.item").alias("other_item"), "truth")
+
+
+@query()
+def equation_sample(items):
+    return votes.density_sample(items, 5).select("doc_id", "item_idx")
+
+
+@query("SELECT doc, unnest(range(60, 90))::INTEGER AS page FROM toc WHERE doc = 'bk' AND pos = 5 UNION ALL SELECT doc, unnest(range(20, 60))::INTEGER FROM toc WHERE doc = 'bk' AND pos = 3")
+def needed_pages(toc, totals):
+    return chapters.pages_needed(chapters.ranges(toc, totals).where("doc = 'bk'"), 18)
+
+
+@query("""SELECT skeleton, CASE WHEN skeleton LIKE 'Z%' THEN 'same' ELSE 'unaudited' END AS verdict FROM (VALUES ('Z')) t(skeleton)""")
+def audited_classes(equations):
+    found = matching.equation_classes(matching.equations(equations))
+    verdicts = found.select("skeleton", F.lit("same").alias("verdict"))
+    return matching.audited(found, verdicts).select(F.lit("Z").alias("skeleton"), "verdict")
+
+
+@query("SELECT category, text, n::BIGINT AS n FROM (VALUES ('noise', 'A lone', 1), ('noise', 'B', 2)) t(category, text, n)")
+def grouped_confirmations(edits):
+    rows = edits.sparkSession.createDataFrame([("d1", "noise", " B"), ("d2", "noise", "B "), ("d1", "noise", "A lone")], "doc_id string, category string, text string")
+    return rules.group_confirm(rows).select("category", "text", "n")
