@@ -298,8 +298,15 @@ def strip_heredocs(command: Column) -> Column:
     return F.regexp_replace(filled(command), r"(?sm)<<-?\s*(['\"]?)([A-Za-z_][A-Za-z0-9_]*)\1.*?^\2\s*$", "<<HEREDOC")
 
 
-#: Commands that read secrets, or take the exit code behind a pipe.
-COMMAND_RULES = {"exit-code-after-pipe": r"\|[^;&\n]*[;&]\s*[^;&\n]*\$\?"}
+#: Commands that print or load secrets, or take the exit code behind a pipe.
+COMMAND_RULES = {
+    "compose-config-resolves-env": r"docker\s+compose\b[^|;&]*\bconfig\b(?![^|;&]*--hash)",
+    "whole-env-dump": r"(^|[|;&]\s*)(env|printenv)\s*($|[|;&])",
+    "cat-dotenv": r"\b(cat|less|more|head|tail|bat)\b[^|;&]*(^|[\s=/])\.env(?![.\w])",
+    "source-dotenv": r"(^|[|;&]\s*)(source|\.)\s+[^\s|;&]*\.env\b",
+    "redact-after-the-fact": r"\.Config\.(Cmd|Env)[^|;&]*\|\s*(sed|awk|grep|python)",
+    "exit-code-after-pipe": r"\|[^;&\n]*[;&]\s*[^;&\n]*\$\?",
+}
 
 
 def command_rules(command: Column, rules: dict[str, str] = COMMAND_RULES) -> Column:

@@ -151,10 +151,16 @@ def noise_index(plan_rows: DataFrame, items: DataFrame) -> DataFrame:
 
 
 def muted_audit(items: DataFrame) -> DataFrame:
-    """Per document: what was removed, from shadow columns whose live field is empty now."""
-    removed = F.array(*(F.when(~T.is_blank(F.col(o)) & T.is_blank(F.col(f)), F.struct(F.lit(f).alias("field"), F.length(o).alias("chars"))) for f, o in (("text", "orig_text"), ("table_body", "orig_table_body"))))
-    live = F.length(T.item_body(F.col("text"), F.col("table_body"), F.col("code_body")))
-    rows = items.select("doc_id", "type", live.alias("live"), F.filter(removed, lambda x: x.isNotNull()).alias("gone"))
-    chars = F.aggregate("gone", F.lit(0), lambda a, x: a + x.chars)
-    per = rows.groupBy("doc_id").agg(F.sum(F.size("gone")).alias("removed"), F.sum(chars).alias("removed_chars"), F.sum("live").alias("live_chars"))
+    """Per document: texts and lists that were removed, from their originals where the live field is empty now: how many, their
+    characters, the list entries, the kinds, and their share of all characters."""
+    none = F.array().cast("array<string>")
+    size = lambda c: F.aggregate(F.coalesce(F.col(c), none), F.lit(0), lambda n, x: n + F.length(T.filled(x)))
+    text = F.col("orig_text").isNotNull() & (F.length(T.filled(F.col("text"))) == 0)
+    listed = F.col("orig_list_items").isNotNull() & (size("list_items") == 0)
+    kind = F.concat_ws("/", "type", F.coalesce(F.nullif("sub_type", F.lit("")), F.lit("-")))
+    rows = items.select(
+        "doc_id", T.item_chars(F.col("text"), F.col("list_items")).alias("live"), (text.cast("int") + listed.cast("int")).alias("gone"), F.when(text | listed, kind).alias("kind"),
+        (F.when(text, F.length("orig_text")).otherwise(0) + F.when(listed, size("orig_list_items")).otherwise(0)).alias("chars"), F.when(listed, F.size("orig_list_items")).otherwise(0).alias("entries"),
+    )
+    per = rows.groupBy("doc_id").agg(F.sum("gone").alias("removed"), F.sum("chars").alias("removed_chars"), F.sum("entries").alias("list_entries"), F.array_sort(F.collect_set("kind")).alias("kinds"), F.sum("live").alias("live_chars"))
     return per.withColumn("ratio", F.coalesce(F.try_divide(F.col("removed_chars"), F.col("removed_chars") + F.col("live_chars")), F.lit(0.0)))

@@ -28,16 +28,14 @@ def invalid_records(records: DataFrame) -> DataFrame:
 
 
 def latest(records: DataFrame) -> DataFrame:
-    """The last record of each cell by at, with the state before it where it differs. records: append-only (doc, gate, state, …, at)."""
+    """The last record of each cell by at, with the state of the record before it where that differs.
+
+    records: append-only (doc, gate, state, …, at). One window over each cell finds both.
+    """
     w = W.partitionBy("doc", "gate").orderBy("at")
-    changed = records.withColumn("before", F.lag("state").over(w))
-    # previous: the state of the last record whose state is not the present one's run
-    run = F.sum(F.when(F.col("before").isNull() | (F.col("before") != F.col("state")), 1).otherwise(0)).over(w)
-    rows = changed.withColumn("run", run)
-    last = rows.withColumn("r", F.row_number().over(W.partitionBy("doc", "gate").orderBy(F.desc("at")))).where("r = 1").drop("r", "before")
-    earlier = rows.groupBy("doc", "gate", "run").agg(F.max("at").alias("p_at"), F.max_by("state", "at").alias("previous")).withColumnsRenamed({"doc": "d", "gate": "g", "run": "n"})
-    joined = last.join(earlier, (F.col("doc") == F.col("d")) & (F.col("gate") == F.col("g")) & (F.col("n") == F.col("run") - 1), "left")
-    return joined.select(*records.columns, "previous")
+    before = F.lag("state").over(w)
+    rows = records.withColumns({"previous": F.when(before != F.col("state"), before), "r": F.row_number().over(W.partitionBy("doc", "gate").orderBy(F.desc("at")))})
+    return rows.where("r = 1").drop("r")
 
 
 def summary(cells: DataFrame, docs: DataFrame) -> DataFrame:
@@ -86,22 +84,21 @@ def level(check: Column, rc: Column, scope: Column) -> Column:
 
 
 def summarise(checks: DataFrame) -> DataFrame:
-    """One row: names by level, and the status of all."""
+    """One row: names by level, and the status of all, which only blocking levels fail."""
     rows = checks.withColumn("level", level(F.col("name"), F.col("rc"), F.col("scope")))
-    lists = [F.array_sort(F.collect_list(F.when(F.col("level") == v, F.col("name")))).alias(v) for v in ("block", "warn", "unverified", "ok")]
-    status = F.when(F.bool_or(F.col("level") == "block"), "block").when(F.bool_or(F.col("level") == "unverified"), "unverified").when(F.bool_or(F.col("level") == "warn"), "warn").otherwise("ok")
-    return rows.agg(*lists, status.alias("status"))
+    lists = [F.array_sort(F.collect_list(F.when(F.col("level") == v, F.concat("name", F.lit("_rc"))))).alias(n) for v, n in (("block", "blocking"), ("warn", "warnings"), ("unverified", "unverified"))]
+    return rows.agg(*lists, F.when(F.bool_or(F.col("level") == "block"), "fail").otherwise("pass").alias("status"))
 
 
 def findings_for(measures: DataFrame, findings: DataFrame, drift: float = 0.5) -> DataFrame:
-    """(check, metric, doc, pos, stale): the first finding on record for each measure, stale if a value moved by over half.
+    """(check, metric, doc, pos, stale): the first finding on record for each measure, stale if a value moved by over half (one of zero can't tell).
 
     findings: (pos, check, metric, doc, value) where doc is part of a name; they are few and are broadcast by size.
     """
     f = findings.select(F.col("check").alias("c"), F.col("metric").alias("m"), F.col("doc").alias("part"), "pos", F.col("value").alias("was"))
     hit = measures.join(f, (F.col("check") == F.col("c")) & (F.col("metric") == F.col("m")) & F.col("doc").contains(F.col("part")))
     first = hit.withColumn("r", F.row_number().over(W.partitionBy("check", "metric", "doc").orderBy("pos"))).where("r = 1")
-    moved = F.when(F.col("was") == 0, F.col("value") != 0).otherwise(F.try_divide(F.abs(F.col("value") - F.col("was")), F.abs("was")) > drift)
+    moved = F.when(F.col("was") == 0, False).otherwise(F.try_divide(F.abs(F.col("value") - F.col("was")), F.abs("was")) > drift)
     return first.select("check", "metric", "doc", "pos", moved.alias("stale"))
 
 

@@ -99,18 +99,28 @@ def plan_changes(bib: DataFrame, in_kb: DataFrame, read: DataFrame, status: dict
     return rows.select("key", F.array_sort(F.array_distinct(tags)).alias("before"), after.alias("after")).where("before <> after")
 
 
-def decide_by_key(rows: DataFrame) -> DataFrame:
-    """(key, state) of index rows (key, status): failed if any is, done if all are processed, else pending."""
-    return rows.groupBy("key").agg(F.when(F.bool_or(F.col("status") == "failed"), "failed").when(F.bool_and(F.col("status").isin("processed", "completed")), "done").otherwise("pending").alias("state"))
+def decide_by_key(keys: DataFrame, rows: DataFrame) -> DataFrame:
+    """(key, state): missing without index rows (key, status), failed if any is, done if all are completed, else pending."""
+    per = rows.groupBy("key").agg(F.bool_or(F.col("status") == "failed").alias("f"), F.bool_and(F.col("status") == "completed").alias("c"))
+    state = F.when(F.col("f").isNull(), "missing").when(F.col("f"), "failed").when(F.col("c"), "done").otherwise("pending")
+    return keys.join(per, "key", "left").select("key", state.alias("state"))
+
+
+#: How translations are tagged and named.
+TRANSLATED_TAG, TRANSLATED_NAME = "BabelDOC_translated", r"(?iu)(_?zht|zh-?tw|[-_.]dual\b|[-_.]mono\b|_translation|翻譯)"
 
 
 def choose_attachment(attachments: DataFrame) -> DataFrame:
-    """(key, chosen): the only attachment, else the only one that is no translation, else the only one titled PDF, else null."""
-    rows = attachments.withColumn("translated", F.col("title").rlike("(?iu)translat|翻譯|中文"))
-    only = lambda cond: F.when(F.count_if(cond) == 1, F.max(F.when(cond, F.col("name"))))
-    fine = ~F.col("translated")
-    named = F.when(F.count_if(fine) > 0, only(fine & (F.col("title") == "PDF")))
-    return rows.groupBy("key").agg(F.coalesce(only(F.lit(True)), only(fine), named).alias("chosen"))
+    """(key, chosen, reason) of attachments (key, name, title, tags): the only one; else, without translations, the only one left or
+    the only one titled PDF; else null, as a wrong one is worse than none."""
+    text = F.concat_ws(" ", F.coalesce("title", F.lit("")), F.coalesce("name", F.lit("")))
+    rows = attachments.withColumn("fine", ~(F.coalesce(F.array_contains("tags", TRANSLATED_TAG), F.lit(False)) | text.rlike(TRANSLATED_NAME)))
+    rows = rows.withColumn("named", F.col("fine") & (T.stripped(T.filled(F.col("title"))) == "PDF"))
+    pick = lambda c: F.max(F.when(c, F.col("name")))
+    per = rows.groupBy("key").agg(F.count("*").alias("n"), F.count_if("fine").alias("f"), F.count_if("named").alias("p"), F.max("name").alias("any"), pick(F.col("fine")).alias("one"), pick(F.col("named")).alias("pdf"))
+    reason = F.when(F.col("n") == 1, "only").when(F.col("f") == 0, "all-translated").when(F.col("f") == 1, "sole-original").when(F.col("p") == 1, "named-PDF").otherwise("ambiguous")
+    chosen = F.when(reason == "only", F.col("any")).when(reason == "sole-original", F.col("one")).when(reason == "named-PDF", F.col("pdf"))
+    return per.select("key", chosen.alias("chosen"), reason.alias("reason"))
 
 
 def equations(rows: DataFrame) -> DataFrame:

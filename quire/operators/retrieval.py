@@ -8,8 +8,6 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 
-GRAPH_MODES = ["local", "global", "hybrid", "mix"]
-
 
 def cosine(a: Column, b: Column) -> Column:
     """In double precision, summed in order of the components; null for a zero vector."""
@@ -52,9 +50,9 @@ def compare_sides(scores: DataFrame) -> DataFrame:
 
 
 def needs_keywords(mode: Column, high: Column, low: Column, allow: Column) -> Column:
-    """Graph modes must bring keywords unless the caller allows otherwise."""
+    """All modes but naive walk the graph and must bring keywords of either level, unless the caller allows otherwise."""
     none = (F.size(F.coalesce(high, F.array())) == 0) & (F.size(F.coalesce(low, F.array())) == 0)
-    return mode.isin(GRAPH_MODES) & none & ~F.coalesce(allow.isin("1", "true", "yes"), F.lit(False))
+    return (mode != "naive") & none & ~F.coalesce(F.lower(allow).isin("1", "true", "yes"), F.lit(False))
 
 
 def section_sizes(contexts: DataFrame) -> DataFrame:

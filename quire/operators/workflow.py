@@ -37,19 +37,37 @@ def latest_per_document(jobs: DataFrame) -> DataFrame:
     return jobs.groupBy("filename").agg(F.max_by(F.struct("job_id", "status", "updated_at"), F.struct("updated_at", "pos")).alias("j")).select("filename", "j.*")
 
 
-def bucket(status: Column) -> Column:
-    return F.when(status.isin(TERMINAL), status).when(status.isin(EXTRACTING), "extracting").when(status.isin(ACTIVE), "active").otherwise("waiting")
+def section(status: Column, index_status: Column) -> Column:
+    """Where a job is shown; of indexed jobs the index has the last word."""
+    indexed = F.when(index_status.isNull() | (index_status == "processed"), "completed").when(index_status == "failed", "failed").otherwise("in_progress")
+    return (
+        F.when(status == "candidate", "selection")
+        .when(status == "parsing", "parsing")
+        .when(status == "planned", "review")
+        .when(status.isin("repairing", "repaired", *EXTRACTING), "in_progress")
+        .when(status == "returned", "skipped")
+        .when(status.isin("failed_parse", "failed"), "failed")
+        .when(status == "indexed", indexed)
+    )
 
 
 def console(jobs: DataFrame) -> DataFrame:
-    """(bucket, reason, n, files): jobs by bucket and by the kind of their first reason."""
-    reason = T.event_kind(F.coalesce(F.get("reasons", F.lit(0)), F.lit("")))
-    return jobs.groupBy(bucket(F.col("status")).alias("bucket"), reason.alias("reason")).agg(F.count("*").alias("n"), F.sort_array(F.collect_list("filename")).alias("files"))
+    """(section, n, files) of jobs (filename, status, index_status)."""
+    return jobs.groupBy(section(F.col("status"), F.col("index_status")).alias("section")).agg(F.count("*").alias("n"), F.sort_array(F.collect_list("filename")).alias("files"))
 
 
-def since_last_event(events: DataFrame, processed: int) -> DataFrame:
-    """How many documents were processed since the last event of each kind."""
-    return events.groupBy(T.event_kind(F.col("reason")).alias("kind")).agg((F.lit(processed) - F.max("processed_index")).alias("distance"), F.count("*").alias("n"))
+def pending_by_reason(jobs: DataFrame) -> DataFrame:
+    """(reason, n, jobs) of what waits for a person: plans that are not clean by each of their reasons, failures by their kind."""
+    given = F.coalesce("reasons", F.array().cast("array<string>"))
+    reasons = F.when((F.col("status") == "planned") & ~F.col("decision").eqNullSafe("clean"), given).when(F.col("status") == "failed_parse", F.array(F.lit("解析失敗"))).when(F.col("status") == "failed", F.array(F.lit("工作失敗")))
+    return jobs.select("job_id", F.explode(reasons).alias("reason")).groupBy("reason").agg(F.count("*").alias("n"), F.sort_array(F.collect_list("job_id")).alias("jobs"))
+
+
+def convergence(events: DataFrame, processed: int) -> DataFrame:
+    """One row: kinds of events so far, how many events, and how many documents were processed since the last one by created_at."""
+    kind = T.event_kind(F.col("reason"))
+    last = F.max_by("processed_index", "created_at")
+    return events.agg(F.array_sort(F.collect_set(F.when(kind != "", kind))).alias("kinds"), F.count("*").alias("occurrences"), F.greatest(F.lit(0), processed - last).alias("distance"))
 
 
 def decide(job_status: Column, index_status: Column, verify_ok: Column) -> Column:
@@ -57,12 +75,21 @@ def decide(job_status: Column, index_status: Column, verify_ok: Column) -> Colum
     return F.when(job_status != "failed", SKIP).when(index_status.isNull() | (F.lower(index_status) != "processed") | ~verify_ok, KEEP).otherwise(FLIP)
 
 
-def recover(jobs: DataFrame, index: DataFrame) -> DataFrame:
-    """What jobs in flight become after a restart: indexed if the index has them processed, planned if it knows nothing and they were
-    being repaired, failed where extraction was cut off, else as they are."""
-    rows = jobs.where(F.col("status").isin(ACTIVE)).join(index, "filename", "left")
-    new = F.when(F.lower("index_status") == "processed", "indexed").when(F.col("status") == "parsing", "failed").when(F.col("status").isin("repairing", "repaired"), "planned").when(F.col("index_status").isNull(), "failed").otherwise(F.col("status"))
-    return rows.select("job_id", "status", new.alias("recovered"))
+def recover(jobs: DataFrame, index: DataFrame | None) -> DataFrame:
+    """(job_id, status, recovered, action) of jobs in flight after a restart, by what the index says.
+
+    Jobs that never touched the index are queued again as they are. Of the others those it has processed are indexed, those it
+    still works on wait, and those it does not know have failed. Without an answer from the index (None) nothing is guessed.
+    """
+    rows = jobs.where(F.col("status").isin(ACTIVE))
+    early = F.col("status").isin("parsing", "repairing", "repaired")
+    if index is None:
+        return rows.select("job_id", "status", F.col("status").alias("recovered"), F.when(early, "queue").otherwise("ask").alias("action"))
+    rows = rows.join(index, "filename", "left")
+    known = F.lower(F.coalesce("index_status", F.lit("")))
+    new = F.when(early, F.col("status")).when(known == "processed", "indexed").when(known.isin("processing", "pending"), F.col("status")).otherwise("failed")
+    action = F.when(early, "queue").when(known == "processed", "done").when(known.isin("processing", "pending"), "wait").otherwise("failed")
+    return rows.select("job_id", "status", new.alias("recovered"), action.alias("action"))
 
 
 def foreign_documents(index: DataFrame, jobs: DataFrame) -> DataFrame:
@@ -75,7 +102,7 @@ def round_can_start(jobs: DataFrame) -> DataFrame:
     return jobs.agg(F.array_sort(F.collect_list(F.when(F.col("status") == "planned", F.col("job_id")))).alias("ready"), (busy > 0).alias("blocked"))
 
 
-def stale(reports: DataFrame, now: Column, hours: int = 26) -> DataFrame:
+def stale(reports: DataFrame, now: Column, hours: int = 24) -> DataFrame:
     """(name, at, stale) of the latest report of each name; at is ISO-8601 text."""
     last = reports.groupBy("name").agg(F.max(F.to_timestamp("at")).alias("at"))
     return last.withColumn("stale", F.col("at") < now - F.expr(f"INTERVAL {hours} HOURS"))

@@ -85,7 +85,7 @@ TABLES: dict[str, tuple[str, list]] = {
     "mirror_a": ("name string, content string", [("1", "a"), ("2", "b"), ("3", "c")]),
     "mirror_b": ("name string, content string", [("2", "b"), ("3", "x"), ("4", "d")]),
     "candidates": ("doc_id string, pos int, path string, hash_match boolean", [("a", 0, "p0", False), ("a", 1, "p1", True), ("b", 0, "q0", False), ("b", 1, "q1", False)]),
-    "commands": ("id int, command string", [(1, "make | tail -3; echo $?"), (2, "cat > f <<'EOF'\nmake | tail; echo $?\nEOF\nls"), (3, "ls -l")]),
+    "commands": ("id int, command string", [(1, "make | tail -3; echo $?"), (2, "cat > f <<'EOF'\nmake | tail; echo $?\nEOF\nls"), (3, "ls -l"), (4, "cat .env"), (5, "cat .env.example"), (6, "docker compose config --hash x"), (7, "printenv; ls")]),
     "messages": ("id int, message string", [(1, "未知的項目型別：seal, stamp_2 ——停"), (2, "頁面尺寸不一致 3 頁"), (3, "頁序錯位"), (4, "消音比例 0.4"), (5, "其他"), (6, "未知的項目型別：—— 無")]),
     "titles": ("id int, title string", [(1, "Preface to the second edition"), (2, "Index"), (3, "Indexing methods"), (4, "附錄一 資料"), (5, "Appendix A: Data"), (6, "Contents"), (7, "1 Waves: a/b?"), (8, "第二章"), (9, "目錄"), (10, "​\t"), (11, "About the author")]),
     "raws": ("id int, raw string, finish string", [(1, "```html\n<table><tr><td>1</td></tr></table>\n```", "stop"), (2, "<table><tr>", "length"), (3, " none ", None)]),
@@ -97,8 +97,8 @@ TABLES: dict[str, tuple[str, list]] = {
     "payloads": ("doc string, failed array<string>, plan_doc string, planned boolean, pages int, items int, page_size array<double>, noise_ratio double, tables int, repair int, review int, refs_ratio double, refs_suspicious boolean, admitted boolean", [("a", [], "a", True, 10, 100, [600.0, 800.0], 0.05, 3, 0, 0, 0.1, False, False), ("b", ["未知的項目型別：seal", "頁序錯位"], "b", False, None, None, None, None, None, None, None, None, None, True), ("c", [], "x", True, 0, 100, [600.0], 1.5, 3, 2, 0, 0.316, True, True), ("d", [], None, False, None, None, None, None, None, None, None, None, None, False)]),
     "measures": ("check string, metric string, doc string, value double", [("parse", "mangled", "2020 - Paper one.pdf", 10.0), ("parse", "mangled", "2021 - Paper two.pdf", 4.0), ("coverage", "rate", "2020 - Paper one.pdf", 0.2), ("parse", "leak", "none.pdf", 1.0)]),
     "known": ("pos int, check string, metric string, doc string, value double", [(1, "parse", "mangled", "Paper one", 9.0), (2, "parse", "mangled", "Paper", 1.0), (3, "coverage", "rate", "Paper one", 0.0)]),
-    "attachments": ("key string, name string, title string", [("k1", "a.pdf", "Full Text"), ("k2", "a.pdf", "PDF"), ("k2", "b.pdf", "Snapshot"), ("k3", "a.pdf", "Translated text"), ("k3", "b.pdf", "Original"), ("k4", "a.pdf", "Translation one"), ("k4", "b.pdf", "Translation two"), ("k5", "a.pdf", "One"), ("k5", "b.pdf", "Two")]),
-    "index_rows": ("key string, status string", [("k1", "processed"), ("k1", "processed"), ("k2", "processed"), ("k2", "pending"), ("k3", "failed"), ("k3", "processed")]),
+    "attachments": ("key string, name string, title string, tags array<string>", [("k1", "a_dual.pdf", "Full Text", []), ("k2", "a.pdf", "PDF", []), ("k2", "b.pdf", "Snapshot", []), ("k3", "a.zh-TW.mono.pdf", "deepseek-mono", []), ("k3", "b.pdf", "Original", []), ("k4", "a.pdf", "PDF_ZHT", []), ("k4", "b.pdf", "x", ["BabelDOC_translated"]), ("k5", "a.pdf", "One", []), ("k5", "b.pdf", "Two", [])]),
+    "index_rows": ("key string, status string", [("k1", "completed"), ("k1", "completed"), ("k2", "completed"), ("k2", "pending"), ("k3", "failed"), ("k3", "completed")]),
     "images": ("doc string, file string, alias string", [("d1", "h1.jpg", "d1-p01-01.jpg"), ("d2", "h2.jpg", "d2-p01-01.jpg"), ("d3", "h2.jpg", "d3-p02-01.jpg")]),
     "wanted": ("name string", [("h1.jpg",), ("d2-p01-01.jpg",), ("h2.jpg",), ("none.jpg",)]),
     "label_list": ("label string", [("Sound Wave",), ("sound",), ("Noise",)]),
@@ -106,9 +106,9 @@ TABLES: dict[str, tuple[str, list]] = {
     "reports": ("family string, path string, modified int, name string, at string", [("daily", "p1", 1, "daily", "2024-01-01T00:00:00Z"), ("daily", "p2", 2, "daily", "2024-01-02T00:00:00Z"), ("daily", "p3", 3, "daily", "2024-01-03T06:00:00Z"), ("weekly", "p4", 1, "weekly", "2024-01-01T12:00:00Z")]),
     "requests": ("id int, mode string, high array<string>, low array<string>, allow string", [(1, "mix", [], [], None), (2, "mix", ["a"], [], None), (3, "naive", [], [], None), (4, "hybrid", None, None, "1"), (5, "local", [], None, "0")]),
     "contexts": ("query string, context string", [("q1", "# One\na b c\n## Two\nd e\n"), ("q2", "no heading here")]),
-    "ratios": ("id int, ab double, ac double, bc double, ad double, bd double, cd double", [(1, 0.95, 0.92, 0.99, None, None, None), (2, 0.5, 0.5, 0.95, None, None, None), (3, 0.95, 0.5, 0.5, None, None, None), (4, 0.1, 0.2, 0.3, 0.95, 0.1, 0.1), (5, 0.1, 0.2, 0.3, 0.4, 0.1, 0.1)]),
+    "ratios": ("id int, ab double, am double, bm double, ca double, cb double, cm double", [(1, 0.95, 0.2, 0.86, None, None, None), (2, 0.85, 0.5, 0.84, None, None, None), (3, 0.5, 0.95, 0.5, None, None, None), (4, 0.1, 0.2, 0.3, 0.95, 0.1, 0.1), (5, 0.1, 0.2, 0.3, 0.4, 0.1, 0.1)]),
     "answers": ("name string, verdict string", [("Sound", "same"), ("sound", "same"), ("Lee", "different"), ("Nobody", "different")]),
-    "event_rows": ("reason string, processed_index int", [("參考文獻消音比例異常（31.6%）", 10), ("參考文獻消音比例異常（49.0%）", 25), ("頁序錯位", 7)]),
+    "event_rows": ("reason string, processed_index int, created_at string", [("參考文獻消音比例異常（31.6%）", 10, "2024-01-01"), ("參考文獻消音比例異常（49.0%）", 25, "2024-01-03"), ("頁序錯位", 27, "2024-01-02")]),
     "pdfs": ("candidate_id string, name string, sha256 string", [("c1", "new.pdf", "h1"), ("c2", "known.pdf", "h2"), ("c3", "used.pdf", "h3"), ("c4", "../evil.pdf", "h4"), ("c5", "reset.pdf", "h5"), ("c6", ".hidden.pdf", "h6")]),
     "used": ("candidate_id string", [("c3",)]),
     "hashes": ("sha256 string", [("h2",), ("h5",)]),

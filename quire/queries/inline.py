@@ -294,7 +294,7 @@ def bad_records(records):
     return ledger.invalid_records(records)
 
 
-@query("SELECT doc, gate, state, note, \"at\", CASE WHEN doc = 'd1' AND gate = 'parse.checks' THEN 'fail' END AS previous FROM records QUALIFY row_number() OVER (PARTITION BY doc, gate ORDER BY \"at\" DESC) = 1")
+@query("SELECT doc, gate, state, note, \"at\", CASE WHEN lag(state) OVER (PARTITION BY doc, gate ORDER BY \"at\") <> state THEN lag(state) OVER (PARTITION BY doc, gate ORDER BY \"at\") END AS previous FROM records QUALIFY row_number() OVER (PARTITION BY doc, gate ORDER BY \"at\" DESC) = 1")
 def latest_records(records):
     return ledger.latest(records)
 
@@ -321,7 +321,7 @@ def alarm_levels(checks):
     return checks.select("name", ledger.level(F.col("name"), F.col("rc"), F.col("scope")).alias("level"))
 
 
-@query("SELECT ['odd', 'scan'] AS \"block\", ['parse'] AS warn, ['canary', 'compat2', 'tests'] AS unverified, ['compat', 'coverage'] AS ok, 'block' AS status", joined=('block', 'warn', 'unverified', 'ok'))
+@query("SELECT ['odd_rc', 'scan_rc'] AS blocking, ['parse_rc'] AS warnings, ['canary_rc', 'compat2_rc', 'tests_rc'] AS unverified, 'fail' AS status", joined=('blocking', 'warnings', 'unverified'))
 def alarm_summary(checks):
     return ledger.summarise(checks)
 
@@ -346,12 +346,16 @@ def bad_transitions(history):
     return workflow.bad_transitions(history)
 
 
-@query("""SELECT CASE WHEN status IN ('indexed', 'returned', 'failed_parse', 'failed') THEN status WHEN status IN ('admitted', 'scanning', 'extracting') THEN 'extracting' WHEN status = 'parsing' THEN 'active' ELSE 'waiting' END AS bucket,
-  regexp_replace(coalesce(reasons[1], ''), '（[^（()）]*[0-9][^（()）]*）$', '') AS reason, count(*) AS n, list_sort(list(filename)) AS files FROM jobs GROUP BY ALL""", joined=('files',))
+@query("""SELECT CASE WHEN status = 'parsing' THEN 'parsing' WHEN status = 'planned' THEN 'review' WHEN status = 'extracting' THEN 'in_progress' WHEN status = 'failed' THEN 'failed' WHEN status = 'indexed' THEN 'completed' END AS section, count(*) AS n, list_sort(list(filename)) AS files FROM jobs GROUP BY section""", joined=("files",))
 def job_console(jobs):
     return workflow.console(jobs)
 
 
+@query("SELECT '工作失敗' AS reason, count(*) AS n FROM jobs WHERE status = 'failed'")
+def pending_reasons(jobs):
+    return workflow.pending_by_reason(jobs.withColumn("decision", F.lit("novel"))).select("reason", "n")
+
+
 @query("SELECT name, CASE WHEN b.content IS NULL THEN 'add' WHEN a.content IS NULL THEN 'only_local' WHEN a.content = b.content THEN 'unchanged' ELSE 'update' END AS action FROM mirror_a a FULL JOIN mirror_b b USING (name)")
 def mirror_actions(mirror_a, mirror_b):
     return ledger.sync(mirror_a, mirror_b)
@@ -479,7 +483,7 @@ def verified_sources(candidates):
     return bundles.source_or_first(candidates)
 
 
-@query("SELECT id, CASE WHEN id = 1 THEN ['exit-code-after-pipe'] ELSE []::VARCHAR[] END AS rules FROM commands", joined=('rules',))
+@query("SELECT id, CASE id WHEN 1 THEN ['exit-code-after-pipe'] WHEN 4 THEN ['cat-dotenv'] WHEN 7 THEN ['whole-env-dump'] ELSE []::VARCHAR[] END AS rules FROM commands", joined=('rules',))
 def guarded_commands(commands):
     return commands.select("id", T.command_rules(F.col("command")).alias("rules"))
 
@@ -554,7 +558,7 @@ def plan_entries(payloads):
     return ledger.entries_from_plan(payloads.join(judged, "doc").withColumn("has_tables", F.col("planned")))
 
 
-@query("""SELECT m."check", m.metric, m.doc, k.pos, CASE WHEN k.value = 0 THEN m.value <> 0 ELSE abs(m.value - k.value) / abs(k.value) > 0.5 END AS stale FROM measures m JOIN known k ON m."check" = k."check" AND m.metric = k.metric AND contains(m.doc, k.doc)
+@query("""SELECT m."check", m.metric, m.doc, k.pos, CASE WHEN k.value = 0 THEN FALSE ELSE abs(m.value - k.value) / abs(k.value) > 0.5 END AS stale FROM measures m JOIN known k ON m."check" = k."check" AND m.metric = k.metric AND contains(m.doc, k.doc)
   QUALIFY row_number() OVER (PARTITION BY m."check", m.metric, m.doc ORDER BY k.pos) = 1""")
 def finding_staleness(measures, known):
     return ledger.findings_for(measures, known)
@@ -565,14 +569,14 @@ def review_queue(corpus, live):
     return ledger.pending(corpus, live)
 
 
-@query("SELECT key, CASE key WHEN 'k1' THEN 'a.pdf' WHEN 'k2' THEN 'a.pdf' WHEN 'k3' THEN 'b.pdf' END AS chosen FROM (SELECT DISTINCT key FROM attachments)")
+@query("SELECT key, CASE key WHEN 'k1' THEN 'a_dual.pdf' WHEN 'k2' THEN 'a.pdf' WHEN 'k3' THEN 'b.pdf' END AS chosen, CASE key WHEN 'k1' THEN 'only' WHEN 'k2' THEN 'named-PDF' WHEN 'k3' THEN 'sole-original' WHEN 'k4' THEN 'all-translated' ELSE 'ambiguous' END AS reason FROM (SELECT DISTINCT key FROM attachments)")
 def chosen_attachments(attachments):
     return matching.choose_attachment(attachments)
 
 
-@query("SELECT key, CASE WHEN bool_or(status = 'failed') THEN 'failed' WHEN bool_and(status = 'processed') THEN 'done' ELSE 'pending' END AS state FROM index_rows GROUP BY key")
-def index_states(index_rows):
-    return matching.decide_by_key(index_rows)
+@query("SELECT DISTINCT key, CASE WHEN key NOT IN (SELECT key FROM index_rows) THEN 'missing' WHEN key IN (SELECT key FROM index_rows WHERE status = 'failed') THEN 'failed' WHEN key NOT IN (SELECT key FROM index_rows WHERE status <> 'completed') THEN 'done' ELSE 'pending' END AS state FROM attachments")
+def index_states(index_rows, attachments):
+    return matching.decide_by_key(attachments.select("key").distinct(), index_rows)
 
 
 @query("""WITH n AS (SELECT doc, file, file AS name FROM images UNION SELECT doc, file, alias FROM images) SELECT name, CASE WHEN count(DISTINCT doc) = 1 THEN min(doc) END AS doc, CASE WHEN count(DISTINCT doc) = 1 THEN min(file) END AS file, count(DISTINCT doc) > 1 AS ambiguous FROM wanted JOIN n USING (name) GROUP BY name""")
@@ -590,12 +594,12 @@ def pruned_reports(reports):
     return ledger.newest(reports, 2).select("family", "path")
 
 
-@query("SELECT name, max(\"at\"::TIMESTAMPTZ) < TIMESTAMPTZ '2024-01-03 12:00:00+00' - INTERVAL 26 HOURS AS stale FROM reports GROUP BY name")
+@query("SELECT name, max(\"at\"::TIMESTAMPTZ) < TIMESTAMPTZ '2024-01-03 12:00:00+00' - INTERVAL 24 HOURS AS stale FROM reports GROUP BY name")
 def stale_reports(reports):
     return workflow.stale(reports, F.lit("2024-01-03 12:00:00").cast("timestamp")).select("name", "stale")
 
 
-@query("SELECT id, mode IN ('local', 'global', 'hybrid', 'mix') AND coalesce(len(high), 0) = 0 AND coalesce(len(low), 0) = 0 AND coalesce(allow, '') NOT IN ('1', 'true', 'yes') AS missing FROM requests")
+@query("SELECT id, mode <> 'naive' AND coalesce(len(high), 0) = 0 AND coalesce(len(low), 0) = 0 AND coalesce(allow, '') NOT IN ('1', 'true', 'yes') AS missing FROM requests")
 def keyword_guard(requests):
     return requests.select("id", retrieval.needs_keywords(F.col("mode"), F.col("high"), F.col("low"), F.col("allow")).alias("missing"))
 
@@ -605,7 +609,7 @@ def context_sizes(contexts):
     return retrieval.section_sizes(contexts).select("query", "section", "words")
 
 
-@query("""SELECT id, CASE WHEN ab >= 0.9 AND ac >= 0.9 THEN 'consensus' WHEN bc >= 0.9 THEN 'suspect' WHEN ab >= 0.9 OR ac >= 0.9 THEN 'majority' WHEN coalesce(ad, 0) >= 0.9 OR coalesce(bd, 0) >= 0.9 OR coalesce(cd, 0) >= 0.9 THEN 'tie_broken' ELSE 'three_way' END AS kind FROM ratios""")
+@query("""SELECT id, CASE WHEN ab >= 0.85 AND (am >= 0.85 OR bm >= 0.85) THEN 'consensus' WHEN ab >= 0.85 THEN 'suspect' WHEN am >= 0.85 OR bm >= 0.85 THEN 'majority' WHEN coalesce(ca, 0) >= 0.85 OR coalesce(cb, 0) >= 0.85 OR coalesce(cm, 0) >= 0.85 THEN 'tie_broken' ELSE 'three_way' END AS kind FROM ratios""")
 def four_votes(ratios):
     return votes.vote4(ratios).select("id", "kind")
 
@@ -617,9 +621,9 @@ def verdict_slots(answers, retrieved, nodes):
     return votes.verdict_groups(answers, slots, nodes.select("name").distinct()).select("verdict", "n", "matched", "slots", "hit")
 
 
-@query("SELECT regexp_replace(reason, '（[^（()）]*[0-9][^（()）]*）$', '') AS kind, (30 - max(processed_index))::INTEGER AS distance, count(*) AS n FROM event_rows GROUP BY kind")
+@query("SELECT list_sort(list(DISTINCT regexp_replace(reason, '（[^（()）]*[0-9][^（()）]*）$', ''))) AS kinds, count(*) AS occurrences, greatest(0, 30 - arg_max(processed_index, created_at))::INTEGER AS distance FROM event_rows", joined=("kinds",))
 def event_distance(event_rows):
-    return workflow.since_last_event(event_rows, 30)
+    return workflow.convergence(event_rows, 30)
 
 
 @query("SELECT candidate_id, name FROM pdfs WHERE candidate_id IN ('c1', 'c5')")
@@ -637,7 +641,7 @@ def word_overlap(two_texts):
     return two_texts.select("id", F.round(matching.word_jaccard(F.col("a"), F.col("b")), 9).alias("jaccard"))
 
 
-@query("SELECT job_id, status, CASE WHEN job_id = 'j6' THEN 'indexed' ELSE 'failed' END AS recovered FROM jobs WHERE status IN ('parsing', 'extracting')")
+@query("SELECT job_id, status, CASE WHEN job_id = 'j6' THEN 'indexed' ELSE status END AS recovered, CASE WHEN job_id = 'j6' THEN 'done' ELSE 'queue' END AS action FROM jobs WHERE status IN ('parsing', 'extracting')")
 def recovered_jobs(jobs, index_docs):
     return workflow.recover(jobs.drop("index_status"), index_docs)
 
@@ -675,7 +679,8 @@ def judged_tables(raw_tables):
 
 @query()
 def control_pairs(equations):
-    got = votes.control_pairs(matching.equations(equations), 3)
+    eqs = matching.equations(equations)
+    got = votes.control_pairs(eqs, matching.equation_classes(eqs), 3)
     return got.select("a_id.doc", "a_id.item", F.col("b_id.doc").alias("other"), F.col("b_id.item").alias("other_item"), "truth")
 
 

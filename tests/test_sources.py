@@ -59,4 +59,5 @@ def test_stream_windows(spark, tmp_path):
 def test_recover(spark):
     js = spark.createDataFrame([("1", "a", "extracting"), ("2", "b", "repairing"), ("3", "c", "parsing"), ("4", "d", "scanning"), ("5", "e", "indexed")], "job_id string, filename string, status string")
     index = spark.createDataFrame([("a", "PROCESSED"), ("d", "pending")], "filename string, index_status string")
-    assert {r.job_id: r.recovered for r in workflow.recover(js, index).collect()} == {"1": "indexed", "2": "planned", "3": "failed", "4": "scanning"}
+    assert {r.job_id: r.recovered for r in workflow.recover(js, index).collect()} == {"1": "indexed", "2": "repairing", "3": "parsing", "4": "scanning"}
+    assert {r.recovered for r in workflow.recover(js, None).collect()} == {"extracting", "repairing", "parsing", "scanning"}
