@@ -31,8 +31,8 @@ RECALL, LEVELS = 0.9998, 3
 LEAF, BLOCK_SHINGLES, BLOCK_SETS = 64, 1 << 19, 2048
 #: Sketch slots, and how many must agree for an exact comparison (at similarity 0.8, 2 pairs in 100,000 fall below).
 SLOTS, AGREE = 16, 6
-#: Ids that are broadcast at most; beyond, the join shuffles.
-BROADCAST_IDS = 1_000_000
+#: Ids and shared paths that are broadcast at most; beyond, the joins shuffle.
+BROADCAST_IDS, BROADCAST_PATHS = 1_000_000, 250_000
 
 _rng = np.random.default_rng(20240)
 _odd = lambda n: (_rng.integers(0, 1 << 63, n, np.uint64) << np.uint64(1)) | np.uint64(1)
@@ -325,8 +325,9 @@ def near_texts(docs: DataFrame, key: str = "doc_id", text: str = "text", thresho
     for i in range(LEVELS):
         later = [f"t{j}" for j in range(i + 1, LEVELS)]
         level = level.withColumn("token", F.explode(f"t{i}")).select("s1", "s2", "n", "sketch", F.xxhash64("path", "token").alias("path"), *later)
-        sizes = level.groupBy("path").agg(F.count("*").alias("m"), F.sum("n").alias("total")).where("m > 1")
-        level = level.join(sizes, "path")
+        # Nearly all buckets hold one set. So the paths alone are shuffled first, and rows meet only those that are shared.
+        sizes = cut(level.groupBy("path").agg(F.count("*").alias("m"), F.sum("n").alias("total")).where("m > 1"), f"jaccard-sizes{i}")
+        level = level.join(F.broadcast(sizes) if sizes.count() <= BROADCAST_PATHS else sizes, "path")
         last = i == LEVELS - 1
         level = cut(level, f"jaccard-level{i}")
         done = level if last else level.where(F.col("m") <= LEAF)
