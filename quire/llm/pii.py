@@ -1,7 +1,8 @@
 """Personal data: base patterns, and a skip-chain conditional random field that makes labels consistent in a document.
 
 Nodes are the words with a digit or an @. Neighbouring words share a chain potential; words with the same normal form,
-however far apart, share a skip potential. Loopy belief propagation gives each node's label. Words that a base pattern
+however far apart, share a skip potential: open words with each label that a base pattern confirms for their form, or, if
+there is none, with the like word before. Loopy belief propagation gives each node's label. Words that a base pattern
 confirms are observed; for others, potentials are bounded so that shape and neighbours alone never make an entity: it
 takes a skip link to a like word that is one. The potentials are fitted piece by piece on the base patterns' own spans in
 a bounded sample, so nothing is labelled by hand.
@@ -29,7 +30,8 @@ SAMPLE_DOCS, SAMPLE_CHARS = 2000, 20_000
 SHAPE_MOST, CHAIN_MOST, SKIP_MOST, UNSEEN = 2.0, 0.75, 6.0, -5.5
 #: Like words with one entity label that are taken as seen before the sample, for the skip potential.
 AGREEMENTS = 200
-ROUNDS, DAMPING = 12, 0.3
+#: Messages are passed until none changes by SETTLED, at most ROUNDS times.
+ROUNDS, SETTLED, DAMPING = 200, 1e-4, 0.3
 
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -104,13 +106,18 @@ class Potentials(NamedTuple):
 
 
 class Graph(NamedTuple):
-    """A document's nodes: spans of words, features, the base labels (0: none), and edges by node numbers."""
+    """A document's nodes: spans of words, features, the base labels (0: none), and edges by node numbers.
+
+    skip: like words, each with the one before. hubs: open nodes with the labels that like words are confirmed to have, each
+    label once; as those words are observed, open words do not answer for each other.
+    """
 
     spans: list[tuple[int, int]]
     features: np.ndarray
     seen: np.ndarray
     chain: np.ndarray
     skip: np.ndarray
+    hubs: np.ndarray
 
 
 def graph(text: str, spans: list[tuple[int, int]], neighbours: list[bool], base: list[tuple[int, int, int]]) -> Graph:
@@ -124,14 +131,18 @@ def graph(text: str, spans: list[tuple[int, int]], neighbours: list[bool], base:
         seen[np.searchsorted(ends, a, "right") : np.searchsorted(starts, b, "left")] = kind + 1
     chain = [(i - 1, i) for i in range(1, n) if neighbours[i]]
     last: dict[str, int] = {}
-    skip = []
-    for i, w in enumerate(words):
-        if key := key_of(w):
+    held: dict[str, set[int]] = {}
+    skip, keys = [], [key_of(w) for w in words]
+    for i, key in enumerate(keys):
+        if key:
             if key in last:
                 skip.append((last[key], i))
             last[key] = i
+            if seen[i]:
+                held.setdefault(key, set()).add(int(seen[i]))
+    hubs = [(i, label) for i, key in enumerate(keys) if key in held and not seen[i] for label in sorted(held[key])]
     pair = lambda x: np.array(x, np.int64).reshape(-1, 2)
-    return Graph(spans, features, seen, pair(chain), pair(skip))
+    return Graph(spans, features, seen, pair(chain), pair(skip), pair(hubs))
 
 
 def fit(graphs: list[Graph]) -> Potentials:
@@ -171,8 +182,12 @@ def beliefs(g: Graph, model: Potentials) -> np.ndarray:
     confirmed = g.seen > 0
     unary[confirmed] = -30
     unary[confirmed, g.seen[confirmed]] = 0
-    edges = np.concatenate([g.chain, g.skip])
-    table = np.concatenate([np.broadcast_to(model.chain, (len(g.chain), k, k)), np.broadcast_to(model.skip, (len(g.skip), k, k))])
+    np.add.at(unary, g.hubs[:, 0], model.skip[g.hubs[:, 1]])  # what an observed node sends
+    free = ~confirmed
+    free[g.hubs[:, 0]] = False
+    skip = g.skip[free[g.skip].all(1)]
+    edges = np.concatenate([g.chain, skip])
+    table = np.concatenate([np.broadcast_to(model.chain, (len(g.chain), k, k)), np.broadcast_to(model.skip, (len(skip), k, k))])
     source, target = np.concatenate([edges[:, 0], edges[:, 1]]), np.concatenate([edges[:, 1], edges[:, 0]])
     table = np.concatenate([table, table.transpose(0, 2, 1)])
     back = np.concatenate([np.arange(len(edges)) + len(edges), np.arange(len(edges))])
@@ -184,7 +199,9 @@ def beliefs(g: Graph, model: Potentials) -> np.ndarray:
         top = out.max(1)
         out = top + np.log(np.exp(out - top[:, None, :]).sum(1))
         out -= out.max(1, keepdims=True)
-        messages = DAMPING * messages + (1 - DAMPING) * out
+        before, messages = messages, DAMPING * messages + (1 - DAMPING) * out
+        if np.abs(messages - before).max(initial=0) < SETTLED:
+            break
     total = unary.copy()
     np.add.at(total, target, messages)
     p = np.exp(total - total.max(1, keepdims=True))
@@ -193,10 +210,10 @@ def beliefs(g: Graph, model: Potentials) -> np.ndarray:
 
 def added_spans(text: str, g: Graph, model: Potentials, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
     """Runs of neighbouring nodes with one label that no base span of the kind touches, without punctuation at the ends."""
-    if not len(g.skip) or g.seen.all() or not g.seen.any():
-        return []  # no skip link, or nothing open, or nothing to be like: see UNSEEN
+    if not len(g.hubs):
+        return []  # nothing open that is like a confirmed word: see UNSEEN
     p = beliefs(g, model)
-    label = np.where(p.max(1) > 0.5, p.argmax(1), 0)
+    label = np.where(p[:, 0] < 0.5, p[:, 1:].argmax(1) + 1, 0)
     beside = np.zeros(len(label), bool)
     beside[g.chain[:, 1]] = True
     out, i = [], 0

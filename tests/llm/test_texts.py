@@ -112,6 +112,14 @@ def test_skip_links_add_like_words_only(spark, field):
     assert ("card", "4041-8949-7460.8795", True) in got[2] and ("ip", "42-144-35-254", True) in got[3]
 
 
+@pytest.mark.parametrize("n", [1, 2, 5, 50])
+def test_all_repeats_after_one_confirmed_word_are_found(spark, field, n):
+    got = spans(spark, field, ["Call +1 (456) 555-2186" + " or (456) 555-2186" * n, "card 4041894974608795" + " or 4041-8949-7460.8795" * n, "4041-8949-7460.8795 or " * n + "card 4041894974608795", "ip 42.144.35.254" + " and 42-144-35-254" * n])
+    assert got[0] == [("phone", "+1 (456) 555-2186", False)] + [("phone", "(456) 555-2186", True)] * n
+    for found, kind, word in ((got[1], "card", "4041-8949-7460.8795"), (got[2], "card", "4041-8949-7460.8795"), (got[3], "ip", "42-144-35-254")):
+        assert len(found) == n + 1 and found.count((kind, word, True)) == n
+
+
 def test_redaction(spark, field):
     df = spark.createDataFrame([(1, "é mail a.b@c.org, ip 1.2.3.4", "k"), (2, None, "k"), (3, "none", None)], "doc_id long, text string, found string")
     assert [(r.doc_id, r.text, r.found) for r in pii.redact(df, field).orderBy("doc_id").collect()] == [(1, "é mail [EMAIL], ip [IP]", "k"), (2, None, "k"), (3, "none", None)]
