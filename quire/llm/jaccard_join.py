@@ -1,8 +1,8 @@
 """Jaccard self-join of word shingles by chosen paths.
 
 In each run a text's shingle set is sent down a random tree: at every level it follows the shingles whose hash for the run
-and level is below 1 / (threshold * size), so about one set in three of a similar pair is missed in a run and the runs
-are repeated until the target recall. Buckets of few sets are compared by brute force; larger ones are split again on
+and level is below 1 / (threshold * size), so a pair at the threshold shares none of them at a level in about one run of
+three, and the runs are repeated until the target recall holds also for pairs that only meet at the last level. Buckets of few sets are compared by brute force; larger ones are split again on
 newly sampled shingles, and what is still large at the last level is compared in blocks. A pass over small sketches sifts
 each bucket, the survivors are compared exactly by their sets and give spanning forests, and connected components
 of those are compared once more, all with all in blocks, for exact link counts. Pairs are never written out.
@@ -40,11 +40,13 @@ _SKETCH, _CHOICE = _odd(SLOTS), _odd(4096)
 
 
 def runs(threshold: float = THRESHOLD, recall: float = RECALL) -> int:
-    """Runs until a pair at the threshold has shared a path of one level with probability `recall`.
+    """Runs until a pair at the threshold has shared a path through all levels with probability `recall`.
 
-    It shares a Poisson number of chosen shingles of mean at least 1.
+    At a level it shares a Poisson number of chosen shingles of mean at least 1. The choice is one for the run and level,
+    the same on all paths that lead there, so the levels' chances multiply; more shared paths at one do not help at the next.
     """
-    return max(1, math.ceil(math.log(1 - recall) / -1.0))
+    met = (1 - math.exp(-1)) ** LEVELS
+    return max(1, math.ceil(math.log(1 - recall) / math.log(1 - met)))
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, n: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:

@@ -71,6 +71,15 @@ def test_runs_reach_the_recall():
     assert 1 - math.exp(-jaccard_join.runs(0.8, 0.9998)) >= 0.9998
 
 
+def test_threshold_pairs_in_large_buckets_are_met(spark, monkeypatch):
+    """Every shared bucket counts as large, as those of frequent shingles do: pairs meet only if they do at the last level."""
+    monkeypatch.setattr(jaccard_join, "LEAF", 1)
+    words = lambda i: [f"{i}x{j}" for j in range(104)]
+    rows = [(2 * i + k, " ".join(words(i)[: 84 + 20 * k])) for i in range(300) for k in (0, 1)]  # 80 of 100 shingles shared
+    got = jaccard_join.near_texts(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sum(r.n_links == 1 for r in got) == len(rows)
+
+
 def cosine(a, b):
     dot = sum(x * y for x, y in zip(a, b, strict=True))
     return dot / math.sqrt(sum(x * x for x in a)) / math.sqrt(sum(y * y for y in b))
