@@ -12,15 +12,15 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Words, map_arrow, mix, prefix_hash, slices, span_hashes, text_of, utf8
+from .common import Words, cut, map_arrow, mix, prefix_hash, slices, span_hashes, text_of, utf8
 
 #: Labelled documents of each class that the fit reads at most; those with the smallest hashes of the id are taken.
 SAMPLE_TOXIC, SAMPLE_CLEAN = 2000, 4000
-#: Text that one labelled document gives to the fit; a bound of the sample, not of what is scored.
-SAMPLE_CHARS = 20_000
+#: Bytes of text after which each class's sample takes no further document. Texts are whole, also the one that passes it.
+SAMPLE_BYTES_TOXIC, SAMPLE_BYTES_CLEAN = 40_000_000, 80_000_000
 #: Lengths in bytes of the word beginnings that are features beside the word.
 BEGINNINGS = (4, 5, 6)
 #: A feature is fitted if it is in so many times the root of the number of toxic sample documents (two at least), and so
@@ -158,7 +158,12 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     shares = {r["y"]: r["count"] for r in known.groupBy("y").count().collect()}
     first = lambda y, n: known.where(F.col("y") == y).orderBy(F.xxhash64("id"), "id").limit(n)
     chosen = first(1, SAMPLE_TOXIC).unionByName(first(0, SAMPLE_CLEAN))
-    rows = docs.select(F.col(key).alias("id"), F.substring(text_of(text), 1, SAMPLE_CHARS).alias("body")).join(F.broadcast(chosen), "id").orderBy(F.xxhash64("id"), "id", "body").toArrow()
+    rows = cut(docs.select(F.col(key).alias("id"), text_of(text).alias("body")).join(F.broadcast(chosen), "id"), "toxicity-sample")
+    # Of those, whole documents by hash until the class's bytes are reached.
+    order = [F.xxhash64("id"), F.col("id"), F.xxhash64("body")]
+    before = F.sum(F.octet_length("body")).over(Window.partitionBy("y").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1))
+    most = F.when(F.col("y") == 1, SAMPLE_BYTES_TOXIC).otherwise(SAMPLE_BYTES_CLEAN)
+    rows = rows.withColumn("before", F.coalesce(before, F.lit(0))).where(F.col("before") < most).select("id", "y", "body").orderBy(*order, "body").toArrow()
     total = shares.get(0, 0) + shares.get(1, 0)
     return fit(rows.column("body").to_pylist(), np.asarray(rows.column("y")), shares.get(1, 0) / total if total else 0.0)
 

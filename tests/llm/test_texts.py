@@ -150,6 +150,32 @@ def test_toxic_sentences_are_located(spark):
     assert got[2].score == got[3].score < 0.5 and got[None].held_out is False
 
 
+def long_toxic(n):
+    """Labelled texts of over 20,000 characters; the offending sentence of a toxic one stands last."""
+    filler = "the plain words of this page go on. " * 600
+    rows = [(i, filler + ("you are a zorgle." if i % 2 else "that is all.")) for i in range(n)]
+    return rows, [(i, i % 2) for i in range(n)]
+
+
+def test_toxicity_is_fitted_on_whole_texts(spark):
+    rows, labels = long_toxic(60)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    model = toxicity.train(docs, spark.createDataFrame(labels, "doc_id long, toxic int"))
+    got = toxicity.score(docs, model, sentences_from=0.5).collect()
+    assert all(r.predicted == r.doc_id % 2 for r in got)
+    assert all([rows[r.doc_id][1][s.start : s.end].strip() for s in r.sentences] == ["you are a zorgle"] * (r.doc_id % 2) for r in got)
+
+
+def test_toxicity_sample_takes_whole_documents_until_its_bytes(spark, monkeypatch):
+    rows, labels = long_toxic(60)
+    taken = []
+    monkeypatch.setattr(toxicity, "SAMPLE_BYTES_TOXIC", 50_000)
+    monkeypatch.setattr(toxicity, "SAMPLE_BYTES_CLEAN", 100_000)
+    monkeypatch.setattr(toxicity, "fit", lambda texts, y, rate: taken.extend(zip(texts, y, strict=True)))
+    toxicity.train(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int"))
+    assert [sum(y == c for _, y in taken) for c in (1, 0)] == [3, 5] and {t for t, _ in taken} == {t for _, t in rows[:2]}
+
+
 def test_toxicity_without_labels(spark):
     docs = spark.createDataFrame([(1, "a b"), (2, "c")], "doc_id long, text string")
     none = toxicity.train(docs, spark.createDataFrame([], "doc_id long, toxic int"))
