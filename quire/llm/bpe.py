@@ -22,7 +22,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, map_arrow, mix, prefix_hash, slices, span_hashes, text_of, utf8
+from .common import Words, map_arrow, mix, process_key, slices, span_hashes, text_of, utf8
 
 #: Words that a worker's table holds at most; beyond, it starts anew. A memory bound only (about 60 bytes a word).
 CACHE_PIECES = 1_000_000
@@ -206,9 +206,9 @@ class Pieces:
 
     A text is cut at single spaces and line breaks between two other characters, and before a comma or full stop between
     an ASCII letter and such a cut; the pattern always cuts there. The words of a slice of texts are hashed and looked up
-    in an open-addressing table all at once, by 64 bits that cover bytes, length and whether a space stands before: with
-    a million words in the table, about one lookup in 10**13 would meet another word's key. New words are encoded and
-    added. A text with white space side by side or at its end, or with bytes that may be white space beyond ASCII, is
+    in an open-addressing table all at once, by 64 bits under a key of the process that cover bytes, length and whether a
+    space stands before: with a million words in the table, about one lookup of a new word in 10**13 would meet another's
+    key, whatever the texts are. New words are encoded and added. A text with white space side by side or at its end, or with bytes that may be white space beyond ASCII, is
     matched whole by the pattern.
     """
 
@@ -309,7 +309,7 @@ class Pieces:
         mark = data[end - 1]
         split = ((mark == 44) | (mark == 46)) & (end - start > 1) & _ASCII_LETTER[data[end - 2]]
         end = end - split
-        keys = span_hashes(prefix_hash(data), start, end) ^ mix((end - start).astype(np.uint64) * np.uint64(2) + lead)
+        keys = mix(span_hashes(data, start, end, process_key()) ^ lead.astype(np.uint64))
         keys[keys == 0] = 1
         entries = self._lookup(keys)
         new = np.flatnonzero(entries < 0)

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import contextlib
 import ctypes
+import hashlib
 import re
+import secrets
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -126,9 +128,41 @@ class Words:
         self.first = np.searchsorted(self.start, offsets)
         self.row = np.repeat(np.arange(len(offsets) - 1), np.diff(self.first))
 
-    def hashes(self) -> np.ndarray:
-        """A 64-bit hash of each word from prefix sums of a polynomial: the same bytes give the same value anywhere."""
-        return span_hashes(prefix_hash(self.data), self.start, self.end)
+    def hashes(self, key: int) -> np.ndarray:
+        """A 64-bit hash of each word: the same bytes give the same value anywhere under the same key."""
+        return span_hashes(self.data, self.start, self.end, key)
+
+
+#: Spans of up to so many bytes are hashed all at once, eight bytes a step; longer ones each by BLAKE2b.
+SHORT_SPAN = 64
+_KEEP = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
+_process_key = secrets.randbits(64)
+
+
+def process_key() -> int:
+    """A key of this process alone, for hashes that never leave it: no input can be made to collide under it."""
+    return _process_key
+
+
+def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, key: int) -> np.ndarray:
+    """A 64-bit hash under a secret key of the bytes of each span, which are a function of bytes, length and key alone.
+
+    Nothing is a sum of the bytes, so unlike a polynomial modulo 2**64 it has no words that clash for every key. Spans
+    of up to eight bytes and one length never clash; others do for one pair in 2**64, also where texts are chosen to.
+    """
+    padded = np.zeros(len(data) + 8, np.uint8)
+    padded[: len(data)] = data
+    wide = np.ndarray(len(data) + 1, "<u8", buffer=padded, strides=(1,))
+    size, secret = end - start, np.uint64(key)
+    out = mix(mix(size.astype(np.uint64) * BASE + secret) ^ (wide[start] & _KEEP[np.minimum(size, 8)]))
+    todo, at = np.flatnonzero((size > 8) & (size <= SHORT_SPAN)), 8
+    while len(todo):
+        left = size[todo] - at
+        out[todo] = mix((out[todo] + secret) ^ (wide[start[todo] + at] & _KEEP[np.minimum(left, 8)]))
+        todo, at = todo[left > 8], at + 8
+    for i in np.flatnonzero(size > SHORT_SPAN).tolist():
+        out[i] = int.from_bytes(hashlib.blake2b(data[start[i] : end[i]], digest_size=8, key=int(key).to_bytes(8, "little")).digest(), "little")
+    return out
 
 
 _powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
@@ -142,33 +176,30 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
             x = np.full(n, base, np.uint64)
             x[0] = 1
             made.append(np.multiply.accumulate(x))
-        if n > 4 * SLICE_BYTES:
+        if n > SLICE_BYTES:
             return made[0], made[1]
         _powers[:] = made
     return _powers[0][:n], _powers[1][:n]
 
 
-def prefix_hash(data: np.ndarray) -> np.ndarray:
-    up, _ = powers(len(data) + 1)
-    out = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[:-1], out=out[1:])
-    return out
+class Rolling:
+    """Hashes of windows of consecutive values from prefix sums of a polynomial, so every window costs the same at any length.
 
+    The values are hashes under a secret key and windows are short, so sums that clash can't be chosen.
+    """
 
-def span_hashes(prefix: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    _, down = powers(len(prefix))
-    return mix((prefix[end] - prefix[start]) * down[start] + (end - start).astype(np.uint64))
+    def __init__(self, values: np.ndarray, row: np.ndarray):
+        up, self.down = powers(len(values) + 1)
+        self.row, self.prefix = row, np.zeros(len(values) + 1, np.uint64)
+        np.cumsum(values * up[:-1], out=self.prefix[1:])
 
+    def windows(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """Starts and hashes of the n-value windows that stay within one row."""
+        at = np.flatnonzero(self.row[: max(0, len(self.row) - n + 1)] == self.row[n - 1 :])
+        return at, self.at(at, n)
 
-def windows(values: np.ndarray, row: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Starts and hashes of the n-word windows that stay within one row."""
-    if len(values) < n:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    at = np.flatnonzero(row[: len(row) - n + 1] == row[n - 1 :])
-    out = np.zeros(len(values) - n + 1, np.uint64)
-    for i in range(n):
-        out = out * BASE + values[i : len(values) - n + 1 + i]
-    return at, mix(out[at] + np.uint64(n))
+    def at(self, start: np.ndarray, n: int) -> np.ndarray:
+        return mix((self.prefix[start + n] - self.prefix[start]) * self.down[start] + np.uint64(n))
 
 
 def components(edges: DataFrame, label: str) -> DataFrame:

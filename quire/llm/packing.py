@@ -9,7 +9,7 @@ from __future__ import annotations
 import functools
 import struct
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -30,12 +30,14 @@ def lengths(n: int, most: int = SEQUENCE_TOKENS) -> list[int]:
 
 
 @functools.lru_cache(maxsize=2)
-def tokenizer_pieces(path: str, pattern: str) -> Pieces:
-    """The tokenizer of a file behind a cache of pieces; kept while the worker process lives."""
+def tokenizer_pieces(path: str, pattern: str) -> tuple[Pieces, Callable[[str], list[int]], list[bytes]]:
+    """The tokenizer of a file behind a cache of pieces, its plain call, and its special tokens' strings in UTF-8; kept
+    while the worker process lives. The pieces are ordinary text, special tokens in them too."""
     from tokenizers import Tokenizer
 
-    tokenizer = Tokenizer.from_file(path)
+    plain, tokenizer = Tokenizer.from_file(path), Tokenizer.from_file(path)
     tokenizer.encode_special_tokens = True
+    special = [x.content.encode() for x in plain.get_added_tokens_decoder().values() if x.special]
     encode = tokenizer.encode
 
     def words_of(words: list[str]) -> list[bytes]:
@@ -46,15 +48,16 @@ def tokenizer_pieces(path: str, pattern: str) -> Pieces:
         data = ids.tobytes()
         return [data[a:b] for a, b in zip(borders.tolist(), borders[1:].tolist())]
 
-    return Pieces(pattern, lambda piece: struct.pack(f"<{len(x := encode(piece, add_special_tokens=False).ids)}I", *x), words_of)
+    pieces = Pieces(pattern, lambda piece: struct.pack(f"<{len(x := encode(piece, add_special_tokens=False).ids)}I", *x), words_of)
+    return pieces, lambda text: plain.encode(text, add_special_tokens=False).ids, special
 
 
 def pack(docs: DataFrame, tokenizer_path: str, pattern: str, key: str = "doc_id", text: str = "text", most: int = SEQUENCE_TOKENS, end_id: int = END_ID, with_ids: bool = True) -> DataFrame:
     """One row per piece: key, start, length, ids_crc32, doc_tokens, sequence_id, offset, bucket, and ids if asked for.
 
-    A document's ids are those of the byte-level tokenizer at tokenizer_path (readable on every executor; strings of
-    special tokens are ordinary text) for the matches of its pattern, then end_id; a null text is empty and gives the end
-    id alone. bucket is log2 of the length. sequence_id is unique: bucket + (levels) * (the number of the sequence in its
+    A document's ids are those that the byte-level tokenizer at tokenizer_path (readable on every executor) gives with its
+    own settings and add_special_tokens=False, then end_id; so the string of a special token in a text is that token, and
+    texts that hold one are encoded by the library whole. A null text is empty and gives the end id alone. bucket is log2 of the length. sequence_id is unique: bucket + (levels) * (the number of the sequence in its
     bucket and task + 2**32 * the task's number), so sequences of a bucket are ids of one residue; offset is always 0.
     Rows are independent: repeated rows are packed each, a null key stays null, other columns are not read. A task that
     is run again gives the same rows.
@@ -62,7 +65,7 @@ def pack(docs: DataFrame, tokenizer_path: str, pattern: str, key: str = "doc_id"
     kind, levels = docs.schema[key].dataType.simpleString(), most.bit_length()
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces, end = tokenizer_pieces(tokenizer_path, pattern), struct.pack("<I", end_id)
+        (pieces, whole_text, special), end = tokenizer_pieces(tokenizer_path, pattern), struct.pack("<I", end_id)
         task, counts = TaskContext.get().partitionId() << 32, [0] * levels
         names = ["key", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "bucket", *(["ids"] if with_ids else [])]
         for batch in batches:
@@ -71,14 +74,19 @@ def pack(docs: DataFrame, tokenizer_path: str, pattern: str, key: str = "doc_id"
             for a, b in slices(offsets, TOKEN_SLICE):
                 every, borders = pieces.ids(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
                 raw = every.tobytes()
+                part = data[offsets[a] : offsets[b]].tobytes()
+                marked = any(x in part for x in special)
                 for i, (x, y) in enumerate(zip(borders.tolist(), borders[1:].tolist()), a):
-                    ids, n, start = raw[4 * x : 4 * y] + end, y - x + 1, 0
+                    ids = raw[4 * x : 4 * y]
+                    if marked and any(z in part[offsets[i] - offsets[a] : offsets[i + 1] - offsets[a]] for z in special):
+                        ids = np.array(whole_text(batch.column(1)[i].as_py()), "<u4").tobytes()
+                    ids, n, start = ids + end, len(ids) // 4 + 1, 0
                     for length in lengths(n, most):
-                        bucket, part = length.bit_length() - 1, ids[4 * start : 4 * (start + length)]
-                        rows.append((start, length, zlib.crc32(part), n, (task + counts[bucket]) * levels + bucket, 0, bucket))
+                        bucket, cut = length.bit_length() - 1, ids[4 * start : 4 * (start + length)]
+                        rows.append((start, length, zlib.crc32(cut), n, (task + counts[bucket]) * levels + bucket, 0, bucket))
                         at.append(i)
                         if with_ids:
-                            lists.append(np.frombuffer(part, "<u4").astype(np.int32))
+                            lists.append(np.frombuffer(cut, "<u4").astype(np.int32))
                         counts[bucket] += 1
                         start += length
             table = np.array(rows, np.int64).reshape(-1, 7)

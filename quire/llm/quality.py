@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SLICE_BYTES, Words, map_arrow, mix, prefix_hash, slices, span_hashes, text_of, utf8, windows
+from .common import SLICE_BYTES, Rolling, Words, map_arrow, mix, process_key, slices, span_hashes, text_of, utf8
 
 #: Lengths in words of the repeated n-grams that count, and the greatest share of a text's word characters that they
 #: may cover. A window counts from its second occurrence on.
@@ -65,24 +65,23 @@ def measure(data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
     np.cumsum(_symbol[data], out=marks[1:])
     out = {"n_words": np.diff(w.first), "word_chars": total(chars, w.row), "n_symbols": marks[offsets[1:]] - marks[offsets[:-1]]}
 
-    prefix = prefix_hash(data)
     lines = Words(data, offsets, _line_break)
     has_word = np.searchsorted(w.start, lines.end) > np.searchsorted(w.start, lines.start)
     start, end, row = lines.start[has_word], lines.end[has_word], lines.row[has_word]
-    _, later = again(keyed(span_hashes(prefix, start, end), row))
+    _, later = again(keyed(span_hashes(data, start, end, process_key()), row))
     out["n_dup_lines"] = total(later, row)
     upto = np.concatenate([[0], np.cumsum(chars)])
     in_line = upto[np.searchsorted(w.start, end)] - upto[np.searchsorted(w.start, start)]
     out["dup_line_chars"] = total(in_line * later, row)
 
-    value = span_hashes(prefix, w.start, w.end)
-    at, hashes = windows(value, w.row, 3)
+    rolling = Rolling(w.hashes(process_key()), w.row)
+    at, hashes = rolling.windows(3)
     twice, _ = again(keyed(hashes, w.row[at]))
-    out["n_repeat_words"] = total(covered(at[twice], 3, len(value)), w.row)
+    out["n_repeat_words"] = total(covered(at[twice], 3, len(w.start)), w.row)
     for n in GRAMS:
-        at, hashes = windows(value, w.row, n)
+        at, hashes = rolling.windows(n)
         _, later = again(keyed(hashes, w.row[at]))
-        out[f"dup_chars_{n}"] = total(covered(at[later], n, len(value)) * chars, w.row)
+        out[f"dup_chars_{n}"] = total(covered(at[later], n, len(w.start)) * chars, w.row)
     return out
 
 

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Words, cut, map_arrow, mix, prefix_hash, slices, span_hashes, text_of, utf8
+from .common import Words, cut, map_arrow, mix, slices, span_hashes, text_of, utf8
 
 #: Labelled documents of each class that the fit reads at most; those with the smallest hashes of the id are taken.
 SAMPLE_TOXIC, SAMPLE_CLEAN = 2000, 4000
@@ -26,6 +26,8 @@ BEGINNINGS = (4, 5, 6)
 #: A feature is fitted if it is in so many times the root of the number of toxic sample documents (two at least), and so
 #: many times as frequent there by words.
 LEAST_ROOT, LEAST_LIFT = 0.2, 2.5
+#: Key of the features' hashes; models are kept between processes, so it is a fixed one.
+KEY = 5
 ROUNDS, RATE, DECAY = 150, 0.15, 1e-4
 
 _break = np.zeros(256, bool)
@@ -59,7 +61,6 @@ def bags(data: np.ndarray, offsets: np.ndarray, only: np.ndarray | None = None)
     sentences = Words(data, offsets, _stop)
     low = _lower[data]
     words = Words(low, offsets, _break)
-    prefix = prefix_hash(low)
     of = np.searchsorted(sentences.start, words.start, "right") - 1
     filter_ = None
     if only is not None:
@@ -68,7 +69,7 @@ def bags(data: np.ndarray, offsets: np.ndarray, only: np.ndarray | None = None)
     found = []
     for n in (0, *BEGINNINGS):
         at = np.arange(len(words.start)) if not n else np.flatnonzero(words.end - words.start > n)
-        h = span_hashes(prefix, words.start[at], words.end[at] if not n else words.start[at] + n) ^ mix(np.full(1, n, np.uint64))
+        h = span_hashes(low, words.start[at], words.end[at] if not n else words.start[at] + n, KEY) ^ mix(np.full(1, n, np.uint64))
         where = of[at]
         if only is not None:
             maybe = np.flatnonzero(filter_[h & np.uint64(0xFFFF)])

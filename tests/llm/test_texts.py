@@ -14,8 +14,9 @@ from quire.llm import lines, pii, quality, toxicity
 from quire.llm.entry import OP10_SQL, op5_toxicity, op6_quality, op7_pii, op10_lines
 
 SF = "/root/testdata/sf0.001"
+TWINS = ["".join("ab"[(i.bit_count() + k) % 2] for i in range(2048)) for k in (0, 1)]  # equal under every polynomial hash modulo 2**64
 WORD = r"[^\x20\x09-\x0D]+"
-ODD = [None, "", "  \n ", "one", "a b c a b c", "é ü\xa0x #|# x", "same line\nsame line\n\n\nsame line", "w " * 120_000, "x" * 50_000, " ".join(f"w{i}" for i in range(60))]
+ODD = [None, "", "  \n ", "one", "a b c a b c", "é ü\xa0x #|# x", "same line\nsame line\n\n\nsame line", "w " * 120_000, "x" * 50_000, " ".join(f"w{i}" for i in range(60)), "\n".join(TWINS), " ".join(TWINS * 30), "\n".join([*TWINS, TWINS[0]])]
 
 
 def base(t):

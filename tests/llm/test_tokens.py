@@ -20,7 +20,10 @@ MULTI = P.path("byte_bpe_multi_50k.tiktoken")
 RANKS = bpe.load_ranks(MULTI)
 LIBRARY = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=RANKS, special_tokens={})
 KNOWN = bpe.Ranks(RANKS)
-ODD = ["", " ", "a", " a", "a ", "a\n\nb", "a \n b", "x\x1cy z", "a\xa0b c", "\x85", "word" * 5000, "don't, won't. I'll", "é, ß. ñ", "1,2 3.", "<|endoftext|> x", "中文 字", "a  b", "tab\tx y", "U.S., x", "\u2028 a", "Ünï cödé,"]
+ODD = ["", " ", "a", " a", "a ", "a\n\nb", "a \n b", "x\x1cy z", "a\xa0b c", "\x85", "word" * 5000, "don't, won't. I'll", "é, ß. ñ", "1,2 3.", "<|endoftext|> x", "中文 字", "a  b", "tab\tx y", "U.S., x", "\u2028 a", "Ünï cödé,", "x <|endoftext|> y, <|endoftext|>"]
+# Two unlike words whose polynomial hashes modulo 2**64 are equal for every base.
+TWINS = ["".join("ab"[(i.bit_count() + k) % 2] for i in range(2048)) for k in (0, 1)]
+ODD += [f"{TWINS[0]} {TWINS[1]}", f"x {TWINS[1]}\n{TWINS[0]}"]
 
 
 def le(ids):
@@ -116,7 +119,6 @@ def test_lengths(n):
 
 def check_packing(rows, docs):
     tokenizer = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
-    tokenizer.encode_special_tokens = True
     by = {}
     for r in rows:
         by.setdefault(r.doc_id, []).append(r)
