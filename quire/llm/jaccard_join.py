@@ -1,19 +1,22 @@
 """Jaccard self-join of word shingles by chosen paths.
 
-In each run a text's shingle set is sent down a random tree: at every level it follows the shingles whose hash for the run
-and level is below 1 / (threshold * size), so a pair at the threshold shares none of them at a level in about one run of
-three, and the runs are repeated until the target recall holds also for pairs that only meet at the last level. Buckets of few sets are compared by brute force; larger ones are split again on
-newly sampled shingles, and what is still large at the last level is compared in blocks. A pass over small sketches sifts
-each bucket, the survivors are compared exactly by their sets and give spanning forests, and connected components
-of those are compared once more, all with all in blocks, for exact link counts. Pairs are never written out.
-
-Equal sets are one class from the start, whatever their number. Nothing is gathered at the driver.
+In each run a text's shingle set is sent down a random tree: it follows the shingles whose hash for the run, and below the
+root for the path so far, is small enough for the set's size. Buckets of few sets are compared by brute force; larger ones
+are split again on newly sampled shingles, and what is still large at the last level is compared in blocks. The runs are
+repeated until a pair at the threshold has met with the target recall even if all its buckets are split to the last level.
+
+In a large bucket the sets much like one of its pivots need no further splitting: they are joined to the pivot, and so is,
+by a looser limit, whatever could be similar to one of them (Jaccard distance obeys the triangle inequality).
+
+Meetings only propose, by ids and small sketches. What they connect is compared exactly, all with all, in blocks: that gives
+the link counts, also of pairs that no bucket met, and the edges of spanning forests whose components are the classes. Pairs
+are never written out. Equal sets are one class from the start, whatever their number. Nothing is gathered at the driver.
 """
 
 from __future__ import annotations
 
-import hashlib
 import math
+import secrets
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,46 +24,51 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import BASE, Words, batched, components, cut, map_arrow, mix, slices, text_of, utf8, windows
+from .common import BASE, Rolling, Words, batched, components, cut, map_arrow, mix, slices, text_of, utf8
 
 #: Words of a shingle and the least similarity of a link.
 SHINGLE, THRESHOLD = 5, 0.8
 #: The share of similar pairs that the runs together are to meet, and levels of splitting.
-RECALL, LEVELS = 0.9998, 3
+RECALL, LEVELS = 0.9998, 4
+#: Chosen shingles that a pair at the threshold shares on average, at the root and at each further node.
+ROOT_MEAN, NODE_MEAN = 1.0, 2.0
 #: Buckets of so many sets are leaves; larger ones are compared in blocks of so many shingles and sets when no level is left.
-LEAF, BLOCK_SHINGLES, BLOCK_SETS = 64, 1 << 19, 2048
-#: Sketch slots, and how many must agree for an exact comparison (at similarity 0.8, 2 pairs in 100,000 fall below).
-SLOTS, AGREE = 16, 6
+LEAF, BLOCK_SHINGLES, BLOCK_SETS = 256, 1 << 19, 2048
+#: Sketch slots of a byte, and how many agree for an exact comparison (at similarity 0.8, 3 pairs in 100,000 fall below).
+SLOTS, AGREE = 48, 27
+#: Slots that agree with a pivot for a set to be settled (similarity about 0.87), and for it to be joined to the pivot.
+SETTLED, LOOSE = 42, 16
+PIVOTS = 2
 #: Ids and shared paths that are broadcast at most; beyond, the joins shuffle.
 BROADCAST_IDS, BROADCAST_PATHS = 1_000_000, 250_000
 
 _rng = np.random.default_rng(20240)
 _odd = lambda n: (_rng.integers(0, 1 << 63, n, np.uint64) << np.uint64(1)) | np.uint64(1)
 _SKETCH, _CHOICE = _odd(SLOTS), _odd(4096)
+_SKETCHES = [f"k{i}" for i in range(SLOTS // 8)]
 
 
 def runs(threshold: float = THRESHOLD, recall: float = RECALL) -> int:
-    """Runs until a pair at the threshold has shared a path through all levels with probability `recall`.
+    """Runs until a pair at the threshold has met with probability `recall`, at the last level if not before.
 
-    At a level it shares a Poisson number of chosen shingles of mean at least 1. The choice is one for the run and level,
-    the same on all paths that lead there, so the levels' chances multiply; more shared paths at one do not help at the next.
+    A node's choice is its own, so the shared chosen shingles form a branching process: below a shared node a pair reaches
+    the last level with chance p = 1 - exp(-NODE_MEAN * p of the next), and a run meets it with 1 - exp(-ROOT_MEAN * p).
     """
-    met = (1 - math.exp(-1)) ** LEVELS
-    return max(1, math.ceil(math.log(1 - recall) / math.log(1 - met)))
+    met = 1.0
+    for _ in range(LEVELS - 1):
+        met = 1 - math.exp(-NODE_MEAN * met)
+    return max(1, math.ceil(-math.log(1 - recall) / (ROOT_MEAN * met)))
 
 
-def shingle_sets(data: np.ndarray, offsets: np.ndarray, n: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
+def shingle_sets(data: np.ndarray, offsets: np.ndarray, key: int, n: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
     """The distinct shingle hashes of each text, sorted within it, and offsets. A text of 1 to n - 1 words is one shingle."""
     words = Words(data, offsets)
-    value, counts = words.hashes(), np.diff(words.first)
-    parts = [windows(value, words.row, n)]
-    parts[0] = (words.row[parts[0][0]], parts[0][1])
+    rolling, counts = Rolling(words.hashes(key), words.row), np.diff(words.first)
+    at, h = rolling.windows(n)
+    parts = [(words.row[at], h)]
     for m in range(1, n):
         rows = np.flatnonzero(counts == m)
-        h = np.zeros(len(rows), np.uint64)
-        for i in range(m):
-            h = h * BASE + value[words.first[rows] + i]
-        parts.append((rows, mix(h + np.uint64(m))))
+        parts.append((rows, rolling.at(words.first[rows], m)))
     row, h = (np.concatenate(x) for x in zip(*parts, strict=True))
     order = np.argsort(row, kind="stable")
     row, h = row[order], h[order]
@@ -76,11 +84,16 @@ def set_keys(h: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return mix(total(mix(h)) ^ np.diff(ends).astype(np.uint64)).view(np.int64), mix(total(mix(h ^ BASE))).view(np.int64)
 
 
-def _signatures(n_runs: int, threshold: float):
-    """Per text: key, the set's name and size, its sketch, and the shingles it follows in each run and level."""
+def _limits(size: np.ndarray, mean: float, threshold: float) -> np.ndarray:
+    """A shingle whose hash is at most this is chosen by a set of that size."""
+    return np.minimum(2.0**64 * mean / (threshold * np.maximum(size, 1)), 2.0**64 - 2048).astype(np.uint64)
+
+
+def _signatures(n_runs: int, threshold: float, secret: int):
+    """Per text: key, the set's name and size, its sketch, and its nodes below the root in all runs."""
 
     def one(key: pa.Array, data: np.ndarray, offsets: np.ndarray) -> pa.RecordBatch:
-        h, ends = shingle_sets(data, offsets)
+        h, ends = shingle_sets(data, offsets, secret)
         size = np.diff(ends)
         s1, s2 = set_keys(h, ends)
         row = np.repeat(np.arange(len(size)), size)
@@ -89,19 +102,18 @@ def _signatures(n_runs: int, threshold: float):
         for k in range(SLOTS):
             if len(full):
                 sketch[full, k] = (mix(np.minimum.reduceat(h * _SKETCH[k], ends[:-1][full])) & np.uint64(0xFF)).astype(np.uint8)
-        most = np.minimum(2.0**64 / (threshold * np.maximum(size, 1)), 2.0**64 - 2048).astype(np.uint64)[row]
-        slots = n_runs * LEVELS
-        at, token = [], []
-        for s in range(slots):
-            chosen = np.flatnonzero(h * _CHOICE[s] <= most)
-            at.append(row[chosen] * slots + s)
-            token.append(h[chosen])
-        at, token = np.concatenate(at), np.concatenate(token)
+        most = _limits(size, ROOT_MEAN, threshold)[row]
+        at, path = [], []
+        for run in range(n_runs):
+            chosen = np.flatnonzero(h * _CHOICE[run] <= most)
+            at.append(row[chosen])
+            path.append(mix(h[chosen] + _CHOICE[run]))
+        at, path = np.concatenate(at), np.concatenate(path)
         order = np.argsort(at, kind="stable")
-        inner = np.concatenate([[0], np.cumsum(np.bincount(at, minlength=len(size) * slots))])
-        lists = pa.ListArray.from_arrays(pa.array(inner, pa.int32()), pa.array(token[order].view(np.int64), pa.int64()))
-        paths = pa.ListArray.from_arrays(pa.array(np.arange(len(size) + 1) * slots, pa.int32()), lists)
-        return pa.RecordBatch.from_arrays([key, pa.array(s1), pa.array(s2), pa.array(size, pa.int64()), pa.array([x.tobytes() for x in sketch], pa.binary()), paths], names=["key", "s1", "s2", "n", "sketch", "paths"])
+        borders = np.concatenate([[0], np.cumsum(np.bincount(at, minlength=len(size)))])
+        paths = pa.ListArray.from_arrays(pa.array(borders, pa.int32()), pa.array(path[order].view(np.int64), pa.int64()))
+        slots = [pa.array(c) for c in np.ascontiguousarray(sketch).view("<i8").T]
+        return pa.RecordBatch.from_arrays([key, pa.array(s1), pa.array(s2), pa.array(size, pa.int64()), *slots, paths], names=["key", "s1", "s2", "n", *_SKETCHES, "paths"])
 
     def signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -112,13 +124,47 @@ def _signatures(n_runs: int, threshold: float):
     return signatures
 
 
-def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        data, offsets = utf8(batch.column(0))
-        for a, b in slices(offsets):
-            h, ends = shingle_sets(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
-            s1, s2 = set_keys(h, ends)
-            yield pa.RecordBatch.from_arrays([pa.array(s1), pa.array(s2), pa.array([h[x:y].tobytes() for x, y in zip(ends, ends[1:])], pa.binary())], names=["s1", "s2", "members"])
+def _each_set(batch: pa.RecordBatch, secret: int) -> Iterator[tuple[int, np.ndarray]]:
+    """Row numbers and sets of the rows whose text is that of their class: others share a key with it."""
+    data, offsets = utf8(batch.column("body"))
+    w1, w2 = np.asarray(batch.column("s1")), np.asarray(batch.column("s2"))
+    for a, b in slices(offsets):
+        h, ends = shingle_sets(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], secret)
+        s1, s2 = set_keys(h, ends)
+        for i in np.flatnonzero((s1 == w1[a:b]) & (s2 == w2[a:b])).tolist():
+            yield a + i, h[ends[i] : ends[i + 1]]
+
+
+def _descend(threshold: float, secret: int):
+    """From rows (body, cid, s1, s2, paths): the nodes below those of paths, as rows (cid, path)."""
+
+    def descend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, lists = batch.column("cid").to_pylist(), batch.column("paths").to_pylist()
+            cid, found = [], [np.zeros(0, np.uint64)]
+            for i, h in _each_set(batch, secret):
+                most = _limits(np.array([len(h)]), NODE_MEAN, threshold)[0]
+                for path in np.array(lists[i], np.int64).view(np.uint64):
+                    salt = mix(np.array([path]))[0]
+                    below = mix(h[h * (salt | np.uint64(1)) <= most] ^ salt)
+                    cid += [ids[i]] * len(below)
+                    found.append(below)
+            yield pa.RecordBatch.from_arrays([pa.array(cid, pa.int64()), pa.array(np.concatenate(found).view(np.int64))], names=["cid", "path"])
+
+    return descend
+
+
+def _members(secret: int):
+    """From rows (body, s1, s2, others): the others, and the set as bytes under members."""
+
+    def members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows, sets = zip(*((i, h.tobytes()) for i, h in _each_set(batch, secret)), strict=True) if batch.num_rows else ((), ())
+            kept = batch.take(pa.array(rows, pa.int64()))
+            names = [x for x in batch.schema.names if x not in ("body", "s1", "s2")]
+            yield pa.RecordBatch.from_arrays([*(kept.column(x) for x in names), pa.array(sets, pa.binary())], names=[*names, "members"])
+
+    return members
 
 
 def _whole_groups(batches: Iterator[pa.RecordBatch], name: str) -> Iterator[tuple[pa.Table, list[int]]]:
@@ -164,48 +210,51 @@ def _trees(n: int, a: list[int], b: list[int]) -> list[int]:
     return [find(x) for x in range(n)]
 
 
-def _sift(threshold: float):
-    """Of each bucket: the sets whose sketch and size agree with another's, as groups named by their members."""
-
-    def pairs(sketch: np.ndarray, n: np.ndarray, side: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        m, found = len(n), []
-        for a in range(0, m, 128):
-            x = slice(a, min(m, a + 128))
-            same = np.zeros((x.stop - a, m), np.uint8)
+def _agreeing(sketch: np.ndarray, n: np.ndarray, side: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs i < j whose sketches and sizes allow the threshold; of two sides, only pairs across."""
+    m, found = len(n), []
+    for a in range(0, m, 128):
+        x = slice(a, min(m, a + 128))
+        fits = (np.minimum(n[x, None], n[None]) >= threshold * np.maximum(n[x, None], n[None])) & (np.arange(a, x.stop)[:, None] < np.arange(m)[None])
+        if side.min() != side.max():
+            fits &= side[x, None] != side[None]
+        i, j = np.nonzero(fits)
+        if len(i) * 8 < fits.size:
+            good = (sketch[a + i] == sketch[j]).sum(1) >= AGREE
+        else:
+            same = np.zeros(fits.shape, np.uint8)
             for k in range(SLOTS):
                 same += sketch[x, None, k] == sketch[None, :, k]
-            fits = (same >= AGREE) & (np.minimum(n[x, None], n[None]) >= threshold * np.maximum(n[x, None], n[None])) & (np.arange(a, x.stop)[:, None] < np.arange(m)[None])
-            if side.min() != side.max():
-                fits &= side[x, None] != side[None]
-            i, j = np.nonzero(fits)
-            found.append((i + a, j))
-        return tuple(np.concatenate(z) for z in zip(*found, strict=True))
+            good = same[i, j] >= AGREE
+        found.append((i[good] + a, j[good]))
+    return tuple(np.concatenate(z) for z in zip(*found, strict=True))
+
+
+def _sketches(t: pa.Table) -> np.ndarray:
+    return np.ascontiguousarray(np.stack([np.asarray(t.column(k), "<i8") for k in _SKETCHES], 1)).view(np.uint8)
+
+
+def _sift(threshold: float):
+    """Of each bucket: edges (a, b) of a forest over the sets whose sketch and size agree with another's."""
 
     def sift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t, borders in _whole_groups(batches, "g"):
-            s = np.stack([np.asarray(t.column("s1")), np.asarray(t.column("s2"))], 1)
-            n, side = np.asarray(t.column("n")), np.asarray(t.column("side"))
-            sketch = np.frombuffer(b"".join(t.column("sketch").to_pylist()), np.uint8).reshape(-1, SLOTS)
-            gid, rows = [], []
+            cid, n, side, sketch = np.asarray(t.column("cid")), np.asarray(t.column("n")), np.asarray(t.column("side")), _sketches(t)
             starts = np.array(borders[:-1])
             length = np.diff(borders)
             two = starts[length == 2]  # most buckets, all at once
             good = (sketch[two] == sketch[two + 1]).sum(1) >= AGREE
             good &= np.minimum(n[two], n[two + 1]) >= threshold * np.maximum(n[two], n[two + 1])
-            groups = [np.array([i, i + 1]) for i in two[good]]
+            found = [np.stack([cid[two[good]], cid[two[good] + 1]], 1)]
             for a, m in zip(starts[length > 2], length[length > 2], strict=True):
-                i, j = pairs(sketch[a : a + m], n[a : a + m], side[a : a + m])
+                i, j = _agreeing(sketch[a : a + m], n[a : a + m], side[a : a + m], threshold)
                 if len(i):
                     used, inverse = np.unique(np.concatenate([i, j]), return_inverse=True)
                     top = np.array(_trees(len(used), inverse[: len(i)].tolist(), inverse[len(i) :].tolist()))
-                    groups += [a + used[top == x] for x in np.unique(top)]
-            for members in groups:
-                keys = np.unique(s[members], axis=0)
-                if len(keys) > 1:
-                    gid += [hashlib.blake2b(keys.tobytes(), digest_size=16).digest()] * len(keys)
-                    rows.append(keys)
-            keys = np.concatenate(rows) if rows else np.zeros((0, 2), np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(gid, pa.binary()), pa.array(keys[:, 0]), pa.array(keys[:, 1])], names=["gid", "s1", "s2"])
+                    found.append(np.stack([cid[a + used[top]], cid[a + used]], 1))
+            edges = np.unique(np.concatenate(found), axis=0)
+            edges = edges[edges[:, 0] != edges[:, 1]]
+            yield pa.RecordBatch.from_arrays([pa.array(edges[:, 0]), pa.array(edges[:, 1])], names=["a", "b"])
 
     return sift
 
@@ -241,50 +290,41 @@ def _similar(sets: list[np.ndarray], threshold: float) -> np.ndarray:
     return hits
 
 
-def _verify(threshold: float):
-    """Of each group: a spanning forest of the links that hold exactly."""
+def _compare(threshold: float):
+    """Of each group, all with all: (cid, links) counts the documents that a set is linked to, (cid, root) are the edges of
+    a spanning forest, root the least id of the tree in the group; whole says that the group is all of a component."""
 
-    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for t, borders in _whole_groups(batches, "gid"):
-            s = np.stack([np.asarray(t.column("s1")), np.asarray(t.column("s2"))], 1)
-            members, out = t.column("members").to_pylist(), []
-            for a, b in zip(borders, borders[1:]):
-                if b - a < 2:
-                    continue
-                hits = _similar([np.frombuffer(x, np.uint64) for x in members[a:b]], threshold)
-                left = hits.any(1)
-                while left.any():  # breadth first from one member of each tree
-                    tree = np.zeros(b - a, bool)
-                    root = int(np.argmax(left))
-                    tree[root] = True
-                    fresh = tree.copy()
-                    while fresh.any():
-                        fresh = hits[fresh].any(0) & ~tree
-                        tree |= fresh
-                    left &= ~tree
-                    out += [(*s[a + root], *s[a + i]) for i in np.flatnonzero(tree) if i != root]
-            rows = np.array(out, np.int64).reshape(-1, 4)
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in rows.T], names=["a1", "a2", "b1", "b2"])
-
-    return verify
-
-
-def _count(threshold: float):
-    """Of each block pair of a component: how many documents each set is linked to."""
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t, borders in _whole_groups(batches, "g"):
-            copies, side = np.asarray(t.column("copies")), np.asarray(t.column("side"))
-            members, links = t.column("members").to_pylist(), np.zeros(t.num_rows, np.int64)
+            cid, copies, side, whole = (np.asarray(t.column(x)) for x in ("cid", "copies", "side", "whole"))
+            sketch, n, members = _sketches(t), np.asarray(t.column("n")), t.column("members").to_pylist()
+            links, root, first = np.zeros(t.num_rows, np.int64), cid.copy(), np.ones(t.num_rows, bool)
             for a, b in zip(borders, borders[1:]):
-                if b - a > 1:
-                    hits = _similar([np.frombuffer(x, np.uint64) for x in members[a:b]], threshold)
-                    if side[a:b].min() != side[a:b].max():
-                        hits &= side[a:b, None] != side[None, a:b]
-                    links[a:b] = hits @ copies[a:b]
-            yield pa.RecordBatch.from_arrays([t.column("s1").combine_chunks(), t.column("s2").combine_chunks(), pa.array(links)], names=["s1", "s2", "links"])
-
-    return count
+                _, at = np.unique(cid[a:b], return_index=True)  # a repeated row is its class again
+                first[a:b] = False
+                first[a + at] = True
+                at += a
+                if len(at) < 2:
+                    continue
+                i, j = _agreeing(sketch[at], n[at], side[at], threshold)
+                top = np.array(_trees(len(at), i.tolist(), j.tolist()))
+                order = np.argsort(top, kind="stable")
+                for part in np.split(order, np.flatnonzero(np.diff(top[order])) + 1):
+                    if len(part) < 2:
+                        continue
+                    rows = at[part]
+                    hits = _similar([np.frombuffer(members[x], np.uint64) for x in rows], threshold)
+                    if side[rows].min() != side[rows].max():
+                        hits &= side[rows, None] != side[None, rows]
+                    links[rows] = hits @ copies[rows]
+                    x, y = np.nonzero(np.triu(hits))
+                    tree = np.array(_trees(len(rows), x.tolist(), y.tolist()))
+                    least = np.full(len(rows), np.iinfo(np.int64).max)
+                    np.minimum.at(least, tree, cid[rows])
+                    root[rows] = least[tree]
+            yield pa.RecordBatch.from_arrays([pa.array(x[first]) for x in (cid, links, root, whole)], names=["cid", "links", "root", "whole"])
+
+    return compare
 
 
 def _blocks(sets: Column, shingles: Column) -> Column:
@@ -293,13 +333,69 @@ def _blocks(sets: Column, shingles: Column) -> Column:
 
 def _in_blocks(rows: DataFrame, group: str, blocks: str) -> DataFrame:
     """Each row in every pair of blocks that its own is part of, under g = group, lower and upper block; side is its own."""
-    rows = rows.withColumn("side", F.pmod(F.col("s2"), F.col(blocks)))
+    rows = rows.withColumn("side", F.pmod(F.xxhash64("cid"), F.col(blocks)))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col(blocks) - 1)))
     # A group of more than one block meets itself only in pairs of different blocks and in the block's own pair.
     return rows.withColumn("g", F.concat_ws(":", F.col(group).cast("string"), F.least("side", "other"), F.greatest("side", "other")))
 
 
-def near_texts(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
+def _agreement(left: str, right: str) -> Column:
+    """How many sketch slots of two rows agree: of every eight bytes, those that are zero in the exclusive or."""
+    total = F.lit(0)
+    for k in _SKETCHES:
+        x = F.col(left + k).bitwiseXOR(F.col(right + k))
+        for step in (4, 2, 1):
+            x = x.bitwiseOR(F.shiftrightunsigned(x, step))
+        total = total + F.lit(8) - F.bit_count(x.bitwiseAND(F.lit(0x0101010101010101)))
+    return total
+
+
+def _hinted(df: DataFrame, most: int) -> DataFrame:
+    """df for the small side of a join: broadcast up to so many rows, else shuffled."""
+    return F.broadcast(df) if df.count() <= most else df
+
+
+def _proposals(classes: DataFrame, rows: DataFrame, threshold: float, secret: int) -> DataFrame:
+    """Edges (a, b) between classes (cid) that met and whose sketches agree; classes without any have none."""
+    sketched = classes.select("cid", "n", *_SKETCHES)
+    level = classes.select("cid", F.explode("paths").alias("path"))
+    leaves, edges = [], []
+    for i in range(LEVELS):
+        # Nearly all buckets hold one set. So only the paths are counted, and rows of ids meet those that are shared.
+        sizes = cut(level.groupBy("path").agg(F.count("*").alias("m")).where("m > 1"), f"jaccard-sizes{i}")
+        shared = level.join(_hinted(sizes, BROADCAST_PATHS), "path").join(sketched, "cid")
+        shared = cut(shared, f"jaccard-level{i}")
+        leaves.append(shared.where(F.col("m") <= LEAF).select("cid", "n", *_SKETCHES, F.col("path").alias("bucket"), F.lit(1).cast("long").alias("blocks")))
+        large = shared.where(F.col("m") > LEAF)
+        if not sizes.where(F.col("m") > LEAF).limit(1).count():
+            break
+        pick = lambda j: F.min(F.struct(F.xxhash64("cid", F.lit(j)).alias("h"), "cid", *_SKETCHES)).alias(f"p{j}")
+        pivots = cut(large.groupBy("path").agg(F.sum("n").alias("total"), *(pick(j) for j in range(PIVOTS))), f"jaccard-pivots{i}")
+        met = large.join(_hinted(pivots, BROADCAST_PATHS), "path")
+        alike = [F.when(F.col("cid") == F.col(f"p{j}.cid"), 0).otherwise(_agreement("", f"p{j}.")).alias(f"a{j}") for j in range(PIVOTS)]
+        met = cut(met.select("cid", "n", *_SKETCHES, "path", "m", "total", *(F.col(f"p{j}.cid").alias(f"p{j}") for j in range(PIVOTS)), *alike), f"jaccard-met{i}")
+        for j in range(PIVOTS):
+            joined = met.where(F.col(f"a{j}") >= LOOSE)
+            active = met.where(F.col(f"a{j}") >= SETTLED).select("path").distinct()  # elsewhere nothing is settled, so nothing needs joining
+            edges.append(joined.join(active, "path", "left_semi").select(F.col(f"p{j}").alias("a"), F.col("cid").alias("b")))
+        rest = met.where(F.greatest(*(F.col(f"a{j}") for j in range(PIVOTS))) < SETTLED)
+        if i == LEVELS - 1:
+            leaves.append(rest.select("cid", "n", *_SKETCHES, F.col("path").alias("bucket"), _blocks(F.col("m"), F.col("total")).alias("blocks")))
+            break
+        asked = cut(rest.groupBy("cid").agg(F.collect_list("path").alias("paths")).join(classes.select("cid", "rep", "s1", "s2"), "cid"), f"jaccard-asked{i}")
+        texts = rows.join(_hinted(asked, BROADCAST_IDS), rows["key"] == asked["rep"]).select("body", "cid", "s1", "s2", "paths")
+        level = cut(map_arrow(texts, _descend(threshold, secret), "cid long, path long"), f"jaccard-nodes{i}")
+    held = leaves[0]
+    for x in leaves[1:]:
+        held = held.unionByName(x)
+    held = _in_blocks(held, "bucket", "blocks").select("g", "side", "cid", "n", *_SKETCHES)
+    found = map_arrow(held.repartition("g").sortWithinPartitions("g"), _sift(threshold), "a long, b long")
+    for x in edges:
+        found = found.unionByName(x)
+    return found.where("a <> b").distinct()
+
+
+def near_texts(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = THRESHOLD, recall: float = RECALL, secret: int | None = None) -> DataFrame:
     """One row per row of docs: key, class_id, n_links, kept.
 
     Documents link if the Jaccard similarity of their sets of five-word shingles is at least the threshold; n_links counts
@@ -307,58 +403,47 @@ def near_texts(docs: DataFrame, key: str = "doc_id", text: str = "text", thresho
     Words are runs of other than space, tab, line and page breaks, compared as they are; a text of one to four words is one
     shingle, one without words (empty or null) links with nothing. A null key links with nothing and has a null class.
     Repeated rows are documents that link; rows that repeat the smallest key are kept together. Whole texts count. An empty
-    table gives no rows; other columns are not read.
+    table gives no rows; other columns are not read. secret: the key of all hashes, drawn anew if not given, so no text can
+    be made to pass for another; a given one makes the paths the same again.
     """
     spark = docs.sparkSession
     batched(spark)
-    kind, n_runs = docs.schema[key].dataType.simpleString(), runs(threshold, recall)
+    kind, secret = docs.schema[key].dataType.simpleString(), secrets.randbits(64) if secret is None else secret
     rows = docs.select(F.col(f"`{key}`").alias("key"), text_of(text).alias("body"))
-    signed = map_arrow(rows.where("key IS NOT NULL"), _signatures(n_runs, threshold), f"key {kind}, s1 long, s2 long, n long, sketch binary, paths array<array<long>>")
+    slots = ", ".join(f"{k} long" for k in _SKETCHES)
+    signed = map_arrow(rows.where("key IS NOT NULL"), _signatures(runs(threshold, recall), threshold, secret), f"key {kind}, s1 long, s2 long, n long, {slots}, paths array<long>")
     signed = cut(signed, "jaccard-signatures")
-    worded = signed.where("n > 0")
-    classes = worded.groupBy("s1", "s2").agg(F.min("key").alias("rep"), F.count("*").alias("copies"), F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.first("paths").alias("paths"))
-    classes = cut(classes, "jaccard-classes")
-
-    # Down the trees: buckets with one set go, small ones are leaves, large ones take the next level.
-    level = classes.select("s1", "s2", "n", "sketch", "paths", F.explode(F.sequence(F.lit(0), F.lit(n_runs - 1))).alias("run"))
-    chosen = [F.col("paths")[F.col("run") * LEVELS + i].alias(f"t{i}") for i in range(LEVELS)]
-    level = level.select("s1", "s2", "n", "sketch", F.col("run").cast("long").alias("path"), *chosen)
-    leaves = None
-    for i in range(LEVELS):
-        later = [f"t{j}" for j in range(i + 1, LEVELS)]
-        level = level.withColumn("token", F.explode(f"t{i}")).select("s1", "s2", "n", "sketch", F.xxhash64("path", "token").alias("path"), *later)
-        # Nearly all buckets hold one set. So the paths alone are shuffled first, and rows meet only those that are shared.
-        sizes = cut(level.groupBy("path").agg(F.count("*").alias("m"), F.sum("n").alias("total")).where("m > 1"), f"jaccard-sizes{i}")
-        level = level.join(F.broadcast(sizes) if sizes.count() <= BROADCAST_PATHS else sizes, "path")
-        last = i == LEVELS - 1
-        level = cut(level, f"jaccard-level{i}")
-        done = level if last else level.where(F.col("m") <= LEAF)
-        blocks = F.when(F.col("m") <= LEAF, F.lit(1)).otherwise(_blocks(F.col("m"), F.col("total"))).cast("long")
-        done = done.select("s1", "s2", "n", "sketch", F.col("path").alias("bucket"), blocks.alias("blocks"))
-        leaves = done if leaves is None else leaves.unionByName(done)
-        level = level.where(F.col("m") > LEAF).drop("m", "total")
-    leaves = _in_blocks(leaves, "bucket", "blocks").select("g", "s1", "s2", "n", "sketch", "side")
-    groups = map_arrow(leaves.repartition("g").sortWithinPartitions("g"), _sift(threshold), "gid binary, s1 long, s2 long").distinct()
-    groups = cut(groups, "jaccard-groups")
-
-    # The sets of those that are left, made anew from their texts.
-    needed = cut(groups.select("s1", "s2").distinct().join(classes.select("s1", "s2", "rep"), ["s1", "s2"]), "jaccard-needed")
-    ids = needed.select(F.col("rep").alias("key")).distinct()
-    ids = F.broadcast(ids) if needed.count() <= BROADCAST_IDS else ids
-    sets = map_arrow(rows.join(ids, "key", "left_semi").select("body"), _sets, "s1 long, s2 long, members binary").join(needed.select("s1", "s2"), ["s1", "s2"], "left_semi").dropDuplicates(["s1", "s2"])
-    sets = cut(sets, "jaccard-sets")
-
-    edges = map_arrow(groups.join(sets, ["s1", "s2"]).select("gid", "s1", "s2", "members").repartition("gid").sortWithinPartitions("gid"), _verify(threshold), "a1 long, a2 long, b1 long, b2 long")
-    pair = lambda x, y: F.struct(F.col(x).alias("s1"), F.col(y).alias("s2"))
-    found = components(edges.select(pair("a1", "a2").alias("a"), pair("b1", "b2").alias("b")), "jaccard")
-    found = found.select(F.col("id.s1").alias("s1"), F.col("id.s2").alias("s2"), F.concat_ws(":", "component.s1", "component.s2").alias("c"))
-    found = cut(found.join(classes.select("s1", "s2", "rep", "copies", "n"), ["s1", "s2"]), "jaccard-components")
-    whole = found.groupBy("c").agg(F.min("rep").alias("class_id"), _blocks(F.count("*"), F.sum("n")).alias("blocks"))
-    placed = _in_blocks(found.join(whole.select("c", "blocks"), "c"), "c", "blocks").select("g", "s1", "s2", "side", "copies")
-    counts = map_arrow(placed.join(sets, ["s1", "s2"]).repartition("g").sortWithinPartitions("g"), _count(threshold), "s1 long, s2 long, links long").groupBy("s1", "s2").agg(F.sum("links").alias("links"))
-
-    linked = found.join(whole.select("c", "class_id"), "c").join(counts, ["s1", "s2"]).select("s1", "s2", "class_id", "links", "copies")
-    alone = classes.where("copies > 1").join(found.select("s1", "s2"), ["s1", "s2"], "left_anti").select("s1", "s2", F.col("rep").alias("class_id"), F.lit(0).cast("long").alias("links"), "copies")
+    first = [F.first(x).alias(x) for x in ("n", *_SKETCHES, "paths")]
+    classes = signed.where("n > 0").groupBy("s1", "s2").agg(F.min("key").alias("rep"), F.count("*").alias("copies"), *first)
+    classes = cut(classes.withColumn("cid", F.monotonically_increasing_id()), "jaccard-classes")
+
+    found = components(_proposals(classes, rows, threshold, secret), "jaccard").select(F.col("id").alias("cid"), F.col("component").alias("c"))
+    found = cut(found.join(classes.drop("paths"), "cid"), "jaccard-components")
+    sizes = found.groupBy("c").agg(_blocks(F.count("*"), F.sum("n")).alias("blocks"))
+    placed = cut(found.join(sizes, "c"), "jaccard-placed")
+    # The sets are made anew from their texts. One block is its component: its sets go straight to it.
+    texts = lambda x: rows.join(_hinted(x, BROADCAST_IDS), rows["key"] == x["rep"]).drop("key", "rep")
+    carried = f"cid long, n long, copies long, {slots}"
+    one = placed.where("blocks = 1").select("rep", "s1", "s2", F.col("c").cast("string").alias("g"), "cid", "n", "copies", *_SKETCHES)
+    one = map_arrow(texts(one), _members(secret), f"g string, {carried}, members binary").withColumns({"side": F.lit(0).cast("long"), "whole": F.lit(True)})
+    more = placed.where("blocks > 1")
+    if more.limit(1).count():
+        sets = cut(map_arrow(texts(more.select("rep", "s1", "s2", "cid")), _members(secret), "cid long, members binary"), "jaccard-sets")
+        more = _in_blocks(more, "c", "blocks").select("g", "cid", "n", "copies", *_SKETCHES, F.col("side").cast("long").alias("side"), F.lit(False).alias("whole"))
+        one = one.unionByName(more.join(sets, "cid"))
+    compared = map_arrow(one.repartition("g").sortWithinPartitions("g"), _compare(threshold), "cid long, links long, root long, whole boolean")
+    compared = cut(compared, "jaccard-compared")
+    parts = compared.where("NOT whole")
+    roots = compared.where("whole").select("cid", "root")
+    if parts.limit(1).count():
+        trees = components(parts.select(F.col("cid").alias("a"), F.col("root").alias("b")), "jaccard-parts")
+        roots = roots.unionByName(trees.select(F.col("id").alias("cid"), F.col("component").alias("root")))
+    links = compared.groupBy("cid").agg(F.sum("links").alias("links"))
+    linked = classes.select("cid", "s1", "s2", "rep", "copies").join(roots, "cid").join(links, "cid")
+    linked = cut(linked, "jaccard-linked")
+    least = linked.groupBy("root").agg(F.min("rep").alias("class_id"))
+    linked = linked.join(least, "root").select("cid", "s1", "s2", "class_id", "links", "copies")
+    alone = classes.where("copies > 1").join(linked.select("cid"), "cid", "left_anti").select("cid", "s1", "s2", F.col("rep").alias("class_id"), F.lit(0).cast("long").alias("links"), "copies")
     known = cut(linked.unionByName(alone).select("s1", "s2", "class_id", (F.col("links") + F.col("copies") - 1).alias("n_links")), "jaccard-known")
     named = signed.select("key", F.when(F.col("n") > 0, F.col("s1")).alias("s1"), F.when(F.col("n") > 0, F.col("s2")).alias("s2"))
     out = named.join(known, ["s1", "s2"], "left").select("key", F.coalesce("class_id", "key").alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
@@ -367,7 +452,15 @@ def near_texts(docs: DataFrame, key: str = "doc_id", text: str = "text", thresho
 
 
 def keep_first(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of docs but those whose class has a smaller key; all columns stay as they are."""
-    gone = cut(near_texts(docs, key, text).where("NOT kept").select(F.col(key).alias("__gone")).distinct(), "jaccard-gone")
-    side = F.broadcast(gone) if gone.count() <= BROADCAST_IDS else gone
-    return docs.join(side, F.col(f"`{key}`") == F.col("__gone"), "left_anti")
+    """One row of docs for each class, that with the smallest key; all columns stay as they are.
+
+    Of rows that repeat a key and its text one stays, whichever. Rows with null keys stay, as do texts without words.
+    """
+    near = cut(near_texts(docs, key, text).select(F.col(f"`{key}`").alias("__key"), "kept"), "jaccard-kept")
+    gone = cut(near.where("NOT kept").select("__key").distinct(), "jaccard-gone")
+    left = docs.join(_hinted(gone, BROADCAST_IDS), F.col(f"`{key}`") == F.col("__key"), "left_anti")
+    again = cut(near.where("kept AND __key IS NOT NULL").groupBy("__key").count().where("count > 1").select("__key"), "jaccard-again")
+    if not again.limit(1).count():
+        return left
+    side, same = _hinted(again, BROADCAST_IDS), F.col(f"`{key}`") == F.col("__key")
+    return left.join(side, same, "left_anti").unionByName(left.join(side, same, "left_semi").dropDuplicates([key, text]))

@@ -4,6 +4,7 @@ import math
 import random
 import re
 
+import numpy as np
 import pytest
 from conftest import canonical
 
@@ -59,7 +60,7 @@ def test_texts_odd(spark, monkeypatch):
     shared = " ".join(base[:30])
     rows += [(400 + i, shared + " " + " ".join(random.choice(vocabulary) for _ in range(60))) for i in range(30)]
     df = spark.createDataFrame([(*r, "x", 1) for r in rows], "doc_id long, text string, class_id string, n int")
-    got = jaccard_join.near_texts(df)
+    got = jaccard_join.near_texts(df, secret=3)
     assert got_texts(got) == brute([(i, shingles(t)) for i, t in rows], same_texts)
     kept = jaccard_join.keep_first(df.where("doc_id IS NOT NULL"))
     assert kept.columns == df.columns
@@ -68,7 +69,13 @@ def test_texts_odd(spark, monkeypatch):
 
 
 def test_runs_reach_the_recall():
-    assert 1 - math.exp(-jaccard_join.runs(0.8, 0.9998)) >= 0.9998
+    """Simulated: of pairs at the threshold whose every bucket is split, the share that some run brings to the last level."""
+    rng = np.random.default_rng(4)
+    pairs, runs = 20_000, jaccard_join.runs()
+    alive = rng.poisson(jaccard_join.ROOT_MEAN, (pairs, runs))
+    for _ in range(jaccard_join.LEVELS - 1):
+        alive = rng.poisson(alive * jaccard_join.NODE_MEAN)
+    assert (alive.sum(1) == 0).mean() < 0.0006
 
 
 def test_threshold_pairs_in_large_buckets_are_met(spark, monkeypatch):
@@ -76,10 +83,33 @@ def test_threshold_pairs_in_large_buckets_are_met(spark, monkeypatch):
     monkeypatch.setattr(jaccard_join, "LEAF", 1)
     words = lambda i: [f"{i}x{j}" for j in range(104)]
     rows = [(2 * i + k, " ".join(words(i)[: 84 + 20 * k])) for i in range(300) for k in (0, 1)]  # 80 of 100 shingles shared
-    got = jaccard_join.near_texts(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    got = jaccard_join.near_texts(spark.createDataFrame(rows, "doc_id long, text string"), secret=3).collect()
     assert sum(r.n_links == 1 for r in got) == len(rows)
 
 
+def test_settled_sets_lose_no_link(spark, monkeypatch):
+    """Near copies of a text beside texts that are similar to some of them only: what pivots settle still meets the rest."""
+    monkeypatch.setattr(jaccard_join, "LEAF", 5)
+    monkeypatch.setattr(jaccard_join, "BLOCK_SETS", 16)
+    base = [f"b{i}" for i in range(300)]
+    rows = [(i, " ".join(base[: 300 - i] + [f"n{i}"])) for i in range(80)]
+    got = jaccard_join.near_texts(spark.createDataFrame(rows, "doc_id long, text string"), secret=3)
+    assert got_texts(got) == brute([(i, shingles(t)) for i, t in rows], same_texts)
+
+
+def test_words_that_clash_in_polynomials_stay_apart(spark):
+    twins = ["".join("ab"[(i.bit_count() + k) % 2] for i in range(2048)) for k in (0, 1)]
+    rows = [(k, " ".join(f"w{i}" for i in range(20)) + " " + twins[k] + " " + " ".join(f"v{i}" for i in range(3))) for k in (0, 1)] + [(2 + k, x) for k, x in enumerate(twins)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert got_texts(jaccard_join.near_texts(df)) == brute([(i, shingles(t)) for i, t in rows], same_texts)
+    assert jaccard_join.keep_first(df).count() == 4
+
+
+def test_repeated_rows_of_a_kept_document_go(spark):
+    df = spark.createDataFrame([(1, "a b c"), (1, "a b c"), (2, "a b c"), (1, "x y z"), (None, "q"), (None, "q")], "doc_id long, text string")
+    assert sorted(map(str, ((r.doc_id, r.text) for r in jaccard_join.keep_first(df).collect()))) == sorted(map(str, [(1, "a b c"), (1, "x y z"), (None, "q"), (None, "q")]))
+
+
 def cosine(a, b):
     dot = sum(x * y for x, y in zip(a, b, strict=True))
     return dot / math.sqrt(sum(x * x for x in a)) / math.sqrt(sum(y * y for y in b))
