@@ -1,16 +1,20 @@
 """Near-duplicate vectors by product quantisation: inverted lists, residual codes, table distances, exact cosine.
 
 Coarse centroids and subspace codebooks are fitted at the driver on a bounded sample; every vector is indexed in the list
-of its nearest centroid with the codes of its residual and the error of those codes. A vector probes every list whose
-border a neighbour within the threshold may cross, and a listed vector is compared exactly if its table distance, with
-its code error, allows the threshold. Both tests take a neighbour's direction as random: they give way up to MARGIN
-standard deviations of its part along the border's normal or the code error (strict bounds from MARGIN = sqrt(d) on);
-recall against brute force on the test tables is 1. Large lists are met in blocks; a block gives counts and a spanning
-forest, never pairs.
+of its nearest centroid with the codes of its residual and the error of those codes. A vector probes the lists whose border
+a neighbour within the threshold may cross; how far neighbours lean towards borders is measured on the sample, by neighbours
+made at just the threshold in random directions, towards other vectors and towards near ones, so that data of few effective
+dimensions get the probes they need. Table distances then leave out only what the triangle inequality excludes.
+
+Codes travel to the lists that ask for them; vectors follow only for what the tables leave. Every pair of lists is met from
+one side, and a pair of vectors is counted at both ends at once. Large lists are met in blocks; a block gives counts and a
+spanning forest, never pairs.
 """
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -18,21 +22,30 @@ from pyspark.sql import functions as F
 
 from .common import batched, components, cut, map_arrow
 
-#: Vectors of one list that a task compares with so many queries at most.
-BLOCK, CHUNK = 2048, 4096
+#: Codes and vectors of one list that a task compares at most.
+BLOCK, CHUNK = 16384, 4096
 #: Sample rows for each coarse list, the most lists, codewords of each subspace, and components of all sample rows; they
 #: bound the fit at the driver.
 SAMPLE_PER_LIST, MOST_LISTS, CODEWORDS, SUBSPACES = 32, 4096, 64, 8
 SAMPLE_NUMBERS = 16 << 20
-#: Standard deviations that probes and table distances allow for; lists for each square root of the vectors.
-MARGIN, LISTS_PER_ROOT = 3.0, 0.25
+#: Lists for each square root of the vectors.
+LISTS_PER_ROOT = 0.25
+#: Sample vectors whose made neighbours fit the probes, and the share of those neighbours that the probes are to reach.
+PROBE_SAMPLE, REACHED = 4096, 0.9995
+#: Rows whose distances to all centroids are held at once.
+ROWS = 4096
+
+
+def _assigned(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    square = (centres**2).sum(1)
+    return np.concatenate([np.argmin(square - 2 * x[a : a + ROWS] @ centres.T, 1) for a in range(0, len(x), ROWS)]) if len(x) and len(centres) else np.zeros(len(x), int)
 
 
 def kmeans(x: np.ndarray, k: int, rounds: int = 8, seed: int = 7) -> np.ndarray:
     k = min(k, len(x))
     centres = x[np.random.default_rng(seed).choice(len(x), k, replace=False)].copy() if k else np.zeros((0, x.shape[1]))
     for _ in range(rounds):
-        near = np.argmin((centres**2).sum(1) - 2 * x @ centres.T, 1) if k else np.zeros(0, int)
+        near = _assigned(x, centres)
         sums, n = np.zeros_like(centres), np.bincount(near, minlength=k)
         np.add.at(sums, near, x)
         centres[n > 0] = sums[n > 0] / n[n > 0, None]
@@ -40,24 +53,51 @@ def kmeans(x: np.ndarray, k: int, rounds: int = 8, seed: int = 7) -> np.ndarray:
 
 
 class Index:
-    """Coarse centroids and the residuals' codebooks for unit vectors of one dimension."""
+    """Coarse centroids and the residuals' codebooks for unit vectors of one dimension.
 
-    def __init__(self, sample: np.ndarray, lists: int):
-        self.centres, self.give = kmeans(sample, lists), min(1.0, MARGIN / max(1, sample.shape[1]) ** 0.5)
+    give: the greatest share of its distance that a neighbour goes towards the border it crosses, for REACHED of them.
+    """
+
+    def __init__(self, sample: np.ndarray, lists: int, reach: float):
+        self.centres, self.reach = kmeans(sample, lists), reach
+        self.square = (self.centres**2).sum(1)
         self.cuts = np.linspace(0, sample.shape[1], min(SUBSPACES, sample.shape[1]) + 1).astype(int)
-        home, _ = self.homes(sample)
-        rest = sample - self.centres[home]
+        rest = sample - self.centres[_assigned(sample, self.centres)]
         self.books = [kmeans(rest[:, a:b], CODEWORDS, seed=11 + a) for a, b in zip(self.cuts, self.cuts[1:])]
+        self.give = self._fitted(sample) if len(self.centres) > 1 else 0.0
+
+    def _fitted(self, sample: np.ndarray) -> float:
+        rng = np.random.default_rng(13)
+        x = sample[rng.permutation(len(sample))[:PROBE_SAMPLE]]
+        other = sample[rng.integers(0, len(sample), (len(x), 32))]
+        cosines = np.einsum("nkd,nd->nk", other, x)
+        cosines[cosines > 1 - 1e-9] = -2  # copies of the vector itself have no direction
+        close = other[np.arange(len(x)), cosines.argmax(1)]
+        home, square = self.homes(x)
+        wanted = 0.0
+        for towards in (rng.normal(size=x.shape), other[:, 0], close):
+            across = towards - (towards * x).sum(1)[:, None] * x
+            size = np.sqrt((across**2).sum(1))
+            good = size > 1e-6
+            angle = 2 * np.arcsin(min(1.0, self.reach / 2))
+            y = np.cos(angle) * x[good] + np.sin(angle) * across[good] / size[good, None]
+            there, rows = _assigned(y, self.centres), np.flatnonzero(good)
+            excess = square[rows, there] - square[rows, home[rows]]
+            apart = np.sqrt(((self.centres[there] - self.centres[home[rows]]) ** 2).sum(1))
+            share = np.where(there == home[rows], 0.0, excess / np.maximum(2 * self.reach * apart, 1e-12))
+            wanted = max(wanted, float(np.quantile(share, REACHED, method="higher")) if len(share) else 0.0)
+        return min(1.0, wanted)
 
     def homes(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        square = np.maximum(0, (x**2).sum(1)[:, None] + (self.centres**2).sum(1) - 2 * x @ self.centres.T)
+        square = np.maximum(0, (x**2).sum(1)[:, None] + self.square - 2 * x @ self.centres.T)
         return np.argmin(square, 1), square
 
-    def probes(self, square: np.ndarray, home: np.ndarray, reach: float) -> np.ndarray:
-        """Which cells come within reach: by the distance to the plane between a cell's centre and the home's."""
-        apart = np.sqrt(np.maximum(0, (self.centres**2).sum(1)[:, None] + (self.centres**2).sum(1) - 2 * self.centres @ self.centres.T))
+    def probes(self, square: np.ndarray, home: np.ndarray) -> np.ndarray:
+        """Which cells neighbours may lie in: by the distance to the plane between a cell's centre and the home's."""
+        near = self.centres[np.unique(home)]
+        apart = np.sqrt(np.maximum(0, (near**2).sum(1)[:, None] + self.square - 2 * near @ self.centres.T))[np.unique(home, return_inverse=True)[1]]
         excess = square - square[np.arange(len(home)), home][:, None]
-        return excess <= 2 * reach * self.give * apart[home] + 1e-9
+        return excess <= 2 * self.reach * self.give * apart + 1e-9
 
     def encode(self, rest: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         codes, error = [], np.zeros(len(rest))
@@ -101,9 +141,20 @@ def _matrix(column: pa.ChunkedArray | pa.Array, n: int) -> np.ndarray:
 
 
 def _unit(x: np.ndarray) -> np.ndarray:
+    """Rows of length one; scaled by their largest component first, so that no square overflows or vanishes."""
+    x = x / np.abs(x).max(1, initial=0)[:, None]
     return x / np.sqrt((x**2).sum(1))[:, None]
 
 
+def _linked(q: np.ndarray, y: np.ndarray, threshold: float) -> np.ndarray:
+    """Which pairs reach the threshold; those that a product of blocks can't tell are decided one by one, in one way."""
+    dots = q @ y.T
+    hits = dots >= threshold
+    i, j = np.nonzero(np.abs(dots - threshold) < 1e-9)
+    hits[i, j] = np.einsum("nd,nd->n", q[i], y[j]) >= threshold
+    return hits
+
+
 def _usable(vector: Column, label: Column) -> Column:
     """Vectors that may link: no null or non-finite component, some component not zero, a label."""
     wide = F.transform(vector, lambda x: x.cast("double"))
@@ -117,7 +168,7 @@ def near_vectors(rows: DataFrame, threshold: float = 0.93, key: str = "vec_id",
     Vectors with equal labels link from a cosine of `threshold` on, in double precision. Those that are null, empty or
     zero, hold null or non-finite components, or have no label or key link with nothing (0 links, their own component).
     Equal rows are one class in all comparisons and count each as another's link. Vectors of different lengths do not
-    link. An empty table gives no rows; other columns are not read.
+    link. Components of any finite size count. An empty table gives no rows; other columns are not read.
     """
     spark = rows.sparkSession
     batched(spark)
@@ -151,13 +202,20 @@ def _links(classes: DataFrame, threshold: float) -> DataFrame:
     return out if out is not None else classes.sparkSession.createDataFrame([], schema)
 
 
-def _links_of(classes: DataFrame, dim: int, n: int, threshold: float, schema: str) -> DataFrame:
+def fitted(classes: DataFrame, dim: int, n: int, threshold: float) -> Index:
+    """An index fitted on about SAMPLE_PER_LIST vectors a list: those with the smallest hashes, so no task sorts rows."""
     lists = int(min(MOST_LISTS, max(1, round(LISTS_PER_ROOT * n**0.5))))
     rows = max(1, min(lists * SAMPLE_PER_LIST, SAMPLE_NUMBERS // max(1, dim)))
-    lists = max(1, min(lists, rows // 4))
-    sample = classes.orderBy("k2", "k1").limit(rows).select("v").toArrow()
-    index = Index(_unit(_matrix(sample.column(0), sample.num_rows)), lists)
-    reach = float(np.sqrt(max(0.0, 2 - 2 * threshold))) + 1e-6
+    below = -(1 << 63) + min((1 << 64) - 1, (rows << 64) // max(1, n))
+    sample = classes.where(F.col("k2") <= below).select("k2", "k1", "v").toArrow().sort_by([("k2", "ascending"), ("k1", "ascending")])
+    if not sample.num_rows:  # by chance, of very few
+        sample = classes.limit(rows).select("v").toArrow()
+    x = _unit(_matrix(sample.column("v"), sample.num_rows))
+    return Index(x, max(1, min(lists, sample.num_rows // 4)), float(np.sqrt(max(0.0, 2 - 2 * threshold))) + 1e-6)
+
+
+def _links_of(classes: DataFrame, dim: int, n: int, threshold: float, schema: str) -> DataFrame:
+    index = fitted(classes, dim, n, threshold)
 
     def assign(batches):
         for batch in batches:
@@ -166,52 +224,80 @@ def _links_of(classes: DataFrame, dim: int, n: int, threshold: float, schema: st
             x = _unit(_matrix(batch.column("v"), batch.num_rows))
             home, square = index.homes(x)
             codes, error = index.encode(x - index.centres[home])
-            near = index.probes(square, home, reach)
+            near = index.probes(square, home) & (np.arange(len(index.centres)) >= home[:, None])  # lists are met from the first of the two
             probes = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(near.sum(1))]), pa.int32()), pa.array(np.nonzero(near)[1], pa.int32()))
-            yield pa.RecordBatch.from_arrays([batch.column("k1"), batch.column("k2"), batch.column("copies"), batch.column("label"), batch.column("v"), pa.array(home, pa.int32()), probes, pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(error, pa.float64())], names=["k1", "k2", "copies", "label", "v", "home", "probes", "codes", "error"])
-
-    kind = classes.schema["label"].dataType.simpleString()
-    indexed = cut(map_arrow(classes.select("k1", "k2", "copies", "label", "v"), assign, f"k1 long, k2 long, copies long, label {kind}, v {classes.schema["v"].dataType.simpleString()}, home int, probes array<int>, codes binary, error double"), "vector-index")
-    asked = indexed.select("k1", "k2", "copies", "label", "v", F.explode("probes").alias("list"), F.lit(None).cast("binary").alias("codes"), F.lit(None).cast("double").alias("error"))
-    held = indexed.select("k1", "k2", "copies", "label", "v", F.col("home").alias("list"), "codes", "error")
-    grid = held.groupBy("label", "list").agg(F.ceil(F.count("*") / BLOCK).alias("blocks")).join(asked.groupBy("label", "list").agg(F.ceil(F.count("*") / CHUNK).alias("chunks")), ["label", "list"])
-    grid = cut(grid, "vector-grid")
+            yield pa.RecordBatch.from_arrays([batch.column("k1"), batch.column("k2"), batch.column("label"), batch.column("v"), pa.array(home, pa.int32()), probes, pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(error, pa.float64())], names=["k1", "k2", "label", "v", "home", "probes", "codes", "error"])
+
+    kinds = {x: classes.schema[x].dataType.simpleString() for x in ("label", "v")}
+    indexed = cut(map_arrow(classes.select("k1", "k2", "label", "v"), assign, f"k1 long, k2 long, label {kinds["label"]}, v {kinds["v"]}, home int, probes array<int>, codes binary, error double"), "vector-index")
+    asked = indexed.select("k1", "k2", "label", F.col("home").alias("list"), F.col("home").alias("of"), "v", "probes", F.lit(None).cast("binary").alias("codes"), F.lit(None).cast("double").alias("error"))
+    wanted = indexed.select("label", F.col("home").alias("list"), F.explode("probes").alias("of")).distinct()
+    codes = indexed.select("k1", "k2", "label", F.col("home").alias("of"), "codes", "error").join(wanted, ["label", "of"])
+    codes = codes.select("k1", "k2", "label", "list", "of", F.lit(None).cast(kinds["v"]).alias("v"), F.lit(None).cast("array<int>").alias("probes"), "codes", "error")
+    sizes = indexed.groupBy("label", F.col("home").alias("list")).agg(F.count("*").alias("n"))
+    blocks = wanted.join(sizes.withColumnRenamed("list", "of"), ["label", "of"]).groupBy("label", "list").agg(F.ceil(F.sum("n") / BLOCK).alias("blocks"))
+    grid = cut(sizes.select("label", "list", F.ceil(F.col("n") / CHUNK).alias("chunks")).join(blocks, ["label", "list"]), "vector-grid")
     upto = lambda n: F.explode(F.sequence(F.lit(0), (F.col(n) - 1).cast("int")))
-    own = lambda n: F.pmod(F.col("k2"), F.col(n)).cast("int")
-    held = held.join(grid, ["label", "list"]).select("*", own("blocks").alias("block"), upto("chunks").alias("chunk"))
+    own = lambda n: F.pmod(F.xxhash64("k1", "k2"), F.col(n)).cast("int")
+    codes = codes.join(grid, ["label", "list"]).select("*", own("blocks").alias("block"), upto("chunks").alias("chunk"))
     asked = asked.join(grid, ["label", "list"]).select("*", own("chunks").alias("chunk"), upto("blocks").alias("block"))
 
-    def meet(t: pa.Table) -> pa.Table:
-        listed = np.asarray(t.column("codes").is_valid())
-        keys = np.stack([np.asarray(t.column("k1")), np.asarray(t.column("k2"))], 1)
-        x, copies, at = _unit(_matrix(t.column("v"), t.num_rows)), np.asarray(t.column("copies")), t.column("list")[0].as_py()
-        y, yk, yc = x[listed], keys[listed], copies[listed]
-        q, qk = x[~listed], keys[~listed]
-        if not len(y) or not len(q):
-            return pa.table({c: pa.array([], pa.int64()) for c in ("k1", "k2", "links", "o1", "o2")})
-        codes = np.frombuffer(b"".join(t.column("codes").filter(pa.array(listed)).to_pylist()), np.uint8).reshape(len(y), -1)
-        error = np.asarray(t.column("error").filter(pa.array(listed)), np.float32)
-        far = reach**2 + error**2 + 2 * index.give * reach * error + 1e-3
-        hits = np.zeros((len(q), len(y)), bool)
-        for a in range(0, len(q), 256):
-            maybe = index.table_distances(q[a : a + 256], at, codes) <= far
-            if maybe.mean() > 0.05:
-                hits[a : a + 256] = maybe & (q[a : a + 256] @ y.T >= threshold)
-            else:
-                i, j = np.nonzero(maybe)
-                good = np.einsum("nd,nd->n", q[a + i], y[j]) >= threshold
-                hits[a + i[good], j[good]] = True
-        order = {tuple(k): j for j, k in enumerate(yk.tolist())}
-        for i, k in enumerate(qk.tolist()):
-            if (j := order.get(tuple(k))) is not None:
-                hits[i, j] = False
-        links = hits @ yc
-        rows = [(*qk[i].tolist(), int(links[i]), None, None) for i in np.flatnonzero(links)]
+    def keys_of(t: pa.Table) -> np.ndarray:
+        return np.stack([np.asarray(t.column("k1")), np.asarray(t.column("k2"))], 1)
+
+    def before(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Which keys of a come before which of b."""
+        return (a[:, None, 0] < b[None, :, 0]) | ((a[:, None, 0] == b[None, :, 0]) & (a[:, None, 1] < b[None, :, 1]))
+
+    def meet(key: tuple, t: pa.Table) -> pa.Table:
+        """Of one list's vectors and the codes it asked for: what table distances leave, as members of groups to compare."""
+        coded = np.asarray(t.column("codes").is_valid())
+        asks, held = t.filter(pa.array(~coded)), t.filter(pa.array(coded))
+        rows: list[tuple[bytes, bool, int, np.ndarray]] = []
+        if asks.num_rows and held.num_rows:
+            x, xk, yk, home = _unit(_matrix(asks.column("v"), asks.num_rows)), keys_of(asks), keys_of(held), asks.column("list")[0].as_py()
+            probed = np.repeat(np.arange(asks.num_rows), np.asarray(asks.column("probes").combine_chunks().value_lengths()))
+            lists = np.asarray(asks.column("probes").combine_chunks().flatten())
+            of, error = np.asarray(held.column("of")), np.asarray(held.column("error"), np.float32)
+            code = np.frombuffer(b"".join(held.column("codes").to_pylist()), np.uint8).reshape(held.num_rows, -1)
+            name = repr([k.as_py() for k in key]).encode()
+            for j in np.unique(of).tolist():
+                q, y = probed[lists == j], np.flatnonzero(of == j)
+                if not len(q):
+                    continue
+                far = (index.reach + error[y]) ** 2 + 1e-3
+                left, right = np.zeros(len(q), bool), np.zeros(len(y), bool)
+                for a in range(0, len(q), 256):
+                    maybe = index.table_distances(x[q[a : a + 256]], j, code[y]) <= far
+                    if j == home:
+                        maybe &= before(xk[q[a : a + 256]], yk[y])
+                    left[a : a + 256] = maybe.any(1)
+                    right |= maybe.any(0)
+                group = hashlib.blake2b(name + str(j).encode(), digest_size=16).digest()
+                rows += [(group, j == home, 0, xk[q[left]]), (group, j == home, 1, yk[y[right]])]
+        n = [len(r[3]) for r in rows]
+        keys = np.concatenate([r[3] for r in rows]) if rows else np.zeros((0, 2), np.int64)
+        spread = lambda i, kind: pa.array([r[i] for r, m in zip(rows, n, strict=True) for _ in range(m)], kind)
+        return pa.table({"g": spread(0, pa.binary()), "inner": spread(1, pa.bool_()), "side": spread(2, pa.int32()), "k1": keys[:, 0], "k2": keys[:, 1]})
+
+    def compare(t: pa.Table) -> pa.Table:
+        """Of one group, by exact cosines: links counted at both ends, and a forest."""
+        side = np.asarray(t.column("side"))
+        keys, copies, x = keys_of(t), np.asarray(t.column("copies")), _unit(_matrix(t.column("v"), t.num_rows))
+        a, b = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+        hits = _linked(x[a], x[b], threshold)
+        if t.column("inner")[0].as_py():
+            hits &= before(keys[a], keys[b])
+        links = np.concatenate([hits @ copies[b], hits.T @ copies[a]])
+        ends = np.concatenate([keys[a], keys[b]])
+        rows = [(*ends[i].tolist(), int(links[i]), None, None) for i in np.flatnonzero(links)]
         for group in forest(hits):
-            members = sorted({tuple((qk, yk)[side][i].tolist()) for side, i in group})
+            members = sorted({tuple(keys[(a, b)[s][i]].tolist()) for s, i in group})
             rows += [(*m, 0, *members[0]) for m in members[1:]]
         columns = list(zip(*rows, strict=True)) if rows else [[]] * 5
-        return pa.table({c: pa.array(x, pa.int64()) for c, x in zip(("k1", "k2", "links", "o1", "o2"), columns, strict=True)})
+        return pa.table({c: pa.array(z, pa.int64()) for c, z in zip(("k1", "k2", "links", "o1", "o2"), columns, strict=True)})
 
-    names = ["k1", "k2", "copies", "label", "v", "list", "codes", "error", "block", "chunk"]
-    return held.select(names).unionByName(asked.select(names)).groupBy("label", "list", "block", "chunk").applyInArrow(meet, schema)
+    names = ["k1", "k2", "label", "list", "of", "v", "probes", "codes", "error", "block", "chunk"]
+    left = codes.select(names).unionByName(asked.select(names)).groupBy("label", "list", "block", "chunk").applyInArrow(meet, "g binary, inner boolean, side int, k1 long, k2 long")
+    left = cut(left, "vector-left")
+    return left.join(classes.select("k1", "k2", "copies", "v"), ["k1", "k2"]).groupBy("g").applyInArrow(compare, schema)

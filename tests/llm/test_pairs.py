@@ -145,6 +145,36 @@ def test_vectors_odd(spark, monkeypatch):
     assert vectors.near_vectors(df.limit(0)).count() == 0
 
 
+def planted(kind, n=1500, d=64, seed=5):
+    """Vectors of few dimensions, in clusters or of all directions, with neighbours at just about the threshold."""
+    rng = np.random.default_rng(seed)
+    if kind == "clusters":
+        x = rng.normal(size=(30, d))[rng.integers(0, 30, n)] + 0.6 * rng.normal(size=(n, d))
+    else:
+        x = rng.normal(size=(n, kind)) @ rng.normal(size=(kind, d))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    other = np.roll(x, 1, 0) if kind != d else rng.normal(size=(n, d))
+    across = other - (other * x).sum(1)[:, None] * x
+    angle = np.arccos(0.94)
+    return np.concatenate([x, np.cos(angle) * x + np.sin(angle) * across / np.linalg.norm(across, axis=1)[:, None]])
+
+
+@pytest.mark.parametrize("kind", [3, 4, 6, 12, 64, "clusters"])
+def test_recall_and_both_ends(spark, kind):
+    x = planted(kind)
+    got = sorted((r.vec_id, r.n_links) for r in vectors.near_vectors(spark.createDataFrame([(i, v, 1) for i, v in enumerate(x.tolist())], "vec_id long, embedding array<double>, label int")).collect())
+    near = x @ x.T >= 0.93
+    np.fill_diagonal(near, False)
+    links = np.array([n for _, n in got])
+    assert (links <= near.sum(1)).all() and links.sum() % 2 == 0 and links.sum() >= 0.99 * near.sum()
+
+
+def test_huge_and_tiny_components(spark):
+    rows = [(1, [1e200, 2e200, 0.0], 0), (2, [1e-200, 2e-200, 0.0], 0), (3, [1.0, 2.0, 0.1], 0), (4, [1e308, -1e308, 1e308], 0)]
+    got = vectors.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int"))
+    assert {r.vec_id: (r.n_links, r.component_id) for r in got.collect()} == {1: (2, 1), 2: (2, 1), 3: (2, 1), 4: (0, 4)}
+
+
 def test_components_of_a_chain_and_a_star(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 140)] + [(300, 300), (None, 5)]
     got = {r.id: r.component for r in components(spark.createDataFrame(edges, "a long, b long"), "test").collect()}
