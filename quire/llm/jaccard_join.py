@@ -1,9 +1,10 @@
 """Jaccard self-join of word shingles by chosen paths.
 
-In each run a text's shingle set is sent down a random tree: it follows the shingles whose hash for the run, and below the
-root for the path so far, is small enough for the set's size. Buckets of few sets are compared by brute force; larger ones
-are split again on newly sampled shingles, and what is still large at the last level is compared in blocks. The runs are
-repeated until a pair at the threshold has met with the target recall even if all its buckets are split to the last level.
+In each run a text's shingle set is sent down a random tree. At the root it follows the shingles whose hash for the run is
+small enough for the set's size; buckets of few sets are compared by brute force. Larger ones are split again on newly
+sampled shingles: at each further node a set follows the least shingles under two orders that the path picks, which a pair
+shares with the chance of its similarity. What is still large at the last level is compared in blocks. The runs are repeated
+until a pair at the threshold has met with the target recall even if all its buckets are split to the last level.
 
 In a large bucket the sets much like one of its pivots need no further splitting: they are joined to the pivot, and so is,
 by a looser limit, whatever could be similar to one of them (Jaccard distance obeys the triangle inequality).
@@ -30,17 +31,17 @@ from .common import BASE, Rolling, Words, batched, components, cut, map_arrow, m
 SHINGLE, THRESHOLD = 5, 0.8
 #: The share of similar pairs that the runs together are to meet, and levels of splitting.
 RECALL, LEVELS = 0.9998, 4
-#: Chosen shingles that a pair at the threshold shares on average, at the root and at each further node.
-ROOT_MEAN, NODE_MEAN = 1.0, 2.0
+#: Chosen shingles that a pair at the threshold shares on average at the root, and orders whose least shingle is followed below.
+ROOT_MEAN, FOLLOWED = 1.0, 2
 #: Buckets of so many sets are leaves; larger ones are compared in blocks of so many shingles and sets when no level is left.
-LEAF, BLOCK_SHINGLES, BLOCK_SETS = 256, 1 << 19, 2048
+LEAF, BLOCK_SHINGLES, BLOCK_SETS = 2048, 1 << 19, 2048
 #: Sketch slots of a byte, and how many agree for an exact comparison (at similarity 0.8, 3 pairs in 100,000 fall below).
 SLOTS, AGREE = 48, 27
 #: Slots that agree with a pivot for a set to be settled (similarity about 0.87), and for it to be joined to the pivot.
 SETTLED, LOOSE = 42, 16
 PIVOTS = 2
 #: Ids and shared paths that are broadcast at most; beyond, the joins shuffle.
-BROADCAST_IDS, BROADCAST_PATHS = 1_000_000, 250_000
+BROADCAST_IDS, BROADCAST_PATHS = 500_000, 250_000
 
 _rng = np.random.default_rng(20240)
 _odd = lambda n: (_rng.integers(0, 1 << 63, n, np.uint64) << np.uint64(1)) | np.uint64(1)
@@ -52,11 +53,11 @@ def runs(threshold: float = THRESHOLD, recall: float = RECALL) -> int:
     """Runs until a pair at the threshold has met with probability `recall`, at the last level if not before.
 
     A node's choice is its own, so the shared chosen shingles form a branching process: below a shared node a pair reaches
-    the last level with chance p = 1 - exp(-NODE_MEAN * p of the next), and a run meets it with 1 - exp(-ROOT_MEAN * p).
+    the last level with chance p = 1 - (1 - threshold * p of the next) ** FOLLOWED, a run meets it with 1 - exp(-ROOT_MEAN * p).
     """
     met = 1.0
     for _ in range(LEVELS - 1):
-        met = 1 - math.exp(-NODE_MEAN * met)
+        met = 1 - (1 - threshold * met) ** FOLLOWED
     return max(1, math.ceil(-math.log(1 - recall) / (ROOT_MEAN * met)))
 
 
@@ -84,9 +85,13 @@ def set_keys(h: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return mix(total(mix(h)) ^ np.diff(ends).astype(np.uint64)).view(np.int64), mix(total(mix(h ^ BASE))).view(np.int64)
 
 
-def _limits(size: np.ndarray, mean: float, threshold: float) -> np.ndarray:
-    """A shingle whose hash is at most this is chosen by a set of that size."""
-    return np.minimum(2.0**64 * mean / (threshold * np.maximum(size, 1)), 2.0**64 - 2048).astype(np.uint64)
+def sketches(h: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Of each set a byte of its least shingle under each of SLOTS orders."""
+    full = np.flatnonzero(np.diff(ends))
+    out = np.zeros((len(ends) - 1, SLOTS), np.uint8)
+    for k in range(SLOTS if len(full) else 0):
+        out[full, k] = (mix(np.minimum.reduceat(h * _SKETCH[k], ends[:-1][full])) & np.uint64(0xFF)).astype(np.uint8)
+    return out
 
 
 def _signatures(n_runs: int, threshold: float, secret: int):
@@ -97,12 +102,7 @@ def _signatures(n_runs: int, threshold: float, secret: int):
         size = np.diff(ends)
         s1, s2 = set_keys(h, ends)
         row = np.repeat(np.arange(len(size)), size)
-        full = np.flatnonzero(size)
-        sketch = np.zeros((len(size), SLOTS), np.uint8)
-        for k in range(SLOTS):
-            if len(full):
-                sketch[full, k] = (mix(np.minimum.reduceat(h * _SKETCH[k], ends[:-1][full])) & np.uint64(0xFF)).astype(np.uint8)
-        most = _limits(size, ROOT_MEAN, threshold)[row]
+        most = np.minimum(2.0**64 * ROOT_MEAN / (threshold * np.maximum(size, 1)), 2.0**64 - 2048).astype(np.uint64)[row]
         at, path = [], []
         for run in range(n_runs):
             chosen = np.flatnonzero(h * _CHOICE[run] <= most)
@@ -112,7 +112,7 @@ def _signatures(n_runs: int, threshold: float, secret: int):
         order = np.argsort(at, kind="stable")
         borders = np.concatenate([[0], np.cumsum(np.bincount(at, minlength=len(size)))])
         paths = pa.ListArray.from_arrays(pa.array(borders, pa.int32()), pa.array(path[order].view(np.int64), pa.int64()))
-        slots = [pa.array(c) for c in np.ascontiguousarray(sketch).view("<i8").T]
+        slots = [pa.array(c) for c in sketches(h, ends).view("<i8").T]
         return pa.RecordBatch.from_arrays([key, pa.array(s1), pa.array(s2), pa.array(size, pa.int64()), *slots, paths], names=["key", "s1", "s2", "n", *_SKETCHES, "paths"])
 
     def signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -124,42 +124,21 @@ def _signatures(n_runs: int, threshold: float, secret: int):
     return signatures
 
 
-def _each_set(batch: pa.RecordBatch, secret: int) -> Iterator[tuple[int, np.ndarray]]:
-    """Row numbers and sets of the rows whose text is that of their class: others share a key with it."""
-    data, offsets = utf8(batch.column("body"))
-    w1, w2 = np.asarray(batch.column("s1")), np.asarray(batch.column("s2"))
-    for a, b in slices(offsets):
-        h, ends = shingle_sets(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], secret)
-        s1, s2 = set_keys(h, ends)
-        for i in np.flatnonzero((s1 == w1[a:b]) & (s2 == w2[a:b])).tolist():
-            yield a + i, h[ends[i] : ends[i + 1]]
-
-
-def _descend(threshold: float, secret: int):
-    """From rows (body, cid, s1, s2, paths): the nodes below those of paths, as rows (cid, path)."""
-
-    def descend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids, lists = batch.column("cid").to_pylist(), batch.column("paths").to_pylist()
-            cid, found = [], [np.zeros(0, np.uint64)]
-            for i, h in _each_set(batch, secret):
-                most = _limits(np.array([len(h)]), NODE_MEAN, threshold)[0]
-                for path in np.array(lists[i], np.int64).view(np.uint64):
-                    salt = mix(np.array([path]))[0]
-                    below = mix(h[h * (salt | np.uint64(1)) <= most] ^ salt)
-                    cid += [ids[i]] * len(below)
-                    found.append(below)
-            yield pa.RecordBatch.from_arrays([pa.array(cid, pa.int64()), pa.array(np.concatenate(found).view(np.int64))], names=["cid", "path"])
-
-    return descend
-
-
 def _members(secret: int):
-    """From rows (body, s1, s2, others): the others, and the set as bytes under members."""
+    """From rows (body, s1, s2, others): the others, and the set as bytes under members, of the rows whose text is that of
+    the class (s1, s2); others share a key with it."""
 
     def members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows, sets = zip(*((i, h.tobytes()) for i, h in _each_set(batch, secret)), strict=True) if batch.num_rows else ((), ())
+            data, offsets = utf8(batch.column("body"))
+            w1, w2 = np.asarray(batch.column("s1")), np.asarray(batch.column("s2"))
+            rows, sets = [], []
+            for a, b in slices(offsets):
+                h, ends = shingle_sets(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], secret)
+                s1, s2 = set_keys(h, ends)
+                for i in np.flatnonzero((s1 == w1[a:b]) & (s2 == w2[a:b])).tolist():
+                    rows.append(a + i)
+                    sets.append(h[ends[i] : ends[i + 1]].tobytes())
             kept = batch.take(pa.array(rows, pa.int64()))
             names = [x for x in batch.schema.names if x not in ("body", "s1", "s2")]
             yield pa.RecordBatch.from_arrays([*(kept.column(x) for x in names), pa.array(sets, pa.binary())], names=[*names, "members"])
@@ -297,7 +276,9 @@ def _compare(threshold: float):
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t, borders in _whole_groups(batches, "g"):
             cid, copies, side, whole = (np.asarray(t.column(x)) for x in ("cid", "copies", "side", "whole"))
-            sketch, n, members = _sketches(t), np.asarray(t.column("n")), t.column("members").to_pylist()
+            members = [np.frombuffer(x, np.uint64) for x in t.column("members").to_pylist()]
+            n = np.array([len(x) for x in members], np.int64)
+            sketch = sketches(np.concatenate(members), np.concatenate([[0], np.cumsum(n)]))
             links, root, first = np.zeros(t.num_rows, np.int64), cid.copy(), np.ones(t.num_rows, bool)
             for a, b in zip(borders, borders[1:]):
                 _, at = np.unique(cid[a:b], return_index=True)  # a repeated row is its class again
@@ -313,7 +294,7 @@ def _compare(threshold: float):
                     if len(part) < 2:
                         continue
                     rows = at[part]
-                    hits = _similar([np.frombuffer(members[x], np.uint64) for x in rows], threshold)
+                    hits = _similar([members[x] for x in rows], threshold)
                     if side[rows].min() != side[rows].max():
                         hits &= side[rows, None] != side[None, rows]
                     links[rows] = hits @ copies[rows]
@@ -350,12 +331,25 @@ def _agreement(left: str, right: str) -> Column:
     return total
 
 
+def _slot(number: Column) -> Column:
+    """The byte of a sketch slot."""
+    return F.call_function("shiftrightunsigned", F.element_at(F.array(*_SKETCHES), (number / 8).cast("int") + 1), F.pmod(number, F.lit(8)) * 8).bitwiseAND(F.lit(255))
+
+
+def _followed(rows: DataFrame) -> DataFrame:
+    """From rows (cid, path, sketch): the nodes below, as rows (cid, path). The orders that a path picks differ."""
+    first = F.pmod(F.xxhash64("path", F.lit(1)), F.lit(SLOTS)).cast("int")
+    step = 1 + F.pmod(F.xxhash64("path", F.lit(2)), F.lit(SLOTS // FOLLOWED - 1)).cast("int")
+    rows = rows.withColumn("slot", F.explode(F.array(*(F.pmod(first + step * i, F.lit(SLOTS)) for i in range(FOLLOWED)))))
+    return rows.select("cid", F.xxhash64("path", "slot", _slot(F.col("slot"))).alias("path"))
+
+
 def _hinted(df: DataFrame, most: int) -> DataFrame:
     """df for the small side of a join: broadcast up to so many rows, else shuffled."""
     return F.broadcast(df) if df.count() <= most else df
 
 
-def _proposals(classes: DataFrame, rows: DataFrame, threshold: float, secret: int) -> DataFrame:
+def _proposals(classes: DataFrame, threshold: float) -> DataFrame:
     """Edges (a, b) between classes (cid) that met and whose sketches agree; classes without any have none."""
     sketched = classes.select("cid", "n", *_SKETCHES)
     level = classes.select("cid", F.explode("paths").alias("path"))
@@ -382,9 +376,7 @@ def _proposals(classes: DataFrame, rows: DataFrame, threshold: float, secret: in
         if i == LEVELS - 1:
             leaves.append(rest.select("cid", "n", *_SKETCHES, F.col("path").alias("bucket"), _blocks(F.col("m"), F.col("total")).alias("blocks")))
             break
-        asked = cut(rest.groupBy("cid").agg(F.collect_list("path").alias("paths")).join(classes.select("cid", "rep", "s1", "s2"), "cid"), f"jaccard-asked{i}")
-        texts = rows.join(_hinted(asked, BROADCAST_IDS), rows["key"] == asked["rep"]).select("body", "cid", "s1", "s2", "paths")
-        level = cut(map_arrow(texts, _descend(threshold, secret), "cid long, path long"), f"jaccard-nodes{i}")
+        level = cut(_followed(rest), f"jaccard-nodes{i}")
     held = leaves[0]
     for x in leaves[1:]:
         held = held.unionByName(x)
@@ -417,19 +409,19 @@ def near_texts(docs: DataFrame, key: str = "doc_id", text: str = "text", thresho
     classes = signed.where("n > 0").groupBy("s1", "s2").agg(F.min("key").alias("rep"), F.count("*").alias("copies"), *first)
     classes = cut(classes.withColumn("cid", F.monotonically_increasing_id()), "jaccard-classes")
 
-    found = components(_proposals(classes, rows, threshold, secret), "jaccard").select(F.col("id").alias("cid"), F.col("component").alias("c"))
-    found = cut(found.join(classes.drop("paths"), "cid"), "jaccard-components")
+    found = components(_proposals(classes, threshold), "jaccard").select(F.col("id").alias("cid"), F.col("component").alias("c"))
+    found = found.join(classes.select("cid", "rep", "s1", "s2", "n", "copies"), "cid")
+    found = cut(found, "jaccard-components")
     sizes = found.groupBy("c").agg(_blocks(F.count("*"), F.sum("n")).alias("blocks"))
-    placed = cut(found.join(sizes, "c"), "jaccard-placed")
+    placed = cut(found.join(sizes, "c").drop("n"), "jaccard-placed")
     # The sets are made anew from their texts. One block is its component: its sets go straight to it.
     texts = lambda x: rows.join(_hinted(x, BROADCAST_IDS), rows["key"] == x["rep"]).drop("key", "rep")
-    carried = f"cid long, n long, copies long, {slots}"
-    one = placed.where("blocks = 1").select("rep", "s1", "s2", F.col("c").cast("string").alias("g"), "cid", "n", "copies", *_SKETCHES)
-    one = map_arrow(texts(one), _members(secret), f"g string, {carried}, members binary").withColumns({"side": F.lit(0).cast("long"), "whole": F.lit(True)})
+    one = map_arrow(texts(placed.where("blocks = 1").select("rep", "s1", "s2", "c", "cid", "copies")), _members(secret), "c long, cid long, copies long, members binary")
+    one = one.select(F.col("c").cast("string").alias("g"), "cid", "copies", F.lit(0).cast("long").alias("side"), F.lit(True).alias("whole"), "members")
     more = placed.where("blocks > 1")
     if more.limit(1).count():
         sets = cut(map_arrow(texts(more.select("rep", "s1", "s2", "cid")), _members(secret), "cid long, members binary"), "jaccard-sets")
-        more = _in_blocks(more, "c", "blocks").select("g", "cid", "n", "copies", *_SKETCHES, F.col("side").cast("long").alias("side"), F.lit(False).alias("whole"))
+        more = _in_blocks(more, "c", "blocks").select("g", "cid", "copies", F.col("side").cast("long").alias("side"), F.lit(False).alias("whole"))
         one = one.unionByName(more.join(sets, "cid"))
     compared = map_arrow(one.repartition("g").sortWithinPartitions("g"), _compare(threshold), "cid long, links long, root long, whole boolean")
     compared = cut(compared, "jaccard-compared")

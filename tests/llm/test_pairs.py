@@ -73,8 +73,9 @@ def test_runs_reach_the_recall():
     rng = np.random.default_rng(4)
     pairs, runs = 20_000, jaccard_join.runs()
     alive = rng.poisson(jaccard_join.ROOT_MEAN, (pairs, runs))
+    agree = rng.binomial(jaccard_join.SLOTS, 0.8, (pairs, 1)) / jaccard_join.SLOTS  # of the orders at hand
     for _ in range(jaccard_join.LEVELS - 1):
-        alive = rng.poisson(alive * jaccard_join.NODE_MEAN)
+        alive = rng.binomial(alive * jaccard_join.FOLLOWED, agree)
     assert (alive.sum(1) == 0).mean() < 0.0006
 
 
