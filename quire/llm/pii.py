@@ -1,11 +1,15 @@
 """Personal data: base patterns, and a skip-chain conditional random field that makes labels consistent in a document.
 
-Nodes are the words with a digit or an @. Neighbouring words share a chain potential; words with the same normal form,
-however far apart, share a skip potential: open words with each label that a base pattern confirms for their form, or, if
-there is none, with the like word before. Loopy belief propagation gives each node's label. Words that a base pattern
-confirms are observed; for others, potentials are bounded so that shape and neighbours alone never make an entity: it
-takes a skip link to a like word that is one. The potentials are fitted piece by piece on the base patterns' own spans in
-a bounded sample, so nothing is labelled by hand.
+Nodes are the words with a digit or an @. Neighbouring words share a chain potential; words with the same normal form, or
+with a like one (digits that end alike, one domain, one network), share a skip potential, however far apart: open words with
+each label that a base pattern confirms for their form, or, if there is none, with the like word before. Loopy belief
+propagation gives each node's label; words that a base pattern confirms are observed.
+
+The potentials are fitted to the base patterns' own labels in a bounded sample, by the gradient of the likelihood with the
+expectations of loopy belief propagation, so nothing is labelled by hand. So a word is found by its shape and neighbours,
+where a pattern's match failed for what stands beside it, or by a like word that is confirmed. What is found must still
+have the form of its kind: a card's digits and check sum, four numbers of an address, digits of a telephone number; and
+without a confirmed like word also its usual writing.
 """
 
 from __future__ import annotations
@@ -20,18 +24,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, map_arrow, slices, text_of, utf8
+from .common import Words, cut, map_arrow, slices, text_of, utf8
 
 KINDS = ("email", "ip", "card", "phone")
 LABELS = ("", *KINDS)
-#: Documents that the fit reads at most, and of each so many characters: a bound of the sample, not of what is searched.
-SAMPLE_DOCS, SAMPLE_CHARS = 2000, 20_000
-#: Bounds of the potentials; UNSEEN is added to entities where no base pattern matched. 4 * CHAIN_MOST + SHAPE_MOST < -UNSEEN.
-SHAPE_MOST, CHAIN_MOST, SKIP_MOST, UNSEEN = 2.0, 0.75, 6.0, -5.5
-#: Like words with one entity label that are taken as seen before the sample, for the skip potential.
-AGREEMENTS = 200
-#: Messages are passed until none changes by SETTLED, at most ROUNDS times.
-ROUNDS, SETTLED, DAMPING = 200, 1e-4, 0.3
+#: Different documents that the fit reads at most, on average, and the bytes after which it takes no further one. Texts are whole.
+SAMPLE_DOCS, SAMPLE_BYTES = 2000, 40_000_000
+#: Kinds of skip edges: the same normal form of at least LONG_FORM characters, the same shorter one, a like one.
+SAME, SHORT, LIKE = 0, 1, 2
+LONG_FORM = 7
+#: The priors of the potentials: skip potentials of agreement by kind of edge, the others nought; and their spreads.
+SKIP_PRIOR, SKIP_SPREAD, SPREAD = (6.0, 1.0, 3.0), 0.5, 3.0
+STEPS, RATE = 120, 0.15
+#: Messages are passed until none changes by SETTLED, at most ROUNDS times; in the fit, from where they were, FIT_ROUNDS times.
+ROUNDS, SETTLED, DAMPING, FIT_ROUNDS = 200, 1e-4, 0.3, 12
 
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -79,6 +85,13 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(found)
 
 
+def doubtful(text: str) -> list[tuple[int, int]]:
+    """Spans of several words that a base pattern matched and dropped: their words may be data whose match took in too much."""
+    kept = {(a, b) for a, _, b in base_spans(text)}
+    found = [m.span() for p in (_CARD, *([_PHONE] if "+" in text else [])) for m in p.finditer(text)]
+    return [x for x in found if x not in kept and " " in text[x[0] : x[1]]]
+
+
 def key_of(word: str) -> str | None:
     """The normal form by which words are alike: the digits of a word without letters, else its letters, digits and @."""
     digits = _NOT_DIGIT.sub("", word)
@@ -88,6 +101,19 @@ def key_of(word: str) -> str | None:
     return form if len(form) >= 6 else None
 
 
+def like_forms(word: str) -> list[str]:
+    """Weaker normal forms: the last seven digits of a number, the domain of an address, the network of four numbers."""
+    at = word.strip(_EDGE).lower().rpartition("@")
+    if at[1]:
+        return [f"@{at[2]}"] if at[0] and "." in at[2] else []
+    if any(c.isalpha() for c in word):
+        return []
+    digits, numbers = _NOT_DIGIT.sub("", word), re.findall("[0-9]+", word)
+    if len(numbers) == 4 and all(len(x) <= 3 for x in numbers):
+        return ["n" + ".".join(numbers[:3])]
+    return [f"t{digits[-7:]}"] if len(digits) >= 7 else []
+
+
 def shape(word: str, before: str, after: str) -> list[float]:
     """Features of a word; before and after are the words beside it if they are nodes too, else empty."""
     bare = word.strip(_EDGE)
@@ -102,14 +128,14 @@ N_FEATURES = len(shape("0", "", ""))
 class Potentials(NamedTuple):
     unary: np.ndarray  # features x labels
     chain: np.ndarray  # labels x labels
-    skip: np.ndarray
+    skip: np.ndarray  # kinds of skip edges x labels, for two words that agree
 
 
 class Graph(NamedTuple):
     """A document's nodes: spans of words, features, the base labels (0: none), and edges by node numbers.
 
-    skip: like words, each with the one before. hubs: open nodes with the labels that like words are confirmed to have, each
-    label once; as those words are observed, open words do not answer for each other.
+    skip: like words, each with the one before, and the kind of edge. hubs: open nodes with the labels that like words are
+    confirmed to have, each label once, and the kind; as those are observed, open words do not answer for each other.
     """
 
     spans: list[tuple[int, int]]
@@ -132,101 +158,169 @@ def graph(text: str, spans: list[tuple[int, int]], neighbours: list[bool], base:
     chain = [(i - 1, i) for i in range(1, n) if neighbours[i]]
     last: dict[str, int] = {}
     held: dict[str, set[int]] = {}
-    skip, keys = [], [key_of(w) for w in words]
-    for i, key in enumerate(keys):
-        if key:
-            if key in last:
-                skip.append((last[key], i))
-            last[key] = i
+    skip, forms = [], []
+    for i, w in enumerate(words):
+        key = key_of(w)
+        forms.append(([(f"={key}", SAME if len(key) >= LONG_FORM else SHORT)] if key else []) + [(x, LIKE) for x in like_forms(w)])
+        linked = set()
+        for form, kind in forms[-1]:
+            if form in last and last[form] not in linked:  # of two edges to one word, the stronger
+                linked.add(last[form])
+                skip.append((last[form], i, kind))
+            last[form] = i
             if seen[i]:
-                held.setdefault(key, set()).add(int(seen[i]))
-    hubs = [(i, label) for i, key in enumerate(keys) if key in held and not seen[i] for label in sorted(held[key])]
-    pair = lambda x: np.array(x, np.int64).reshape(-1, 2)
-    return Graph(spans, features, seen, pair(chain), pair(skip), pair(hubs))
+                held.setdefault(form, set()).add(int(seen[i]))
+    hubs = []
+    for i, mine in enumerate(forms):
+        known: set[int] = set()
+        for form, kind in mine if not seen[i] else ():
+            hubs += [(i, label, kind) for label in sorted(held.get(form, set()) - known)]
+            known |= held.get(form, set())
+    three = lambda x: np.array(x, np.int64).reshape(-1, 3)
+    return Graph(spans, features, seen, np.array(chain, np.int64).reshape(-1, 2), three(skip), three(hubs))
+
+
+class Field:
+    """Messages on the edges of one or more graphs, in logs."""
+
+    def __init__(self, nodes: int, chain: np.ndarray, skip: np.ndarray):
+        self.chain, self.skip, k = chain, skip, len(LABELS)
+        edges = np.concatenate([chain, skip[:, :2]])
+        self.source, self.target = np.concatenate([edges[:, 0], edges[:, 1]]), np.concatenate([edges[:, 1], edges[:, 0]])
+        self.back = np.concatenate([np.arange(len(edges)) + len(edges), np.arange(len(edges))])
+        self.nodes, self.messages = nodes, np.zeros((2 * len(edges), k))
+
+    def tables(self, model: Potentials) -> np.ndarray:
+        """The potentials of each edge, labels x labels."""
+        k = len(LABELS)
+        agree = np.zeros((len(self.skip), k, k))
+        agree[:, np.arange(k), np.arange(k)] = model.skip[self.skip[:, 2]]
+        return np.concatenate([np.broadcast_to(model.chain, (len(self.chain), k, k)), agree])
+
+    def totals(self, unary: np.ndarray) -> np.ndarray:
+        out = unary.copy()
+        np.add.at(out, self.target, self.messages)
+        return out
+
+    def settle(self, unary: np.ndarray, tables: np.ndarray, rounds: int) -> np.ndarray:
+        """Damped sum-product until the messages settle; gives each node's label probabilities."""
+        both = np.concatenate([tables, tables.transpose(0, 2, 1)])
+        for _ in range(rounds):
+            out = (self.totals(unary)[self.source] - self.messages[self.back])[:, :, None] + both
+            top = out.max(1)
+            out = top + np.log(np.exp(out - top[:, None, :]).sum(1))
+            out -= out.max(1, keepdims=True)
+            before, self.messages = self.messages, DAMPING * self.messages + (1 - DAMPING) * out
+            if np.abs(self.messages - before).max(initial=0) < SETTLED:
+                break
+        return _normal(self.totals(unary), 1)
+
+    def pairs(self, unary: np.ndarray, tables: np.ndarray) -> np.ndarray:
+        """Probabilities of the labels of each edge's two ends."""
+        n, total = len(tables), self.totals(unary)
+        out = tables + (total[self.source[:n]] - self.messages[self.back[:n]])[:, :, None] + (total[self.target[:n]] - self.messages[:n])[:, None, :]
+        return _normal(out.reshape(n, -1), 1).reshape(out.shape)
+
+
+def _normal(x: np.ndarray, axis: int) -> np.ndarray:
+    p = np.exp(x - x.max(axis, keepdims=True, initial=-1e300))
+    return p / p.sum(axis, keepdims=True)
 
 
 def fit(graphs: list[Graph]) -> Potentials:
-    """Unary potentials by softmax regression; pair potentials from how labels go together, each piece by itself."""
+    """Potentials of the greatest posterior: the observed labels' likelihood, its expectations by loopy belief propagation."""
     k = len(LABELS)
-    x = np.concatenate([g.features for g in graphs]) if graphs else np.zeros((0, N_FEATURES))
-    y = np.concatenate([g.seen for g in graphs]) if graphs else np.zeros(0, np.int64)
-    w = np.zeros((N_FEATURES, k))
-    for step in range(200 if len(x) else 0):
-        z = x @ w
-        p = np.exp(z - z.max(1, keepdims=True))
-        p /= p.sum(1, keepdims=True)
-        p[np.arange(len(y)), y] -= 1
-        w -= 2.0 / (1 + step / 50) * (x.T @ p / len(x) + 1e-4 * w)
-    pairs = []
-    for name, start in (("chain", np.ones((k, k))), ("skip", np.ones((k, k)) + np.diag([AGREEMENTS] * k))):
-        counts = start.copy()
-        for g in graphs:
-            e = getattr(g, name)
-            np.add.at(counts, (g.seen[e[:, 0]], g.seen[e[:, 1]]), 1)
-        if name == "skip":  # against agreement, which has potential 0
-            counts = counts + counts.T
-            alike = np.diag(counts)
-            pairs.append(np.log(counts / np.sqrt(alike[:, None] * alike)))
-        else:  # against labels that go together by chance
-            joint = counts / counts.sum()
-            pairs.append(np.log(joint / (joint.sum(1, keepdims=True) * joint.sum(0, keepdims=True))))
-    return Potentials(w, np.clip(pairs[0], -CHAIN_MOST, CHAIN_MOST), np.clip(pairs[1], -SKIP_MOST, SKIP_MOST))
+    first = np.cumsum([0] + [len(g.spans) for g in graphs])
+    joined = lambda name, width, ends: np.concatenate([np.zeros((0, width), np.int64), *(np.concatenate([getattr(g, name)[:, :ends] + f, getattr(g, name)[:, ends:]], 1) for g, f in zip(graphs, first))])
+    x = np.concatenate([np.zeros((0, N_FEATURES)), *(g.features for g in graphs)])
+    y = np.concatenate([np.zeros(0, np.int64), *(g.seen for g in graphs)])
+    field = Field(len(y), joined("chain", 2, 2), joined("skip", 3, 2))
+    n, prior = len(field.chain), np.repeat(np.array(SKIP_PRIOR)[:, None], k, 1)
+    observed, one = np.eye(k)[y], np.eye(k)
+    pairs = one[y[field.source[: len(field.chain) + len(field.skip)]]][:, :, None] * one[y[field.target[: len(field.chain) + len(field.skip)]]][:, None, :]
+    values = [np.zeros((N_FEATURES, k)), np.zeros((k, k)), prior.copy()]
+    moments = [(np.zeros_like(v), np.zeros_like(v)) for v in values]
+    for step in range(1, STEPS + 1 if len(y) else 1):
+        model = Potentials(*values)
+        unary, tables = x @ model.unary, field.tables(model)
+        off = observed - field.settle(unary, tables, FIT_ROUNDS)
+        wrong = pairs - field.pairs(unary, tables)
+        agree = np.zeros((len(SKIP_PRIOR), k))
+        np.add.at(agree, field.skip[:, 2], np.diagonal(wrong[n:], axis1=1, axis2=2))
+        slopes = [x.T @ off - model.unary / SPREAD**2, wrong[:n].sum(0) - model.chain / SPREAD**2, agree - (model.skip - prior) / SKIP_SPREAD**2]
+        for v, g, (m, q) in zip(values, slopes, moments, strict=True):
+            m += 0.1 * (g - m)
+            q += 0.01 * (g**2 - q)
+            v += RATE * (m / (1 - 0.9**step)) / (np.sqrt(q / (1 - 0.99**step)) + 1e-9)
+    return Potentials(*values)
 
 
 def beliefs(g: Graph, model: Potentials) -> np.ndarray:
-    """Label probabilities of each node by damped loopy sum-product, in logs."""
-    n, k = len(g.spans), len(LABELS)
-    unary = g.features @ model.unary
-    unary = np.clip(unary - unary[:, :1], -30, SHAPE_MOST) + UNSEEN
-    unary[:, 0] = 0
-    confirmed = g.seen > 0
+    """Label probabilities of each node; what a base pattern confirms is certain."""
+    unary, confirmed = g.features @ model.unary, g.seen > 0
     unary[confirmed] = -30
     unary[confirmed, g.seen[confirmed]] = 0
-    np.add.at(unary, g.hubs[:, 0], model.skip[g.hubs[:, 1]])  # what an observed node sends
+    np.add.at(unary, (g.hubs[:, 0], g.hubs[:, 1]), model.skip[g.hubs[:, 2], g.hubs[:, 1]])  # what an observed node sends
     free = ~confirmed
     free[g.hubs[:, 0]] = False
-    skip = g.skip[free[g.skip].all(1)]
-    edges = np.concatenate([g.chain, skip])
-    table = np.concatenate([np.broadcast_to(model.chain, (len(g.chain), k, k)), np.broadcast_to(model.skip, (len(skip), k, k))])
-    source, target = np.concatenate([edges[:, 0], edges[:, 1]]), np.concatenate([edges[:, 1], edges[:, 0]])
-    table = np.concatenate([table, table.transpose(0, 2, 1)])
-    back = np.concatenate([np.arange(len(edges)) + len(edges), np.arange(len(edges))])
-    messages = np.zeros((len(source), k))
-    for _ in range(ROUNDS):
-        total = unary.copy()
-        np.add.at(total, target, messages)
-        out = (total[source] - messages[back])[:, :, None] + table
-        top = out.max(1)
-        out = top + np.log(np.exp(out - top[:, None, :]).sum(1))
-        out -= out.max(1, keepdims=True)
-        before, messages = messages, DAMPING * messages + (1 - DAMPING) * out
-        if np.abs(messages - before).max(initial=0) < SETTLED:
-            break
-    total = unary.copy()
-    np.add.at(total, target, messages)
-    p = np.exp(total - total.max(1, keepdims=True))
-    return p / p.sum(1, keepdims=True)
+    field = Field(len(unary), g.chain, g.skip[free[g.skip[:, :2]].all(1)])
+    return field.settle(unary, field.tables(model), ROUNDS)
+
+
+#: The written form of each kind, which a word without a confirmed like word must have.
+_WRITTEN = (re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"), _IP, _CARD, _PHONE)
+
+
+def fits(word: str, kind: int, like: bool, tails: set[str]) -> bool:
+    """Has a word the form of its kind? Where a like word is confirmed (like), in any writing. tails: the last seven digits
+    of confirmed telephone numbers."""
+    if not like and not _WRITTEN[kind].fullmatch(word):
+        return False
+    digits, numbers = _NOT_DIGIT.sub("", word), re.findall("[0-9]+", word)
+    if kind == 0:
+        local, _, domain = word.rpartition("@")
+        return bool(local) and "." in domain.strip(".")
+    if kind == 1:
+        return len(numbers) == 4 and all(len(x.lstrip("0")) <= 3 and int(x[-4:]) <= 255 for x in numbers)
+    if kind == 2:
+        return 12 <= len(digits) <= 19 and luhn(digits)
+    return 9 <= len(digits) <= 15 or digits[-7:] in tails and 7 <= len(digits) <= 15
 
 
 def added_spans(text: str, g: Graph, model: Potentials, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
-    """Runs of neighbouring nodes with one label that no base span of the kind touches, without punctuation at the ends."""
-    if not len(g.hubs):
-        return []  # nothing open that is like a confirmed word: see UNSEEN
+    """Runs of neighbouring open nodes with one label that have the form of their kind, else single words of them, without
+    punctuation at the ends and where no base span is."""
+    if (g.seen > 0).all():
+        return []
     p = beliefs(g, model)
     label = np.where(p[:, 0] < 0.5, p[:, 1:].argmax(1) + 1, 0)
+    label[g.seen > 0] = 0
     beside = np.zeros(len(label), bool)
     beside[g.chain[:, 1]] = True
+    supported = {(int(i), int(kind)) for i, kind, _ in g.hubs}
+    tails = {_NOT_DIGIT.sub("", text[a:b])[-7:] for a, kind, b in base if kind == 3}
+    starts, ends = np.array([x[0] for x in sorted(base)], np.int64), np.maximum.accumulate(np.array([x[2] for x in sorted(base)], np.int64))
+
+    def taken(a: int, b: int) -> bool:
+        i = np.searchsorted(starts, b)  # base spans that begin before b
+        return i > 0 and ends[i - 1] > a
+
     out, i = [], 0
     while i < len(label):
         j = i + 1
-        while j < len(label) and label[j] == label[i] and beside[j] and bool(g.seen[j]) == bool(g.seen[i]):
+        while j < len(label) and label[j] == label[i] and beside[j]:
             j += 1
-        if label[i] and not g.seen[i]:
-            a, b = g.spans[i][0], g.spans[j - 1][1]
-            strip = _EDGE if label[i] != 4 else ".,;:!?\"'[]{}<>"
-            a, b = a + len(text[a:b]) - len(text[a:b].lstrip(strip)), b - (len(text[a:b]) - len(text[a:b].rstrip(strip)))
-            if a < b and not any(kind + 1 == label[i] and s < b and a < e for s, kind, e in base):
-                out.append((a, int(label[i]) - 1, b))
+        if label[i]:
+            kind = int(label[i]) - 1
+            for x, y in [(i, j), *((m, m + 1) for m in range(i, j))] if j > i + 1 else [(i, j)]:
+                a, b = g.spans[x][0], g.spans[y - 1][1]
+                strip = _EDGE if kind != 3 else ".,;:!?\"'[]{}<>"
+                a, b = a + len(text[a:b]) - len(text[a:b].lstrip(strip)), b - (len(text[a:b]) - len(text[a:b].rstrip(strip)))
+                like = any((m, kind + 1) in supported for m in range(x, y))
+                if a < b and fits(text[a:b], kind, like, tails) and not taken(a, b):
+                    out.append((a, kind, b))
+                    if (x, y) == (i, j):
+                        break
         i = j
     return out
 
@@ -258,21 +352,36 @@ def find(text: str, held: tuple[list[tuple[int, int]], list[bool]] | None, model
     if held is None:
         return [], []
     base = base_spans(text)
-    return base, added_spans(text, graph(text, *held, base), model, base) if len(held[0]) > 1 else []
+    return base, added_spans(text, graph(text, *held, base), model, base)
 
 
 def train(docs: DataFrame, text: str = "text") -> Potentials:
-    """Fit on the documents with a digit or @ that have the smallest hashes, at most SAMPLE_DOCS of them."""
-    body = F.substring(text_of(text), 1, SAMPLE_CHARS).alias("body")
-    rows = docs.select(body).where(F.col("body").rlike("[0-9@]")).orderBy(F.xxhash64("body"), "body").limit(SAMPLE_DOCS).toArrow()
+    """Fit on whole documents with a digit or @: of equal texts one, and of different ones those with the smallest hashes, so
+    that SAMPLE_DOCS are expected, until SAMPLE_BYTES are reached. No task gathers or sorts more than hashes before that."""
+    rows = docs.select(text_of(text).alias("body")).where(F.col("body").rlike("[0-9@]")).select("body", F.xxhash64("body").alias("h"))
+    known = rows.select("h").distinct().count()
+    below = -(1 << 63) + min((1 << 64) - 1, (SAMPLE_DOCS << 64) // max(1, known))
+    sample = cut(rows.where(F.col("h") <= below).dropDuplicates(["h"]), "pii-sample")
+    order = sample.select("h", F.octet_length("body").alias("bytes")).toArrow().sort_by("h")
+    inside = np.flatnonzero(np.cumsum(np.concatenate([[0], np.asarray(order.column("bytes"))[:-1]])) < SAMPLE_BYTES) if order.num_rows else []
+    last = order.column("h")[len(inside) - 1].as_py() if len(inside) else -(1 << 63)
+    texts = sample.where(F.col("h") <= last).toArrow().sort_by("h").column("body").to_pylist()
     graphs = []
-    data, offsets = utf8(rows.column(0).combine_chunks())
-    texts = rows.column(0).to_pylist()
-    for a, b in slices(offsets):
-        for t, held in zip(texts[a:b], nodes(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]), strict=True):
-            if held:
-                graphs.append(graph(t, *held, base_spans(t)))
-    return fit(graphs)
+    for t in texts:
+        held = nodes(*utf8(pa.array([t], pa.large_string())))[0]
+        if held:
+            graphs.append(graph(t, *certain(t, *held), base_spans(t)))
+    return fit([g for g in graphs if g.spans])
+
+
+def certain(text: str, spans: list[tuple[int, int]], neighbours: list[bool]) -> tuple[list[tuple[int, int]], list[bool]]:
+    """Nodes and neighbours without the nodes in doubtful spans that no base span confirms: no label of theirs is known."""
+    doubt = doubtful(text)
+    if not doubt:
+        return spans, neighbours
+    sure = [(a, b) for a, _, b in base_spans(text)]
+    kept = [not any(x < b and a < y for x, y in doubt) or any(x < b and a < y for x, y in sure) for a, b in spans]
+    return [x for x, k in zip(spans, kept, strict=True) if k], [bool(n and i and kept[i - 1]) for i, (n, k) in enumerate(zip(neighbours, kept, strict=True)) if k]
 
 
 def joined(spans: list[tuple[int, int, int]]) -> str:

@@ -1,16 +1,20 @@
 """Quality, PII, toxicity and line dedup against plain versions, and their odd cases."""
 
 import hashlib
+import itertools
 import random
 import re
 import zlib
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from conftest import canonical
 from pyspark.sql import functions as F
 
 from quire.llm import lines, pii, quality, toxicity
+from quire.llm.common import utf8
 from quire.llm.entry import OP10_SQL, op5_toxicity, op6_quality, op7_pii, op10_lines
 
 SF = "/root/testdata/sf0.001"
@@ -106,13 +110,61 @@ def spans(spark, model, texts):
     return [[(x.kind, t[x.start : x.end], x.added) for x in r.found] for r, t in zip(pii.find_pii(df, model).orderBy("doc_id").collect(), texts, strict=True) if t is not None]
 
 
-def test_skip_links_add_like_words_only(spark, field):
-    got = spans(spark, field, ["Call +1 (456) 555-2186 now, or (456) 555-2186. See 4.0 (123)", "a (456) 555-2186 and (456) 555-2186", "card 4041894974608795 or 4041-8949-7460.8795", "ip 42.144.35.254 and 42-144-35-254", "no 12 numbers 3456 here"])
-    assert got[0] == [("phone", "+1 (456) 555-2186", False), ("phone", "(456) 555-2186", True)]
-    assert got[1] == [] and got[4] == []
+def test_skip_links_add_like_words(spark, field):
+    got = spans(spark, field, ["Call +1 (456) 555-2186 now, or 5552186. See 4.0 (123)", "no 5552186 and 5552186", "card 4041894974608795 or 4041-8949-7460.8795", "ip 42.144.35.254 and 42-144-35-254", "no 12 numbers 3456 here", "a 42-144-35-254 b"])
+    assert got[0] == [("phone", "+1 (456) 555-2186", False), ("phone", "5552186", True)]
+    assert got[1] == got[4] == got[5] == []
     assert ("card", "4041-8949-7460.8795", True) in got[2] and ("ip", "42-144-35-254", True) in got[3]
 
 
+def test_words_whose_pattern_failed_for_what_stands_beside_them_are_found(spark, field):
+    got = spans(spark, field, ["mentle 7536784127813050 4845168114407329 oile", "é +1 (826) 555-4081 190.137.2.77 x", "7536784127813051 4845168114407320"])
+    assert got[0] == [("card", "7536784127813050", True), ("card", "4845168114407329", True)]
+    assert ("phone", "+1 (826) 555-4081", True) in got[1] and ("ip", "190.137.2.77", False) in got[1]
+    assert got[2] == []
+
+
+def enumerated(g, model):
+    """Label probabilities by going through all labellings."""
+    n, k = len(g.spans), len(pii.LABELS)
+    unary, total = g.features @ model.unary, np.zeros((n, k))
+    for y in itertools.product(range(k), repeat=n):
+        if any(g.seen[i] and y[i] != g.seen[i] for i in range(n)):
+            continue
+        s = sum(unary[i, y[i]] for i in range(n) if not g.seen[i]) + sum(model.chain[y[i], y[j]] for i, j in g.chain)
+        s += sum(model.skip[t, y[i]] for i, j, t in g.skip if y[i] == y[j])
+        for i in range(n):
+            total[i, y[i]] += np.exp(s)
+    return total / total.sum(1, keepdims=True)
+
+
+def random_graph(rng, n, chain, skip):
+    no = np.zeros((0, 3), np.int64)
+    return pii.Graph([(0, 0)] * n, rng.normal(size=(n, pii.N_FEATURES)), np.zeros(n, np.int64), np.array(chain, np.int64).reshape(-1, 2), np.array(skip, np.int64).reshape(-1, 3), no)
+
+
+def test_beliefs_against_all_labellings():
+    rng = np.random.default_rng(3)
+    k = len(pii.LABELS)
+    for _ in range(20):
+        model = pii.Potentials(rng.normal(size=(pii.N_FEATURES, k)) * 0.4, rng.normal(size=(k, k)) * 0.5, rng.normal(1, 0.5, (3, k)))
+        tree = random_graph(rng, 5, [(0, 1), (1, 2)], [(0, 3, 0), (2, 4, 2)])
+        assert np.abs(pii.beliefs(tree, model) - enumerated(tree, model)).max() < 1e-3
+        loop = random_graph(rng, 5, [(0, 1), (1, 2), (2, 3), (3, 4)], [(0, 3, 0), (1, 4, 2)])
+        assert np.abs(pii.beliefs(loop, model) - enumerated(loop, model)).max() < 0.15
+
+
+def test_the_fit_recovers_agreement_and_shape():
+    """Labels drawn from a known field: fitted potentials score the true labels better than ones without skip edges."""
+    text = "card 4041894974608795 and 4041-8949-7460.8795 ok"
+    base = pii.base_spans(text)
+    g = pii.graph(text, *pii.nodes(*utf8(pa.array([text], pa.large_string())))[0], base)
+    assert g.seen.tolist() == [3, 0] and g.hubs.tolist() == [[1, 3, pii.SAME]]
+    model = pii.fit([g] * 50)
+    assert np.isfinite(model.unary).all() and model.skip[pii.SAME, 3] < 6.0  # here like words disagree
+    assert pii.fit([]).skip[pii.SAME, 3] == 6.0
+
+
 @pytest.mark.parametrize("n", [1, 2, 5, 50])
 def test_all_repeats_after_one_confirmed_word_are_found(spark, field, n):
     got = spans(spark, field, ["Call +1 (456) 555-2186" + " or (456) 555-2186" * n, "card 4041894974608795" + " or 4041-8949-7460.8795" * n, "4041-8949-7460.8795 or " * n + "card 4041894974608795", "ip 42.144.35.254" + " and 42-144-35-254" * n])
