@@ -26,12 +26,12 @@ from .common import batched, components, cut, map_arrow
 BLOCK, CHUNK = 16384, 4096
 #: Sample rows for each coarse list, the most lists, codewords of each subspace, and components of all sample rows; they
 #: bound the fit at the driver.
-SAMPLE_PER_LIST, MOST_LISTS, CODEWORDS, SUBSPACES = 32, 4096, 64, 8
+SAMPLE_PER_LIST, MOST_LISTS, CODEWORDS, SUBSPACES = 32, 4096, 256, 16
 SAMPLE_NUMBERS = 16 << 20
 #: Lists for each square root of the vectors.
 LISTS_PER_ROOT = 0.25
 #: Sample vectors whose made neighbours fit the probes, and the share of those neighbours that the probes are to reach.
-PROBE_SAMPLE, REACHED = 4096, 0.9995
+PROBE_SAMPLE, REACHED = 4096, 0.998
 #: Rows whose distances to all centroids are held at once.
 ROWS = 4096
 
