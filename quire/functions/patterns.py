@@ -48,6 +48,7 @@ CLASSIFICATION = r"(?iU)^\s*(PACS|MSC|CCS|AMS)\b"
 KEYWORDS = r"(?iU)^\s*(index\s+terms|key\s?words?)\b"
 AUTHOR_SEPARATOR = r"(?iU)([,;]|\band\b)"
 ALPHA_TOKEN = r"[A-Za-zÀ-ɏ]{2,}"
+UPPER_TOKEN = r"(?<![A-Za-zÀ-ɏ])[\p{Lu}&&[A-Za-zÀ-ɏ]][A-Za-zÀ-ɏ]+"
 PROSE_WORDS, PROSE_CAPS = 12, 0.5
 AUTHOR_CAPS, AUTHOR_CHARS = 0.7, 220
 STANDALONE_NAME = r"(?U)^[A-Z][A-Za-z'\-]*\.?(\s+[A-Z][A-Za-z'\-]*\.?){1,3}$"
@@ -92,6 +93,7 @@ LABEL_TAIL = r"[\s._\-#]*([0-9]+(\.[0-9]+)*([a-z](-[a-z])?)?|[ivxIVX]+)[)]?\s*$"
 # Title matching.
 STOPWORDS = ["a", "an", "the", "of", "for", "in", "on", "and", "with", "to", "by", "at", "from", "using", "via", "its", "into", "based"]
 MATCH_WORDS, MATCH_OVERLAP, MATCH_SHARED, TRUNCATED_AT = 3, 0.85, 4, 95
+STORED_TAG = "lightrag"
 ITEM_KEY = r"^([23456789A-HJ-NP-Z]{8})\s+"
 NOTE_TITLE = r"^(?:draft_)?[A-Za-zÀ-ɏ&\-']+\s+\d{4}\s*[-–]\s*(.+)$"
 

@@ -76,18 +76,19 @@ def display_text(text: Column, list_items: Column) -> Column:
 
 def caps_ratio(text: Column) -> Column:
     """The share of words of two letters or more that begin in upper case; 0 without such words."""
-    words = matches_of(filled(text), P.ALPHA_TOKEN)
-    return F.coalesce(F.try_divide(F.size(F.filter(words, lambda w: w.rlike(r"^\p{Lu}"))), F.size(words)), F.lit(0.0))
+    t = filled(text)
+    return F.coalesce(F.try_divide(F.regexp_count(t, F.lit(P.UPPER_TOKEN)), F.regexp_count(t, F.lit(P.ALPHA_TOKEN))), F.lit(0.0))
 
 
-def looks_like_prose(text: Column) -> Column:
-    words = F.size(F.filter(F.split(filled(text), r"(?U)\s+"), lambda w: w != ""))
-    return (words >= P.PROSE_WORDS) & (caps_ratio(text) < P.PROSE_CAPS)
+def looks_like_prose(text: Column, caps: Column | None = None) -> Column:
+    """caps: the text's caps_ratio where it is at hand, so that it is found once."""
+    words = F.regexp_count(filled(text), F.lit(r"(?U)\S+"))
+    return (words >= P.PROSE_WORDS) & ((caps_ratio(text) if caps is None else caps) < P.PROSE_CAPS)
 
 
-def looks_like_author_line(text: Column) -> Column:
+def looks_like_author_line(text: Column, caps: Column | None = None) -> Column:
     t = stripped(filled(text))
-    return (t != "") & (F.length(t) <= P.AUTHOR_CHARS) & t.rlike(P.AUTHOR_SEPARATOR) & (caps_ratio(t) >= P.AUTHOR_CAPS)
+    return (t != "") & (F.length(t) <= P.AUTHOR_CHARS) & t.rlike(P.AUTHOR_SEPARATOR) & ((caps_ratio(t) if caps is None else caps) >= P.AUTHOR_CAPS)
 
 
 def is_standalone_name(text: Column) -> Column:
@@ -95,7 +96,7 @@ def is_standalone_name(text: Column) -> Column:
     return (t != "") & (F.length(t) <= P.NAME_CHARS) & t.rlike(P.INITIAL) & t.rlike(P.STANDALONE_NAME)
 
 
-def title_signal(text: Column) -> Column:
+def title_signal(text: Column, caps: Column | None = None) -> Column:
     """The first of the signals that mark a line of a title block, null for none. The order counts: prose is asked midway."""
     t = stripped(filled(text))
     return (
@@ -105,9 +106,9 @@ def title_signal(text: Column) -> Column:
         .when(t.rlike(P.CLASSIFICATION), "classification")
         .when(is_publisher_boilerplate(t), "publisher")
         .when(t.rlike(P.CORRESPONDENCE), "correspondence")
-        .when(looks_like_prose(t), None)
+        .when(looks_like_prose(t, caps), None)
         .when(t.rlike(P.AFFILIATION), "affiliation")
-        .when(looks_like_author_line(t), "author")
+        .when(looks_like_author_line(t, caps), "author")
         .when(is_standalone_name(t), "name_line")
     )
 
@@ -273,7 +274,7 @@ def failure_reason(message: Column) -> Column:
     )
 
 
-def recorded_filenames(extra: Column, tag: str = "stored") -> Column:
+def recorded_filenames(extra: Column, tag: str = P.STORED_TAG) -> Column:
     """The values of a field's `tag:` lines, in order; tag is what a library writes before the name of a stored file."""
     lines = F.transform(F.split(filled(extra), r"\r\n|\r|\n"), stripped)
     named = F.filter(lines, lambda x: F.lower(x).startswith(tag + ":"))

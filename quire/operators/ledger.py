@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import patterns as P
 from ..functions import text as T
+from ..plans.storage import BROADCAST_ROWS, ranked, settled
 
 #: Gates, and the checks whose failures only warn.
 GATES = ["parse.coverage", "parse.checks", "pp.preflight", "pp.tables", "pp.equations", "extract.grounding", "extract.format", "retrieval.smoke"]
@@ -142,16 +145,21 @@ def entries_from_plan(rows: DataFrame) -> DataFrame:
 
 def hard_failures(checks: DataFrame, names: DataFrame) -> DataFrame:
     """(name, what) of hard checks that failed, by the documents named in them; name is null where none is."""
-    bad = checks.where("level = 'hard' AND ok = false")
-    return bad.join(names, F.col("what").contains(F.col("name")), "left").select("name", "what")
+    bad = checks.where("level = 'hard' AND ok = false").select("what").distinct()
+    # A name may stand anywhere in a message, so no key can meet: the messages, counted, go to the names block by block.
+    blocks = -(-bad.count() // BROADCAST_ROWS)
+    if not blocks:
+        return bad.select(F.lit(None).cast("string").alias("name"), "what")
+    cut = [bad.where(F.pmod(F.xxhash64("what"), F.lit(blocks)) == i) for i in range(blocks)]
+    found = reduce(DataFrame.unionByName, [names.join(F.broadcast(x), F.col("what").contains(F.col("name"))) for x in cut]).select("name", "what")
+    return found.unionByName(bad.join(found.select("what").distinct(), "what", "left_anti").select(F.lit(None).cast("string").alias("name"), "what"))
 
 
 def pending(docs: DataFrame, recorded: DataFrame) -> DataFrame:
     """(doc, position, next): documents not yet decided, in order, with the one that follows."""
-    left = docs.select("doc").distinct().join(recorded, "doc", "left_anti")
-    # The queue is people's work: one line of documents, numbered over all.
-    w = W.orderBy("doc")
-    return left.select("doc", F.row_number().over(w).alias("position"), F.lead("doc").over(w).alias("next"))
+    left = settled(ranked(docs.select("doc").distinct().join(recorded, "doc", "left_anti"), ["doc"]))
+    follows = left.select((F.col("k") - 1).alias("k"), F.col("doc").alias("next"))
+    return left.join(follows, "k", "left").select("doc", (F.col("k") + 1).cast("int").alias("position"), "next")
 
 
 def hold_reason(pending_items: Column, confirmed: Column) -> Column:

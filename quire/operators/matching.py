@@ -10,7 +10,7 @@ from ..functions import patterns as P
 from ..functions import text as T
 from ..functions.latex import equation_key, text_ratio
 from ..functions.unicode import file_words, key_of_name, tier_of, title_words
-from ..plans.storage import settled
+from ..plans.storage import components
 
 
 def overlap(a: Column, b: Column) -> Column:
@@ -40,11 +40,24 @@ def word_jaccard(a: Column, b: Column) -> Column:
 def best_matches(needles: DataFrame, haystack: DataFrame) -> DataFrame:
     """(needle, match, score, jaccard): the best of haystack for each needle; no row where two tie on both measures.
 
-    Both sides: (id, words). A match shares four words, so an equi-join on words finds all candidates; those of fewer shared
-    words never reach the sets.
+    Both sides: (id, words). A match covers 0.85 of the smaller set, so it shares one of that set's rarest words, as many as may
+    be missing and one more: only those of the smaller side are joined with the other side's words, and a word that many sets
+    hold meets nothing unless a set has few rarer ones.
     """
     n, h = needles.select(F.col("id").alias("needle"), F.col("words").alias("a")), haystack.select(F.col("id").alias("match"), F.col("words").alias("b"))
-    shared = n.select("needle", F.explode("a").alias("w")).join(h.select("match", F.explode("b").alias("w")), "w").groupBy("needle", "match").agg(F.count("*").alias("shared")).where(F.col("shared") >= P.MATCH_SHARED)
+    listed = {x: rows.where(F.size(words) >= P.MATCH_WORDS).select(x, F.size(words).alias("size"), F.explode(words).alias("w")) for x, rows, words in (("needle", n, "a"), ("match", h, "b"))}
+    known = listed["needle"].select("w").union(listed["match"].select("w")).groupBy("w").agg(F.count("*").alias("df"))
+
+    def rare(side: str) -> DataFrame:
+        missing = F.col("size") - F.ceil(F.col("size") * P.MATCH_OVERLAP - 1e-9)
+        order = F.row_number().over(W.partitionBy(side).orderBy("df", "w"))
+        return listed[side].join(known, "w").withColumn("r", order).where(F.col("r") <= missing + 1).select(side, "size", "w")
+
+    def meet(small: str, large: str) -> DataFrame:
+        other = listed[large].withColumnRenamed("size", "other")
+        return rare(small).join(other, "w").where("size <= other").select("needle", "match")
+
+    shared = meet("needle", "match").union(meet("match", "needle")).distinct()
     scored = shared.join(n, "needle").join(h, "match").select("needle", "match", score(F.col("a"), F.col("b")).alias("score"), jaccard(F.col("a"), F.col("b")).alias("jaccard")).where("score > 0")
     best = scored.withColumn("r", F.rank().over(W.partitionBy("needle").orderBy(F.desc("score"), F.desc("jaccard")))).where("r = 1")
     return best.withColumn("ties", F.count("*").over(W.partitionBy("needle"))).where("ties = 1").select("needle", "match", "score", "jaccard")
@@ -186,19 +199,11 @@ def case_variants(names: DataFrame) -> DataFrame:
 def source_roots(sources: DataFrame) -> DataFrame:
     """(source, root): classes of sources declared the same work; the root is the least of the class.
 
-    sources: (source, same_work_as array). Least labels spread along edges until none changes; each round is one join, whose
-    result is settled.
+    sources: (source, same_work_as array), which may name sources that have no row.
     """
-    edges = sources.select(F.col("source").alias("a"), F.explode("same_work_as").alias("b"))
-    edges = edges.union(edges.select("b", "a")).where("a <> b").distinct()
-    labels = sources.select("source").union(edges.select("a")).distinct().withColumn("root", F.col("source"))
-    while True:
-        spread = edges.join(labels, edges.b == labels.source).groupBy("a").agg(F.min("root").alias("near"))
-        fresh = settled(labels.join(spread, labels.source == spread.a, "left").select("source", F.least("root", F.coalesce("near", "root")).alias("root"), F.col("root").alias("old")))
-        changed = not fresh.where("root <> old").isEmpty()
-        labels = fresh.select("source", "root")
-        if not changed:
-            return labels
+    same = sources.select(F.col("source").alias("a"), F.explode("same_work_as").alias("b"))
+    alone = sources.select(F.col("source").alias("a"), F.col("source").alias("b"))
+    return components(same.union(alone)).withColumnRenamed("id", "source")
 
 
 def reconcile(corpus: DataFrame, registry: DataFrame, ledger: DataFrame) -> DataFrame:

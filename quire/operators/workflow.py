@@ -52,15 +52,18 @@ def section(status: Column, index_status: Column) -> Column:
 
 
 def console(jobs: DataFrame) -> DataFrame:
-    """(section, n, files) of jobs (filename, status, index_status)."""
-    return jobs.groupBy(section(F.col("status"), F.col("index_status")).alias("section")).agg(F.count("*").alias("n"), F.sort_array(F.collect_list("filename")).alias("files"))
+    """(section, n, filename) of jobs (filename, status, index_status): a row for each job, with the size of its section. No list
+    of names stands in one row, as a section may hold most jobs."""
+    rows = jobs.select("filename", section(F.col("status"), F.col("index_status")).alias("section"))
+    sizes = rows.groupBy("section").agg(F.count("*").alias("n"))  # at most as many rows as sections
+    return rows.join(F.broadcast(sizes), "section").select("section", "n", "filename")
 
 
 def pending_by_reason(jobs: DataFrame) -> DataFrame:
-    """(reason, n, jobs) of what waits for a person: plans that are not clean by each of their reasons, failures by their kind."""
+    """(reason, n) of what waits for a person: plans that are not clean by each of their reasons, failures by their kind."""
     given = F.coalesce("reasons", F.array().cast("array<string>"))
     reasons = F.when((F.col("status") == "planned") & ~F.col("decision").eqNullSafe("clean"), given).when(F.col("status") == "failed_parse", F.array(F.lit("解析失敗"))).when(F.col("status") == "failed", F.array(F.lit("工作失敗")))
-    return jobs.select("job_id", F.explode(reasons).alias("reason")).groupBy("reason").agg(F.count("*").alias("n"), F.sort_array(F.collect_list("job_id")).alias("jobs"))
+    return jobs.select("job_id", F.explode(reasons).alias("reason")).groupBy("reason").agg(F.count("*").alias("n"))
 
 
 def convergence(events: DataFrame, processed: int) -> DataFrame:
@@ -97,9 +100,9 @@ def foreign_documents(index: DataFrame, jobs: DataFrame) -> DataFrame:
 
 
 def round_can_start(jobs: DataFrame) -> DataFrame:
-    """One row (ready, blocked): jobs that wait for the batch, and whether any is parsing or extracting."""
-    busy = F.count_if(F.col("status").isin("parsing", *EXTRACTING))
-    return jobs.agg(F.array_sort(F.collect_list(F.when(F.col("status") == "planned", F.col("job_id")))).alias("ready"), (busy > 0).alias("blocked"))
+    """(job_id, blocked) of the jobs that wait for the batch: blocked while any is parsing or extracting."""
+    busy = jobs.agg((F.count_if(F.col("status").isin("parsing", *EXTRACTING)) > 0).alias("blocked"))  # one row
+    return jobs.where("status = 'planned'").select("job_id").crossJoin(F.broadcast(busy))
 
 
 def stale(reports: DataFrame, now: Column, hours: int = 24) -> DataFrame:

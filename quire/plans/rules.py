@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import patterns as P
@@ -118,17 +118,77 @@ def revert(items: DataFrame) -> DataFrame:
 
 
 def apply(items: DataFrame, plan_rows: DataFrame, charts: DataFrame | None = None, acknowledged: bool = False, path: str | None = None) -> DataFrame:
-    """Guard, mute, convert; the row count may not change. With a path the result is written there, else it is a dry run."""
+    """Guard, mute, convert; nothing else may change. Without a path it is a dry run.
+
+    With one, the result is written beside it, read again and checked, and only then takes the place of what is there, which
+    is kept beside it as the backup; if anything fails before, the path is as it was. rollback() puts the backup back.
+    """
     guard(items, plan_rows, acknowledged)
     out = mute(items, plan_rows)
     out = convert_charts(out, charts) if charts is not None else out
-    if path is not None:
-        before = items.count()
-        out.write.mode("overwrite").parquet(path)
-        out = items.sparkSession.read.parquet(path)
-        if (after := out.count()) != before:
-            raise Refused(f"{before} items became {after}")
-    return out
+    if path is None:
+        return out
+    spark, staging = items.sparkSession, _beside(path, "staging")
+    files, at = _files(spark, path)
+    try:
+        out.write.mode("overwrite").parquet(staging)
+        verify(items, spark.read.parquet(staging))
+        if files.exists(at(path)):
+            files.delete(at(_beside(path, "backup")), True)
+            _move(files, at(path), at(_beside(path, "backup")))
+        try:
+            _move(files, at(staging), at(path))
+        except OSError:
+            if files.exists(at(_beside(path, "backup"))) and not files.exists(at(path)):
+                _move(files, at(_beside(path, "backup")), at(path))
+            raise
+    finally:
+        files.delete(at(staging), True)
+    return spark.read.parquet(path)
+
+
+def verify(before: DataFrame, after: DataFrame) -> None:
+    """Raise Refused unless reverting what was written gives what was there, item by item."""
+    key = lambda df: revert(df).select("doc_id", "item_idx", F.xxhash64(*(F.to_json(F.struct(c)) for c in sorted(REVERTED))).alias("h"))
+    a, b = key(before), key(after).withColumnRenamed("h", "g")
+    n, m = before.count(), after.count()
+    if n != m:
+        raise Refused(f"{n} items became {m}")
+    if lost := a.join(b, ["doc_id", "item_idx"], "left").where("NOT h <=> g").take(3):
+        raise Refused(f"what was written can't be reverted at {[(r.doc_id, r.item_idx) for r in lost]}")
+
+
+#: Columns that reverting must give back.
+REVERTED = ["type", "text", "list_items", "table_body", "chart_caption", "image_caption"]
+
+
+def rollback(spark: SparkSession, path: str) -> DataFrame:
+    """Put back what apply() last replaced at path, and keep what was there as the new backup, so that it can be undone as well."""
+    files, at = _files(spark, path)
+    backup, aside = at(_beside(path, "backup")), at(_beside(path, "staging"))
+    if not files.exists(backup):
+        raise Refused(f"there is no backup of {path}")
+    _move(files, at(path), aside)
+    _move(files, backup, at(path))
+    _move(files, aside, backup)
+    return spark.read.parquet(path)
+
+
+def _beside(path: str, what: str) -> str:
+    head, _, name = path.rstrip("/").rpartition("/")
+    return f"{head}/.{name}.{what}"
+
+
+def _files(spark: SparkSession, path: str):
+    """The file system of a path as the JVM has it, and how it names one: any store that Spark writes to."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    at = jvm.org.apache.hadoop.fs.Path
+    return at(path).getFileSystem(conf), at
+
+
+def _move(files, a, b) -> None:
+    if not files.rename(a, b):
+        raise OSError(f"{a} could not be renamed {b}")
 
 
 def latex_edits(items: DataFrame) -> DataFrame:

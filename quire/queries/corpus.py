@@ -10,6 +10,7 @@ from ..functions import patterns as P
 from ..functions import text as T
 from ..operators import checks, layout, matching, retrieval, votes
 from ..plans import rules
+from ..plans.storage import BROADCAST_ROWS
 from ..sources.bundles import documents_as_items
 
 
@@ -34,20 +35,17 @@ def running_heads(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def line_signals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines that a title block's classifier knows, and the shape of them."""
-    rows = items_of(spark, sf_dir).where(~T.is_blank(F.col("text"))).withColumn("signal", T.title_signal(F.col("text")))
-    return rows.where("signal IS NOT NULL").select("doc_id", "item_idx", "signal", T.caps_ratio(F.col("text")).alias("caps"))
+    rows = items_of(spark, sf_dir).withColumn("text", T.stripped(F.col("text"))).where("text <> ''").withColumn("caps", T.caps_ratio(F.col("text")))
+    # Exploding the one signal finds it once, where a filter on it would be pushed down and find it twice.
+    signal = F.explode(F.array_compact(F.array(T.title_signal(F.col("text"), F.col("caps")))))
+    return rows.select("doc_id", "item_idx", signal.alias("signal"), "caps")
 
 
 def line_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: lines that are prose, boilerplate, gibberish, an author line or a lone name."""
-    t = F.col("text")
-    rows = items_of(spark, sf_dir).where(~T.is_blank(t))
-    return rows.groupBy("doc_id").agg(F.count("*").alias("n"), F.count_if(T.looks_like_prose(t)).alias("prose"), F.count_if(T.is_publisher_boilerplate(t)).alias("boilerplate"), F.count_if(T.is_gibberish(t)).alias("gibberish"), F.count_if(T.looks_like_author_line(t)).alias("authors"), F.count_if(T.is_standalone_name(t)).alias("names"))
-
-
-def mangled_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = items_of(spark, sf_dir)
-    return rows.where(T.is_mangled(F.col("text"), F.col("type"))).select("doc_id", "item_idx", F.length(T.strip_math(F.col("text"))).cast("long").alias("chars"))
+    t, caps = F.col("text"), F.col("caps")
+    rows = items_of(spark, sf_dir).withColumn("text", T.stripped(t)).where("text <> ''").withColumn("caps", T.caps_ratio(t))
+    return rows.groupBy("doc_id").agg(F.count("*").alias("n"), F.count_if(T.looks_like_prose(t, caps)).alias("prose"), F.count_if(T.is_publisher_boilerplate(t)).alias("boilerplate"), F.count_if(T.is_gibberish(t)).alias("gibberish"), F.count_if(T.looks_like_author_line(t, caps)).alias("authors"), F.count_if(T.is_standalone_name(t)).alias("names"))
 
 
 def coverage_of_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -66,12 +64,6 @@ def parse_severity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return checks.with_severity(checks.parse_check(items)).select("doc_id", "items", F.col("pages").cast("long").alias("pages"), "mangled", "leaks", "empty_text", "chars", F.col("textless_pages").cast("long").alias("textless_pages"), "severity")
 
 
-def pages_without_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    empty = F.lit(None).cast("string")
-    items = items_of(spark, sf_dir).withColumns({"table_body": empty, "code_body": empty, "orig_text": empty})
-    return checks.textless_pages(items)
-
-
 def turn_context(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every turn of a conversation with the two before and the two after it."""
     turns = _t(spark, sf_dir, "conversations").select(F.col("conv_id").cast("string").alias("doc_id"), F.col("turn").cast("int").alias("item_idx"), "text", F.lit(None).cast("array<string>").alias("list_items"))
@@ -131,10 +123,13 @@ def latest_order(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def length_band(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per source: the element a tenth from either end of the sorted lengths, by index; null below five documents."""
-    per = _t(spark, sf_dir, "documents").where("n_chars IS NOT NULL").groupBy("source").agg(F.sort_array(F.collect_list("n_chars")).alias("a"))
-    n = F.size("a")
-    k = F.floor(n * P.BODY_EDGE_PERCENT / 100).cast("int")
-    return per.select("source", F.when(n >= P.BODY_LEAST_PARAGRAPHS, F.get("a", k)).alias("low"), F.when(n >= P.BODY_LEAST_PARAGRAPHS, F.get("a", n - 1 - k)).alias("high"))
+    per = _t(spark, sf_dir, "documents").where("n_chars IS NOT NULL").groupBy("source", "n_chars").agg(F.count("*").alias("c"))
+    # By counts of each length, so a source costs as many rows as it has lengths.
+    w = W.partitionBy("source")
+    rows = per.withColumns({"upto": F.sum("c").over(w.orderBy("n_chars")), "n": F.sum("c").over(w)})
+    k = F.floor(F.col("n") * P.BODY_EDGE_PERCENT / 100)
+    known = lambda place: F.min(F.when((F.col("n") >= P.BODY_LEAST_PARAGRAPHS) & (F.col("upto") > place), F.col("n_chars")))
+    return rows.groupBy("source").agg(known(k).alias("low"), known(F.col("n") - 1 - k).alias("high"))
 
 
 def spaced_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -145,13 +140,19 @@ def spaced_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 def benchmark_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(item, documents) of benchmark passages of which a document holds the whole: the longest word of each joins first."""
     docs = _t(spark, sf_dir, "documents").select("doc_id", "text")
-    items = _t(spark, sf_dir, "benchmark").where("text <> ''").withColumn("anchor", F.get(F.transform(F.sort_array(F.transform(F.split(F.trim("text"), r"\s+"), lambda w: F.struct(-F.length(w), w.alias("w")))), lambda x: x.w), F.lit(0)))
+    items = _t(spark, sf_dir, "benchmark").where("text <> ''")
     # Every word but the outer two of a passage stands between spaces in a text that holds it, so an equi-join finds them.
     inner = F.expr("slice(split(text, ' '), 2, greatest(size(split(text, ' ')) - 2, 0))")
     keyed = items.withColumn("inner", inner).withColumn("anchor", F.when(F.size("inner") > 0, F.element_at(F.array_sort("inner", lambda a, b: F.when(F.length(a) != F.length(b), F.length(b) - F.length(a)).when(a < b, -1).when(a > b, 1).otherwise(0)), 1)))
     words = docs.select("doc_id", F.explode(F.array_distinct(F.split("text", " "))).alias("anchor"))
     near = words.join(keyed.select("item_id", "anchor", F.col("text").alias("passage")), "anchor").join(docs, "doc_id")
-    return near.where(F.col("text").contains(F.col("passage"))).groupBy("item_id").agg(F.count_distinct("doc_id").alias("documents"))
+    hits = near.where(F.col("text").contains(F.col("passage"))).select("item_id", "doc_id")
+    # Passages of one or two words have no inner word; they meet the documents block by block.
+    short = keyed.where("anchor IS NULL").select("item_id", F.col("text").alias("passage"))
+    for i in range(blocks := -(-short.count() // BROADCAST_ROWS)):
+        some = F.broadcast(short.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == i))
+        hits = hits.unionByName(docs.join(some, F.col("text").contains(F.col("passage"))).select("item_id", "doc_id"))
+    return hits.groupBy("item_id").agg(F.count_distinct("doc_id").alias("documents"))
 
 
 def fuzzy_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -193,7 +194,6 @@ SQL = {
     "line_signals": rf"WITH i AS ({LINES}), t AS (SELECT doc_id, item_idx, regexp_replace(text, {WS}) AS t FROM i), s AS (SELECT doc_id, item_idx, {SIGNAL} AS signal, {CAPS}::DOUBLE AS caps FROM t WHERE t <> '') SELECT * FROM s WHERE signal IS NOT NULL",
     "line_shapes": rf"""WITH i AS ({LINES}), t AS (SELECT doc_id, regexp_replace(text, {WS}) AS t FROM i) SELECT doc_id, count(*) AS n, count(*) FILTER ({PROSE}) AS prose, count(*) FILTER ({PUBLISHER}) AS boilerplate,
       count(*) FILTER (len(list_filter(regexp_extract_all(t, '[A-Za-z]{{3,}}'), lambda w: regexp_matches(w, '[aeiouAEIOU]'))) = 0) AS gibberish, count(*) FILTER ({AUTHOR}) AS authors, count(*) FILTER ({NAME}) AS names FROM t WHERE t <> '' GROUP BY doc_id""",
-    "mangled_lines": rf"WITH i AS ({LINES}), s AS (SELECT doc_id, item_idx, {STRIPPED} AS s FROM i) SELECT doc_id, item_idx, length(s) AS chars FROM s WHERE {MANGLED}",
     "coverage_of_lines": r"""WITH w AS (SELECT doc_id AS doc, unnest(regexp_extract_all(lower(regexp_replace(coalesce(text, ''), '\x{00AD}\s*', '', 'g')), '[a-z]{4,}')) AS word FROM documents),
       l AS (SELECT doc_id AS doc, unnest(list_distinct(string_split(coalesce(text, ''), chr(10)))) AS line FROM documents),
       v AS (SELECT doc, unnest(regexp_extract_all(lower(regexp_replace(line, '\x{00AD}\s*', '', 'g')), '[a-z]{4,}')) AS word FROM l),
@@ -206,7 +206,6 @@ SQL = {
       p AS (SELECT doc_id, count(*) AS items, max(page) + 1 AS pages, count(*) FILTER (m) AS mangled, count(*) FILTER (regexp_matches(text, '(?i)Noah Carter|World Athletics|Carbon-Fiber Spikes|100m Sprint|Knowledge Graph Specialist')) AS leaks,
         count(*) FILTER (regexp_full_match(text, '\s*')) AS empty_text, sum(CASE WHEN regexp_full_match(text, '\s*') THEN 0 ELSE length(text) END)::BIGINT AS chars, max(page) + 1 - count(DISTINCT page) FILTER (NOT regexp_full_match(text, '\s*')) AS textless_pages FROM f GROUP BY doc_id)
       SELECT doc_id, items, pages::BIGINT AS pages, mangled, leaks, empty_text, chars, textless_pages::BIGINT AS textless_pages, CASE WHEN mangled > 0 OR leaks > 0 OR chars = 0 THEN 'ERROR' WHEN empty_text > 0 OR textless_pages > greatest(3.0, pages * 0.2) THEN 'WARN' ELSE 'OK' END AS severity FROM p""",
-    "pages_without_text": rf"WITH i AS ({LINES}), p AS (SELECT doc_id, item_idx // 40 AS page, bool_or(NOT regexp_full_match(text, '\s*')) AS texted FROM i GROUP BY ALL) SELECT doc_id, page::INTEGER AS page FROM p WHERE NOT texted",
     "turn_context": r"""WITH t AS (SELECT conv_id::VARCHAR AS doc_id, turn::INTEGER AS item_idx, CASE WHEN regexp_replace(coalesce(text, ''), '^\s+|\s+$', '', 'g') = '' THEN '（空）' ELSE regexp_replace(text, '^\s+|\s+$', '', 'g') END AS s FROM conversations)
       SELECT doc_id, item_idx, coalesce(array_to_string(list(s) OVER (PARTITION BY doc_id ORDER BY item_idx ROWS BETWEEN 2 PRECEDING AND 1 PRECEDING), '|'), '') AS before, coalesce(array_to_string(list(s) OVER (PARTITION BY doc_id ORDER BY item_idx ROWS BETWEEN 1 FOLLOWING AND 2 FOLLOWING), '|'), '') AS after FROM t""",
     "turn_budget": "WITH t AS (SELECT conv_id AS query, turn AS rank, length(coalesce(text, '')) AS n, coalesce(sum(length(coalesce(text, ''))) OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM conversations) SELECT query, rank, least(n, 500 - before)::BIGINT AS chars FROM t WHERE before < 500",
@@ -231,6 +230,6 @@ SQL = {
 
 QUERIES = {
     f.__name__: f
-    for f in (running_heads, line_signals, line_shapes, mangled_lines, coverage_of_lines, parse_severity, pages_without_text, turn_context, turn_budget, nearest_vectors, quality_intervals, quality_rollup,
+    for f in (running_heads, line_signals, line_shapes, coverage_of_lines, parse_severity, turn_context, turn_budget, nearest_vectors, quality_intervals, quality_rollup,
               gate_matrix, type_of_user, repeated_types, latest_order, length_band, spaced_documents, benchmark_hits, fuzzy_parts, url_hosts)
 }

@@ -49,7 +49,7 @@ ITEMS = (
 TABLES: dict[str, tuple[str, list]] = {
     "items": (S.ITEMS, ITEMS),
     "files": ("doc_id string, img_path string", [("paper", "images/c1.jpg"), ("paper", "images/f.png")]),
-    "layout_pages": (S.PAGES, [("paper", 0, 0, [600.0, 800.0]), ("paper", 1, 1, [600.0, 800.0]), ("paper", 2, 2, [610.0, 800.0]), ("paper", 3, 4, [600.0, 800.0]), ("book", 0, 0, [500.0, 700.0]), ("book", 1, 1, [510.0, 700.0]), ("wrap", 0, 0, [600.0, 800.0]), ("plain", 0, 0, [1.0, 1.0]), ("plain", 1, 1, [1.0, 1.0])]),
+    "layout_pages": (S.PAGES, [("paper", 0, 0, [600.0, 800.0]), ("paper", 1, 1, [610.0, 800.0]), ("paper", 2, 2, [600.0, 800.0]), ("paper", 3, 4, [600.0, 800.0]), ("book", 0, 0, [500.0, 700.0]), ("book", 1, 1, [510.0, 700.0]), ("wrap", 0, 0, [600.0, 800.0]), ("plain", 0, 0, [1.0, 1.0]), ("plain", 1, 1, [1.0, 1.0])]),
     "decisions": ("doc_id string, section string, item_idx int, suppress boolean", [("paper", "noise", 22, True), ("paper", "title", 8, False), ("paper", "noise", 999, True)]),
     "chunks": (S.CHUNKS, [("c1", "The sound absorption of panels was measured by Lee.", "w"), ("c2", "<table><tr><td>$G$</td><td>$G=I/U$</td></tr></table>", "w"), ("c3", "Bessel function of the first kind and the orifice partition", "w")]),
     "entities": (S.ENTITIES, [("Sound Absorption", "Concept", ["c1"], "d1"), ("Lee", "Person", ["c1", "c2"], "d1"), ("Conductance", "Concept", ["c2"], "d1"), ("Invented Thing", "Concept", ["c1"], "d1"), ("Orifice Partition Impedance", "Concept", ["c3"], "d2"), ("Partition Orifice", "Concept", ["c3"], "d2"), ("Gone", "Concept", ["c9"], "d2"), ("Empty", "Concept", [], "d2")]),
@@ -74,7 +74,7 @@ TABLES: dict[str, tuple[str, list]] = {
     "digests": ("doc string, digest string", [("d1", "h1"), ("d2", "other"), ("d3", "h3"), ("d4", "h4")]),
     "corpus": ("doc string", [("d1",), ("d2",), ("d3",), ("d4",), ("d5",), ("d6",)]),
     "filenames": ("doc string", [("01405_5.5 The influence",), ("01105_5.1 Another",), ("01205_9.9 None",), ("Room modes_CH01",), ("Room  Modes_CH02",), ("Room modes_Conclusions_CH03",), ("C Equivalent Networks",), ("2020 - Some supplementary data",), ("2021 - Own paper",)]),
-    "bib": ("key string, title string, extra string, tags array<string>, parent string", [("AAAA2222", "Acoustic coherent perfect absorbers", None, ["in-kb", "mine"], None), ("BBBB3333", "Low frequency broadband absorbers with micro slit panels", None, [], None), ("CCCC4444", "Whatever title", "note\nstored: 2026 - Nonlinear Dynamics.pdf\nstored: x.pdf", [], None), ("DDDD5555", "Loudspeaker room response equalization methods survey", None, ["read"], None), ("EEEE6666", "Loudspeaker room response equalization methods survey", None, [], None), ("FFFF7777", "Keyed item", None, [], None), ("GGGG8888", "child", None, ["in-kb"], "AAAA2222")]),
+    "bib": ("key string, title string, extra string, tags array<string>, parent string", [("AAAA2222", "Acoustic coherent perfect absorbers", None, ["in-kb", "mine"], None), ("BBBB3333", "Low frequency broadband absorbers with micro slit panels", None, [], None), ("CCCC4444", "Whatever title", "note\nlightrag: 2026 - Nonlinear Dynamics.pdf\nlightrag: x.pdf", [], None), ("DDDD5555", "Loudspeaker room response equalization methods survey", None, ["read"], None), ("EEEE6666", "Loudspeaker room response equalization methods survey", None, [], None), ("FFFF7777", "Keyed item", None, [], None), ("GGGG8888", "child", None, ["in-kb"], "AAAA2222")]),
     "stored": ("filename string", [("2014 - Acoustic coherent perfect absorbers.pdf",), ("2023 - Ultra broadband symmetrical acoustic coherent perfect absorbers in ducts.pdf",), ("2026 - Nonlinear Dynamics.pdf",), ("2019 - Loudspeaker room response equalization methods survey.pdf",), ("FFFF7777 2020 - Anything at all.pdf",), ("M Room Acoustics.pdf",)]),
     "equations": (S.EQUATIONS, [("d1", 1, "Z = R + j ( \\omega M - \\frac { 3 2 } { \\omega C } )", "s1"), ("d2", 4, "Z = R + j ( \\omega M - \\frac { 3 2 } { \\omega C } )", "s2"), ("d3", 2, "Z = r + j ( \\omega m - \\frac { 3 3 } { \\omega c } )", "s3"), ("d1", 5, "x = y", "s1"), ("d2", 6, "x = y", "s2"), ("d2", 7, "p = \\sqrt { 2 } + \\frac { 1 } { k }", "s2"), ("d3", 8, "p = \\sqrt { 2 } - \\frac { 1 } { k }", "s3"), ("d4", 9, "\\nabla ^ 2 p + k ^ 2 p = 0", "s4")]),
     "latex": ("id int, s string", [(1, "\\mathrm { w i t h ~ f r o n t } x"), (2, "p _ { I \\times } = \\mathsf { t a n h } ( x )"), (3, "\\frac { \\hat { \\sigma } p } { \\hat { \\sigma } n }"), (4, "\\frac { \\bar { X } - \\mu } { \\hat { \\sigma } / \\sqrt { n } } + \\hat { \\sigma }"), (5, "\\frac{\\hat{o} p}{\\hat{o} n} and \\hat{c}_n"), (6, "plain text"), (7, "_ { \\mathsf { I } \\mathsf { I } \\times } y")]),
@@ -91,6 +91,7 @@ TABLES: dict[str, tuple[str, list]] = {
     "raws": ("id int, raw string, finish string", [(1, "```html\n<table><tr><td>1</td></tr></table>\n```", "stop"), (2, "<table><tr>", "length"), (3, " none ", None)]),
     "tables_html": ("id int, a string, b string", [(1, "<table><tr><td>Z_{Mi}</td><td>1.5</td></tr><tr><td>rho</td><td>2</td></tr></table>", "<table><tr><td>Z_{\\mathrm{Mi}}</td><td>1.5</td></tr><tr><td>rho</td><td>2</td></tr></table>"), (2, "<table><tr><td>alpha</td><td>1</td></tr><tr><td>beta</td><td>2</td></tr></table>", "<table><tr><td>alpha</td><td>9</td></tr><tr><td>beta</td><td>2</td></tr></table>"), (3, "none", "<table><tr><td>x</td></tr></table>")]),
     "edits": ("where_ string, current string, new string", [("t1", "abc", "aXbc"), ("t2", "abc", "abd"), ("t3", None, "new"), ("t4", "<img src='images/a.jpg'>", "<img src='images/a.jpg'> x"), ("t5", "", "<img src='http://x/y.jpg'>")]),
+    "confirmations": ("doc_id string, category string, text string", [("d1", "noise", " B"), ("d2", "noise", "B "), ("d1", "noise", "A lone"), ("d2", "title", "B")]),
     "muted": ("doc string, text string", [("d1", "ab"), ("d1", "  "), ("d2", "zz")]),
     "hits": ("chunk string, doc string, content string", [("k1", "d1", "ab cab ababx"), ("k2", "d1", "nothing"), ("k3", "d2", "pizza zzzz")]),
     "notes": ("name string, body string", [("Li 2024 - Hybrid Lattice", "text\n## Sources\n- `Multifunctional hybrid lattice absorbers`\n* A listed source that is long enough\n## Links\n- `not this one here at all`"), ("loose", "no sources")]),

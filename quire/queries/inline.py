@@ -8,11 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import latex as tex
+from ..functions import patterns as P
 from ..functions import unicode
 from ..functions import text as T
 from ..operators import chapters, checks, layout, ledger, matching, retrieval, votes, workflow
 from ..plans import rules
 from ..sources import bundles
+from . import corpus
 from .fixtures import frame, values
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -42,54 +44,129 @@ STRIP = r"regexp_replace({0}, '^\s+|\s+$', '', 'g')"
 BAND = """b AS (SELECT doc_id, list_sort(list(bbox[1])) AS x0, list_sort(list(bbox[2])) AS y0, list_sort(list(bbox[3])) AS x1, list_sort(list(bbox[4])) AS y1, count(*) AS n FROM items WHERE type = 'text' AND trim(coalesce(text, '')) <> '' AND len(bbox) >= 4 GROUP BY doc_id),
   band AS (SELECT doc_id, CASE WHEN n >= 5 THEN y0[n * 10 // 100 + 1] END AS top, CASE WHEN n >= 5 THEN y1[n - n * 10 // 100] END AS bottom, CASE WHEN n >= 5 THEN x0[n * 10 // 100 + 1] END AS left_edge, CASE WHEN n >= 5 THEN x1[n - n * 10 // 100] END AS right_edge FROM b)"""
 
+# The muting rules as common table expressions, so that whole plans can be computed in SQL as well.
+NOISE = rf"""n1 AS (SELECT *, {STRIP.format("text")} AS t, regexp_replace({STRIP.format("text")}, '[0-9]+', '#', 'g') AS k FROM items WHERE type IN ('header', 'footer', 'aside_text')),
+  n2 AS (SELECT doc_id, coalesce(max(page_idx), -1) + 1 AS pages FROM items GROUP BY doc_id),
+  n3 AS (SELECT n1.*, greatest(count(*) OVER (PARTITION BY doc_id, t), count(*) OVER (PARTITION BY doc_id, k)) AS n FROM n1),
+  n4 AS (SELECT n3.*, CASE WHEN n >= greatest(2, least(3, ceil(pages * 0.5))) THEN 'repeat' WHEN page_idx = 0 THEN 'cover' WHEN bbox[4] <= top OR bbox[2] >= bottom THEN 'edge'
+    WHEN length(t) <= 240 AND regexp_matches(t, '(?i)journal\s+homepage|https?://|doi\.org|\bdoi:\s*10\.|©|all\s+rights\s+reserved|\bISSN\b|check\s+for\s+updates') THEN 'publisher'
+    WHEN type = 'aside_text' AND NOT regexp_matches(t, '[A-Za-z]*[aeiouAEIOU][A-Za-z]{{2,}}|[A-Za-z][aeiouAEIOU][A-Za-z]|[A-Za-z]{{2,}}[aeiouAEIOU]') THEN 'gibberish' END AS signal FROM n3 JOIN n2 USING (doc_id) LEFT JOIN band USING (doc_id) WHERE t <> ''),
+  noise AS (SELECT doc_id, item_idx, CASE WHEN signal IS NULL THEN 'held' ELSE 'mute' END AS action, signal, n::VARCHAR AS why FROM n4)"""
+HEADS = r"""h1 AS (SELECT doc_id, item_idx, coalesce(text_level, 0) AS level, CASE WHEN regexp_matches(text, '(?i)^\s*#*\s*(references?|bibliography|works\s+cited|literature\s+cited)\s*$') THEN 'reference'
+    WHEN regexp_matches(text, '(?i)^\s*#*\s*(acknowledge?ments?|funding|author\s+contributions?|conflicts?\s+of\s+interest|declaration\s+of\s+competing\s+interest)\s*$') THEN 'acknowledgement' END AS kind,
+    regexp_matches(coalesce(text, ''), '(?i)^\s*#*\s*(appendix|supplementary\s+(information|material))\b') AS resumes, max(item_idx) OVER (PARTITION BY doc_id) + 1 AS size FROM items),
+  heads AS (SELECT a.doc_id, a.item_idx, a.kind, coalesce((SELECT min(b.item_idx) FROM h1 b WHERE b.doc_id = a.doc_id AND b.item_idx > a.item_idx AND ((b.level > 0 AND b.level <= a.level) OR b.resumes)), a.size)::INTEGER AS stop FROM h1 a WHERE level > 0 AND kind IS NOT NULL)"""
+REFERENCES = f"""{HEADS}, refs AS (SELECT i.doc_id, i.item_idx, coalesce(min_by(h.kind, h.item_idx), 'reference') AS signal FROM items i LEFT JOIN heads h ON h.doc_id = i.doc_id AND i.item_idx >= h.item_idx AND i.item_idx < h.stop AND i.type NOT IN ('header', 'footer', 'aside_text')
+  WHERE h.kind IS NOT NULL OR i.sub_type = 'ref_text' GROUP BY i.doc_id, i.item_idx)"""
+PUBLICATION = corpus.SIGNAL.split("CASE WHEN ", 1)[1].split(" THEN 'publication'")[0]
+CORRESPONDENCE = corpus.SIGNAL.split("THEN 'publisher'")[1].split("WHEN ", 1)[1].split(" THEN 'correspondence'")[0]
+TITLES = rf"""t1 AS (SELECT *, regexp_replace(coalesce(text, ''), {corpus.WS}) AS t, coalesce(page_idx, 0) AS page FROM items), t2 AS (SELECT *, CASE WHEN t <> '' THEN {corpus.SIGNAL} END AS said, {corpus.PROSE} AS prose FROM t1),
+  t3 AS (SELECT doc_id, bool_or(type IN ('text', 'page_footnote') AND page = 0 AND said IN ('publication', 'correspondence')) AS anchored, bool_or(item_idx = 0 AND text_level = 1) AS heads_it, max(page) FILTER (item_idx = 0) AS page,
+    min(item_idx) FILTER (item_idx < 5 AND page <> 0) AS turn, min(item_idx) FILTER (item_idx < 5 AND text_level = 1) AS found, max(item_idx) + 1 AS size FROM t2 GROUP BY doc_id),
+  t4 AS (SELECT doc_id, size, CASE WHEN heads_it THEN CASE WHEN page = 0 THEN 0 END WHEN found IS NOT NULL AND (turn IS NULL OR found < turn) AND anchored THEN found END AS title FROM t3),
+  t5 AS (SELECT t4.*, least(coalesce((SELECT min(item_idx) FROM t2 WHERE t2.doc_id = t4.doc_id AND item_idx > title AND (coalesce(text_level, 0) <> 0 OR page <> 0)), size), title + 26) AS stop FROM t4),
+  t6 AS (SELECT t2.doc_id, item_idx, t, prose, coalesce(item_idx > title AND item_idx < stop, FALSE) AS block, said, CASE WHEN type = 'page_footnote' AND page = 0 THEN CASE WHEN {PUBLICATION} THEN 'publication' WHEN {CORRESPONDENCE} THEN 'correspondence' END END AS foot
+    FROM t2 JOIN t5 USING (doc_id) WHERE type IN ('text', 'page_footnote') AND t <> ''),
+  t7 AS (SELECT *, coalesce(CASE WHEN block THEN said END, foot) AS signal FROM t6),
+  titles_ AS (SELECT doc_id, item_idx, CASE WHEN signal IS NULL THEN 'held' ELSE 'mute' END AS action, signal, CASE WHEN signal IS NULL THEN CASE WHEN regexp_matches(t, '(?i)^\s*(index\s+terms|key\s?words?)\b') THEN '關鍵字' WHEN prose THEN '散文' ELSE '沒有訊號' END END AS why FROM t7 WHERE signal IS NOT NULL OR block)"""
+WRAPPERS = r"""w1 AS (SELECT doc_id, string_agg(trim(coalesce(text, '')), chr(10) ORDER BY item_idx) AS blob, max(length(trim(coalesce(text, '')))) AS longest FROM items WHERE page_idx = 0 GROUP BY doc_id),
+  w2 AS (SELECT *, len(list_distinct(list_transform(regexp_extract_all(blob, '(?i)learn\s+more|to\s+cite\s+this\s+article|view\s+related\s+articles'), lambda x: lower(x)))) AS markers FROM w1),
+  wrappers AS (SELECT doc_id, markers::INTEGER AS markers, longest::INTEGER AS longest, markers > 0 AND NOT (longest >= 300 AND markers < 2) AS fires FROM w2)"""
+EDGES = "edges AS (SELECT doc_id, item_idx, CASE WHEN bbox[3] <= left_edge THEN 'left_margin' ELSE 'right_margin' END AS signal FROM items JOIN band USING (doc_id) WHERE trim(coalesce(text, '')) <> '' AND len(bbox) >= 4 AND (bbox[3] <= left_edge OR bbox[1] >= right_edge))"
+PLAN = f"""{BAND}, {NOISE}, {REFERENCES}, {TITLES}, {WRAPPERS}, {EDGES},
+  p1 AS (SELECT doc_id, 'noise' AS rule, item_idx, action, signal, why FROM noise UNION ALL SELECT doc_id, 'reference', item_idx, 'mute', signal, NULL FROM refs UNION ALL SELECT doc_id, 'title', item_idx, action, signal, why FROM titles_),
+  p2 AS (SELECT * FROM p1 UNION ALL SELECT i.doc_id, 'cover', i.item_idx, 'mute', 'wrapper_page', NULL FROM items i JOIN wrappers USING (doc_id) WHERE fires AND page_idx = 0 AND trim(coalesce(text, '')) <> '' AND (i.doc_id, i.item_idx) NOT IN (SELECT (doc_id, item_idx) FROM p1 WHERE action = 'mute')),
+  whole AS (SELECT * FROM p2 UNION ALL SELECT doc_id, 'margin', item_idx, 'mute', signal, NULL FROM edges WHERE (doc_id, item_idx) NOT IN (SELECT (doc_id, item_idx) FROM p2 WHERE action = 'mute'))"""
+SIZES = "g1 AS (SELECT doc_id, page_size[1] AS w, page_size[2] AS h, count(*) AS n, min(page_pos) AS first FROM layout_pages GROUP BY ALL), sizes AS (SELECT doc_id, w, h FROM g1 QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY n DESC, first) = 1)"
+ROMAN = r"(?:\\(?:mathsf|mathrm|mathbf|mathit|text|sf)\s*\{\s*[IlL1|]\s*\}|[IlL1|])"
+#: A fraction whose two sides each begin with an accent over something and have more behind it.
+SIDES = r"\\frac\s*\{\s*(\\(?:wide)?(?:hat|bar|tilde)\s*\{[^{}]*\})[^{}]*\}\s*\{\s*(\\(?:wide)?(?:hat|bar|tilde)\s*\{[^{}]*\})\s*[^{}\s][^{}]*\}"
+#: Structure keys of the equations at hand, by replacement: commands of structure kept aside, other commands and letters as variables.
+KEYS = r"""k1 AS (SELECT doc, item, source, regexp_replace(regexp_replace(regexp_replace(latex, '\\frac', '¶', 'g'), '\\sqrt', '§', 'g'), '\\nabla', '∇', 'g') AS a FROM equations WHERE trim(latex) <> ''),
+  k2 AS (SELECT *, regexp_replace(regexp_replace(a, '\\[A-Za-z]+', 'v', 'g'), '\s+', '', 'g') AS b FROM k1), k3 AS (SELECT *, regexp_replace(b, '\{([0-9.]+|[A-Za-z])\}', '\1', 'g') AS c FROM k2),
+  k4 AS (SELECT doc, item, source, regexp_replace(c, '\^[0-9]', '', 'g') AS plain, regexp_replace(c, '\^2', '²', 'g') AS d FROM k3),
+  keys AS (SELECT doc, item, source, replace(replace(replace(replace(regexp_replace(regexp_replace(d, '[A-Za-z]+', '#', 'g'), '[0-9]+(\.[0-9]+)?', 'N', 'g'), '¶', '\frac'), '§', '\sqrt'), '∇', '\nabla'), '²', '^2') AS skeleton, regexp_extract_all(plain, '[0-9]+(?:\.[0-9]+)?') AS nums FROM k4)"""
+PLAIN = "trim(lower(regexp_replace({0}, '[^A-Za-z0-9]+', ' ', 'g')))"
+CHUNKS_PLAIN = rf"c AS (SELECT id AS chunk, {PLAIN.format('content')} AS plain, coalesce(list_sum(list_transform(regexp_extract_all(content, '<[^>]+>|\$[^$]*\$|\\[a-zA-Z]+'), lambda x: length(x))), 0) / greatest(length(content), 1) > 0.35 AS symbolic FROM chunks)"
+FOUND = "({0} <> '' AND (contains(plain, {0}) OR (len(list_filter(string_split({0}, ' '), lambda w: length(w) > 2)) > 0 AND list_bool_and(list_transform(list_filter(string_split({0}, ' '), lambda w: length(w) > 2), lambda w: contains(plain, w))))))"
+GROUNDED = f"{CHUNKS_PLAIN}, e AS (SELECT file_path AS doc, entity_name, {PLAIN.format('entity_name')} AS n, unnest(CASE WHEN len(chunk_ids) = 0 THEN [NULL] ELSE chunk_ids END) AS chunk FROM entities)"
+VARIANTS = r"""v1 AS (SELECT DISTINCT name, list_filter(regexp_split_to_array(name, '[\s_\-.,()]+'), lambda x: x <> '') AS parts FROM nodes), v2 AS (SELECT *, lower(array_to_string(parts, '')) AS key, array_to_string(parts, '') AS glued, len(regexp_extract_all(name, '[\s_\-.,()]+')) AS seps FROM v1),
+  variants AS (SELECT key, list_sort(list(name)) AS names, first(name ORDER BY seps DESC, length(name) DESC, name) AS keep,
+    CASE WHEN count(DISTINCT glued) = 1 THEN 'A' WHEN count(DISTINCT len(parts)) = 1 AND bool_and(list_bool_and(list_transform(parts, lambda p: regexp_full_match(p, '[A-Za-z]{3,}')))) THEN 'B' ELSE 'C' END AS tier FROM v2 GROUP BY key HAVING count(*) > 1)"""
+GATES = "gates(gate) AS (VALUES " + ", ".join(f"('{g}')" for g in ledger.GATES) + ")"
+LEVEL = "CASE WHEN rc = 0 AND coalesce(scope, 0) <= 0 THEN 'unverified' WHEN rc = 0 THEN 'ok' WHEN name = 'compat' AND rc = 5 THEN 'warn' WHEN name IN ('tests', 'drill', 'canary') AND rc = 3 THEN 'unverified' WHEN name IN ('parse', 'coverage') THEN 'warn' ELSE 'block' END"
+# Chapters.
+_WORDS = "array_to_string(list_transform(regexp_extract_all(title, '[A-Za-z][A-Za-z'']*'), lambda w: lower(w)), ' ')"
+_matter = lambda anywhere, first, whole: f"regexp_matches(title, '{'|'.join(anywhere)}') OR regexp_matches({_WORDS}, '^({'|'.join(first)})( |$)') OR {_WORDS} IN ({', '.join(repr(x) for x in whole)})"
+PREAMBLE, APPENDIX = _matter(T.PREAMBLE_ANYWHERE, T.PREAMBLE_FIRST, T.PREAMBLE_WHOLE), _matter(T.APPENDIX_ANYWHERE, T.APPENDIX_FIRST, T.APPENDIX_WHOLE)
+RANGES = """r1 AS (SELECT toc.*, total_pages, lead(page) OVER (PARTITION BY toc.doc ORDER BY pos) AS nxt FROM toc JOIN totals USING (doc) WHERE level <= 2),
+  ranges AS (SELECT doc, pos, level, title, page, fin FROM (SELECT *, CASE WHEN nxt IS NULL THEN total_pages ELSE greatest(nxt - 1, page) END AS fin FROM r1) WHERE page <= fin)"""
+NUMBERS = f"""m1 AS (SELECT *, {PREAMBLE} AS pre, {APPENDIX} AS app FROM ranges), m2 AS (SELECT *, coalesce(bool_or(NOT pre AND NOT app AND level = 1) OVER (PARTITION BY doc ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), FALSE) AS seen FROM m1),
+  m3 AS (SELECT *, CASE WHEN pre AND NOT seen THEN 'front' WHEN app THEN 'appendix' WHEN level = 1 THEN 'chapter' ELSE 'section' END AS kind FROM m2),
+  m4 AS (SELECT *, count(*) FILTER (kind = 'chapter') OVER (PARTITION BY doc ORDER BY pos) AS chapter FROM m3), m5 AS (SELECT *, row_number() OVER (PARTITION BY doc, kind ORDER BY pos) - 1 AS nth, row_number() OVER (PARTITION BY doc, kind, chapter ORDER BY pos) AS section FROM m4),
+  m6 AS (SELECT *, CASE kind WHEN 'front' THEN nth WHEN 'appendix' THEN 900 + nth WHEN 'chapter' THEN chapter * 100 ELSE chapter * 100 + section END AS number FROM m5)"""
+HEADINGS = r"""h1 AS (SELECT s.*, r.pos, r.page AS start, trim(text) AS t FROM spans s JOIN ranges r ON s.doc = r.doc AND s.page BETWEEN r.page AND r.fin), h2 AS (SELECT doc, pos, round_even(size, 1) AS size, sum(length(t)) AS chars, min((page, line, span)) AS first FROM h1 WHERE t <> '' AND size > 0 GROUP BY doc, pos, round_even(size, 1)),
+  h3 AS (SELECT doc, pos, size AS body FROM h2 QUALIFY row_number() OVER (PARTITION BY doc, pos ORDER BY chars DESC, first) = 1),
+  h4 AS (SELECT h1.doc, h1.pos, page, line, trim(string_agg(text, ' ' ORDER BY span)) AS l, bool_or(size >= body * 1.15 AND length(t) > 3) AS large FROM h1 JOIN h3 ON h1.doc = h3.doc AND h1.pos = h3.pos WHERE page > start GROUP BY ALL),
+  headings AS (SELECT DISTINCT doc, pos, page FROM h4 WHERE length(l) >= 3 AND (large OR regexp_matches(l, '^[0-9]+\.[0-9]+\s+\w')))"""
+ROOTS = """e AS (SELECT source AS a, unnest(same_work_as) AS b FROM sources), u AS (SELECT a, b FROM e UNION SELECT b, a FROM e), w(source, root) AS (SELECT source, source FROM sources UNION SELECT u.b, w.root FROM w JOIN u ON u.a = w.source), roots AS (SELECT source, min(root) AS root FROM w GROUP BY source)"""
+# Stored files of bibliography items.
+_SIGNIFICANT = "list_distinct(list_filter(regexp_extract_all(lower({0}), '[a-z0-9]+'), lambda w: NOT list_contains(" + repr(P.STOPWORDS) + ", w) AND (length(w) > 1 OR regexp_matches(w, '^[0-9]$'))))"
+_STEM = r"regexp_replace(regexp_replace(regexp_replace(filename, '(?i)\.pdf$', ''), '^([23456789A-HJ-NP-Z]{8})\s+', ''), '^[0-9]{4}\s*-\s*', '')"
+STORED = rf"""s1 AS (SELECT filename, regexp_extract(filename, '^([23456789A-HJ-NP-Z]{{8}})\s+', 1) AS key, {_SIGNIFICANT.format(_STEM)} AS words FROM stored),
+  s2 AS (SELECT b.key, 'key' AS how, min(filename) AS filename FROM bib b JOIN s1 USING (key) WHERE parent IS NULL GROUP BY b.key), s3 AS (SELECT * FROM bib WHERE parent IS NULL AND key NOT IN (SELECT key FROM s2)),
+  s4 AS (SELECT key, unnest(list_transform(list_filter(string_split(coalesce(extra, ''), chr(10)), lambda x: starts_with(lower(trim(x)), 'lightrag:')), lambda x: trim(regexp_replace(x, '^[^:]*:', '')))) AS filename FROM s3),
+  s5 AS (SELECT key, first(filename) AS filename FROM s4 JOIN stored USING (filename) GROUP BY key), s6 AS (SELECT key, {_SIGNIFICANT.format("title")} AS words FROM s3 WHERE key NOT IN (SELECT key FROM s5)),
+  s7 AS (SELECT s6.key, filename, len(list_intersect(s6.words, s1.words)) AS shared, len(s6.words) AS m, len(s1.words) AS n FROM s6, s1), s8 AS (SELECT key, filename, shared / least(m, n) AS score, shared / (m + n - shared) AS jac FROM s7 WHERE least(m, n) >= 3 AND shared >= 4 AND shared / least(m, n) >= 0.85),
+  s9 AS (SELECT *, rank() OVER (PARTITION BY key ORDER BY score DESC, jac DESC) AS r FROM s8), s10 AS (SELECT key, filename, score + jac AS claim FROM s9 WHERE r = 1 QUALIFY count(*) OVER (PARTITION BY key) = 1),
+  s11 AS (SELECT key, 'recorded' AS how, filename, 2.0 AS claim FROM s5 UNION ALL SELECT key, 'title', filename, claim FROM s10), s12 AS (SELECT *, rank() OVER (PARTITION BY filename ORDER BY claim DESC) AS r FROM s11),
+  found AS (SELECT * FROM s2 UNION ALL SELECT key, how, filename FROM s12 WHERE r = 1 QUALIFY count(*) OVER (PARTITION BY filename) = 1)"""
+ENV = r"""l1 AS (SELECT pos, trim(value) AS line FROM env), l2 AS (SELECT pos, trim(string_split(line, '=')[1]) AS key, regexp_replace(trim(substr(line, position('=' IN line) + 1)), '^[''"]+|[''"]+$', '', 'g') AS value FROM l1 WHERE contains(line, '=') AND NOT starts_with(line, '#')), env_ AS (SELECT key, arg_max(value, pos) AS value FROM l2 GROUP BY key)"""
+# Plans as payloads: out of range numbers, and the reasons against a plan.
+ISSUES = """issues AS (SELECT *, list_filter([CASE WHEN NOT coalesce(pages BETWEEN 1 AND 100000, FALSE) THEN 'pages' END, CASE WHEN NOT coalesce(items BETWEEN 1 AND 1000000, FALSE) THEN 'items' END, CASE WHEN NOT coalesce(len(page_size) = 2 AND list_bool_and(list_transform(page_size, lambda v: v > 0 AND v <= 10000)), FALSE) THEN 'page_size' END,
+    CASE WHEN NOT coalesce(noise_ratio BETWEEN 0 AND 1, FALSE) THEN 'ratio' END, CASE WHEN NOT coalesce(tables BETWEEN 0 AND coalesce(items, 1000000), FALSE) THEN 'tables' END, CASE WHEN NOT coalesce(repair BETWEEN 0 AND coalesce(tables, 1000000), FALSE) THEN 'repair' END, CASE WHEN NOT coalesce(review BETWEEN 0 AND coalesce(tables, 1000000), FALSE) THEN 'review' END], lambda x: x IS NOT NULL) AS issues FROM payloads)"""
+JUDGED = """judged AS (SELECT doc, CASE WHEN len(failed) > 0 THEN list_transform(failed, lambda m: CASE WHEN contains(m, '未知的項目型別') THEN '未知型別 ' || array_to_string(regexp_extract_all(string_split(m, '未知的項目型別')[2], '[A-Za-z_][A-Za-z0-9_-]*'), ', ') WHEN contains(m, '頁序錯位') THEN '頁序錯位' ELSE 'preflight 擋下' END) WHEN NOT planned THEN ['preflight 擋下']
+    ELSE list_filter([CASE WHEN plan_doc IS DISTINCT FROM doc THEN 'preflight 擋下' END, CASE WHEN len(issues) > 0 THEN '數字異常' END, CASE WHEN coalesce(refs_suspicious, FALSE) THEN '參考文獻消音比例異常（' || printf('%.1f%%', refs_ratio * 100) || '）' END], lambda x: x IS NOT NULL) END AS reasons FROM issues)"""
+STRINGS = """strings AS (SELECT doc_id, unnest(list_filter(list_concat([text, content, body, code_body, table_body, CASE WHEN trim(coalesce(text, '')) = '' THEN orig_text END, CASE WHEN trim(regexp_replace(coalesce(table_body, ''), '<[^>]+>', '', 'g')) = '' THEN orig_table_body END], coalesce(list_items, []), coalesce(table_caption, []), coalesce(image_caption, []), coalesce(image_footnote, []), coalesce(chart_caption, []), coalesce(chart_footnote, []), coalesce(orig_list_items, [])), lambda x: x IS NOT NULL)) AS text FROM items)"""
+
 
 @query(f"WITH {BAND} SELECT doc_id, top, bottom, left_edge, right_edge FROM band")
 def body_bands(items):
     return layout.body_band(items).join(layout.body_hband(items), "doc_id")
 
 
-@query(rf"""WITH {BAND}, o AS (SELECT *, {STRIP.format("text")} AS t, regexp_replace({STRIP.format("text")}, '[0-9]+', '#', 'g') AS k FROM items WHERE type IN ('header', 'footer', 'aside_text')),
-  p AS (SELECT doc_id, coalesce(max(page_idx), -1) + 1 AS pages FROM items GROUP BY doc_id),
-  n AS (SELECT o.*, greatest(count(*) OVER (PARTITION BY doc_id, t), count(*) OVER (PARTITION BY doc_id, k)) AS n FROM o),
-  s AS (SELECT n.*, CASE WHEN n >= greatest(2, least(3, ceil(pages * 0.5))) THEN 'repeat' WHEN page_idx = 0 THEN 'cover' WHEN bbox[4] <= top OR bbox[2] >= bottom THEN 'edge'
-    WHEN length(t) <= 240 AND regexp_matches(t, '(?i)journal\s+homepage|https?://|doi\.org|\bdoi:\s*10\.|©|all\s+rights\s+reserved|\bISSN\b|check\s+for\s+updates') THEN 'publisher'
-    WHEN type = 'aside_text' AND NOT regexp_matches(t, '[A-Za-z]*[aeiouAEIOU][A-Za-z]{{2,}}|[A-Za-z][aeiouAEIOU][A-Za-z]|[A-Za-z]{{2,}}[aeiouAEIOU]') THEN 'gibberish' END AS signal FROM n JOIN p USING (doc_id) LEFT JOIN band USING (doc_id) WHERE t <> '')
-  SELECT doc_id, item_idx, 'noise' AS rule, CASE WHEN signal IS NULL THEN 'held' ELSE 'mute' END AS action, signal, n::VARCHAR AS why FROM s""")
+@query(f"WITH {BAND}, {NOISE} SELECT doc_id, item_idx, 'noise' AS rule, action, signal, why FROM noise")
 def noise_rule(items):
     return layout.noise_plan(items)
 
 
-@query("""WITH h(doc_id, item_idx, kind, span_end) AS (VALUES ('paper', 28, 'acknowledgement', 30), ('paper', 30, 'reference', 35)) SELECT doc_id, item_idx::INTEGER AS item_idx, kind, span_end::INTEGER AS span_end FROM h""")
+@query(f"WITH {HEADS} SELECT doc_id, item_idx, kind, stop AS span_end FROM heads")
 def section_spans(items):
     return layout.reference_spans(items)
 
 
-@query("""WITH s(a, b, kind) AS (VALUES (28, 30, 'acknowledgement'), (30, 35, 'reference')) SELECT doc_id, item_idx, coalesce(kind, 'reference') AS signal FROM items LEFT JOIN s ON doc_id = 'paper' AND item_idx >= a AND item_idx < b WHERE (kind IS NOT NULL AND type NOT IN ('header', 'footer', 'aside_text')) OR (kind IS NULL AND sub_type = 'ref_text')""")
+@query(f"WITH {REFERENCES} SELECT doc_id, item_idx, signal FROM refs")
 def reference_rule(items):
     return layout.reference_plan(items).select("doc_id", "item_idx", "signal")
 
 
-@query("""WITH w(doc_id, item_idx, action, signal, why) AS (VALUES ('paper', 2, 'mute', 'author', NULL), ('paper', 3, 'mute', 'affiliation', NULL), ('paper', 4, 'mute', 'submission', NULL), ('paper', 5, 'held', NULL, '關鍵字'), ('paper', 6, 'held', NULL, '散文'),
-  ('paper', 7, 'mute', 'classification', NULL), ('paper', 8, 'held', NULL, '沒有訊號'), ('paper', 11, 'mute', 'correspondence', NULL)) SELECT doc_id, item_idx::INTEGER AS item_idx, action, signal, why FROM w""")
+@query(f"WITH {TITLES} SELECT doc_id, item_idx, action, signal, why FROM titles_")
 def title_rule(items):
     return layout.title_plan(items).select("doc_id", "item_idx", "action", "signal", "why")
 
 
-@query(r"""WITH p AS (SELECT doc_id, string_agg(trim(coalesce(text, '')), chr(10) ORDER BY item_idx) AS blob, max(length(trim(coalesce(text, '')))) AS longest FROM items WHERE page_idx = 0 GROUP BY doc_id),
-  m AS (SELECT *, len(list_distinct(list_transform(regexp_extract_all(blob, '(?i)learn\s+more|to\s+cite\s+this\s+article|view\s+related\s+articles'), lambda x: lower(x)))) AS markers FROM p)
-  SELECT doc_id, markers::INTEGER AS markers, longest::INTEGER AS longest, markers > 0 AND NOT (longest >= 300 AND markers < 2) AS fires FROM m""")
+@query(f"WITH {WRAPPERS} SELECT * FROM wrappers")
 def wrapper_rule(items):
     return layout.wrapper_pages(items)
 
 
-@query("SELECT doc_id, item_idx, 'wrapper_page' AS signal FROM items WHERE doc_id = 'wrap' AND page_idx = 0 AND trim(coalesce(text, '')) <> ''")
+@query(f"WITH {BAND}, {NOISE}, {TITLES}, {WRAPPERS} SELECT i.doc_id, i.item_idx, 'wrapper_page' AS signal FROM items i JOIN wrappers USING (doc_id) WHERE fires AND page_idx = 0 AND trim(coalesce(text, '')) <> '' AND (doc_id, item_idx) NOT IN (SELECT (doc_id, item_idx) FROM noise WHERE action = 'mute' UNION ALL SELECT (doc_id, item_idx) FROM titles_ WHERE action = 'mute')")
 def cover_rule(items):
     first = layout.noise_plan(items).unionByName(layout.title_plan(items))
     return layout.cover_plan(items, first).select("doc_id", "item_idx", "signal")
 
 
-@query(f"""WITH {BAND} SELECT doc_id, item_idx, CASE WHEN bbox[3] <= left_edge THEN 'left_margin' ELSE 'right_margin' END AS signal FROM items JOIN band USING (doc_id)
-  WHERE trim(coalesce(text, '')) <> '' AND len(bbox) >= 4 AND (bbox[3] <= left_edge OR bbox[1] >= right_edge)""")
+@query(f"WITH {BAND}, {EDGES} SELECT * FROM edges")
 def margin_rule(items):
     return layout.margin_plan(items).select("doc_id", "item_idx", "signal")
 
@@ -114,7 +191,8 @@ def page_sizes(layout_pages):
     return layout.reference_page_size(layout_pages).join(layout.page_size_spread(layout_pages), "doc_id")
 
 
-@query("SELECT 'paper' AS doc_id, 2::INTEGER AS page_idx WHERE FALSE")
+@query(f"""WITH {SIZES}, t AS (SELECT DISTINCT doc_id, page_idx FROM items WHERE type = 'table' AND (NOT has_table_body OR trim(regexp_replace(coalesce(table_body, ''), '<[^>]+>', '', 'g')) = ''))
+  SELECT p.doc_id, p.page_idx FROM layout_pages p JOIN sizes USING (doc_id) JOIN t ON p.doc_id = t.doc_id AND p.page_idx = t.page_idx WHERE abs(page_size[1] - w) > 2.0 OR abs(page_size[2] - h) > 2.0""")
 def cropping(items, layout_pages):
     return layout.cropping_mismatch(layout_pages, layout.table_plan(items, layout_pages))
 
@@ -124,21 +202,23 @@ def preflight(items, layout_pages):
     return rules.violations(items, layout_pages)
 
 
-@query("""WITH x(doc_id, rule, n) AS (VALUES ('paper', 'noise', 6), ('paper', 'reference', 7), ('paper', 'title', 5), ('paper', 'margin', 2), ('book', 'noise', 3), ('wrap', 'cover', 3)) SELECT doc_id, rule, n::BIGINT AS n FROM x""")
+@query(f"WITH {PLAN} SELECT doc_id, rule, count(*) AS n FROM whole WHERE action = 'mute' GROUP BY doc_id, rule")
 def whole_plan(items):
     return rules.plan(items).where("action = 'mute'").groupBy("doc_id", "rule").agg(F.count("*").alias("n"))
 
 
-@query("SELECT '' AS doc_id, 0::INTEGER AS item_idx WHERE FALSE")
+@query(f"WITH {PLAN}, twice AS (SELECT doc_id, item_idx, rule FROM whole WHERE action = 'mute' UNION ALL SELECT doc_id, item_idx, 'again' FROM edges) SELECT doc_id, item_idx, list_sort(list(DISTINCT rule)) AS rules FROM twice GROUP BY doc_id, item_idx HAVING count(*) > 1", joined=("rules",))
 def plan_overlaps(items):
-    return rules.overlaps(rules.plan(items)).select("doc_id", "item_idx")
+    """The plan beside a margin rule that does not leave out what others claim."""
+    careless = layout.margin_plan(items).withColumn("rule", F.lit("again"))
+    return rules.overlaps(rules.plan(items).unionByName(careless)).select("doc_id", "item_idx", "rules")
 
 
-@query("""WITH r AS (SELECT doc_id, item_idx FROM items WHERE doc_id = 'paper' AND (item_idx IN (28, 29, 30, 31, 33, 34, 37) )),
-  s AS (SELECT doc_id, length(coalesce(text, '')) + coalesce(list_sum(list_transform(list_items, lambda x: length(x))), 0) AS c, item_idx FROM items)
-  SELECT s.doc_id, 'reference' AS rule, sum(c)::BIGINT AS before, coalesce(sum(c) FILTER (r.item_idx IS NULL), 0)::BIGINT AS after FROM s LEFT JOIN r ON s.doc_id = r.doc_id AND s.item_idx = r.item_idx GROUP BY s.doc_id""")
+@query(f"""WITH {REFERENCES}, s AS (SELECT doc_id, item_idx, length(coalesce(text, '')) + coalesce(list_sum(list_transform(list_items, lambda x: length(x))), 0) AS c FROM items),
+  r AS (SELECT doc_id, sum(c)::BIGINT AS before, coalesce(sum(c) FILTER (signal IS NULL), 0)::BIGINT AS after FROM s LEFT JOIN refs USING (doc_id, item_idx) GROUP BY doc_id)
+  SELECT doc_id, 'reference' AS rule, before, after, round(CASE WHEN before > 0 THEN (before - after) / before ELSE 0 END, 9) AS ratio, CASE WHEN before > 0 THEN (before - after) / before ELSE 0 END > 0.3 AS suspicious FROM r""")
 def reference_ratio(items):
-    return rules.ratios(items, layout.reference_plan(items)).where("rule = 'reference'").select("doc_id", "rule", "before", "after")
+    return rules.ratios(items, layout.reference_plan(items)).where("rule = 'reference'").withColumn("ratio", F.round("ratio", 9))
 
 
 @query("SELECT doc_id, item_idx, type, text, coalesce(list_items, []) AS list_items, img_path FROM items", joined=('list_items',))
@@ -148,38 +228,40 @@ def mute_and_revert(items, files):
     return rules.revert(changed).select("doc_id", "item_idx", "type", "text", F.coalesce("list_items", F.array().cast("array<string>")).alias("list_items"), "img_path")
 
 
-@query("""WITH m(i) AS (VALUES (28), (29), (30), (33), (34)) SELECT doc_id, item_idx, text AS orig_text FROM items, m WHERE doc_id = 'paper' AND item_idx = i""")
+@query(f"WITH {REFERENCES} SELECT doc_id, item_idx, '' AS text, text AS orig_text FROM items JOIN refs USING (doc_id, item_idx) WHERE trim(coalesce(text, '')) <> ''")
 def muted_text(items):
-    plan = layout.reference_plan(items).where("signal IS NOT NULL")
-    return rules.mute(items, plan).where("orig_text IS NOT NULL AND sub_type IS NULL").select("doc_id", "item_idx", "orig_text")
+    return rules.mute(items, layout.reference_plan(items)).where("orig_text IS NOT NULL").select("doc_id", "item_idx", "text", "orig_text")
 
 
-@query("SELECT 'paper' AS doc_id, 'noise' AS rule, 22::INTEGER AS item_idx, 'mute' AS action UNION ALL SELECT 'paper', 'noise', 24, 'held'")
+@query(f"WITH {BAND}, {NOISE} SELECT n.doc_id, 'noise' AS rule, n.item_idx, CASE WHEN d.item_idx IS NOT NULL THEN 'mute' ELSE n.action END AS action FROM noise n LEFT JOIN (SELECT DISTINCT doc_id, item_idx FROM decisions WHERE suppress AND section = 'noise') d ON n.doc_id = d.doc_id AND n.item_idx = d.item_idx")
 def honoured(items, decisions):
-    got = rules.honour(layout.noise_plan(items), decisions)
-    return got.where("doc_id = 'paper' AND item_idx IN (22, 24)").select("doc_id", "rule", "item_idx", "action")
+    return rules.honour(layout.noise_plan(items), decisions).select("doc_id", "rule", "item_idx", "action")
 
 
-@query("SELECT 'paper' AS doc_id, 'noise' AS rule, 999::INTEGER AS item_idx")
+@query(f"WITH {PLAN} SELECT DISTINCT doc_id, section AS rule, item_idx FROM decisions WHERE suppress AND (doc_id, section, item_idx) NOT IN (SELECT (doc_id, rule, item_idx) FROM whole)")
 def lost_decisions(items, decisions):
     return rules.unmatched_decisions(rules.plan(items), decisions)
 
 
-@query("SELECT doc_id, item_idx::INTEGER AS item_idx, rule FROM (VALUES ('paper', 8, 'title'), ('paper', 24, 'noise')) t(doc_id, item_idx, rule)")
+@query(f"WITH {PLAN} SELECT doc_id, item_idx, rule FROM whole WHERE action = 'held' AND (doc_id, item_idx) NOT IN (SELECT (doc_id, item_idx) FROM whole WHERE rule IN ('cover', 'margin')) AND NOT (rule = 'title' AND why IN ('散文', '關鍵字'))")
 def to_confirm(items):
     return rules.confirm_items(rules.plan(items)).select("doc_id", "item_idx", "rule")
 
 
-@query("SELECT doc_id, count(*) AS items, count(*) FILTER (type = 'text') AS type_text, count(*) FILTER (type = 'table') AS type_table, sum(length(coalesce(text, '')) + coalesce(list_sum(list_transform(list_items, lambda x: length(x))), 0))::BIGINT AS chars FROM items GROUP BY doc_id")
+@query(f"""WITH {PLAN}, p AS (SELECT doc_id, {", ".join(f"count(*) FILTER (rule = '{r}' AND action = '{a}') AS {r}_{a}" for r in ("noise", "reference", "title", "cover", "margin") for a in ("mute", "held"))} FROM whole GROUP BY doc_id),
+  c AS (SELECT doc_id, count(*) AS items, {", ".join(f"count(*) FILTER (type = '{t}') AS type_{t}" for t in P.KNOWN_TYPES)}, sum(length(coalesce(text, '')) + coalesce(list_sum(list_transform(list_items, lambda x: length(x))), 0))::BIGINT AS chars FROM items GROUP BY doc_id)
+  SELECT c.*, {", ".join(f"coalesce({r}_{a}, 0) AS {r}_{a}" for r in ("noise", "reference", "title", "cover", "margin") for a in ("mute", "held"))} FROM c LEFT JOIN p USING (doc_id)""")
 def canary_rows(items):
-    return rules.canary(items, rules.plan(items)).select("doc_id", "items", "type_text", "type_table", "chars")
+    return rules.canary(items, rules.plan(items))
 
 
-@query("SELECT doc_id, CASE WHEN doc_id = 'book' THEN 'items' END AS field, CASE WHEN doc_id = 'book' THEN '9' END AS old, CASE WHEN doc_id = 'book' THEN '8' END AS new, CASE WHEN doc_id = 'book' THEN 'drift' WHEN doc_id = 'plain' THEN 'gone' END AS change FROM (SELECT DISTINCT doc_id FROM items WHERE doc_id IN ('book', 'plain'))")
+@query("""WITH a AS (SELECT doc_id, count(*) AS items, count(*) FILTER (type = 'text') AS texts FROM items WHERE doc_id <> 'wrap' GROUP BY doc_id), b AS (SELECT doc_id, count(*) AS items, count(*) FILTER (type = 'text') AS texts FROM items WHERE NOT (doc_id = 'book' AND item_idx = 8) AND doc_id <> 'plain' GROUP BY doc_id),
+  j AS (SELECT coalesce(a.doc_id, b.doc_id) AS doc_id, a.doc_id IS NULL AS added, b.doc_id IS NULL AS gone, a.items AS i1, b.items AS i2, a.texts AS t1, b.texts AS t2 FROM a FULL JOIN b ON a.doc_id = b.doc_id)
+  SELECT doc_id, 'items' AS field, i1::VARCHAR AS old, i2::VARCHAR AS new, 'drift' AS change FROM j WHERE i1 <> i2 UNION ALL SELECT doc_id, 'texts', t1::VARCHAR, t2::VARCHAR, 'drift' FROM j WHERE t1 <> t2
+  UNION ALL SELECT doc_id, NULL, NULL, NULL, CASE WHEN added THEN 'added' ELSE 'gone' END FROM j WHERE added OR gone""")
 def canary_drift(items):
-    base = items.groupBy("doc_id").agg(F.count("*").alias("items"))
-    now = items.where("NOT (doc_id = 'book' AND item_idx = 8) AND doc_id <> 'plain'").groupBy("doc_id").agg(F.count("*").alias("items"))
-    return rules.canary_diff(base, now)
+    counted = lambda df: df.groupBy("doc_id").agg(F.count("*").alias("items"), F.count_if(F.col("type") == "text").alias("texts"))
+    return rules.canary_diff(counted(items.where("doc_id <> 'wrap'")), counted(items.where("NOT (doc_id = 'book' AND item_idx = 8) AND doc_id <> 'plain'")))
 
 
 @query()
@@ -195,26 +277,30 @@ def native_partials(latex):
     return latex.select("id", text.alias("fixed"), n.cast("int").alias("n"), veto.alias("veto"))
 
 
-@query(r"SELECT id, CASE id WHEN 2 THEN replace(s, '\times', 'x') WHEN 7 THEN replace(s, '\times', '\mathsf { x }') ELSE s END AS fixed, (id IN (2, 7))::INTEGER AS n FROM latex")
+@query(rf"""WITH m AS (SELECT id, s, regexp_replace(s, '(_\s*\{{\s*(?:{ROMAN}\s*)*?\\mathsf\s*\{{\s*[IlL1|]\s*\}}(?:\s*{ROMAN})*\s*)\\times(\s*\}})', '\1\\mathsf {{ x }}\2', 'g') AS a, len(regexp_extract_all(s, '_\s*\{{\s*{ROMAN}(?:\s*{ROMAN})*\s*\\times\s*\}}')) AS n FROM latex)
+  SELECT id, regexp_replace(a, '(_\s*\{{\s*{ROMAN}(?:\s*{ROMAN})*\s*)\\times(\s*\}})', '\1x\2', 'g') AS fixed, n::INTEGER AS n FROM m""")
 def native_times(latex):
     text, n = T.fix_times(F.col("s"))
     return latex.select("id", text.alias("fixed"), n.cast("int").alias("n"))
 
 
-@query(r"SELECT id, CASE id WHEN 5 THEN replace(s, '\hat{o}', '\partial') WHEN 3 THEN regexp_replace(s, '\\hat \{ \\sigma \}', '\\partial', 'g') ELSE s END AS text, (CASE WHEN id IN (3, 5) THEN 2 ELSE 0 END)::INTEGER AS n FROM latex")
+@query(rf"""WITH f AS (SELECT id, s, unnest(regexp_extract_all(s, '{SIDES}')) AS f FROM latex), t AS (SELECT id, s, f, regexp_extract(f, '{SIDES}', 1) AS a, regexp_extract(f, '{SIDES}', 2) AS b FROM f),
+  r AS (SELECT id, replace(s, f, replace(replace(f, a, '\partial'), b, '\partial')) AS text, 2 AS n FROM t WHERE regexp_replace(a, '\s|wide', '', 'g') = regexp_replace(b, '\s|wide', '', 'g'))
+  SELECT latex.id, coalesce(r.text, s) AS text, coalesce(n, 0)::INTEGER AS n FROM latex LEFT JOIN r USING (id)""")
 def repaired_partials(latex):
     return latex.select("id", tex.repair_partials(F.col("s")).alias("r")).select("id", "r.text", "r.n")
 
 
-@query()
+@query(rf"""WITH f AS (SELECT id, unnest(regexp_extract_all(s, '{SIDES}')) AS f FROM latex), t AS (SELECT id, regexp_replace(regexp_replace(regexp_extract(f, '{SIDES}', 1), '\s', '', 'g'), 'wide', '') AS a, regexp_replace(regexp_replace(regexp_extract(f, '{SIDES}', 2), '\s', '', 'g'), 'wide', '') AS b FROM f)
+  SELECT id, a AS token, count(*) AS n FROM t WHERE a = b GROUP BY id, a""")
 def partial_scan(latex):
     hits = latex.where(F.col("s").contains("frac") | F.col("s").contains("/")).select("id", tex.scan_partials(F.col("s")).alias("r"))
     return hits.select("id", F.explode("r.hits").alias("h")).groupBy("id", "h.token").agg(F.count("*").alias("n"))
 
 
-@query("SELECT skeleton, size::BIGINT AS size, constants_agree FROM (VALUES ('Z=#+#(#-\\frac{N}{#})', 3, FALSE)) t(skeleton, size, constants_agree)")
+@query(f"WITH {KEYS} SELECT skeleton, count(*) AS size, count(DISTINCT nums) = 1 AS constants_agree FROM keys WHERE NOT regexp_full_match(skeleton, '[#N=,.;:()\\[\\]{{}}+\\-*/^_\\s]*') GROUP BY skeleton HAVING count(DISTINCT source) > 1")
 def equation_classes(equations):
-    return matching.equation_classes(matching.equations(equations)).select("skeleton", "size", "constants_agree").withColumn("skeleton", F.lit("Z=#+#(#-\\frac{N}{#})"))
+    return matching.equation_classes(matching.equations(equations)).select("skeleton", "size", "constants_agree")
 
 
 @query()
@@ -223,18 +309,22 @@ def equation_pairs(equations):
     return pairs.select("a_id.doc", "a_id.item", F.col("b_id.doc").alias("other"), F.col("b_id.item").alias("other_item"), "ratio", "constants_agree", "first_diff", "evidence")
 
 
-@query(r"SELECT doc, item, lower(regexp_replace(regexp_replace(latex, '[{}\s]', '', 'g'), '^\$|\$$', '', 'g')) AS plain FROM equations WHERE doc <> 'd4'")
+@query(rf"""WITH f AS (SELECT doc, item, regexp_replace(regexp_replace(latex, '^\s*\$\$?|\$\$?\s*$', ' ', 'g'), '\\(?:mathrm|mathsf|left|right)([^a-zA-Z]|$)', '\1', 'g') AS t FROM equations) SELECT doc, item, lower(regexp_replace(t, '[{{}}\s]', '', 'g')) AS plain FROM f""")
 def normal_equations(equations):
-    return equations.where("doc <> 'd4'").select("doc", "item", T.eq_normalize(F.col("latex")).alias("plain"))
+    return equations.select("doc", "item", T.eq_normalize(F.col("latex")).alias("plain"))
 
 
-@query("""WITH w(doc, total, ok, missing_chunk, symbolic, suspect, state) AS (VALUES ('d1', 4, 2, 0, 1, 1, 'fail'), ('d2', 4, 1, 2, 0, 1, 'fail')) SELECT doc, total::BIGINT AS total, ok::BIGINT AS ok, missing_chunk::BIGINT AS missing_chunk, symbolic::BIGINT AS symbolic, suspect::BIGINT AS suspect, state FROM w""")
+@query(f"""WITH {GROUNDED}, k AS (SELECT doc, entity_name, bool_or(coalesce(ok, FALSE)) AS ok, count(plain) AS live, coalesce(bool_and(symbolic), FALSE) AS symbolic FROM (SELECT e.*, plain, symbolic, {FOUND.format("n")} AS ok FROM e LEFT JOIN c USING (chunk)) GROUP BY ALL),
+  g AS (SELECT doc, count(*) AS total, count(*) FILTER (live > 0 AND ok) AS ok, count(*) FILTER (live = 0) AS missing_chunk, count(*) FILTER (live > 0 AND NOT ok AND symbolic) AS symbolic, count(*) FILTER (live > 0 AND NOT ok AND NOT symbolic) AS suspect FROM k GROUP BY doc)
+  SELECT *, CASE WHEN ok + suspect = 0 THEN 'unverifiable' WHEN suspect / (ok + suspect) <= 0.1 THEN 'pass' ELSE 'fail' END AS state FROM g""")
 def grounding(entities, chunks):
     got = checks.grounding(entities, chunks)
     return got.withColumn("state", checks.grounding_state(F.col("total"), F.col("ok"), F.col("missing_chunk"), F.col("symbolic")).state)
 
 
-@query("SELECT doc, bth::BIGINT AS \"both\", one::BIGINT AS one, neither::BIGINT AS neither FROM (VALUES ('d1', 1, 1, 0), ('d2', 0, 0, 1)) t(doc, bth, one, neither)")
+@query(f"""WITH {CHUNKS_PLAIN}, r AS (SELECT file_path AS doc, source_id, target_id, {PLAIN.format("source_id")} AS n, {PLAIN.format("target_id")} AS m, unnest(chunk_ids) AS chunk FROM relations),
+  p AS (SELECT doc, source_id, target_id, bool_or(coalesce({FOUND.format("n")}, FALSE))::INTEGER + bool_or(coalesce({FOUND.format("m")}, FALSE))::INTEGER AS ends FROM r LEFT JOIN c USING (chunk) GROUP BY ALL)
+  SELECT doc, count(*) FILTER (ends = 2) AS "both", count(*) FILTER (ends = 1) AS one, count(*) FILTER (ends = 0) AS neither FROM p GROUP BY doc""")
 def relation_ends(relations, chunks):
     return checks.relation_endpoints(relations, chunks)
 
@@ -264,12 +354,12 @@ def case_variants(nodes):
     return matching.case_variants(nodes)
 
 
-@query("""SELECT key, names, tier, keep FROM (VALUES ('sound', ['SOUND', 'Sound', 'sound'], 'B', 'SOUND'), ('k0', ['k0', 'k_0'], 'A', 'k_0')) t(key, names, tier, keep)""", joined=('names',))
+@query(f"WITH {VARIANTS} SELECT key, names, tier, keep FROM variants", joined=("names",))
 def entity_variants(nodes):
     return matching.entity_variants(nodes).select("key", "names", "tier", "keep")
 
 
-@query("SELECT key, wasted::BIGINT AS wasted FROM (VALUES ('sound', 2), ('k0', 1)) t(key, wasted)")
+@query(f"WITH {VARIANTS}, q AS (SELECT key, query, count(*) - 1 AS waste FROM (SELECT key, unnest(names) AS name FROM variants) JOIN retrieved USING (name) GROUP BY ALL) SELECT key, coalesce(sum(waste), 0)::BIGINT AS wasted FROM variants LEFT JOIN q USING (key) GROUP BY key")
 def wasted_slots(nodes, retrieved):
     return matching.wasted_slots(matching.entity_variants(nodes), retrieved)
 
@@ -306,7 +396,7 @@ def ledger_matrix(records, live):
     return got.select("doc", F.col("`parse.checks`").alias("checks"), F.col("`pp.tables`").alias("tables"))
 
 
-@query("SELECT 'unset' AS state, 20::BIGINT AS n UNION ALL SELECT 'pass', 2 UNION ALL SELECT 'unverifiable', 2")
+@query(f"WITH {GATES}, r AS (SELECT * FROM records QUALIFY row_number() OVER (PARTITION BY doc, gate ORDER BY \"at\" DESC) = 1) SELECT coalesce(state, 'unset') AS state, count(*) AS n FROM live CROSS JOIN gates LEFT JOIN r USING (doc, gate) GROUP BY 1")
 def ledger_tally(records, live):
     return ledger.tally(ledger.latest(records).select("doc", "gate", "state"), live)
 
@@ -316,12 +406,12 @@ def ghost_documents(records, live):
     return ledger.ghosts(records, live)
 
 
-@query("SELECT name, CASE WHEN rc = 0 AND coalesce(scope, 0) <= 0 THEN 'unverified' WHEN rc = 0 THEN 'ok' WHEN name = 'tests' AND rc = 3 THEN 'unverified' WHEN name IN ('parse', 'coverage') THEN 'warn' ELSE 'block' END AS level FROM checks")
+@query(f"SELECT name, {LEVEL} AS level FROM checks")
 def alarm_levels(checks):
     return checks.select("name", ledger.level(F.col("name"), F.col("rc"), F.col("scope")).alias("level"))
 
 
-@query("SELECT ['odd_rc', 'scan_rc'] AS blocking, ['parse_rc'] AS warnings, ['canary_rc', 'compat2_rc', 'tests_rc'] AS unverified, 'fail' AS status", joined=('blocking', 'warnings', 'unverified'))
+@query(f"WITH l AS (SELECT name || '_rc' AS rc_name, {LEVEL} AS level FROM checks) SELECT list_sort(list(rc_name) FILTER (level = 'block')) AS blocking, list_sort(list(rc_name) FILTER (level = 'warn')) AS warnings, list_sort(list(rc_name) FILTER (level = 'unverified')) AS unverified, CASE WHEN bool_or(level = 'block') THEN 'fail' ELSE 'pass' END AS status FROM l", joined=('blocking', 'warnings', 'unverified'))
 def alarm_summary(checks):
     return ledger.summarise(checks)
 
@@ -346,9 +436,9 @@ def bad_transitions(history):
     return workflow.bad_transitions(history)
 
 
-@query("""SELECT CASE WHEN status = 'parsing' THEN 'parsing' WHEN status = 'planned' THEN 'review' WHEN status = 'extracting' THEN 'in_progress' WHEN status = 'failed' THEN 'failed' WHEN status = 'indexed' THEN 'completed' END AS section, count(*) AS n, list_sort(list(filename)) AS files FROM jobs GROUP BY section""", joined=("files",))
+@query("SELECT CASE WHEN filename IS NULL THEN section END AS none, section, n, filename FROM (SELECT CASE WHEN status = 'parsing' THEN 'parsing' WHEN status = 'planned' THEN 'review' WHEN status = 'extracting' THEN 'in_progress' WHEN status = 'failed' THEN 'failed' WHEN status = 'indexed' THEN 'completed' END AS section, filename, count(*) OVER (PARTITION BY CASE WHEN status = 'parsing' THEN 'parsing' WHEN status = 'planned' THEN 'review' WHEN status = 'extracting' THEN 'in_progress' WHEN status = 'failed' THEN 'failed' WHEN status = 'indexed' THEN 'completed' END) AS n FROM jobs)")
 def job_console(jobs):
-    return workflow.console(jobs)
+    return workflow.console(jobs).select(F.when(F.col("filename").isNull(), F.col("section")).alias("none"), "section", "n", "filename")
 
 
 @query("SELECT '工作失敗' AS reason, count(*) AS n FROM jobs WHERE status = 'failed'")
@@ -361,7 +451,7 @@ def mirror_actions(mirror_a, mirror_b):
     return ledger.sync(mirror_a, mirror_b)
 
 
-@query("SELECT pair, verdict FROM (VALUES ('p1', 'same'), ('p2', 'uncertain'), ('p3', 'different'), ('p4', 'uncertain')) t(pair, verdict)")
+@query("WITH v AS (SELECT pair, count(*) FILTER (error IS NULL AND confidence >= 0.7 AND verdict = 'same') AS s, count(*) FILTER (error IS NULL AND confidence >= 0.7 AND verdict = 'different') AS d FROM rulings GROUP BY pair) SELECT pair, CASE WHEN s > d AND s >= 2 THEN 'same' WHEN d > s AND d >= 2 THEN 'different' ELSE 'uncertain' END AS verdict FROM v")
 def panel_verdicts(rulings):
     return votes.panel(rulings)
 
@@ -383,55 +473,60 @@ def scored_sides(scores):
     return retrieval.compare_sides(scores).select("lang", F.round("a", 9).alias("a"), F.round("b", 9).alias("b"), "wins_a", "wins_b", "ties")
 
 
-@query("""WITH r AS (SELECT t.*, total_pages, lead(page) OVER (PARTITION BY t.doc ORDER BY pos) AS nxt FROM toc t JOIN totals USING (doc) WHERE level <= 2), e AS (SELECT *, CASE WHEN nxt IS NULL THEN total_pages ELSE greatest(nxt - 1, page) END AS fin FROM r WHERE doc = 'bk'),
-  n(pos, number) AS (VALUES (0, 0), (1, 100), (2, 101), (3, 102), (5, 200), (6, 900), (7, 901)) SELECT doc, e.pos, title, page AS start, fin AS "end", number::INTEGER AS number, lpad(number::VARCHAR, 5, '0') || '_' AS prefix, replace(replace(title, '/', '_'), ':', '_') AS safe_title FROM e JOIN n USING (pos)""")
+@query(f"WITH {RANGES}, {NUMBERS} SELECT doc, pos, title, page AS start, fin AS \"end\", number::INTEGER AS number, lpad(number::VARCHAR, 5, '0') || '_' AS prefix, replace(replace(title, '/', '_'), ':', '_') AS safe_title FROM m6")
 def chapter_numbers(toc, totals):
-    return chapters.numbered(chapters.ranges(toc, totals)).where("doc = 'bk'").select("doc", "pos", "title", "start", "end", "number", "prefix", "safe_title")
+    return chapters.numbered(chapters.ranges(toc, totals)).select("doc", "pos", "title", "start", "end", "number", "prefix", "safe_title")
 
 
-@query("SELECT doc, pos::INTEGER AS pos, page::INTEGER AS page FROM (VALUES ('bk', 3, 33), ('bk', 3, 44)) t(doc, pos, page)")
+@query(f"WITH {RANGES}, {HEADINGS} SELECT doc, pos, page FROM headings")
 def chapter_headings(toc, totals, spans):
-    return chapters.heading_pages(spans, chapters.ranges(toc, totals)).where("pos = 3")
+    return chapters.heading_pages(spans, chapters.ranges(toc, totals))
 
 
-@query("SELECT doc, pos::INTEGER AS pos, part::INTEGER AS part, a::INTEGER AS start, b::INTEGER AS \"end\", suffix FROM (VALUES ('bk', 3, 1, 20, 32, '_part1'), ('bk', 3, 2, 33, 43, '_part2'), ('bk', 3, 3, 44, 59, '_part3')) t(doc, pos, part, a, b, suffix)")
+@query(rf"""WITH RECURSIVE {RANGES}, {HEADINGS},
+  c(doc, pos, here, fin) AS (SELECT doc, pos, page, fin FROM ranges UNION ALL SELECT c.doc, c.pos, coalesce((SELECT max(h.page) FROM headings h WHERE h.doc = c.doc AND h.pos = c.pos AND h.page > c.here AND h.page < c.here + 18), c.here + 18), fin FROM c WHERE fin - here + 1 > 18),
+  d AS (SELECT *, coalesce(lead(here) OVER w - 1, fin) AS until, row_number() OVER w AS i FROM c WINDOW w AS (PARTITION BY doc, pos ORDER BY here)),
+  e AS (SELECT * FROM d WHERE i = 1 OR until - here + 1 >= 10), f AS (SELECT *, row_number() OVER w AS j, lag(here) OVER w AS prior FROM e WINDOW w AS (PARTITION BY doc, pos ORDER BY here)), g AS (SELECT * FROM f WHERE NOT (j = 2 AND here - prior < 10))
+  SELECT doc, pos, (row_number() OVER w)::INTEGER AS part, here AS start, coalesce(lead(here) OVER w - 1, fin) AS "end", CASE WHEN count(*) OVER (PARTITION BY doc, pos) > 1 THEN '_part' || row_number() OVER w ELSE '' END AS suffix FROM g WINDOW w AS (PARTITION BY doc, pos ORDER BY here)""")
 def chapter_parts(toc, totals, spans):
-    plans = chapters.ranges(toc, totals).where("doc = 'bk'")
-    return chapters.parts(plans, chapters.heading_pages(spans, plans), 18).where("pos = 3")
+    plans = chapters.ranges(toc, totals)
+    return chapters.parts(plans, chapters.heading_pages(spans, plans), 18)
 
 
-@query("SELECT doc, part::INTEGER AS part, a::INTEGER AS start, b::INTEGER AS \"end\" FROM (VALUES ('bk', 1, 1, 15), ('bk', 2, 16, 30), ('bk', 3, 31, 45), ('bk', 4, 46, 60), ('bk', 5, 61, 75), ('bk', 6, 76, 90), ('bk', 7, 91, 100), ('flat', 1, 1, 15), ('flat', 2, 16, 25), ('none', 1, 1, 15), ('none', 2, 16, 37), ('short', 1, 1, 7)) t(doc, part, a, b)")
+@query("""WITH s AS (SELECT doc, total_pages, unnest(range(1, greatest(total_pages, 1) + 1, 15)) AS a FROM totals WHERE total_pages > 0), k AS (SELECT *, max(a) OVER (PARTITION BY doc) AS last FROM s), f AS (SELECT * FROM k WHERE a = 1 OR a < last OR total_pages - a + 1 >= 10)
+  SELECT doc, (row_number() OVER w)::INTEGER AS part, a::INTEGER AS start, coalesce(lead(a) OVER w - 1, total_pages)::INTEGER AS "end" FROM f WINDOW w AS (PARTITION BY doc ORDER BY a)""")
 def equal_parts(totals):
     return chapters.without_toc(totals, 15)
 
 
-@query("SELECT doc, doc = 'flat' AS degenerate FROM totals")
+@query(r"""WITH p AS (SELECT doc, total_pages AS pages, count(toc.pos) AS n, count(*) FILTER (level <= 1) AS flat, count(*) FILTER (regexp_matches(title, '(?i)^\s*(?:第\s*)?(?:[0-9]+|[ivxlcdm]+)\s*(?:頁)?\s*$')) AS numeric FROM totals LEFT JOIN toc USING (doc) GROUP BY ALL)
+  SELECT doc, pages > 0 AND n >= 20 AND flat >= 0.9 * n AND (n >= 0.75 * pages OR (n >= 0.5 * pages AND numeric >= 0.75 * n)) AS degenerate FROM p""")
 def degenerate_tocs(toc, totals):
     return chapters.degenerate(toc, totals)
 
 
-@query("SELECT doc, level::INTEGER AS level, n::BIGINT AS selected FROM (VALUES ('bk', 1, 2), ('bk', 2, 4), ('bk', 3, 5), ('flat', 1, 24)) t(doc, level, n)")
+@query(f"""WITH d AS (SELECT doc, unnest(range(1, max(level) + 1)) AS upto FROM toc GROUP BY doc), r AS (SELECT t.*, upto, total_pages, lead(page) OVER (PARTITION BY t.doc, upto ORDER BY pos) AS nxt FROM toc t JOIN d ON t.doc = d.doc AND t.level <= upto JOIN totals ON t.doc = totals.doc)
+  SELECT doc, upto::INTEGER AS level, count(*) FILTER (page <= coalesce(greatest(nxt - 1, page), total_pages) AND NOT ({PREAMBLE}) AND NOT ({APPENDIX})) AS selected FROM r GROUP BY doc, upto""")
 def depth_options(toc, totals):
     return chapters.level_options(toc, totals)
 
 
-@query("SELECT title, row_number() OVER (ORDER BY pos)::INTEGER AS serial, 'K_' || printf('%02d', row_number() OVER (ORDER BY pos)) || ' T_' || replace(title, ':', '_') || '.pdf' AS filename, title NOT IN ('Preface', 'Appendix A: Data', 'Index') AS selected FROM toc WHERE doc = 'bk' AND level <= 2")
+@query(f"WITH {RANGES} SELECT doc, title, row_number() OVER w::INTEGER AS serial, 'K_' || printf('%02d', row_number() OVER w) || ' T_' || replace(title, ':', '_') || '.pdf' AS filename, NOT (({PREAMBLE}) OR ({APPENDIX})) AS selected FROM ranges WINDOW w AS (PARTITION BY doc ORDER BY pos)")
 def chapter_selection(toc, totals):
-    return chapters.selection(chapters.ranges(toc, totals).where("doc = 'bk'"), "K", "T").select("title", "serial", "filename", "selected")
+    return chapters.selection(chapters.ranges(toc, totals), "K", "T").select("doc", "title", "serial", "filename", "selected")
 
 
-@query("SELECT pos, title, sum((level <= 1)::INTEGER) OVER (ORDER BY pos)::BIGINT AS \"group\", last_value(CASE WHEN level <= 1 THEN title END IGNORE NULLS) OVER (ORDER BY pos) AS group_title FROM toc WHERE doc = 'bk'")
+@query("SELECT doc, pos, title, sum((level <= 1)::INTEGER) OVER (PARTITION BY doc ORDER BY pos)::BIGINT AS \"group\", last_value(CASE WHEN level <= 1 THEN title END IGNORE NULLS) OVER (PARTITION BY doc ORDER BY pos) AS group_title FROM toc")
 def chapter_groups(toc):
-    return chapters.groups(toc.where("doc = 'bk'")).select("pos", "title", "group", "group_title")
+    return chapters.groups(toc).select("doc", "pos", "title", "group", "group_title")
 
 
-@query("SELECT id, CASE WHEN id IN (1, 6, 9, 11) THEN 'preamble' WHEN id IN (2, 4, 5) THEN 'appendix' ELSE 'chapter' END AS kind, CASE id WHEN 7 THEN '1 Waves_ a_b_' WHEN 5 THEN 'Appendix A_ Data' WHEN 10 THEN 'untitled' ELSE title END AS safe FROM titles")
+@query(rf"""SELECT id, CASE WHEN {PREAMBLE} THEN 'preamble' WHEN {APPENDIX} THEN 'appendix' ELSE 'chapter' END AS kind, coalesce(nullif(trim(regexp_replace(regexp_replace(regexp_replace(title, '[^\p{{L}}\p{{N}}\p{{P}}\p{{S}}\p{{Zs}}\t]', '', 'g'), '[\\/*?:"<>|]', '_', 'g'), '\s+', ' ', 'g')), ''), 'untitled') AS safe FROM titles""")
 def title_kinds(titles):
     return titles.select("id", chapters.title_kind(F.col("title")).alias("kind"), T.sanitize_filename(F.col("title")).alias("safe"))
 
 
-@query("""WITH RECURSIVE e AS (SELECT source AS a, unnest(same_work_as) AS b FROM sources), u AS (SELECT a, b FROM e UNION SELECT b, a FROM e), r(source, root) AS (SELECT source, source FROM sources UNION SELECT u.b, r.root FROM r JOIN u ON u.a = r.source)
-  SELECT source, min(root) AS root FROM r GROUP BY source""")
+@query(f"WITH RECURSIVE {ROOTS} SELECT source, root FROM roots")
 def source_roots(sources):
     return matching.source_roots(sources)
 
@@ -442,33 +537,38 @@ def source_states(corpus, registry, digests):
     return matching.reconcile(corpus, registry, digests)
 
 
-@query("SELECT doc, source FROM (VALUES ('d1', 's1'), ('d3', 's3')) t(doc, source)")
+@query(f"""WITH RECURSIVE {ROOTS}, s AS (SELECT c.doc, d.digest IS NOT NULL AND (coalesce(r.pdf_sha256, '') = '' OR r.pdf_sha256 = d.digest) AS fine, r.source FROM corpus c JOIN registry r USING (doc) LEFT JOIN digests d USING (doc))
+  SELECT doc, coalesce(root, s.source) AS source FROM s LEFT JOIN roots ON s.source = roots.source WHERE fine AND s.source IS NOT NULL""")
 def trusted_sources(corpus, registry, digests, sources):
     return matching.source_of(matching.reconcile(corpus, registry, digests), registry, matching.source_roots(sources))
 
 
-@query("""SELECT doc, CASE WHEN doc = '01405_5.5 The influence' THEN 'book:0xxxx-A' WHEN doc = '01105_5.1 Another' THEN 'book:0xxxx-B' WHEN doc LIKE 'Room%' THEN 'book:roommodes' WHEN doc LIKE 'C Eq%' THEN 'book:a-r-handbook' WHEN doc LIKE '%supplementary%' THEN NULL ELSE 'doc:' || doc END AS source FROM filenames""")
+@query(r"""WITH f AS (SELECT doc, try_cast(regexp_extract(doc, '^0([0-9]{4})_([0-9]+)', 1) AS INTEGER) // 100 - try_cast(regexp_extract(doc, '^0([0-9]{4})_([0-9]+)', 2) AS INTEGER) AS off, CASE WHEN regexp_matches(doc, '(?i)^.*?_CH[0-9]') THEN lower(regexp_replace(regexp_extract(doc, '(?i)^(.*?)_CH[0-9]', 1), '\s+', '', 'g')) END AS prefix FROM filenames),
+  r AS (SELECT a.doc, min_by(b.prefix, length(b.prefix)) AS root FROM f a JOIN f b ON starts_with(a.prefix, b.prefix) GROUP BY a.doc)
+  SELECT doc, CASE WHEN off = 9 THEN 'book:0xxxx-A' WHEN off = 6 THEN 'book:0xxxx-B' WHEN root IS NOT NULL THEN 'book:' || left(root, 60) WHEN regexp_matches(doc, '^[A-R] [A-Z]') THEN 'book:a-r-handbook' WHEN regexp_matches(doc, '(?i)supplement|MOESM') THEN NULL ELSE 'doc:' || doc END AS source,
+    CASE WHEN off IN (6, 9) THEN 'number' WHEN root IS NOT NULL THEN 'chapter' WHEN regexp_matches(doc, '^[A-R] [A-Z]') THEN 'handbook' WHEN regexp_matches(doc, '(?i)supplement|MOESM') THEN 'supplement' ELSE 'self' END AS why FROM f LEFT JOIN r USING (doc)""")
 def proposed_sources(filenames):
-    return matching.propose_sources(filenames).select("doc", "source")
+    return matching.propose_sources(filenames)
 
 
-@query("SELECT key, how, filename FROM (VALUES ('AAAA2222', 'title', '2014 - Acoustic coherent perfect absorbers.pdf'), ('CCCC4444', 'recorded', '2026 - Nonlinear Dynamics.pdf'), ('FFFF7777', 'key', 'FFFF7777 2020 - Anything at all.pdf')) t(key, how, filename)")
+@query(f"WITH {STORED} SELECT key, how, filename FROM found")
 def stored_items(bib, stored):
     return matching.documents_in_kb(bib.where("parent IS NULL"), stored)
 
 
-@query("SELECT key, before, after FROM (VALUES ('CCCC4444', []::VARCHAR[], ['in-kb']), ('FFFF7777', []::VARCHAR[], ['in-kb']), ('GGGG8888', ['in-kb'], []::VARCHAR[])) t(key, before, after)", joined=('before', 'after'))
+@query(f"""WITH {STORED}, w AS (SELECT b.key, parent, tags, CASE WHEN parent IS NOT NULL THEN [] ELSE list_distinct(list_concat(CASE WHEN f.key IS NULL THEN [] ELSE ['in-kb'] END, list_filter(tags, lambda x: x IN ('in-kb', 'read')))) END AS want FROM bib b LEFT JOIN found f USING (key)),
+  c AS (SELECT key, list_sort(list_distinct(tags)) AS before, list_sort(list_distinct(list_concat(list_filter(tags, lambda x: x NOT IN ('in-kb', 'read')), want))) AS after FROM w) SELECT * FROM c WHERE before <> after""", joined=('before', 'after'))
 def tag_changes(bib, stored):
     found = matching.documents_in_kb(bib.where("parent IS NULL"), stored)
     return matching.plan_changes(bib, found, bib.where("false"), {"in_kb": "in-kb", "read": "read"})
 
 
-@query("SELECT key, value FROM (VALUES ('A', 'x y'), ('B', '3=4')) t(key, value)")
+@query(f"WITH {ENV} SELECT key, value FROM env_")
 def env_values(env):
     return bundles.parse_env(env)
 
 
-@query("SELECT coalesce(b.key, o.key) AS key, coalesce(o.value, b.value) AS value, CASE WHEN b.key IS NULL THEN 'new' WHEN o.key IS NOT NULL THEN 'overwrite' END AS action FROM (VALUES ('A', 'x y'), ('B', '3=4')) b(key, value) FULL JOIN over o ON b.key = o.key")
+@query(f"WITH {ENV} SELECT coalesce(b.key, o.key) AS key, coalesce(o.value, b.value) AS value, CASE WHEN b.key IS NULL THEN 'new' WHEN o.key IS NOT NULL THEN 'overwrite' END AS action FROM env_ b FULL JOIN over o ON b.key = o.key")
 def env_overlay(env, over):
     return bundles.overlay_env(bundles.parse_env(env), over)
 
@@ -483,17 +583,21 @@ def verified_sources(candidates):
     return bundles.source_or_first(candidates)
 
 
-@query("SELECT id, CASE id WHEN 1 THEN ['exit-code-after-pipe'] WHEN 4 THEN ['cat-dotenv'] WHEN 7 THEN ['whole-env-dump'] ELSE []::VARCHAR[] END AS rules FROM commands", joined=('rules',))
+@query(r"""WITH b AS (SELECT id, regexp_replace(command, '(?sm)<<-?\s*[''"]?EOF[''"]?.*?^EOF\s*$', '<<HEREDOC', 'g') AS c FROM commands)
+  SELECT id, list_filter([CASE WHEN regexp_matches(c, 'docker\s+compose\b[^|;&]*\bconfig\b') AND NOT regexp_matches(c, 'docker\s+compose\b[^|;&]*\bconfig\b[^|;&]*--hash') THEN 'compose-config-resolves-env' END, CASE WHEN regexp_matches(c, '(^|[|;&]\s*)(env|printenv)\s*($|[|;&])') THEN 'whole-env-dump' END,
+    CASE WHEN regexp_matches(c, '\b(cat|less|more|head|tail|bat)\b[^|;&]*(^|[\s=/])\.env($|[^.\w])') THEN 'cat-dotenv' END, CASE WHEN regexp_matches(c, '(^|[|;&]\s*)(source|\.)\s+[^\s|;&]*\.env\b') THEN 'source-dotenv' END,
+    CASE WHEN regexp_matches(c, '\.Config\.(Cmd|Env)[^|;&]*\|\s*(sed|awk|grep|python)') THEN 'redact-after-the-fact' END, CASE WHEN regexp_matches(c, '\|[^;&\n]*[;&]\s*[^;&\n]*\$\?') THEN 'exit-code-after-pipe' END], lambda x: x IS NOT NULL) AS rules FROM b""", joined=('rules',))
 def guarded_commands(commands):
     return commands.select("id", T.command_rules(F.col("command")).alias("rules"))
 
 
-@query("SELECT id, CASE id WHEN 1 THEN '未知型別 seal, stamp_2' WHEN 2 THEN '頁面尺寸不一致' WHEN 3 THEN '頁序錯位' WHEN 4 THEN '數字異常' WHEN 5 THEN 'preflight 擋下' ELSE '未知型別 未列出' END AS reason FROM messages")
+@query(r"""WITH m AS (SELECT *, regexp_extract_all(string_split(string_split(message, '未知的項目型別')[-1], '——')[1], '[A-Za-z_][A-Za-z0-9_-]*') AS kinds FROM messages)
+  SELECT id, CASE WHEN contains(message, '未知的項目型別') THEN '未知型別 ' || CASE WHEN len(kinds) > 0 THEN array_to_string(kinds, ', ') ELSE '未列出' END WHEN contains(message, '頁面尺寸不一致') THEN '頁面尺寸不一致' WHEN contains(message, '頁序錯位') THEN '頁序錯位' WHEN contains(message, '比例') OR contains(message, '數字') THEN '數字異常' ELSE 'preflight 擋下' END AS reason FROM m""")
 def failure_reasons(messages):
     return messages.select("id", T.failure_reason(F.col("message")).alias("reason"))
 
 
-@query("SELECT id, CASE id WHEN 1 THEN '<table><tr><td>1</td></tr></table>' WHEN 2 THEN '<table><tr>' ELSE 'none' END AS html, CASE id WHEN 1 THEN []::VARCHAR[] WHEN 2 THEN ['V1 finish_reason=length', 'V2 輸出未以 </table> 結尾'] ELSE ['V2 輸出未以 </table> 結尾'] END AS failures FROM raws", joined=('failures',))
+@query(rf"""SELECT id, coalesce(nullif(regexp_extract(raw, '(?is)(<table\b.*?</table>)', 1), ''), {STRIP.format("raw")}) AS html, list_filter([CASE WHEN coalesce(finish, '') NOT IN ('', 'stop') THEN 'V1 finish_reason=' || finish END, CASE WHEN NOT regexp_matches(raw, '(?is)</table>\s*`*\s*$') THEN 'V2 輸出未以 </table> 結尾' END], lambda x: x IS NOT NULL) AS failures FROM raws""", joined=('failures',))
 def transcripts(raws):
     return raws.select("id", T.extract_html(F.col("raw")).alias("html"), T.truncation_failures(F.col("raw"), F.col("finish")).alias("failures"))
 
@@ -503,20 +607,22 @@ def compared_tables(tables_html):
     return tables_html.select("id", votes.compare_tables(F.col("a"), F.col("b")).alias("c")).select("id", "c.*")
 
 
-@query("SELECT where_ FROM edits WHERE where_ = 't2'")
+@query(r"SELECT where_ FROM edits WHERE NOT regexp_matches(new, '(?s)' || array_to_string(list_transform(string_split(coalesce(current, ''), ''), lambda c: regexp_escape(c)), '.*'))")
 def additive_edits(edits):
     return votes.additive_violations(edits).select("where_")
 
 
-@query("SELECT where_, new AS tag FROM edits WHERE where_ = 't5'")
+@query(r"""WITH n AS (SELECT where_, tag, count(*) AS n FROM (SELECT where_, unnest(regexp_extract_all(new, '(?i)<img\b[^>]*>')) AS tag FROM edits) GROUP BY ALL), c AS (SELECT where_, tag, count(*) AS c FROM (SELECT where_, unnest(regexp_extract_all(coalesce(current, ''), '(?i)<img\b[^>]*>')) AS tag FROM edits) GROUP BY ALL)
+  SELECT n.where_, n.tag FROM n LEFT JOIN c ON n.where_ = c.where_ AND n.tag = c.tag WHERE n.n > coalesce(c.c, 0) OR regexp_matches(n.tag, '(?i)src\s*=\s*["'']?\s*(?:[a-z]+:|//|/|\.\.)')""")
 def image_edits(edits):
     return votes.image_violations(edits)
 
 
-@query("SELECT name, CASE WHEN name = 'loose' THEN ['loose'] ELSE ['Hybrid Lattice', 'Multifunctional hybrid lattice absorbers', 'A listed source that is long enough'] END AS candidates FROM (SELECT name FROM notes)", joined=('candidates',))
+@query(r"""WITH h AS (SELECT name, coalesce(nullif(regexp_extract(name, '^(?:draft_)?[A-Za-zÀ-ɏ&\-'']+\s+[0-9]{4}\s*[-–]\s*(.+)$', 1), ''), name) AS own, string_split(coalesce(body, ''), '## Links')[1] AS head FROM notes),
+  s AS (SELECT name, own, CASE WHEN contains(head, '## Sources') THEN substr(head, position('## Sources' IN head) + 10) ELSE '' END AS src FROM h)
+  SELECT name, list_concat([own], list_concat(regexp_extract_all(src, '`([^`]{20,})`', 1), regexp_extract_all(src, '[-*]\s+(.{20,})', 1))) AS candidates FROM s""", joined=('candidates',))
 def note_titles(notes):
-    found = T.note_candidates(F.col("name"), F.col("body"))
-    return notes.select("name", F.filter(found, lambda x: ~x.contains("`")).alias("candidates"))
+    return notes.select("name", T.note_candidates(F.col("name"), F.col("body")).alias("candidates"))
 
 
 @query()
@@ -534,24 +640,23 @@ def document_parts(items):
     return retrieval.doc_summary(items).groupBy("doc_id", "part").agg(F.count("*").alias("n"))
 
 
-
 def _payload_frame(payloads: DataFrame) -> DataFrame:
     zero = F.lit(0)
     plan = F.struct("pages", "items", "page_size", "noise_ratio", F.lit(False).alias("noise_suspicious"), "tables", "repair", "review", *(zero.alias(n) for n in ("mute", "held", "convert", "dangling")))
     return payloads.withColumns({"plan": F.when(F.col("planned"), plan), "title_ratio": F.lit(None).cast("double"), "title_suspicious": F.lit(False)})
 
 
-@query("SELECT doc, doc = 'a' AS accepted, CASE doc WHEN 'a' THEN [] WHEN 'b' THEN ['未知型別 seal', '頁序錯位'] WHEN 'c' THEN ['preflight 擋下', '數字異常', '參考文獻消音比例異常（31.6%）'] ELSE ['preflight 擋下'] END AS reasons FROM payloads", joined=("reasons",))
+@query(f"WITH {ISSUES}, {JUDGED} SELECT doc, len(reasons) = 0 AS accepted, reasons FROM judged", joined=("reasons",))
 def plan_evaluation(payloads):
     return ledger.evaluate_plans(_payload_frame(payloads)).select("doc", "accepted", "reasons")
 
 
-@query("SELECT doc, ['pages', 'page_size', 'ratio'] AS issues FROM payloads WHERE doc = 'c'", joined=("issues",))
+@query(f"WITH {ISSUES} SELECT doc, issues FROM issues WHERE planned", joined=("issues",))
 def plan_issues(payloads):
-    return _payload_frame(payloads).where("doc = 'c'").select("doc", ledger.plan_issues().alias("issues"))
+    return _payload_frame(payloads).where("planned").select("doc", ledger.plan_issues().alias("issues"))
 
 
-@query("""SELECT doc, 'pp.preflight' AS gate, CASE WHEN doc = 'a' THEN 'pass' WHEN admitted THEN 'unverifiable' ELSE 'fail' END AS state FROM payloads
+@query(f"""WITH {ISSUES}, {JUDGED} SELECT doc, 'pp.preflight' AS gate, CASE WHEN len(reasons) = 0 THEN 'pass' WHEN admitted THEN 'unverifiable' ELSE 'fail' END AS state FROM judged JOIN payloads USING (doc)
   UNION ALL SELECT doc, 'pp.tables', CASE WHEN NOT planned OR repair > 0 OR review > 0 THEN 'unverifiable' ELSE 'pass' END FROM payloads""")
 def plan_entries(payloads):
     judged = ledger.evaluate_plans(_payload_frame(payloads)).select("doc", "accepted")
@@ -569,7 +674,9 @@ def review_queue(corpus, live):
     return ledger.pending(corpus, live)
 
 
-@query("SELECT key, CASE key WHEN 'k1' THEN 'a_dual.pdf' WHEN 'k2' THEN 'a.pdf' WHEN 'k3' THEN 'b.pdf' END AS chosen, CASE key WHEN 'k1' THEN 'only' WHEN 'k2' THEN 'named-PDF' WHEN 'k3' THEN 'sole-original' WHEN 'k4' THEN 'all-translated' ELSE 'ambiguous' END AS reason FROM (SELECT DISTINCT key FROM attachments)")
+@query(r"""WITH f AS (SELECT *, NOT (list_contains(tags, 'BabelDOC_translated') OR regexp_matches(title || ' ' || name, '(?i)(_?zht|zh-?tw|[-_.]dual\b|[-_.]mono\b|_translation|翻譯)')) AS fine FROM attachments),
+  g AS (SELECT key, count(*) AS n, count(*) FILTER (fine) AS f, count(*) FILTER (fine AND trim(title) = 'PDF') AS p, max(name) AS one, max(name) FILTER (fine) AS sole, max(name) FILTER (fine AND trim(title) = 'PDF') AS pdf FROM f GROUP BY key)
+  SELECT key, CASE WHEN n = 1 THEN one WHEN f = 0 THEN NULL WHEN f = 1 THEN sole WHEN p = 1 THEN pdf END AS chosen, CASE WHEN n = 1 THEN 'only' WHEN f = 0 THEN 'all-translated' WHEN f = 1 THEN 'sole-original' WHEN p = 1 THEN 'named-PDF' ELSE 'ambiguous' END AS reason FROM g""")
 def chosen_attachments(attachments):
     return matching.choose_attachment(attachments)
 
@@ -604,9 +711,10 @@ def keyword_guard(requests):
     return requests.select("id", retrieval.needs_keywords(F.col("mode"), F.col("high"), F.col("low"), F.col("allow")).alias("missing"))
 
 
-@query("SELECT query, section::INTEGER AS section, words::INTEGER AS words FROM (VALUES ('q1', 0, 5), ('q1', 1, 4), ('q2', 0, 3)) t(query, section, words)")
+@query(r"""WITH p AS (SELECT query, list_filter(string_split(regexp_replace(coalesce(context, ''), '(?m)^(#{1,6}\s)', chr(1) || '\1', 'g'), chr(1)), lambda x: x <> '') AS parts FROM contexts), u AS (SELECT query, unnest(parts) AS s, generate_subscripts(parts, 1) - 1 AS section FROM p)
+  SELECT query, section::INTEGER AS section, length(s)::INTEGER AS chars, len(list_filter(regexp_split_to_array(s, '\s+'), lambda w: w <> ''))::INTEGER AS words FROM u""")
 def context_sizes(contexts):
-    return retrieval.section_sizes(contexts).select("query", "section", "words")
+    return retrieval.section_sizes(contexts).select("query", "section", "chars", "words")
 
 
 @query("""SELECT id, CASE WHEN ab >= 0.85 AND (am >= 0.85 OR bm >= 0.85) THEN 'consensus' WHEN ab >= 0.85 THEN 'suspect' WHEN am >= 0.85 OR bm >= 0.85 THEN 'majority' WHEN coalesce(ca, 0) >= 0.85 OR coalesce(cb, 0) >= 0.85 OR coalesce(cm, 0) >= 0.85 THEN 'tie_broken' ELSE 'three_way' END AS kind FROM ratios""")
@@ -626,7 +734,7 @@ def event_distance(event_rows):
     return workflow.convergence(event_rows, 30)
 
 
-@query("SELECT candidate_id, name FROM pdfs WHERE candidate_id IN ('c1', 'c5')")
+@query(r"SELECT candidate_id, name FROM pdfs WHERE NOT regexp_matches(name, '(^\.)|[/\\]|\.\.') AND candidate_id NOT IN (SELECT candidate_id FROM used) AND sha256 NOT IN (SELECT sha256 FROM hashes WHERE sha256 NOT IN (SELECT sha256 FROM resets))")
 def new_candidates(pdfs, used, hashes, resets):
     return bundles.new_candidates(pdfs, used, [hashes], resets).select("candidate_id", "name")
 
@@ -636,17 +744,18 @@ def shared_families(voters):
     return workflow.shared_families(voters)
 
 
-@query("""SELECT id, CASE id WHEN 1 THEN 0.5 WHEN 2 THEN 0.0 ELSE 1.0 END::DOUBLE AS jaccard FROM two_texts""")
+@query("WITH w AS (SELECT id, list_distinct(regexp_extract_all(lower(a), '[a-z]{4,}')) AS a, list_distinct(regexp_extract_all(lower(b), '[a-z]{4,}')) AS b FROM two_texts) SELECT id, round(len(list_intersect(a, b)) / greatest(len(list_distinct(list_concat(a, b))), 1), 9) AS jaccard FROM w")
 def word_overlap(two_texts):
     return two_texts.select("id", F.round(matching.word_jaccard(F.col("a"), F.col("b")), 9).alias("jaccard"))
 
 
-@query("SELECT job_id, status, CASE WHEN job_id = 'j6' THEN 'indexed' ELSE status END AS recovered, CASE WHEN job_id = 'j6' THEN 'done' ELSE 'queue' END AS action FROM jobs WHERE status IN ('parsing', 'extracting')")
+@query("""WITH a AS (SELECT j.job_id, j.status, j.status IN ('parsing', 'repairing', 'repaired') AS early, lower(coalesce(i.index_status, '')) AS known FROM jobs j LEFT JOIN index_docs i USING (filename) WHERE j.status IN ('parsing', 'repairing', 'repaired', 'admitted', 'scanning', 'extracting'))
+  SELECT job_id, status, CASE WHEN early THEN status WHEN known = 'processed' THEN 'indexed' WHEN known IN ('processing', 'pending') THEN status ELSE 'failed' END AS recovered, CASE WHEN early THEN 'queue' WHEN known = 'processed' THEN 'done' WHEN known IN ('processing', 'pending') THEN 'wait' ELSE 'failed' END AS action FROM a""")
 def recovered_jobs(jobs, index_docs):
     return workflow.recover(jobs.drop("index_status"), index_docs)
 
 
-@query("SELECT list_sort(list(job_id) FILTER (status = 'planned')) AS ready, bool_or(status IN ('parsing', 'extracting')) AS blocked FROM jobs", joined=("ready",))
+@query("SELECT job_id, (SELECT bool_or(status IN ('parsing', 'admitted', 'scanning', 'extracting')) FROM jobs) AS blocked FROM jobs WHERE status = 'planned'")
 def batch_barrier(jobs):
     return workflow.round_can_start(jobs)
 
@@ -661,14 +770,19 @@ def profile_hashes(voters):
     return voters.select("name", ledger.profile_hash("name", "family").alias("hash"))
 
 
-@query("SELECT count(*) AS documents, '6|3|8|3|2024-01-05' AS fingerprint FROM corpus")
+@query("WITH d AS (SELECT count(*) AS n, max('2024-01-0' || right(doc, 1)) AS last FROM corpus) SELECT d.n AS documents, concat_ws('|', d.n, (SELECT count(*) FROM chunks), (SELECT count(*) FROM entities), (SELECT count(*) FROM relations), d.last) AS fingerprint FROM d")
 def change_fingerprint(corpus, chunks, entities, relations):
-    return retrieval.change_fingerprint(corpus.withColumn("updated_at", F.lit("2024-01-05")), chunks, entities, relations).select("documents", "fingerprint")
+    dated = corpus.withColumn("updated_at", F.concat(F.lit("2024-01-0"), F.right("doc", F.lit(1))))
+    return retrieval.change_fingerprint(dated, chunks, entities, relations).select("documents", "fingerprint")
 
 
-@query("SELECT doc_id, 0::BIGINT AS removed, 0.0::DOUBLE AS ratio FROM items GROUP BY doc_id")
+@query(f"""WITH {REFERENCES}, s AS (SELECT doc_id, item_idx, type, sub_type, length(coalesce(text, '')) AS t, coalesce(list_sum(list_transform(list_items, lambda x: length(x))), 0) AS l, coalesce(len(list_items), 0) AS entries, trim(coalesce(text, '')) <> '' AS texted FROM items),
+  r AS (SELECT s.doc_id, sum((signal IS NOT NULL AND texted)::INTEGER + (signal IS NOT NULL AND entries > 0)::INTEGER)::BIGINT AS removed, coalesce(sum(CASE WHEN texted THEN t ELSE 0 END + l) FILTER (signal IS NOT NULL), 0)::BIGINT AS removed_chars, coalesce(sum(entries) FILTER (signal IS NOT NULL), 0)::BIGINT AS list_entries,
+    sum(t + l)::BIGINT AS chars, list_sort(list(DISTINCT type || '/' || coalesce(nullif(sub_type, ''), '-')) FILTER (signal IS NOT NULL AND (texted OR entries > 0))) AS kinds FROM s LEFT JOIN refs ON s.doc_id = refs.doc_id AND s.item_idx = refs.item_idx GROUP BY s.doc_id)
+  SELECT doc_id, removed, removed_chars, list_entries, array_to_string(coalesce(kinds, []), '|') AS kinds, round(CASE WHEN chars > 0 THEN removed_chars / chars ELSE 0 END, 9) AS ratio FROM r""")
 def removed_text(items):
-    return checks.muted_audit(items).select("doc_id", F.col("removed").cast("long").alias("removed"), "ratio")
+    got = checks.muted_audit(rules.mute(items, layout.reference_plan(items)))
+    return got.select("doc_id", *(F.col(c).cast("long").alias(c) for c in ("removed", "removed_chars", "list_entries")), F.array_join("kinds", "|").alias("kinds"), F.round("ratio", 9).alias("ratio"))
 
 
 @query()
@@ -689,19 +803,125 @@ def equation_sample(items):
     return votes.density_sample(items, 5).select("doc_id", "item_idx")
 
 
-@query("SELECT doc, unnest(range(60, 90))::INTEGER AS page FROM toc WHERE doc = 'bk' AND pos = 5 UNION ALL SELECT doc, unnest(range(20, 60))::INTEGER FROM toc WHERE doc = 'bk' AND pos = 3")
+@query("SELECT doc, page::INTEGER AS page FROM (SELECT DISTINCT doc, unnest(range(page, fin + 1)) AS page FROM (WITH " + RANGES + " SELECT * FROM ranges WHERE fin - page + 1 > 18))")
 def needed_pages(toc, totals):
-    return chapters.pages_needed(chapters.ranges(toc, totals).where("doc = 'bk'"), 18)
+    return chapters.pages_needed(chapters.ranges(toc, totals), 18)
 
 
-@query("""SELECT skeleton, CASE WHEN skeleton LIKE 'Z%' THEN 'same' ELSE 'unaudited' END AS verdict FROM (VALUES ('Z')) t(skeleton)""")
+@query(f"""WITH {KEYS}, v(skeleton, verdict) AS (SELECT skeleton, 'same' FROM keys WHERE contains(skeleton, 'frac') GROUP BY skeleton HAVING count(*) > 2)
+  SELECT skeleton, coalesce(verdict, 'unaudited') AS verdict FROM (SELECT skeleton FROM keys WHERE NOT regexp_full_match(skeleton, '[#N=,.;:()\\[\\]{{}}+\\-*/^_\\s]*') GROUP BY skeleton HAVING count(DISTINCT source) > 1) LEFT JOIN v USING (skeleton)""")
 def audited_classes(equations):
-    found = matching.equation_classes(matching.equations(equations))
-    verdicts = found.select("skeleton", F.lit("same").alias("verdict"))
-    return matching.audited(found, verdicts).select(F.lit("Z").alias("skeleton"), "verdict")
+    eqs = matching.equations(equations)
+    verdicts = eqs.where(F.col("skeleton").contains("frac")).groupBy("skeleton").agg(F.count("*").alias("n")).where("n > 2").select("skeleton", F.lit("same").alias("verdict"))
+    return matching.audited(matching.equation_classes(eqs), verdicts).select("skeleton", "verdict")
+
+
+@query("SELECT category, trim(text) AS text, count(*) AS n, list_sort(list(DISTINCT doc_id)) AS docs FROM confirmations GROUP BY category, trim(text)", joined=("docs",))
+def grouped_confirmations(confirmations):
+    return rules.group_confirm(confirmations)
+
+
+@query(f"WITH {PLAN} SELECT doc_id, item_idx, rule, coalesce(signal, rule) AS reason FROM whole WHERE action = 'mute'")
+def muted_items(items):
+    return rules.muted_items(rules.plan(items))
+
+
+@query(f"WITH {PLAN} SELECT doc_id, count(*) AS muted FROM whole WHERE action = 'mute' GROUP BY doc_id")
+def muted_counts(items):
+    return rules.muted_count(rules.plan(items))
+
+
+@query(f"""WITH {PLAN}, asked AS (SELECT doc_id, count(*) AS n FROM whole WHERE action = 'held' AND (doc_id, item_idx) NOT IN (SELECT (doc_id, item_idx) FROM whole WHERE rule IN ('cover', 'margin')) AND NOT (rule = 'title' AND why IN ('散文', '關鍵字')) GROUP BY doc_id)
+  SELECT i.doc_id, CASE WHEN coalesce(n, 0) > 0 AND NOT bool_or(d.doc_id IS NOT NULL) THEN 'waits for a person' ELSE '' END AS reason FROM (SELECT DISTINCT doc_id FROM items) i LEFT JOIN asked USING (doc_id) LEFT JOIN (SELECT DISTINCT doc_id FROM decisions) d ON i.doc_id = d.doc_id GROUP BY i.doc_id, n""")
+def hold_reasons(items, decisions):
+    asked = rules.confirm_items(rules.plan(items)).groupBy("doc_id").agg(F.count("*").alias("n"))
+    decided = decisions.select("doc_id", F.lit(True).alias("decided")).distinct()
+    docs = items.select("doc_id").distinct().join(asked, "doc_id", "left").join(decided, "doc_id", "left")
+    return docs.select("doc_id", ledger.hold_reason(F.coalesce("n", F.lit(0)), F.coalesce("decided", F.lit(False))).alias("reason"))
+
+
+@query(f"WITH {KEYS} SELECT doc, item, skeleton, nums FROM keys", joined=("nums",))
+def equation_keys(equations):
+    return matching.equations(equations).select("doc", "item", "skeleton", "nums")
+
+
+@query(rf"WITH s AS (SELECT doc_id, item_idx, type, {corpus.STRIPPED.replace('text', "coalesce(text, '')")} AS s FROM items) SELECT doc_id, item_idx, length(s)::BIGINT AS chars FROM s WHERE type IN ('text', 'header') AND {corpus.MANGLED}")
+def mangled_items(items):
+    return items.where(T.is_mangled(F.col("text"), F.col("type"))).select("doc_id", "item_idx", F.length(T.strip_math(F.col("text"))).cast("long").alias("chars"))
+
+
+@query("""WITH p AS (SELECT doc_id, unnest(range(0, max(page_idx) + 1)) AS page FROM items GROUP BY doc_id), b AS (SELECT DISTINCT doc_id, page_idx AS page FROM items WHERE type IN ('text', 'header') AND length(coalesce(nullif(text, ''), nullif(table_body, ''), code_body, '')) > 0)
+  SELECT doc_id, page::INTEGER AS page FROM p WHERE (doc_id, page) NOT IN (SELECT (doc_id, page) FROM b)""")
+def pages_without_text(items):
+    return checks.textless_pages(items)
+
+
+@query(f"WITH {STRINGS} SELECT doc_id, text, count(*) AS n FROM strings GROUP BY doc_id, text")
+def item_strings(items):
+    return checks.item_strings(items).groupBy("doc_id", "text").agg(F.count("*").alias("n"))
+
+
+@query(r"SELECT id, list_filter([CASE WHEN len(regexp_extract_all(raw, '(?i)<table\b')) <> 1 OR len(regexp_extract_all(raw, '(?i)</table>')) <> 1 THEN 'table' END, CASE WHEN regexp_matches(raw, '(?i)Noah Carter|World Athletics|Carbon-Fiber Spikes|100m Sprint|Knowledge Graph Specialist') THEN 'leak' END], lambda x: x IS NOT NULL) AS lacks FROM raw_tables", joined=("lacks",))
+def table_gates(raw_tables):
+    return raw_tables.select("id", votes.table_gate(F.col("raw")).alias("lacks"))
+
+
+@query("SELECT lang, side, round(avg(score), 9) AS score, count(*) AS n FROM (SELECT * FROM scores QUALIFY row_number() OVER (PARTITION BY lang, side ORDER BY score DESC) <= 2) GROUP BY lang, side")
+def mean_of_best(scores):
+    return retrieval.mean_top(scores, 2, ["lang", "side"]).withColumn("score", F.round("score", 9))
+
+
+@query(f"WITH {KEYS} SELECT doc, item, len(regexp_extract_all(skeleton, '\\\\[A-Za-z]+'))::INTEGER AS commands, length(skeleton)::INTEGER AS chars, len(regexp_extract_all(skeleton, '#'))::INTEGER AS slots FROM keys")
+def equation_specificity(equations):
+    s = T.specificity(F.col("skeleton"))
+    return matching.equations(equations).select("doc", "item", s.commands.cast("int").alias("commands"), s.chars.cast("int").alias("chars"), s.slots.cast("int").alias("slots"))
+
+
+@query("SELECT state, count(*) AS n FROM records WHERE doc NOT IN (SELECT doc FROM live) GROUP BY state")
+def ghost_states(records, live):
+    return ledger.ghost_verdicts(records, ledger.ghosts(records, live))
+
+
+@query(f"WITH {REFERENCES}, p AS (SELECT doc_id AS doc, array_to_string(list_filter(list_transform(list_concat([coalesce(text, '')], coalesce(list_items, [])), lambda x: trim(coalesce(x, ''))), lambda x: x <> ''), chr(10)) AS text FROM items JOIN refs USING (doc_id, item_idx)) SELECT DISTINCT doc, text FROM p WHERE text <> ''")
+def muted_strings(items):
+    return checks.noise_index(layout.reference_plan(items), items)
+
+
+@query("SELECT type, count(*) AS n FROM nodes GROUP BY type")
+def node_types(nodes):
+    return retrieval.histogram(nodes, "type")
+
+
+@query("SELECT doc_id, type, count(*) AS n FROM items GROUP BY doc_id, type")
+def item_types(items):
+    return checks.type_histogram(items)
+
+
+@query("SELECT family, path, modified FROM reports WHERE (path, modified) NOT IN (SELECT (path, modified + 1) FROM reports WHERE family = 'daily' UNION ALL SELECT (path, modified) FROM reports WHERE family = 'weekly')")
+def stale_digests(reports):
+    """Files that a cache of digests, kept for other times or lengths, has to read again."""
+    files = reports.select("family", "path", F.lit(1).alias("length"), "modified")
+    cache = files.withColumn("modified", F.when(F.col("family") == "daily", F.col("modified") + 1).otherwise(F.col("modified"))).drop("family")
+    return workflow.changed_files(files, cache).select("family", "path", "modified")
+
+
+@query("SELECT doc, gate, state FROM records")
+def ledger_cells(records):
+    """Records as nested ledgers, and those as cells again."""
+    gate = F.struct("state", F.lit(None).cast("double").alias("value"), F.lit(None).cast("double").alias("threshold"), "note", "at", F.lit(None).cast("struct<state: string, value: double, at: string>").alias("previous"))
+    each = records.select("doc", F.map_from_arrays(F.array("gate"), F.array(gate)).alias("gates"))
+    return ledger.gate_cells(each).select("doc", "gate", "state")
+
+
+@query("""WITH p(a, b, r) AS (SELECT a.id, b.id, round(1 - abs(a.score - b.score), 9) FROM scores a JOIN scores b ON (a.id, a.side) < (b.id, b.side)), q AS (SELECT a, b, r, CASE WHEN r >= 0.95 THEN 0.95 WHEN r >= 0.9 THEN 0.9 WHEN r >= 0.85 THEN 0.85 WHEN r >= 0.8 THEN 0.8 END AS band FROM p),
+  k AS (SELECT *, row_number() OVER (PARTITION BY band ORDER BY r DESC, a, b) - 1 AS k, count(*) OVER (PARTITION BY band) AS size FROM q WHERE band IS NOT NULL)
+  SELECT a AS a_id, b AS b_id, r AS ratio, band::DOUBLE AS band FROM k WHERE size <= 2 OR k IN (SELECT i * k.size // 2 FROM range(2) t(i))""")
+def question_samples(scores):
+    a, b = (scores.select(F.col("id").alias(f"{x}_id"), F.col("side").alias(f"{x}_side"), F.col("score").alias(f"{x}_score")) for x in "ab")
+    pairs = a.join(b, F.struct("a_id", "a_side") < F.struct("b_id", "b_side")).withColumn("ratio", F.round(1 - F.abs(F.col("a_score") - F.col("b_score")), 9))
+    return votes.question_bands(pairs.select("a_id", "b_id", "ratio"), 2)
 
 
-@query("SELECT category, text, n::BIGINT AS n FROM (VALUES ('noise', 'A lone', 1), ('noise', 'B', 2)) t(category, text, n)")
-def grouped_confirmations(edits):
-    rows = edits.sparkSession.createDataFrame([("d1", "noise", " B"), ("d2", "noise", "B "), ("d1", "noise", "A lone")], "doc_id string, category string, text string")
-    return rules.group_confirm(rows).select("category", "text", "n")
+@query(r"SELECT id, trim(regexp_replace(regexp_replace(regexp_replace(s, '\\(?:mathrm|mathsf)', '', 'g'), '\s*([_^])\s*', '\1', 'g'), '\s{2,}', ' ', 'g')) AS plain FROM latex WHERE NOT contains(s, '{')")
+def readable_texts(latex):
+    return latex.where("NOT contains(s, '{')").select("id", tex.readable_latex(F.col("s")).alias("plain"))

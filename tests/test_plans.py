@@ -77,3 +77,31 @@ def test_latex_edits(spark):
     rows = [("equation", r"\mathrm { w i t h } x", 0), ("text", "no math", 0), ("equation", r"\alpha", 0)]
     got = rules.latex_edits(items(spark, rows)).collect()
     assert [(r.item_idx, r.field, r.words) for r in got] == [(0, "text", ["with"])]
+
+
+def test_apply_keeps_a_backup_and_rolls_back(spark, tmp_path):
+    base = frame(spark, "items")
+    plan, path = rules.plan(base), f"file://{tmp_path}/corpus"
+    base.write.parquet(path)
+    before = spark.read.parquet(path)
+    old = sorted(map(repr, before.collect()))
+    out = rules.apply(before, plan, acknowledged=True, path=path)
+    new = sorted(map(repr, out.collect()))
+    assert new != old and sorted(map(repr, rules.rollback(spark, path).collect())) == old
+    assert sorted(map(repr, rules.rollback(spark, path).collect())) == new  # undone as well
+    with pytest.raises(rules.Refused, match="no backup"):
+        rules.rollback(spark, f"file://{tmp_path}/nowhere")
+
+
+def test_apply_leaves_the_target_when_what_was_written_is_wrong(spark, tmp_path, monkeypatch):
+    base = frame(spark, "items")
+    path = f"file://{tmp_path}/corpus"
+    base.write.parquet(path)
+    before = spark.read.parquet(path)
+    old = sorted(map(repr, before.collect()))
+    mute = rules.mute
+    for wrong, why in ((lambda i, p: mute(i, p).where("item_idx <> 3"), "became"), (lambda i, p: mute(i, p).withColumn("orig_text", F.lit(None).cast("string")), "reverted")):
+        monkeypatch.setattr(rules, "mute", wrong)
+        with pytest.raises(rules.Refused, match=why):
+            rules.apply(before, rules.plan(base), acknowledged=True, path=path)
+        assert sorted(map(repr, spark.read.parquet(path).collect())) == old and not list(tmp_path.glob(".corpus.*"))

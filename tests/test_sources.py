@@ -61,3 +61,16 @@ def test_recover(spark):
     index = spark.createDataFrame([("a", "PROCESSED"), ("d", "pending")], "filename string, index_status string")
     assert {r.job_id: r.recovered for r in workflow.recover(js, index).collect()} == {"1": "indexed", "2": "repairing", "3": "parsing", "4": "scanning"}
     assert {r.recovered for r in workflow.recover(js, None).collect()} == {"extracting", "repairing", "parsing", "scanning"}
+
+
+def test_event_log_and_append(spark, tmp_path):
+    (tmp_path / "log").mkdir()
+    (tmp_path / "log" / "a.json").write_text('{"event_id": "e1", "n": 1}\nnot json\n{"event_id": "e2", "n": 2}\n')
+    stream = jobs.event_log(spark, str(tmp_path / "log"), "event_id string, n int")
+    for _ in range(2):  # a second run finds nothing new, so each row is there once
+        jobs.append_events(stream, str(tmp_path / "out"), str(tmp_path / "state")).awaitTermination(60)
+    rows = spark.read.parquet(str(tmp_path / "out")).collect()
+    assert sorted((r.event_id or "", r.n or 0, r.corrupt or "") for r in rows) == [("", 0, "not json"), ("e1", 1, ""), ("e2", 2, "")]
+    (tmp_path / "log" / "b.json").write_text('{"event_id": "e3", "n": 3}\n')
+    jobs.append_events(stream, str(tmp_path / "out"), str(tmp_path / "state")).awaitTermination(60)
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 4
