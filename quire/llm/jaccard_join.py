@@ -172,26 +172,21 @@ def _whole_groups(batches: Iterator[pa.RecordBatch], name: str) -> Iterator[tupl
         yield t, [0, *borders(t).tolist(), t.num_rows]
 
 
-def _trees(n: int, a: list[int], b: list[int]) -> list[int]:
-    """The least member of each one's tree after joining a[i] with b[i]."""
-    top = list(range(n))
-
-    def find(x: int) -> int:
-        while top[x] != x:
-            top[x] = top[top[x]]
-            x = top[x]
-        return x
-
-    for x, y in zip(a, b, strict=True):
-        x, y = find(x), find(y)
-        if x != y:
-            top[max(x, y)] = min(x, y)
-    return [find(x) for x in range(n)]
-
-
-def _agreeing(sketch: np.ndarray, n: np.ndarray, side: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs i < j whose sketches and sizes allow the threshold; of two sides, only pairs across."""
-    m, found = len(n), []
+def _labels(m: int, links: Iterator[tuple[int, np.ndarray]]) -> np.ndarray:
+    """The least member of each one's tree, from (member, those it is linked to). Pairs are never held, only rows of them."""
+    top, flag = np.arange(m), np.zeros(m, bool)
+    for x, others in links:
+        met = np.unique(np.append(top[others], top[x]))
+        if len(met) > 1:
+            flag[met] = True
+            top[flag[top]] = met[0]
+            flag[met] = False
+    return top
+
+
+def _agreeing(sketch: np.ndarray, n: np.ndarray, side: np.ndarray, threshold: float) -> Iterator[tuple[int, np.ndarray]]:
+    """Each i with the j > i whose sketches and sizes allow the threshold; of two sides, only pairs across."""
+    m = len(n)
     for a in range(0, m, 128):
         x = slice(a, min(m, a + 128))
         fits = (np.minimum(n[x, None], n[None]) >= threshold * np.maximum(n[x, None], n[None])) & (np.arange(a, x.stop)[:, None] < np.arange(m)[None])
@@ -205,8 +200,9 @@ def _agreeing(sketch: np.ndarray, n: np.ndarray, side: np.ndarray, threshold: fl
             for k in range(SLOTS):
                 same += sketch[x, None, k] == sketch[None, :, k]
             good = same[i, j] >= AGREE
-        found.append((i[good] + a, j[good]))
-    return tuple(np.concatenate(z) for z in zip(*found, strict=True))
+        i, j = i[good], j[good]
+        for row, others in zip(np.unique(i), np.split(j, np.flatnonzero(np.diff(i)) + 1)):
+            yield int(row) + a, others
 
 
 def _sketches(t: pa.Table) -> np.ndarray:
@@ -226,11 +222,9 @@ def _sift(threshold: float):
             good &= np.minimum(n[two], n[two + 1]) >= threshold * np.maximum(n[two], n[two + 1])
             found = [np.stack([cid[two[good]], cid[two[good] + 1]], 1)]
             for a, m in zip(starts[length > 2], length[length > 2], strict=True):
-                i, j = _agreeing(sketch[a : a + m], n[a : a + m], side[a : a + m], threshold)
-                if len(i):
-                    used, inverse = np.unique(np.concatenate([i, j]), return_inverse=True)
-                    top = np.array(_trees(len(used), inverse[: len(i)].tolist(), inverse[len(i) :].tolist()))
-                    found.append(np.stack([cid[a + used[top]], cid[a + used]], 1))
+                top = _labels(m, _agreeing(sketch[a : a + m], n[a : a + m], side[a : a + m], threshold))
+                hung = np.flatnonzero(top != np.arange(m))
+                found.append(np.stack([cid[a + top[hung]], cid[a + hung]], 1))
             edges = np.unique(np.concatenate(found), axis=0)
             edges = edges[edges[:, 0] != edges[:, 1]]
             yield pa.RecordBatch.from_arrays([pa.array(edges[:, 0]), pa.array(edges[:, 1])], names=["a", "b"])
@@ -263,8 +257,11 @@ def _similar(sets: list[np.ndarray], threshold: float) -> np.ndarray:
         shared = len(np.intersect1d(a, b, assume_unique=True))
         hit = shared >= threshold * (len(a) + len(b) - shared) - 1e-9
         return np.array([[False, hit], [hit, False]])
-    n, shared = np.array([len(x) for x in sets], np.float64), _overlaps(sets).astype(np.float64)
-    hits = shared >= threshold * (n[:, None] + n[None] - shared) - 1e-9
+    n, shared = np.array([len(x) for x in sets], np.float64), _overlaps(sets)
+    hits = np.empty(shared.shape, bool)
+    for a in range(0, len(n), 256):  # in rows, as sizes are compared in double precision
+        some = shared[a : a + 256].astype(np.float64)
+        hits[a : a + 256] = some >= threshold * (n[a : a + 256, None] + n[None] - some) - 1e-9
     np.fill_diagonal(hits, False)
     return hits
 
@@ -287,8 +284,7 @@ def _compare(threshold: float):
                 at += a
                 if len(at) < 2:
                     continue
-                i, j = _agreeing(sketch[at], n[at], side[at], threshold)
-                top = np.array(_trees(len(at), i.tolist(), j.tolist()))
+                top = _labels(len(at), _agreeing(sketch[at], n[at], side[at], threshold))
                 order = np.argsort(top, kind="stable")
                 for part in np.split(order, np.flatnonzero(np.diff(top[order])) + 1):
                     if len(part) < 2:
@@ -297,9 +293,8 @@ def _compare(threshold: float):
                     hits = _similar([members[x] for x in rows], threshold)
                     if side[rows].min() != side[rows].max():
                         hits &= side[rows, None] != side[None, rows]
-                    links[rows] = hits @ copies[rows]
-                    x, y = np.nonzero(np.triu(hits))
-                    tree = np.array(_trees(len(rows), x.tolist(), y.tolist()))
+                    links[rows] = [copies[rows[x]].sum() for x in hits]
+                    tree = _labels(len(rows), ((x, np.flatnonzero(hits[x])) for x in np.flatnonzero(hits.any(1)).tolist()))
                     least = np.full(len(rows), np.iinfo(np.int64).max)
                     np.minimum.at(least, tree, cid[rows])
                     root[rows] = least[tree]
