@@ -21,7 +21,7 @@ BATCH_ROWS, BATCH_BYTES = 1000, 4 << 20
 #: The bytes that separate words: the class [\x20\x09-\x0D].
 SPACES = (0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D)
 #: Bytes of text that one numpy pass covers.
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 18
 #: Odd, so it has an inverse modulo 2**64.
 BASE = np.uint64(0x9E3779B97F4A7C15)
 BASE_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
@@ -52,6 +52,30 @@ def cut(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+class Scratch:
+    """The folders that one operation writes on its way to a result; they are removed once the result itself is written."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, []
+
+    def cut(self, df: DataFrame, label: str) -> DataFrame:
+        self.paths.append(shared_dir(self.spark, label))
+        df.write.parquet(self.paths[-1])
+        return self.spark.read.schema(df.schema).parquet(self.paths[-1])
+
+    def last(self, df: DataFrame, label: str) -> DataFrame:
+        out = cut(df, label)
+        for path in self.paths:
+            at = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(at, True)
+        return out
+
+
+def hinted(df: DataFrame, most: int) -> DataFrame:
+    """df for the small side of a join: broadcast if it is counted to have so few rows, else left to shuffle."""
+    return F.broadcast(df) if df.count() <= most else df
+
+
 def batched(spark: SparkSession) -> None:
     """Bound the Arrow batches of the session's Python stages by rows and by bytes."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
@@ -202,13 +226,14 @@ class Rolling:
         return mix((self.prefix[start + n] - self.prefix[start]) * self.down[start] + np.uint64(n))
 
 
-def components(edges: DataFrame, label: str) -> DataFrame:
+def components(edges: DataFrame, label: str, scratch: Scratch | None = None) -> DataFrame:
     """Connected components of edges (a, b): rows (id, component), component the smallest id of the component.
 
     Alternates large-star and small-star rounds until nothing changes; every round is cut. A hub costs one row per
     neighbour and its minimum is aggregated before the shuffle; nothing is gathered in a list or at the driver.
     Ids of any orderable type; null ends are ignored; loops give a component of one.
     """
+    cut = (scratch or Scratch(edges.sparkSession)).cut
     both = lambda e: e.select("a", "b").union(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
     edges = cut(edges.where("a IS NOT NULL AND b IS NOT NULL").select("a", "b").distinct(), f"{label}-edges")
     ids = edges.select(F.col("a").alias("id")).union(edges.select(F.col("b").alias("id"))).distinct()

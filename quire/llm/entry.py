@@ -61,7 +61,7 @@ h AS (SELECT page_id, translate(regexp_extract(r, '^([^/?#]*)', 1), 'ABCDEFGHIJK
 rules(verdict, rule, site, pre) AS (VALUES ('block', 'com/en/', 'com', '/en/'), ('allow', 'example.com/en/7', 'example.com', '/en/7'), ('allow', 'net/de/', 'net', '/de/'), ('block', 'example.net/de/8', 'example.net', '/de/8'), ('block', 'org/es/', 'org', '/es/')),
 ruled AS (SELECT h.page_id, h.host, h.path, r.rule, r.verdict FROM h LEFT JOIN rules r ON (h.host = r.site OR ends_with(h.host, '.' || r.site)) AND starts_with(h.path, r.pre)
   QUALIFY row_number() OVER (PARTITION BY h.page_id ORDER BY length(r.rule) DESC NULLS LAST) = 1),
-hosts AS (SELECT host, count(verdict)::DOUBLE AS n, count(*) FILTER (verdict = 'block')::DOUBLE AS k, array_to_string(list_slice(string_split(host, '.'), -2, -1), '.') AS domain, string_split(host, '.')[-1] AS suffix FROM ruled GROUP BY host),
+hosts AS (SELECT host, count(verdict)::DOUBLE AS n, count(*) FILTER (verdict = 'block')::DOUBLE AS k, array_to_string(list_slice(string_split(regexp_replace(host, ':[0-9]*$', ''), '.'), -2, -1), '.') AS domain, string_split(regexp_replace(host, ':[0-9]*$', ''), '.')[-1] AS suffix FROM ruled GROUP BY host),
 domains AS (SELECT domain, suffix, sum(n) AS n, sum(k) AS k FROM hosts GROUP BY domain, suffix),
 suffixes AS (SELECT suffix, sum(n) AS n, sum(k) AS k FROM domains GROUP BY suffix),
 whole AS (SELECT CASE WHEN sum(n) > 0 THEN sum(k) / sum(n) ELSE 0.5 END AS top FROM suffixes),

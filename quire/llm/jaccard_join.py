@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import BASE, Rolling, Words, batched, components, cut, map_arrow, mix, slices, text_of, utf8
+from .common import BASE, Rolling, Scratch, Words, batched, components, cut, hinted, map_arrow, mix, slices, text_of, utf8
 
 #: Words of a shingle and the least similarity of a link.
 SHINGLE, THRESHOLD = 5, 0.8
@@ -339,30 +339,25 @@ def _followed(rows: DataFrame) -> DataFrame:
     return rows.select("cid", F.xxhash64("path", "slot", _slot(F.col("slot"))).alias("path"))
 
 
-def _hinted(df: DataFrame, most: int) -> DataFrame:
-    """df for the small side of a join: broadcast up to so many rows, else shuffled."""
-    return F.broadcast(df) if df.count() <= most else df
-
-
-def _proposals(classes: DataFrame, threshold: float) -> DataFrame:
+def _proposals(classes: DataFrame, threshold: float, scratch: Scratch) -> DataFrame:
     """Edges (a, b) between classes (cid) that met and whose sketches agree; classes without any have none."""
     sketched = classes.select("cid", "n", *_SKETCHES)
     level = classes.select("cid", F.explode("paths").alias("path"))
     leaves, edges = [], []
     for i in range(LEVELS):
         # Nearly all buckets hold one set. So only the paths are counted, and rows of ids meet those that are shared.
-        sizes = cut(level.groupBy("path").agg(F.count("*").alias("m")).where("m > 1"), f"jaccard-sizes{i}")
-        shared = level.join(_hinted(sizes, BROADCAST_PATHS), "path").join(sketched, "cid")
-        shared = cut(shared, f"jaccard-level{i}")
+        sizes = scratch.cut(level.groupBy("path").agg(F.count("*").alias("m")).where("m > 1"), f"jaccard-sizes{i}")
+        shared = level.join(hinted(sizes, BROADCAST_PATHS), "path").join(sketched, "cid")
+        shared = scratch.cut(shared, f"jaccard-level{i}")
         leaves.append(shared.where(F.col("m") <= LEAF).select("cid", "n", *_SKETCHES, F.col("path").alias("bucket"), F.lit(1).cast("long").alias("blocks")))
         large = shared.where(F.col("m") > LEAF)
         if not sizes.where(F.col("m") > LEAF).limit(1).count():
             break
         pick = lambda j: F.min(F.struct(F.xxhash64("cid", F.lit(j)).alias("h"), "cid", *_SKETCHES)).alias(f"p{j}")
-        pivots = cut(large.groupBy("path").agg(F.sum("n").alias("total"), *(pick(j) for j in range(PIVOTS))), f"jaccard-pivots{i}")
-        met = large.join(_hinted(pivots, BROADCAST_PATHS), "path")
+        pivots = scratch.cut(large.groupBy("path").agg(F.sum("n").alias("total"), *(pick(j) for j in range(PIVOTS))), f"jaccard-pivots{i}")
+        met = large.join(hinted(pivots, BROADCAST_PATHS), "path")
         alike = [F.when(F.col("cid") == F.col(f"p{j}.cid"), 0).otherwise(_agreement("", f"p{j}.")).alias(f"a{j}") for j in range(PIVOTS)]
-        met = cut(met.select("cid", "n", *_SKETCHES, "path", "m", "total", *(F.col(f"p{j}.cid").alias(f"p{j}") for j in range(PIVOTS)), *alike), f"jaccard-met{i}")
+        met = scratch.cut(met.select("cid", "n", *_SKETCHES, "path", "m", "total", *(F.col(f"p{j}.cid").alias(f"p{j}") for j in range(PIVOTS)), *alike), f"jaccard-met{i}")
         for j in range(PIVOTS):
             joined = met.where(F.col(f"a{j}") >= LOOSE)
             active = met.where(F.col(f"a{j}") >= SETTLED).select("path").distinct()  # elsewhere nothing is settled, so nothing needs joining
@@ -371,7 +366,7 @@ def _proposals(classes: DataFrame, threshold: float) -> DataFrame:
         if i == LEVELS - 1:
             leaves.append(rest.select("cid", "n", *_SKETCHES, F.col("path").alias("bucket"), _blocks(F.col("m"), F.col("total")).alias("blocks")))
             break
-        level = cut(_followed(rest), f"jaccard-nodes{i}")
+        level = scratch.cut(_followed(rest), f"jaccard-nodes{i}")
     held = leaves[0]
     for x in leaves[1:]:
         held = held.unionByName(x)
@@ -395,47 +390,49 @@ def near_texts(docs: DataFrame, key: str = "doc_id", text: str = "text", thresho
     """
     spark = docs.sparkSession
     batched(spark)
+    scratch = Scratch(spark)
     kind, secret = docs.schema[key].dataType.simpleString(), secrets.randbits(64) if secret is None else secret
     rows = docs.select(F.col(f"`{key}`").alias("key"), text_of(text).alias("body"))
     slots = ", ".join(f"{k} long" for k in _SKETCHES)
     signed = map_arrow(rows.where("key IS NOT NULL"), _signatures(runs(threshold, recall), threshold, secret), f"key {kind}, s1 long, s2 long, n long, {slots}, paths array<long>")
-    signed = cut(signed, "jaccard-signatures")
+    signed = scratch.cut(signed, "jaccard-signatures")
     first = [F.first(x).alias(x) for x in ("n", *_SKETCHES, "paths")]
     classes = signed.where("n > 0").groupBy("s1", "s2").agg(F.min("key").alias("rep"), F.count("*").alias("copies"), *first)
-    classes = cut(classes.withColumn("cid", F.monotonically_increasing_id()), "jaccard-classes")
+    classes = scratch.cut(classes.withColumn("cid", F.monotonically_increasing_id()), "jaccard-classes")
 
-    found = components(_proposals(classes, threshold), "jaccard").select(F.col("id").alias("cid"), F.col("component").alias("c"))
+    found = components(_proposals(classes, threshold, scratch), "jaccard", scratch).select(F.col("id").alias("cid"), F.col("component").alias("c"))
     found = found.join(classes.select("cid", "rep", "s1", "s2", "n", "copies"), "cid")
-    found = cut(found, "jaccard-components")
+    found = scratch.cut(found, "jaccard-components")
     sizes = found.groupBy("c").agg(_blocks(F.count("*"), F.sum("n")).alias("blocks"))
-    placed = cut(found.join(sizes, "c").drop("n"), "jaccard-placed")
+    placed = scratch.cut(found.join(sizes, "c").drop("n"), "jaccard-placed")
     # The sets are made anew from their texts. One block is its component: its sets go straight to it.
-    texts = lambda x: rows.join(_hinted(x, BROADCAST_IDS), rows["key"] == x["rep"]).drop("key", "rep")
+    texts = lambda x: rows.join(hinted(x, BROADCAST_IDS), rows["key"] == x["rep"]).drop("key", "rep")
     one = map_arrow(texts(placed.where("blocks = 1").select("rep", "s1", "s2", "c", "cid", "copies")), _members(secret), "c long, cid long, copies long, members binary")
     one = one.select(F.col("c").cast("string").alias("g"), "cid", "copies", F.lit(0).cast("long").alias("side"), F.lit(True).alias("whole"), "members")
     more = placed.where("blocks > 1")
     if more.limit(1).count():
-        sets = cut(map_arrow(texts(more.select("rep", "s1", "s2", "cid")), _members(secret), "cid long, members binary"), "jaccard-sets")
+        sets = scratch.cut(map_arrow(texts(more.select("rep", "s1", "s2", "cid")), _members(secret), "cid long, members binary"), "jaccard-sets")
         more = _in_blocks(more, "c", "blocks").select("g", "cid", "copies", F.col("side").cast("long").alias("side"), F.lit(False).alias("whole"))
         one = one.unionByName(more.join(sets, "cid"))
     compared = map_arrow(one.repartition("g").sortWithinPartitions("g"), _compare(threshold), "cid long, links long, root long, whole boolean")
-    compared = cut(compared, "jaccard-compared")
+    compared = scratch.cut(compared, "jaccard-compared")
     parts = compared.where("NOT whole")
     roots = compared.where("whole").select("cid", "root")
     if parts.limit(1).count():
-        trees = components(parts.select(F.col("cid").alias("a"), F.col("root").alias("b")), "jaccard-parts")
+        trees = components(parts.select(F.col("cid").alias("a"), F.col("root").alias("b")), "jaccard-parts", scratch)
         roots = roots.unionByName(trees.select(F.col("id").alias("cid"), F.col("component").alias("root")))
     links = compared.groupBy("cid").agg(F.sum("links").alias("links"))
     linked = classes.select("cid", "s1", "s2", "rep", "copies").join(roots, "cid").join(links, "cid")
-    linked = cut(linked, "jaccard-linked")
+    linked = scratch.cut(linked, "jaccard-linked")
     least = linked.groupBy("root").agg(F.min("rep").alias("class_id"))
     linked = linked.join(least, "root").select("cid", "s1", "s2", "class_id", "links", "copies")
     alone = classes.where("copies > 1").join(linked.select("cid"), "cid", "left_anti").select("cid", "s1", "s2", F.col("rep").alias("class_id"), F.lit(0).cast("long").alias("links"), "copies")
-    known = cut(linked.unionByName(alone).select("s1", "s2", "class_id", (F.col("links") + F.col("copies") - 1).alias("n_links")), "jaccard-known")
+    known = scratch.cut(linked.unionByName(alone).select("s1", "s2", "class_id", (F.col("links") + F.col("copies") - 1).alias("n_links")), "jaccard-known")
     named = signed.select("key", F.when(F.col("n") > 0, F.col("s1")).alias("s1"), F.when(F.col("n") > 0, F.col("s2")).alias("s2"))
     out = named.join(known, ["s1", "s2"], "left").select("key", F.coalesce("class_id", "key").alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
     bare = docs.where(F.col(f"`{key}`").isNull()).select(F.col(f"`{key}`").alias("key"), F.lit(None).cast(kind).alias("class_id"), F.lit(0).cast("long").alias("n_links"))
-    return out.unionByName(bare).withColumn("kept", F.coalesce(F.col("key") == F.col("class_id"), F.lit(True))).withColumnRenamed("key", key)
+    out = out.unionByName(bare).withColumn("kept", F.coalesce(F.col("key") == F.col("class_id"), F.lit(True))).withColumnRenamed("key", key)
+    return scratch.last(out, "jaccard")
 
 
 def keep_first(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -443,11 +440,11 @@ def keep_first(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
 
     Of rows that repeat a key and its text one stays, whichever. Rows with null keys stay, as do texts without words.
     """
-    near = cut(near_texts(docs, key, text).select(F.col(f"`{key}`").alias("__key"), "kept"), "jaccard-kept")
+    near = near_texts(docs, key, text).select(F.col(f"`{key}`").alias("__key"), "kept")
     gone = cut(near.where("NOT kept").select("__key").distinct(), "jaccard-gone")
-    left = docs.join(_hinted(gone, BROADCAST_IDS), F.col(f"`{key}`") == F.col("__key"), "left_anti")
+    left = docs.join(hinted(gone, BROADCAST_IDS), F.col(f"`{key}`") == F.col("__key"), "left_anti")
     again = cut(near.where("kept AND __key IS NOT NULL").groupBy("__key").count().where("count > 1").select("__key"), "jaccard-again")
     if not again.limit(1).count():
         return left
-    side, same = _hinted(again, BROADCAST_IDS), F.col(f"`{key}`") == F.col("__key")
+    side, same = hinted(again, BROADCAST_IDS), F.col(f"`{key}`") == F.col("__key")
     return left.join(side, same, "left_anti").unionByName(left.join(side, same, "left_semi").dropDuplicates([key, text]))

@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 from .common import SLICE_BYTES, Rolling, Words, map_arrow, mix, process_key, slices, span_hashes, text_of, utf8
 
 #: Lengths in words of the repeated n-grams that count, and the greatest share of a text's word characters that they
-#: may cover. A window counts from its second occurrence on.
-GRAMS = {5: 0.30, 7: 0.27, 10: 0.25}
+#: may cover: the limits published for filtering web text. A window counts from its second occurrence on.
+GRAMS = {5: 0.15, 7: 0.13, 10: 0.10}
 #: The greatest share of word characters in lines that repeat an earlier line.
 LINE_SHARE = 0.30
 SYMBOLS = b"#*$%&|<>"

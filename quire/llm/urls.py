@@ -8,6 +8,7 @@ host's posterior lies above a limit.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
@@ -46,14 +47,27 @@ def first_rule(host: Column, path: Column, rules: list[Rule]) -> tuple[Column, C
     return (none, none) if pattern is None else (pattern, verdict)
 
 
-def reputation(outcomes: DataFrame) -> DataFrame:
+def site_levels(host: Column, suffixes: Sequence[str] = ()) -> tuple[Column, Column]:
+    """Registered domain and suffix of a host, its port aside: the longest of `suffixes` that the host ends in, else its last
+    label; and that with one label more."""
+    labels = F.split(F.regexp_replace(host, r":[0-9]*$", ""), r"\.")
+    n = F.size(labels)
+    ends = F.transform(F.sequence(F.lit(1), n), lambda i: F.array_join(F.slice(labels, i, n), "."))  # the longest first
+    known = F.filter(ends, lambda x: x.isin(list(suffixes))) if suffixes else F.slice(ends, 1, 0)
+    suffix = F.coalesce(F.get(known, F.lit(0)), F.element_at(ends, -1))
+    at = F.array_position(ends, suffix).cast("int")
+    return F.element_at(ends, F.greatest(at - 1, F.lit(1))), suffix
+
+
+def reputation(outcomes: DataFrame, suffixes: Sequence[str] = ()) -> DataFrame:
     """From rows (host, bad: 1, 0 or null for no outcome): one row per host with n, bad, mean, low.
 
     Hosts without outcomes take their domain's posterior. Without any outcome at all the rate of all is one half.
-    Levels: the host, its last two labels, its last label.
+    Levels: the host, its registered domain, its suffix (site_levels).
     """
     hosts = outcomes.groupBy("host").agg(F.count("bad").cast("double").alias("n"), F.coalesce(F.sum("bad"), F.lit(0)).cast("double").alias("k"))
-    hosts = hosts.withColumns({"domain": F.substring_index("host", ".", -2), "suffix": F.substring_index("host", ".", -1)})
+    domain, suffix = site_levels(F.col("host"), suffixes)
+    hosts = hosts.withColumns({"domain": domain, "suffix": suffix})
     domains = hosts.groupBy("domain", "suffix").agg(F.sum("n").alias("n"), F.sum("k").alias("k"))
     suffixes = domains.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("k").alias("k"))
     whole = suffixes.agg(F.coalesce(F.try_divide(F.sum("k"), F.sum("n")), F.lit(0.5)).alias("top"))
@@ -77,9 +91,10 @@ def reputation(outcomes: DataFrame) -> DataFrame:
     return hosts.select("host", "n", F.col("k").alias("bad"), "mean", (F.col("mean") - Z * F.sqrt(F.col("mean") * (1 - F.col("mean")) / (F.col("size") + 1))).alias("low"))
 
 
-def judge(pages: DataFrame, rules: list[Rule], page: str = "page_id", url: str = "url", outcome: str | None = None) -> DataFrame:
+def judge(pages: DataFrame, rules: list[Rule], page: str = "page_id", url: str = "url", outcome: str | None = None, suffixes: Sequence[str] = ()) -> DataFrame:
     """One row per row of pages: page, host, path, rule, verdict, low (the host's lower bound).
 
+    suffixes: public suffixes of more than one label, as of a public list; hosts below one are different registered domains.
     outcome names a column of pages with 1 (bad), 0 (good) or null; without it, pages that a rule decides are the
     labelled ones. A null url has the empty host, which is a host like others. Repeated rows count each. The join with
     the hosts' reputations is one that Spark can split where one host holds many pages.
@@ -90,7 +105,7 @@ def judge(pages: DataFrame, rules: list[Rule], page: str = "page_id", url: str =
     pattern, ruled = first_rule(F.col("host"), F.col("path"), rules)
     rows = rows.withColumns({"rule": pattern, "ruled": ruled})
     bad = F.when(F.col("ruled") == "block", 1).when(F.col("ruled") == "allow", 0) if outcome is None else F.col("given")
-    known = reputation(rows.select("host", bad.alias("bad"))).select(F.col("host").alias("site"), "low")
+    known = reputation(rows.select("host", bad.alias("bad")), suffixes).select(F.col("host").alias("site"), "low")
     joined = rows.join(known, F.col("host") == F.col("site"), "left")
     verdict = F.coalesce("ruled", F.when(F.col("low") > LIMIT, "block").otherwise("allow"))
     return joined.select(F.col("page").alias(page), "host", "path", "rule", verdict.alias("verdict"), "low")

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import batched, components, cut, map_arrow
+from .common import Scratch, batched, components, map_arrow
 
 #: Codes and vectors of one list that a task compares at most.
 BLOCK, CHUNK = 16384, 4096
@@ -172,32 +172,34 @@ def near_vectors(rows: DataFrame, threshold: float = 0.93, key: str = "vec_id",
     """
     spark = rows.sparkSession
     batched(spark)
+    scratch = Scratch(spark)
     wide = "float" if rows.schema[vector].dataType.simpleString() == "array<float>" else "double"
     v = F.col(f"`{vector}`").cast(f"array<{wide}>")
     base = rows.select(F.col(f"`{key}`").alias("id"), F.col(f"`{label}`").alias("label"), v.alias("v"))
     base = base.withColumn("ok", F.col("id").isNotNull() & _usable(F.col("v"), F.col("label")))
     base = base.withColumns({"k1": F.when(F.col("ok"), F.xxhash64("label", "v")), "k2": F.when(F.col("ok"), F.xxhash64("v", "label", F.lit(1)))})
-    classes = cut(base.where("ok").groupBy("k1", "k2").agg(F.min("id").alias("rep"), F.count("*").alias("copies"), F.first("label").alias("label"), F.first("v").alias("v")), "vectors")
-    found = cut(_links(classes, threshold), "vector-links")
+    classes = scratch.cut(base.where("ok").groupBy("k1", "k2").agg(F.min("id").alias("rep"), F.count("*").alias("copies"), F.first("label").alias("label"), F.first("v").alias("v")), "vectors")
+    found = scratch.cut(_links(classes, threshold, scratch), "vector-links")
     counts = found.groupBy("k1", "k2").agg(F.sum("links").alias("links"))
-    near = components(found.where("o1 IS NOT NULL").select(F.struct("k1", "k2").alias("a"), F.struct(F.col("o1").alias("k1"), F.col("o2").alias("k2")).alias("b")), "vectors")
+    near = components(found.where("o1 IS NOT NULL").select(F.struct("k1", "k2").alias("a"), F.struct(F.col("o1").alias("k1"), F.col("o2").alias("k2")).alias("b")), "vectors", scratch)
     near = near.select(F.col("id.k1").alias("k1"), F.col("id.k2").alias("k2"), F.col("component").alias("c"))
     known = classes.select("k1", "k2", "rep", "copies").join(near, ["k1", "k2"], "left").withColumn("c", F.coalesce("c", F.struct("k1", "k2")))
     least = known.groupBy("c").agg(F.min("rep").alias("component"))
     known = known.join(least, "c").join(counts, ["k1", "k2"], "left").select("k1", "k2", "component", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("links"))
     out = base.select("id", "k1", "k2").join(known, ["k1", "k2"], "left")
     component = F.coalesce("component", "id")
-    return out.select(F.col("id").alias(key), F.coalesce("links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"))
+    out = out.select(F.col("id").alias(key), F.coalesce("links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"))
+    return scratch.last(out, "vectors")
 
 
-def _links(classes: DataFrame, threshold: float) -> DataFrame:
+def _links(classes: DataFrame, threshold: float, scratch: Scratch) -> DataFrame:
     """Rows (k1, k2, links, o1, o2): partial link counts, and edges of spanning forests where o1 is given."""
     schema = "k1 long, k2 long, links long, o1 long, o2 long"
     classes = classes.withColumn("dim", F.size("v"))
     sizes = {r["dim"]: r["count"] for r in classes.groupBy("dim").count().collect()}
     out = None
     for dim, n in sizes.items():
-        part = _links_of(classes.where(F.col("dim") == dim), dim, n, threshold, schema)
+        part = _links_of(classes.where(F.col("dim") == dim), dim, n, threshold, schema, scratch)
         out = part if out is None else out.unionByName(part)
     return out if out is not None else classes.sparkSession.createDataFrame([], schema)
 
@@ -214,7 +216,7 @@ def fitted(classes: DataFrame, dim: int, n: int, threshold: float) -> Index:
     return Index(x, max(1, min(lists, sample.num_rows // 4)), float(np.sqrt(max(0.0, 2 - 2 * threshold))) + 1e-6)
 
 
-def _links_of(classes: DataFrame, dim: int, n: int, threshold: float, schema: str) -> DataFrame:
+def _links_of(classes: DataFrame, dim: int, n: int, threshold: float, schema: str, scratch: Scratch) -> DataFrame:
     index = fitted(classes, dim, n, threshold)
 
     def assign(batches):
@@ -229,14 +231,14 @@ def _links_of(classes: DataFrame, dim: int, n: int, threshold: float, schema: st
             yield pa.RecordBatch.from_arrays([batch.column("k1"), batch.column("k2"), batch.column("label"), batch.column("v"), pa.array(home, pa.int32()), probes, pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(error, pa.float64())], names=["k1", "k2", "label", "v", "home", "probes", "codes", "error"])
 
     kinds = {x: classes.schema[x].dataType.simpleString() for x in ("label", "v")}
-    indexed = cut(map_arrow(classes.select("k1", "k2", "label", "v"), assign, f"k1 long, k2 long, label {kinds["label"]}, v {kinds["v"]}, home int, probes array<int>, codes binary, error double"), "vector-index")
+    indexed = scratch.cut(map_arrow(classes.select("k1", "k2", "label", "v"), assign, f"k1 long, k2 long, label {kinds["label"]}, v {kinds["v"]}, home int, probes array<int>, codes binary, error double"), "vector-index")
     asked = indexed.select("k1", "k2", "label", F.col("home").alias("list"), F.col("home").alias("of"), "v", "probes", F.lit(None).cast("binary").alias("codes"), F.lit(None).cast("double").alias("error"))
     wanted = indexed.select("label", F.col("home").alias("list"), F.explode("probes").alias("of")).distinct()
     codes = indexed.select("k1", "k2", "label", F.col("home").alias("of"), "codes", "error").join(wanted, ["label", "of"])
     codes = codes.select("k1", "k2", "label", "list", "of", F.lit(None).cast(kinds["v"]).alias("v"), F.lit(None).cast("array<int>").alias("probes"), "codes", "error")
     sizes = indexed.groupBy("label", F.col("home").alias("list")).agg(F.count("*").alias("n"))
     blocks = wanted.join(sizes.withColumnRenamed("list", "of"), ["label", "of"]).groupBy("label", "list").agg(F.ceil(F.sum("n") / BLOCK).alias("blocks"))
-    grid = cut(sizes.select("label", "list", F.ceil(F.col("n") / CHUNK).alias("chunks")).join(blocks, ["label", "list"]), "vector-grid")
+    grid = scratch.cut(sizes.select("label", "list", F.ceil(F.col("n") / CHUNK).alias("chunks")).join(blocks, ["label", "list"]), "vector-grid")
     upto = lambda n: F.explode(F.sequence(F.lit(0), (F.col(n) - 1).cast("int")))
     own = lambda n: F.pmod(F.xxhash64("k1", "k2"), F.col(n)).cast("int")
     codes = codes.join(grid, ["label", "list"]).select("*", own("blocks").alias("block"), upto("chunks").alias("chunk"))
@@ -299,5 +301,5 @@ def _links_of(classes: DataFrame, dim: int, n: int, threshold: float, schema: st
 
     names = ["k1", "k2", "label", "list", "of", "v", "probes", "codes", "error", "block", "chunk"]
     left = codes.select(names).unionByName(asked.select(names)).groupBy("label", "list", "block", "chunk").applyInArrow(meet, "g binary, inner boolean, side int, k1 long, k2 long")
-    left = cut(left, "vector-left")
+    left = scratch.cut(left, "vector-left")
     return left.join(classes.select("k1", "k2", "copies", "v"), ["k1", "k2"]).groupBy("g").applyInArrow(compare, schema)

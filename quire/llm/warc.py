@@ -22,7 +22,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, map_arrow, shared_dir
+from .common import cut, hinted, map_arrow, shared_dir
 
 #: Fixed values of the formats.
 SKIPPABLE_DICTIONARY = 0x184D2A5D
@@ -34,6 +34,10 @@ REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-dig
 #: An archive is closed beyond so many compressed bytes; its dictionary is trained on its first records, up to these bounds.
 ARCHIVE_BYTES, DICTIONARY_BYTES, SAMPLE_RECORDS, SAMPLE_BYTES = 64 << 20, 16 << 10, 200, 1 << 20
 READ_BYTES = 1 << 16
+#: A record that decodes to more is refused, whatever its frame claims.
+RECORD_BYTES = 1 << 30
+#: Groups of equal payloads that are broadcast at most; beyond, the join shuffles.
+BROADCAST_GROUPS = 500_000
 #: Payloads of at least so many bytes are stored once.
 REVISIT_BYTES = 0
 
@@ -139,8 +143,8 @@ class Archive:
         self.out.close()
 
 
-def records(stream, size: int = READ_BYTES) -> Iterator[Record]:
-    """The records of an archive, given a file-like object of its bytes."""
+def records(stream, size: int = READ_BYTES, most: int = RECORD_BYTES) -> Iterator[Record]:
+    """The records of an archive, given a file-like object of its bytes; none may decode to more than `most` bytes."""
     head = stream.read(8)
     if len(head) < 8:
         raise BadArchive("no dictionary frame")
@@ -158,10 +162,13 @@ def records(stream, size: int = READ_BYTES) -> Iterator[Record]:
         rest = rest or stream.read(size)
         if not rest:
             return
-        frame, parts = opener.decompressobj(), []
+        frame, parts, held = opener.decompressobj(), [], 0
         try:
             while not frame.eof:
                 parts.append(frame.decompress(rest))
+                held += len(parts[-1])
+                if held > most:
+                    raise BadArchive(f"more than {most} bytes")
                 rest = frame.unused_data if frame.eof else stream.read(size)
                 if not frame.eof and not rest:
                     raise BadArchive("the last frame is cut off")
@@ -258,19 +265,29 @@ def read_archives(archives: DataFrame, with_payload: bool = False) -> DataFrame:
             if held:
                 yield pa.RecordBatch.from_arrays([pa.array(c, k.type) for c, k in zip(zip(*held, strict=True), kinds, strict=True)], schema=kinds)
 
-    spread = archives.select("archive").repartition(max(2, archives.sparkSession.sparkContext.defaultParallelism), "archive")
+    # A task for each archive, up to many thousands: one is bounded in size, so tasks are alike.
+    spread = archives.select("archive").repartition(max(1, min(10_000, archives.count())), "archive")
     return map_arrow(spread, read, schema)
 
 
+def bad_revisits(read: DataFrame) -> DataFrame:
+    """Of rows as read_archives gives them: the revisits whose payload's digest and length are not those of a response with the
+    id they refer to. Only narrow columns meet."""
+    first = read.where("record_type = 'response'").select(F.col("page_id").alias("refers_to"), "payload_digest", "payload_bytes").distinct()
+    return read.where("record_type = 'revisit'").join(first, ["refers_to", "payload_digest", "payload_bytes"], "left_anti")
+
+
 def with_revisits(pages: DataFrame, page: str = "page_id", uri: str = "url", html: str = "html") -> DataFrame:
     """The rows write_archives takes: of equal payloads of at least REVISIT_BYTES bytes, all but those with the smallest id are revisits.
 
     A null html is the empty payload. Repeated rows of the smallest id are responses alike; a null id is a revisit where
-    any id is known, else a response. The digest is aggregated per task first; the join on it is one Spark can split.
+    any id is known, else a response. The digest is aggregated per task first; only groups of two and more are joined, and
+    payloads are shuffled for that only where those groups are too many to broadcast.
     """
     body = F.coalesce(F.col(html).cast("string"), F.lit("")).cast("binary")
     rows = pages.select(F.col(page).cast("long").alias("id"), F.col(uri).cast("string").alias("uri"), body.alias("body")).withColumn("sha1", F.sha1("body"))
     firsts = rows.where(F.length("body") >= REVISIT_BYTES).groupBy("sha1").agg(F.min("id").alias("first"), F.count("*").alias("n")).where("n > 1").select("sha1", "first")
+    firsts = hinted(cut(firsts, "warc-groups"), BROADCAST_GROUPS)
     revisit = F.coalesce(F.col("first").isNotNull() & ~F.col("first").eqNullSafe(F.col("id")), F.lit(False))
     return rows.join(firsts, "sha1", "left").select("id", "uri", "body", "sha1", F.when(revisit, F.col("first")).alias("refers_to"), revisit.alias("revisit"))
 

@@ -3,10 +3,12 @@
 import math
 import random
 import re
+from pathlib import Path
 
 import numpy as np
 import pytest
 from conftest import canonical
+from pyspark.sql import functions as F
 
 from quire.llm import jaccard_join, urls, vectors
 from quire.llm.common import components
@@ -206,3 +208,30 @@ def test_reputation_shrinks(spark):
     assert urls.judge(spark.createDataFrame([], "page_id long, url string"), URL_RULES).count() == 0
     labelled = spark.createDataFrame([(i, f"http://{h}/p", b) for i, (h, b) in enumerate(bad)], "page_id long, url string, outcome int")
     assert {r.host: r.verdict for r in urls.judge(labelled, [], outcome="outcome").collect()}["bad.a.com"] == "block"
+
+
+def test_registered_domains_by_suffix_list(spark):
+    hosts = ["a.b.co.uk:80", "co.uk", "x.example.com", "localhost", "", "h.com:8080", "deep.a.b.example.co.uk"]
+    df = spark.createDataFrame([(h,) for h in hosts], "h string")
+    got = lambda *s: [tuple(r) for r in df.select(*urls.site_levels(F.col("h"), s)).collect()]
+    assert got("co.uk") == [("b.co.uk", "co.uk"), ("co.uk", "co.uk"), ("example.com", "com"), ("localhost", "localhost"), ("", ""), ("h.com", "com"), ("example.co.uk", "co.uk")]
+    assert got()[:2] == [("co.uk", "uk"), ("co.uk", "uk")]
+    bad = [(f"h{i}.a.co.uk", 1) for i in range(30)] + [(f"h{i}.b.co.uk", 0) for i in range(30)] + [("new.a.co.uk", None), ("new.b.co.uk", None)]
+    means = {r.host: r.mean for r in urls.reputation(spark.createDataFrame(bad, "host string, bad int"), ["co.uk"]).collect()}
+    assert means["new.a.co.uk"] > 0.8 and means["new.b.co.uk"] < 0.2
+
+
+def test_urls_odd_rows(spark):
+    rows = [(1, "http://a.com/" + "x" * 200_000), (1, "http://a.com/"), (1, "http://a.com/"), (None, "http://a.com/en/"), (None, None), (3, "")]
+    got = urls.judge(spark.createDataFrame([(*r, "clash") for r in rows], "page_id long, url string, verdict string"), URL_RULES).collect()
+    assert len(got) == len(rows) and sorted(len(r.path) for r in got) == [0, 0, 1, 1, 4, 200_001]
+    assert {r.rule for r in got if r.page_id is None} == {"com/en/", None}
+
+
+def test_nothing_is_left_in_the_shared_folder_but_the_result(spark):
+    root = Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file://"))
+    before = set(root.iterdir())
+    docs = spark.createDataFrame([(i, " ".join(f"w{j}" for j in range(i, i + 60))) for i in range(20)], "doc_id long, text string")
+    assert jaccard_join.near_texts(docs).count() == 20 and len(set(root.iterdir()) - before) == 1
+    vecs = spark.createDataFrame([(i, [1.0, i / 10], 0) for i in range(20)], "vec_id long, embedding array<double>, label int")
+    assert vectors.near_vectors(vecs).count() == 20 and len(set(root.iterdir()) - before) == 2

@@ -37,3 +37,19 @@ def test_empty_input(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").limit(0)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs, SF).count() == 0
+
+
+def test_odd_rows_pass_through_every_stage(spark):
+    """Nulls in any column, equal rows, ties, long and empty texts, columns with clashing names."""
+    words = " ".join(f"word{i}" for i in range(120))
+    rows = [(1, words, "en", "a", len(words)), (1, words, "en", "a", len(words)), (2, words, "en", "b", None), (3, None, None, None, None), (4, "", "en", "a", 0), (None, words + " tail", None, "a", 1), (5, words + " mail x@y.org", "en", "a", 7), (6, "long " + " ".join(f"z{i}" for i in range(200_000)), "en", "c", 1)]
+    docs = spark.createDataFrame([(*r, "x", "y") for r in rows], "doc_id long, text string, lang string, source string, n_chars long, kept string, __gone string")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, SF)
+        assert out.columns == docs.columns, name
+        docs = spark.createDataFrame(out.collect(), out.schema)
+    left = {r.doc_id: r for r in docs.collect()}
+    assert set(left) == {1, None, 6} or set(left) == {1, None, 5, 6}
+    assert docs.where("doc_id = 1").count() == 1 and left[6].n_chars == len(left[6].text)
+    packed = corpus_pipeline.STAGES[-1][1](spark, docs, SF).collect()
+    assert {r.doc_id for r in packed} == set(left)

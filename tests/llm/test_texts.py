@@ -14,7 +14,7 @@ from conftest import canonical
 from pyspark.sql import functions as F
 
 from quire.llm import lines, pii, quality, toxicity
-from quire.llm.common import utf8
+from quire.llm.common import mix, span_hashes, utf8
 from quire.llm.entry import OP10_SQL, op5_toxicity, op6_quality, op7_pii, op10_lines
 
 SF = "/root/testdata/sf0.001"
@@ -260,3 +260,65 @@ def test_lines_are_native(spark):
     plan = op10_lines(spark, SF)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
     assert F.col("x") is not None
+
+
+def test_lines_with_names_like_those_on_the_way(spark):
+    rows = [(i, f"nav\nown {i}", "h", "a", "b", "c") for i in range(6)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, __gone string, __left string, `lines.dropped` string")
+    got = lines.drop_boilerplate(df)
+    assert got.columns == [*df.columns, "lines_before", "lines_dropped"]
+    assert {(r.text, r["__gone"], r["__left"], r["lines.dropped"], r.lines_dropped) for r in got.collect()} == {(f"own {i}", "a", "b", "c", 1) for i in range(6)}
+
+
+def plain_score(model, text):
+    """The noisy-or of a text's sentences, word by word."""
+    total = model.leak
+    weights = dict(zip(model.features.tolist(), model.weights.tolist(), strict=True))
+    for sentence in re.split("[.!?\n]", text):
+        if not sentence:
+            continue
+        found = set()
+        for w in re.findall(r"[^\x00-\x20!-/:-@\[-`{-~]+", sentence):
+            raw = bytes(b + 32 if 65 <= b <= 90 else b for b in w.encode())
+            for n in (0, *toxicity.BEGINNINGS):
+                if not n or len(raw) > n:
+                    part = np.frombuffer(raw if not n else raw[:n], np.uint8)
+                    h = span_hashes(part, np.array([0]), np.array([len(part)]), toxicity.KEY) ^ mix(np.full(1, n, np.uint64))
+                    found.add(int(h[0]))
+        z = model.bias + sum(weights.get(h, 0.0) for h in found)
+        total += np.log1p(np.exp(z)) if z < 30 else z
+    return 1 - np.exp(-total)
+
+
+def test_toxicity_scores_against_a_plain_noisy_or(spark):
+    sf = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    model = toxicity.train(docs, spark.read.parquet(f"{sf}/labels.parquet"))
+    assert len(model.features) > 5
+    texts = {r.doc_id: r.text or "" for r in docs.collect()}
+    for r in toxicity.score(docs, model).collect():
+        assert abs(r.score - plain_score(model, texts[r.doc_id])) < 1e-9
+
+
+def test_toxicity_odd_rows(spark):
+    rows, labels = long_toxic(20)
+    model = toxicity.train(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int"))
+    odd = [(1, "you are a zorgle."), (1, "you are a zorgle."), (2, "fine. " * 300_000 + "you are a zorgle."), (3, "x" * 2_000_000), (4, ".!?\n" * 50)]
+    got = toxicity.score(spark.createDataFrame(odd, "doc_id long, text string"), model).collect()
+    assert [r.predicted for r in sorted(got, key=lambda r: r.doc_id)] == [1, 1, 1, 0, 0]
+    assert toxicity.score(spark.createDataFrame([], "doc_id long, text string"), model).count() == 0
+
+
+def test_pii_odd_rows(spark, field):
+    rows = [(None, "ip 1.2.3.4"), (1, "ip 1.2.3.4"), (1, "ip 1.2.3.4"), (2, "7" * 500_000), (3, "a@b.org " * 20_000), (4, "1 " * 100_000), (5, "+" * 100_000), (6, None)]
+    got = pii.find_pii(spark.createDataFrame([(*r, "clash") for r in rows], "doc_id long, text string, spans string"), field).collect()
+    assert sorted((r.doc_id or 0, r.n_ip, r.n_email) for r in got) == [(0, 1, 0), (1, 1, 0), (1, 1, 0), (2, 0, 0), (3, 0, 20_000), (4, 0, 0), (5, 0, 0), (6, 0, 0)]
+
+
+def test_quality_of_a_text_with_a_fifth_repeated_once():
+    words = [f"w{i}" for i in range(400)]
+    again = " ".join(words + words[:80])  # a sixth of all characters repeats
+    plain = " ".join(words)
+    data, offsets = utf8(pa.array([again, plain], pa.large_string()))
+    assert quality.verdict(quality.measure(data, offsets)).tolist() == [verdict(again), verdict(plain)] == [False, True]
+    assert not base(again)[5]  # the base rules keep it: the method decides

@@ -83,3 +83,26 @@ def test_a_flipped_bit_is_found():
     data[-2] ^= 1
     with pytest.raises(warc.BadArchive):
         list(warc.records(io.BytesIO(bytes(data))))
+
+
+def test_a_record_that_decodes_to_too_much_is_refused():
+    bomb = warc.encode({"WARC-Type": "response", "WARC-Record-ID": "<urn:page:1>", "WARC-Date": "2024-01-01T00:00:00Z"}, b"0" * 5_000_000)
+    data = archive([GOOD, bomb])
+    assert len(data) < 10_000 and len(list(warc.records(io.BytesIO(data)))) == 2
+    with pytest.raises(warc.BadArchive, match="record 1: more than"):
+        list(warc.records(io.BytesIO(data), most=1_000_000))
+
+
+def test_revisits_that_do_not_match_what_they_refer_to(spark):
+    rows = [(1, 3, "A", "response", None), (2, 3, "A", "revisit", 1), (3, 4, "A", "revisit", 1), (4, 3, "B", "revisit", 1), (5, 3, "A", "revisit", 9)]
+    df = spark.createDataFrame(rows, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long")
+    assert sorted(r.page_id for r in warc.bad_revisits(df).collect()) == [3, 4, 5]
+    pages = spark.createDataFrame([(i, "u", "same" if i % 2 else f"p{i}") for i in range(40)] + [(50, "u", "y" * 3_000_000)], "page_id long, url string, html string")
+    assert warc.bad_revisits(warc.round_trip(pages)).count() == 0
+
+
+def test_many_equal_payloads_without_a_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(warc, "BROADCAST_GROUPS", -1)
+    rows = [(i, "u", "same" if i % 3 else f"p{i % 5}") for i in range(200)]
+    got = warc.round_trip(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert sorted(repr((r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to)) for r in got) == expected(rows)
