@@ -1,4 +1,9 @@
-"""The corpus pipeline: quality rules, line dedup, near-duplicate join, personal data, packing."""
+"""The corpus pipeline: quality rules, line dedup, near-duplicate join, personal data, packing.
+
+Every stage takes documents with null values, repeated rows, empty or very long texts, no rows at all, and further columns
+of any name, which it passes on; what it makes of each case stands at the stage. Only doc_id, text, source and n_chars are
+read. Stages but the last give the columns they get.
+"""
 
 from __future__ import annotations
 
@@ -15,27 +20,31 @@ def _recounted(docs: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the repetition and base rules keep, unchanged."""
+    """Documents that the repetition and base rules keep, unchanged. Null and empty texts have no words and go; equal rows
+    are judged alike, so both stay or go; a share of just the limit stays."""
     return quality.keep_good(docs)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without the boilerplate lines of their source."""
+    """All documents, without the boilerplate lines of their source, n_chars anew. Null texts stay null, with a null n_chars;
+    null sources are one source; equal rows count each as a page; a line on just the ratio of pages stays."""
     return _recounted(lines.drop_boilerplate(docs), docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates, that with the smallest id."""
+    """One document of each group of near-duplicates, that with the smallest id; of rows that repeat its id and text, one.
+    Null ids link with nothing and stay, as do null texts and texts without words; a similarity of just 0.8 links."""
     return jaccard_join.keep_first(docs)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, with personal data replaced by its kind."""
+    """All documents, with personal data replaced by its kind, n_chars anew; null texts stay null. Equal rows are searched each."""
     return _recounted(pii.redact(docs, pii.train(docs)), docs.columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The token sequences, one row each, with their ids."""
+    """The token sequences, one row each, with their ids. A null text is empty and gives the end id alone; equal rows are
+    packed each, null ids stay null."""
     return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
 
 
