@@ -23,9 +23,8 @@ SAMPLE_TOXIC, SAMPLE_CLEAN = 2000, 4000
 SAMPLE_BYTES_TOXIC, SAMPLE_BYTES_CLEAN = 40_000_000, 80_000_000
 #: Lengths in bytes of the word beginnings that are features beside the word.
 BEGINNINGS = (4, 5, 6)
-#: A feature is fitted if it is in so many times the root of the number of toxic sample documents (two at least), and so
-#: many times as frequent there by words.
-LEAST_ROOT, LEAST_LIFT = 0.2, 2.5
+#: A feature is fitted if so many toxic sample documents hold it, and if it is so many times as frequent there by words.
+LEAST_DOCS, LEAST_LIFT = 3, 2.5
 #: Key of the features' hashes; models are kept between processes, so it is a fixed one.
 KEY = 5
 ROUNDS, RATE, DECAY = 150, 0.15, 1e-4
@@ -108,7 +107,7 @@ def fit(texts: list[str], labels: np.ndarray, rate: float) -> Model:
         pair = np.unique(np.stack([got.feature, doc.astype(np.uint64) + np.uint64(a)], 1)[toxic], axis=0)
         counts.append((pair[:, 0], got.feature[~toxic]))
     held, docs = np.unique(np.concatenate([x for x, _ in counts]), return_counts=True)
-    enough = docs >= max(2, LEAST_ROOT * (labels == 1).sum() ** 0.5)
+    enough = docs >= LEAST_DOCS
     held, docs = held[enough], docs[enough]
     clean = np.zeros(len(held))
     for _, x in counts:
