@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from html.parser import HTMLParser
+from html import unescape
 from pathlib import PurePath
 
 import pandas as pd
@@ -46,14 +46,11 @@ def group_key(name: str) -> str:
 def tier(names: list[str]) -> str:
     """A: only separators differ. B: only the case of words of three letters or more. C: anything else, for a person."""
     split = [name_tokens(n) for n in names]
-    if len({"".join(t) for t in split}) == 1:
+    if len(set(map("".join, split))) == 1:
         return "A"
-    if len({len(t) for t in split}) > 1:
-        return "C"
-    for column in zip(*split, strict=True):
-        if len(set(column)) > 1 and (len({t.lower() for t in column}) > 1 or not all(t.isalpha() and len(t) >= 3 for t in column if t != column[0]) or len(column[0]) < 3 or not column[0].isalpha()):
-            return "C"
-    return "B"
+    same_but_case = len({tuple(t.lower() for t in parts) for parts in split}) == 1
+    words = [place[0] for place in zip(*split) if len(set(place)) > 1]
+    return "B" if same_but_case and all(w.isalpha() and len(w) >= 3 for w in words) else "C"
 
 
 def significant_words(text: str) -> list[str]:
@@ -114,40 +111,22 @@ def is_subsequence(a: str, b: str) -> bool:
     return all(c in rest for c in a)
 
 
-class _Rows(HTMLParser):
-    def __init__(self) -> None:
-        super().__init__(convert_charrefs=True)
-        self.rows: list[list[str]] = []
-        self.row: list[str] | None = None
-        self.cell: list[str] | None = None
+_ROW, _ROW_END, _CELL = re.compile(r"<tr\b[^>]*>", re.I), re.compile(r"</tr\s*>", re.I), re.compile(r"<t[dh]\b[^>]*>(.*?)</t[dh]\s*>", re.I | re.S)
+_MARK, _IMAGE = re.compile(r"(<[^>]*>)"), re.compile(r"<img\b", re.I)
 
-    def handle_starttag(self, tag: str, attrs: list) -> None:
-        if tag == "tr":
-            self.row = []
-        elif tag in ("td", "th"):
-            self.cell = []
-        elif tag == "img" and self.cell is not None:
-            self.cell.append("[IMG]")
 
-    def handle_data(self, data: str) -> None:
-        if self.cell is not None:
-            self.cell.append(data)
-
-    def handle_endtag(self, tag: str) -> None:
-        if tag == "tr" and self.row is not None:
-            self.rows.append(self.row)
-            self.row = None
-        elif tag in ("td", "th") and self.cell is not None and self.row is not None:
-            self.row.append(" ".join(self.cell).strip())
-            self.cell = None
+def _cell(html: str) -> str:
+    parts = ("[IMG]" if _IMAGE.match(x) else "" if x.startswith("<") else unescape(x) for x in _MARK.split(html))
+    return " ".join(x for x in parts if x).strip()
 
 
 def grid(html: str) -> list[list[str]]:
-    """The cells of a table's rows that are not blank; an image in a cell is [IMG]."""
-    parser = _Rows()
-    parser.feed(html or "")
-    rows = parser.rows + ([parser.row] if parser.row else [])
-    return [r for r in rows if any(c.strip() for c in r)]
+    """The cells of a table's rows that are not blank; an image in a cell is [IMG]. A row that another one cuts off is none, but
+    the last may lack its end."""
+    pieces = [_ROW_END.split(x, 1) for x in _ROW.split(html or "")[1:]]
+    whole = [x[0] for i, x in enumerate(pieces) if len(x) > 1 or i == len(pieces) - 1]
+    rows = ([_cell(c) for c in _CELL.findall(x)] for x in whole)
+    return [r for r in rows if any(r)]
 
 
 @vectorised("array<string>")

@@ -6,7 +6,7 @@ import re
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -14,21 +14,23 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 100_000
 
 
-def settled(df: DataFrame) -> DataFrame:
-    """df written below spark.checkpoint.dir and read back, so that nothing before it runs again, also if executors are lost.
-
-    Where the session names no such folder, a local session gets a temporary one; a cluster must name one.
-    """
-    spark = df.sparkSession
+def shared_folder(spark: SparkSession) -> str:
+    """A new folder's name below spark.checkpoint.dir. Where the session names none, a local session gets a temporary one; a
+    cluster must name one."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         if not re.fullmatch(r"local(\[[\d*, ]+\])?", spark.sparkContext.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         root = "file://" + tempfile.mkdtemp(prefix="quire-")
         spark.conf.set("spark.checkpoint.dir", root)
-    path = f"{root.rstrip('/')}/quire-{uuid.uuid4().hex}"
+    return f"{root.rstrip('/')}/quire-{uuid.uuid4().hex}"
+
+
+def settled(df: DataFrame) -> DataFrame:
+    """df written to a shared folder and read back, so that nothing before it runs again, also if executors are lost."""
+    path = shared_folder(df.sparkSession)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def hinted(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:

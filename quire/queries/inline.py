@@ -49,7 +49,7 @@ NOISE = rf"""n1 AS (SELECT *, {STRIP.format("text")} AS t, regexp_replace({STRIP
   n2 AS (SELECT doc_id, coalesce(max(page_idx), -1) + 1 AS pages FROM items GROUP BY doc_id),
   n3 AS (SELECT n1.*, greatest(count(*) OVER (PARTITION BY doc_id, t), count(*) OVER (PARTITION BY doc_id, k)) AS n FROM n1),
   n4 AS (SELECT n3.*, CASE WHEN n >= greatest(2, least(3, ceil(pages * 0.5))) THEN 'repeat' WHEN page_idx = 0 THEN 'cover' WHEN bbox[4] <= top OR bbox[2] >= bottom THEN 'edge'
-    WHEN length(t) <= 240 AND regexp_matches(t, '(?i)journal\s+homepage|https?://|doi\.org|\bdoi:\s*10\.|©|all\s+rights\s+reserved|\bISSN\b|check\s+for\s+updates') THEN 'publisher'
+    WHEN {corpus.PUBLISHER} THEN 'publisher'
     WHEN type = 'aside_text' AND NOT regexp_matches(t, '[A-Za-z]*[aeiouAEIOU][A-Za-z]{{2,}}|[A-Za-z][aeiouAEIOU][A-Za-z]|[A-Za-z]{{2,}}[aeiouAEIOU]') THEN 'gibberish' END AS signal FROM n3 JOIN n2 USING (doc_id) LEFT JOIN band USING (doc_id) WHERE t <> ''),
   noise AS (SELECT doc_id, item_idx, CASE WHEN signal IS NULL THEN 'held' ELSE 'mute' END AS action, signal, n::VARCHAR AS why FROM n4)"""
 HEADS = r"""h1 AS (SELECT doc_id, item_idx, coalesce(text_level, 0) AS level, CASE WHEN regexp_matches(text, '(?i)^\s*#*\s*(references?|bibliography|works\s+cited|literature\s+cited)\s*$') THEN 'reference'
@@ -69,8 +69,9 @@ TITLES = rf"""t1 AS (SELECT *, regexp_replace(coalesce(text, ''), {corpus.WS}) A
     FROM t2 JOIN t5 USING (doc_id) WHERE type IN ('text', 'page_footnote') AND t <> ''),
   t7 AS (SELECT *, coalesce(CASE WHEN block THEN said END, foot) AS signal FROM t6),
   titles_ AS (SELECT doc_id, item_idx, CASE WHEN signal IS NULL THEN 'held' ELSE 'mute' END AS action, signal, CASE WHEN signal IS NULL THEN CASE WHEN regexp_matches(t, '(?i)^\s*(index\s+terms|key\s?words?)\b') THEN '關鍵字' WHEN prose THEN '散文' ELSE '沒有訊號' END END AS why FROM t7 WHERE signal IS NOT NULL OR block)"""
-WRAPPERS = r"""w1 AS (SELECT doc_id, string_agg(trim(coalesce(text, '')), chr(10) ORDER BY item_idx) AS blob, max(length(trim(coalesce(text, '')))) AS longest FROM items WHERE page_idx = 0 GROUP BY doc_id),
-  w2 AS (SELECT *, len(list_distinct(list_transform(regexp_extract_all(blob, '(?i)learn\s+more|to\s+cite\s+this\s+article|view\s+related\s+articles'), lambda x: lower(x)))) AS markers FROM w1),
+MARKERS = P.AD_MARKERS.removeprefix("(?iU)")
+WRAPPERS = rf"""w1 AS (SELECT doc_id, string_agg(trim(coalesce(text, '')), chr(10) ORDER BY item_idx) AS blob, max(length(trim(coalesce(text, '')))) AS longest FROM items WHERE page_idx = 0 GROUP BY doc_id),
+  w2 AS (SELECT *, len(list_distinct(list_transform(regexp_extract_all(blob, '(?i){MARKERS}'), lambda x: lower(x)))) AS markers FROM w1),
   wrappers AS (SELECT doc_id, markers::INTEGER AS markers, longest::INTEGER AS longest, markers > 0 AND NOT (longest >= 300 AND markers < 2) AS fires FROM w2)"""
 EDGES = "edges AS (SELECT doc_id, item_idx, CASE WHEN bbox[3] <= left_edge THEN 'left_margin' ELSE 'right_margin' END AS signal FROM items JOIN band USING (doc_id) WHERE trim(coalesce(text, '')) <> '' AND len(bbox) >= 4 AND (bbox[3] <= left_edge OR bbox[1] >= right_edge))"
 PLAN = f"""{BAND}, {NOISE}, {REFERENCES}, {TITLES}, {WRAPPERS}, {EDGES},

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+import re
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -54,6 +56,34 @@ def read_items(spark: SparkSession, workspace: str, doc: str | None = None) -> D
     return rows.withColumnsRenamed(renamed)
 
 
+def strings_in(value: object) -> Iterator[str]:
+    """Every string below a JSON value, fields aside that are no text. Of an object with a kept original beside a field, the
+    original counts only where the field shows no text now: it was muted then, else repaired."""
+    if isinstance(value, str):
+        yield value
+    elif isinstance(value, list):
+        for x in value:
+            yield from strings_in(x)
+    elif isinstance(value, dict):
+        shown = lambda f: isinstance(value.get(f), str) and re.sub(P.TAG, "", value[f]).strip() != ""
+        repaired = {f"_pp_original_{f}" for f in P.REPAIR_FIELDS if shown(f)}
+        for k, x in value.items():
+            if k not in P.SKIPPED_FIELDS and k not in repaired:
+                yield from strings_in(x)
+
+
+def read_strings(spark: SparkSession, workspace: str) -> DataFrame:
+    """(doc_id, item_idx, text) of every string in every item of the content lists, however deep it stands."""
+
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = [(doc, i, s) for doc, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True) for i, item in enumerate(json.loads(raw)) for s in strings_in(item)]
+            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.int32()), pa.array([r[2] for r in rows], pa.string())], names=["doc_id", "item_idx", "text"])
+
+    raw = spark.read.option("wholetext", "true").option("pathGlobFilter", "content_list.json").option("recursiveFileLookup", "true").text(workspace)
+    return raw.select(doc_of(F.col("_metadata.file_path")).alias("doc_id"), "value").mapInArrow(walk, "doc_id string, item_idx int, text string")
+
+
 def read_pages(spark: SparkSession, workspace: str) -> DataFrame:
     """(doc_id, page_pos, page_idx, page_size) from the bundles' layouts."""
     raw = spark.read.option("wholetext", "true").option("pathGlobFilter", "layout.json").option("recursiveFileLookup", "true").text(workspace)

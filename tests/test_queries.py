@@ -3,10 +3,10 @@
 import pytest
 from conftest import SF, canonical
 
-from quire.queries import corpus, inline
+from quire.queries import corpus, files, inline
 
-ALL = corpus.QUERIES | inline.QUERIES
-SQL = corpus.SQL | inline.SQL
+ALL = corpus.QUERIES | inline.QUERIES | files.QUERIES
+SQL = corpus.SQL | inline.SQL | files.SQL
 
 
 @pytest.mark.parametrize("name", sorted(SQL))

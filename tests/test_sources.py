@@ -74,3 +74,8 @@ def test_event_log_and_append(spark, tmp_path):
     (tmp_path / "log" / "b.json").write_text('{"event_id": "e3", "n": 3}\n')
     jobs.append_events(stream, str(tmp_path / "out"), str(tmp_path / "state")).awaitTermination(60)
     assert spark.read.parquet(str(tmp_path / "out")).count() == 4
+
+
+def test_strings_at_any_depth():
+    item = {"type": "text", "text": "", "_pp_original_text": "muted", "table_body": "<b>new</b>", "_pp_original_table_body": "old", "list_items": ["a", {"deep": ["b", {"type": "no", "x": "c"}]}], "img_path": "no", "n": 3, "none": None}
+    assert sorted(bundles.strings_in(item)) == ["", "<b>new</b>", "a", "b", "c", "muted"]
