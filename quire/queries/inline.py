@@ -265,7 +265,14 @@ def canary_drift(items):
     return rules.canary_diff(counted(items.where("doc_id <> 'wrap'")), counted(items.where("NOT (doc_id = 'book' AND item_idx = 8) AND doc_id <> 'plain'")))
 
 
-@query()
+HAT = r"\\(?:wide)?hat\s*\{\s*\\sigma\s*\}|\\(?:wide)?hat\s*\{\s*\\partial\s*\}|\\widehat\s*\{\s*c\s*\}|\\(?:wide)?hat\s*\{\s*o\s*\}"
+
+
+@query(rf"""WITH a AS (SELECT id, s, regexp_replace(s, '(_\s*\{{\s*(?:{ROMAN}\s*)*?\\mathsf\s*\{{\s*[IlL1|]\s*\}}(?:\s*{ROMAN})*\s*)\\times(\s*\}})', '\1\\mathsf {{ x }}\2', 'g') AS t, len(regexp_extract_all(s, '_\s*\{{\s*{ROMAN}(?:\s*{ROMAN})*\s*\\times\s*\}}')) AS times FROM latex WHERE contains(s, '\')),
+  b AS (SELECT *, regexp_replace(t, '(_\s*\{{\s*{ROMAN}(?:\s*{ROMAN})*\s*)\\times(\s*\}})', '\1x\2', 'g') AS u FROM a), c AS (SELECT *, len(regexp_extract_all(u, '{HAT}')) AS n, regexp_matches(u, '\\frac|/') AS f, regexp_matches(u, '(?i)\\sqrt\s*\{{\s*n\s*\}}|\\bar\s*\{{\s*X\s*\}}') AS st FROM b),
+  d AS (SELECT *, n >= 2 AND f AND NOT st AS done, CASE WHEN n >= 2 AND f AND NOT st THEN regexp_replace(u, '{HAT}', '\\partial', 'g') ELSE u END AS v FROM c),
+  e AS (SELECT *, list_filter(list_transform(flatten(list_transform(list_filter(regexp_extract_all(v, '\\[A-Za-z]+\s*\{{[^{{}}]*\}}'), lambda x: NOT regexp_matches(x, '^\\(text|mbox)')), lambda x: string_split(regexp_extract(x, '\{{([^{{}}]*)\}}', 1), '~'))), lambda x: trim(x)), lambda x: regexp_full_match(x, '([A-Za-z]\s+)+[A-Za-z]')) AS apart FROM d)
+  SELECT id, list_reduce(list_concat([v], apart), lambda whole, x: replace(whole, x, replace(x, ' ', ''))) AS text, times::INTEGER AS times, CASE WHEN done THEN n ELSE 0 END::INTEGER AS partials, n >= 2 AND f AND st AS veto, list_transform(apart, lambda x: replace(x, ' ', '')) AS words FROM e""", joined=("words",))
 def latex_fixes(latex):
     return latex.where(F.col("s").contains("\\")).select("id", tex.fix_latex(F.col("s")).alias("f")).select("id", "f.*")
 
