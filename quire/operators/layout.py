@@ -206,6 +206,22 @@ def _first_text(column: str) -> Column:
     return F.get(F.filter(F.col(column), lambda x: ~T.is_blank(x)), F.lit(0))
 
 
+#: Fixed values, in points and dots an inch: what a crop takes in around a table, and around an equation by axis.
+TABLE_PAD, EQUATION_PADS, CROP_DPI = 6.0, (4.0, 1.0), 300
+
+
+def crop_rectangles(regions: DataFrame, pad: float = TABLE_PAD, pad_y: float | None = None, dpi: int = CROP_DPI) -> DataFrame:
+    """regions (page_idx, bbox_pt, width, height and others) with what a renderer is asked for: page from 1, rect in points
+    within the page, pixels [x, y, width, height], and whether the rectangle is valid at all."""
+    high = pad if pad_y is None else pad_y
+    box, zero = F.col("bbox_pt"), F.lit(0.0)
+    rect = F.array(F.greatest(zero, box[0] - pad), F.greatest(zero, box[1] - high), F.least(F.col("width"), box[2] + pad), F.least(F.col("height"), box[3] + high))
+    rows = regions.withColumn("rect", rect).withColumn("page", F.col("page_idx") + 1)
+    r, scale = F.col("rect"), dpi / 72.0
+    pixels = F.array(*((x * scale).cast("int") for x in (r[0], r[1], r[2] - r[0], r[3] - r[1])))
+    return rows.withColumns({"pixels": pixels, "valid": (r[2] > r[0]) & (r[3] > r[1])})
+
+
 def page_size_spread(pages: DataFrame) -> DataFrame:
     size = F.col("page_size")
     return pages.groupBy("doc_id").agg((F.max(size[0]) - F.min(size[0])).alias("dw"), (F.max(size[1]) - F.min(size[1])).alias("dh"))

@@ -29,6 +29,19 @@ def top_k(queries: DataFrame, vectors: DataFrame, k: int = 20) -> DataFrame:
     return ranked.where(F.col("rank") <= k)
 
 
+def entities_for(queries: DataFrame, entities: DataFrame, k: int = 20) -> DataFrame:
+    """(query, rank, name) of the k entities (name, vector) nearest to each query (id, vector)."""
+    found = top_k(queries, entities.select(F.col("name").alias("id"), "vector"), k)
+    return found.select("query", "rank", F.col("id").alias("name"))
+
+
+def rerank(scores: DataFrame, n: int) -> DataFrame:
+    """(query, rank, doc, score): the n best of each query by a second model's scores (query, doc, score), doc breaking ties;
+    pairs that the model gave no score have none."""
+    ranked = scores.where("score IS NOT NULL").withColumn("rank", F.row_number().over(W.partitionBy("query").orderBy(F.desc("score"), "doc")))
+    return ranked.where(F.col("rank") <= n).select("query", "rank", "doc", "score")
+
+
 def within_budget(hits: DataFrame, chars: int, chunks: int | None = None) -> DataFrame:
     """Hits (query, rank, text) up to a budget of characters: the one that crosses it is cut, later ones go."""
     before = F.coalesce(F.sum(F.length("text")).over(W.partitionBy("query").orderBy("rank").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))

@@ -9,7 +9,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import ledger
+from ..operators import ledger, retrieval
 from ..plans import rules
 from ..plans.storage import shared_folder
 from ..schema import LEDGER
@@ -41,7 +41,7 @@ def _workspace(spark: SparkSession) -> str:
     for doc, items in lists.items():
         pages = [{"page_idx": page, "page_size": size} for d, _, page, size in TABLES["layout_pages"][1] if d == doc]
         source = f"%PDF {doc}"
-        files |= {f"{doc}.mineru_raw/content_list.json": json.dumps(items), f"{doc}.mineru_raw/layout.json": json.dumps({"pdf_info": pages}), f"sources/{doc}.pdf": source}
+        files |= {f"{doc}.mineru_raw/content_list.json": json.dumps(items, indent=1), f"{doc}.mineru_raw/layout.json": json.dumps({"pdf_info": pages}, indent=1), f"sources/{doc}.pdf": source}
         files[f"{doc}.mineru_raw/_manifest.json"] = json.dumps({"source_content_hash": "sha256:" + hashlib.sha256((source if doc != "wrap" else "other").encode()).hexdigest(), "files": [{"path": "content_list.json"}]})
     return _write(spark, files)
 
@@ -76,6 +76,17 @@ def event_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bundles.read_jsonl(spark, folder, "reason string, processed_index int, created_at string").select("reason", "processed_index", "created_at", "corrupt")
 
 
+def note_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = _write(spark, {f"notes/{'deep/' * i}{name}.md": body for i, (name, body) in enumerate(TABLES["notes"][1])})
+    return bundles.read_notes(spark, folder)
+
+
+def entity_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five vectors nearest to every vector whose id is divisible by 100, as entities by name."""
+    rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select(F.col("vec_id").alias("id"), F.format_string("e%06d", "vec_id").alias("name"), F.col("embedding").alias("vector"))
+    return retrieval.entities_for(rows.where("id % 100 = 0"), rows, 5)
+
+
 def ledger_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ledgers as files, a document each, and their gates as cells."""
     held: dict[str, dict] = {}
@@ -131,6 +142,8 @@ SQL = {
     "bundle_list": f"SELECT DISTINCT doc_id FROM ({values('items')})",
     "bundle_items": f"SELECT doc_id, item_idx, type, text, page_idx, text_level, has_table_body, img_path, array_to_string(list_items, '|') AS list_items FROM ({values('items')})",
     "bundle_strings": f"SELECT doc_id, item_idx, unnest(list_filter(list_concat([text, code_body, table_body], coalesce(list_items, []), coalesce(table_caption, []), coalesce(image_caption, []), coalesce(chart_caption, [])), lambda x: x IS NOT NULL)) AS text FROM ({values('items')})",
+    "note_files": f"SELECT name, body FROM ({values('notes')})",
+    "entity_hits": "WITH p AS (SELECT q.vec_id AS query, printf('e%06d', v.vec_id) AS name, list_cosine_similarity(q.embedding::DOUBLE[], v.embedding::DOUBLE[]) AS score FROM embeddings v, embeddings q WHERE q.vec_id % 100 = 0) SELECT query, (row_number() OVER w)::INTEGER AS rank, name FROM p WINDOW w AS (PARTITION BY query ORDER BY score DESC, name) QUALIFY row_number() OVER w <= 5",
     "bundle_pages": f"SELECT doc_id, page_pos, page_idx, page_size[1] AS width FROM ({values('layout_pages')})",
     "bundle_sources": f"SELECT DISTINCT doc_id, CASE WHEN doc_id <> 'wrap' THEN doc_id || '.pdf' END AS file FROM ({values('items')})",
     "event_lines": f"SELECT reason, processed_index, created_at, NULL::VARCHAR AS corrupt FROM ({values('event_rows')}) UNION ALL SELECT NULL, NULL, NULL, 'not json'",
@@ -141,4 +154,4 @@ SQL = {
     "document_plan": f"WITH {_ITEMS}, {PLAN} SELECT doc_id, rule, action, count(*) AS n FROM whole GROUP BY doc_id, rule, action",
 }
 
-QUERIES = {f.__name__: f for f in (bundle_list, bundle_items, bundle_strings, bundle_pages, bundle_sources, event_lines, ledger_files, applied_items, appended_events, document_counts, document_plan)}
+QUERIES = {f.__name__: f for f in (bundle_list, bundle_items, bundle_strings, bundle_pages, bundle_sources, event_lines, ledger_files, note_files, entity_hits, applied_items, appended_events, document_counts, document_plan)}

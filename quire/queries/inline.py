@@ -954,3 +954,33 @@ def question_samples(scores):
 @query(r"SELECT id, trim(regexp_replace(regexp_replace(regexp_replace(s, '\\(?:mathrm|mathsf)', '', 'g'), '\s*([_^])\s*', '\1', 'g'), '\s{2,}', ' ', 'g')) AS plain FROM latex WHERE NOT contains(s, '{')")
 def readable_texts(latex):
     return latex.where("NOT contains(s, '{')").select("id", tex.readable_latex(F.col("s")).alias("plain"))
+
+
+@query(f"""WITH {SIZES}, t AS (SELECT i.doc_id, item_idx, page_idx + 1 AS page, list_value(greatest(0, bbox[1] / 1000 * w - 6), greatest(0, bbox[2] / 1000 * h - 1), least(w, bbox[3] / 1000 * w + 6), least(h, bbox[4] / 1000 * h + 1)) AS r FROM items i JOIN sizes USING (doc_id) WHERE len(bbox) = 4)
+  SELECT doc_id, item_idx, page, array_to_string(list_transform([r[1], r[2], r[3] - r[1], r[4] - r[2]], lambda x: trunc(x * 300 / 72)::INTEGER), '|') AS pixels, r[3] > r[1] AND r[4] > r[2] AS valid FROM t""")
+def crop_rectangles(items, layout_pages):
+    boxed = items.where("size(bbox) = 4").join(layout.reference_page_size(layout_pages), "doc_id")
+    got = layout.crop_rectangles(boxed.withColumn("bbox_pt", T.bbox_points(F.col("bbox"), F.col("width"), F.col("height"))), 6.0, 1.0)
+    return got.select("doc_id", "item_idx", "page", F.array_join("pixels", "|").alias("pixels"), "valid")
+
+
+@query("""WITH c AS (SELECT doc, CASE WHEN pos = 4 THEN 'p3.pdf' ELSE 'p' || pos || '.pdf' END AS name, page AS a, page + 30 AS b FROM toc WHERE doc = 'bk'), j AS (SELECT c.*, total_pages, count(*) OVER (PARTITION BY name) AS same FROM c LEFT JOIN totals USING (doc)),
+  w AS (SELECT doc, name, CASE WHEN NOT (a >= 1 AND b <= total_pages) THEN 'range' WHEN name = 'p0.pdf' THEN 'exists' WHEN same > 1 THEN 'twice' END AS why FROM j) SELECT * FROM w WHERE why IS NOT NULL""")
+def refused_cuts(toc, totals):
+    name = F.concat(F.lit("p"), F.when(F.col("pos") == 4, 3).otherwise(F.col("pos")), F.lit(".pdf"))
+    cuts = toc.where("doc = 'bk'").select("doc", name.alias("name"), F.col("page").alias("start"), (F.col("page") + 30).alias("end"))
+    return chapters.bad_cuts(cuts, totals, cuts.where("name = 'p0.pdf'"))
+
+
+@query(rf"""WITH a AS (SELECT DISTINCT family AS eye, id::VARCHAR AS sha FROM voters, raws), h AS (SELECT 'f1' AS eye, id::VARCHAR AS sha, raw, finish FROM raws)
+  SELECT a.eye, a.sha, raw IS NULL AS ask, CASE WHEN coalesce(finish, '') IN ('', 'stop') AND regexp_matches(raw, '(?is)</table>\s*`*\s*$') THEN regexp_extract(raw, '(?is)(<table\b.*?</table>)', 1) END AS html FROM a LEFT JOIN h ON a.eye = h.eye AND a.sha = h.sha""")
+def transcriptions(voters, raws):
+    """Two models and three pictures, of which one model has looked at all."""
+    crops = raws.select(F.col("id").cast("string").alias("sha"))
+    cache = raws.select(F.lit("f1").alias("eye"), F.col("id").cast("string").alias("sha"), "raw", "finish")
+    return votes.seen_by(voters.select(F.col("family").alias("eye")), crops, cache).select("eye", "sha", "ask", "html")
+
+
+@query("SELECT lang AS query, (row_number() OVER w)::INTEGER AS rank, id || side AS doc, score FROM scores WINDOW w AS (PARTITION BY lang ORDER BY score DESC, id || side) QUALIFY row_number() OVER w <= 3")
+def reranked(scores):
+    return retrieval.rerank(scores.select(F.col("lang").alias("query"), F.concat("id", "side").alias("doc"), "score"), 3)

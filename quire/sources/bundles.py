@@ -46,7 +46,7 @@ def read_items(spark: SparkSession, workspace: str, doc: str | None = None) -> D
 
     Each list is parsed twice from one text: with the schema, and as maps for whether table_body is there at all.
     """
-    raw = spark.read.option("wholetext", "true").option("pathGlobFilter", "content_list.json").option("recursiveFileLookup", "true").text(workspace)
+    raw = spark.read.option("pathGlobFilter", "content_list.json").option("recursiveFileLookup", "true").text(workspace, wholetext=True)
     raw = raw.select(doc_of(F.col("_metadata.file_path")).alias("doc_id"), "value")
     if doc:
         raw = raw.where(F.lower("doc_id").contains(doc.lower()))
@@ -80,13 +80,13 @@ def read_strings(spark: SparkSession, workspace: str) -> DataFrame:
             rows = [(doc, i, s) for doc, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True) for i, item in enumerate(json.loads(raw)) for s in strings_in(item)]
             yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.int32()), pa.array([r[2] for r in rows], pa.string())], names=["doc_id", "item_idx", "text"])
 
-    raw = spark.read.option("wholetext", "true").option("pathGlobFilter", "content_list.json").option("recursiveFileLookup", "true").text(workspace)
+    raw = spark.read.option("pathGlobFilter", "content_list.json").option("recursiveFileLookup", "true").text(workspace, wholetext=True)
     return raw.select(doc_of(F.col("_metadata.file_path")).alias("doc_id"), "value").mapInArrow(walk, "doc_id string, item_idx int, text string")
 
 
 def read_pages(spark: SparkSession, workspace: str) -> DataFrame:
     """(doc_id, page_pos, page_idx, page_size) from the bundles' layouts."""
-    raw = spark.read.option("wholetext", "true").option("pathGlobFilter", "layout.json").option("recursiveFileLookup", "true").text(workspace)
+    raw = spark.read.option("pathGlobFilter", "layout.json").option("recursiveFileLookup", "true").text(workspace, wholetext=True)
     pages = F.from_json("value", "struct<pdf_info: array<struct<page_idx: int, page_size: array<double>>>>").pdf_info
     return raw.select(doc_of(F.col("_metadata.file_path")).alias("doc_id"), F.posexplode(pages).alias("page_pos", "p")).select("doc_id", "page_pos", "p.page_idx", "p.page_size")
 
@@ -113,6 +113,13 @@ def read_manifests(spark: SparkSession, workspace: str) -> DataFrame:
     return raw.select("doc_id", F.from_json("value", kind).alias("m")).select("doc_id", "m.*")
 
 
+def read_notes(spark: SparkSession, folder: str) -> DataFrame:
+    """(name, body) of every note below a folder, whatever its name says; name is the file's without its ending."""
+    raw = spark.read.option("pathGlobFilter", "*.md").option("recursiveFileLookup", "true").text(folder, wholetext=True)
+    name = F.regexp_replace(F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1), r"\.md$", "")
+    return raw.select(F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B"))).alias("name"), F.col("value").alias("body"))
+
+
 def source_files(spark: SparkSession, folder: str, pattern: str = "*.pdf") -> DataFrame:
     """(path, name, size, sha256) of candidate sources; hashed where they are read."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", "true").load(folder)
