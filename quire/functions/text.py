@@ -42,8 +42,9 @@ def head_threshold(pages: Column) -> Column:
     return F.when(pages <= 0, most).otherwise(F.greatest(F.lit(2), F.least(most, F.ceil(pages * P.RUNNING_HEAD_PAGES)))).cast("int")
 
 
-def is_publisher_boilerplate(text: Column) -> Column:
-    t = stripped(filled(text))
+def is_publisher_boilerplate(text: Column, bare: bool = False) -> Column:
+    """bare: text is stripped and not null already, here and below, so that this is not done for every question anew."""
+    t = text if bare else stripped(filled(text))
     return (t != "") & (F.length(t) <= P.PUBLISHER_CHARS) & t.rlike(P.PUBLISHER)
 
 
@@ -86,30 +87,36 @@ def looks_like_prose(text: Column, caps: Column | None = None) -> Column:
     return (words >= P.PROSE_WORDS) & ((caps_ratio(text) if caps is None else caps) < P.PROSE_CAPS)
 
 
-def looks_like_author_line(text: Column, caps: Column | None = None) -> Column:
-    t = stripped(filled(text))
+def looks_like_author_line(text: Column, caps: Column | None = None, bare: bool = False) -> Column:
+    t = text if bare else stripped(filled(text))
     return (t != "") & (F.length(t) <= P.AUTHOR_CHARS) & t.rlike(P.AUTHOR_SEPARATOR) & ((caps_ratio(t) if caps is None else caps) >= P.AUTHOR_CAPS)
 
 
-def is_standalone_name(text: Column) -> Column:
-    t = F.regexp_replace(stripped(filled(text)), "[,;]+$", "")
+def is_standalone_name(text: Column, bare: bool = False) -> Column:
+    t = F.regexp_replace(text if bare else stripped(filled(text)), "[,;]+$", "")
     return (t != "") & (F.length(t) <= P.NAME_CHARS) & t.rlike(P.INITIAL) & t.rlike(P.STANDALONE_NAME)
 
 
-def title_signal(text: Column, caps: Column | None = None) -> Column:
+def is_correspondence(t: Column) -> Column:
+    """The pattern is dear, so it is asked only where one of the words that it needs stands."""
+    low = F.lower(t)
+    return (t.contains("@") | low.contains("author") | low.contains("mail") | low.contains("tel")) & t.rlike(P.CORRESPONDENCE)
+
+
+def title_signal(text: Column, caps: Column | None = None, bare: bool = False) -> Column:
     """The first of the signals that mark a line of a title block, null for none. The order counts: prose is asked midway."""
-    t = stripped(filled(text))
+    t = text if bare else stripped(filled(text))
     return (
         F.when(t == "", None)
         .when(t.rlike(P.PUBLICATION), "publication")
         .when(t.rlike(P.SUBMISSION), "submission")
         .when(t.rlike(P.CLASSIFICATION), "classification")
-        .when(is_publisher_boilerplate(t), "publisher")
-        .when(t.rlike(P.CORRESPONDENCE), "correspondence")
+        .when(is_publisher_boilerplate(t, True), "publisher")
+        .when(is_correspondence(t), "correspondence")
         .when(looks_like_prose(t, caps), None)
         .when(t.rlike(P.AFFILIATION), "affiliation")
-        .when(looks_like_author_line(t, caps), "author")
-        .when(is_standalone_name(t), "name_line")
+        .when(looks_like_author_line(t, caps, True), "author")
+        .when(is_standalone_name(t, True), "name_line")
     )
 
 

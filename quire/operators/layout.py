@@ -6,13 +6,16 @@ so documents are the unit of parallel work; nothing crosses them.
 
 from __future__ import annotations
 
-import pandas as pd
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import patterns as P
 from ..functions import text as T
+from ..plans.storage import settled
 
 PLAN = ["doc_id", "item_idx", "rule", "action", "signal", "why"]
 
@@ -67,30 +70,34 @@ def noise_plan(items: DataFrame, n_pages: DataFrame | None = None) -> DataFrame:
 def reference_plan(items: DataFrame) -> DataFrame:
     """Reference and acknowledgement sections, from a heading of the kind to the next one as high or a resumption of the body.
 
-    Which sections open depends on which items earlier ones muted, so each document is folded in order, by itself.
+    Which sections open depends on which items earlier ones muted, so documents are folded in order, one after another in
+    each task; a task keeps the open sections of one document at a time.
     """
     rows = items.select(
         "doc_id", "item_idx", "type", "sub_type", F.coalesce("text_level", F.lit(0)).alias("level"), T.section_kind(F.col("text")).alias("kind"), T.resumes_body(F.col("text")).alias("resumes")
     )
 
-    def fold(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values("item_idx")
-        columns = [group[c].tolist() for c in ("item_idx", "type", "sub_type", "level", "kind", "resumes")]
-        out: dict[int, str] = {}
-        opened: list[tuple[int, str]] = []  # level and kind of the sections that go on here, the first to open first
-        for index, kind_of, sub, level, kind, resumes in zip(*columns, strict=True):
-            furniture = kind_of in P.NOISE_TYPES
-            opened = [x for x in opened if not (0 < level <= x[0] or resumes)]
-            if level > 0 and isinstance(kind, str) and (furniture or not opened):
-                opened.append((level, kind))  # furniture is never muted here, so a heading in it opens its own
-            if opened and not furniture:
-                out[index] = opened[0][1]
-            elif sub == "ref_text":
-                out[index] = "reference"
-        texts = {"doc_id": [group["doc_id"].iloc[0]] * len(out), "signal": list(out.values())}
-        return pd.DataFrame({k: pd.Series(v, dtype=object) for k, v in texts.items()} | {"item_idx": pd.Series(list(out), dtype="int32")})[["doc_id", "item_idx", "signal"]]
-
-    muted = rows.groupBy("doc_id").applyInPandas(fold, "doc_id string, item_idx int, signal string")
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        here, opened = None, []  # the document, and level and kind of the sections that go on in it, the first to open first
+        for batch in batches:
+            docs, at, signals = [], [], []
+            for doc, index, kind_of, sub, level, kind, resumes in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if doc != here:
+                    here, opened = doc, []
+                furniture = kind_of in P.NOISE_TYPES
+                if opened and (level > 0 or resumes):
+                    opened = [x for x in opened if not (0 < level <= x[0] or resumes)]
+                if level > 0 and kind and (furniture or not opened):
+                    opened.append((level, kind))  # furniture is never muted here, so a heading in it opens its own
+                signal = opened[0][1] if opened and not furniture else "reference" if sub == "ref_text" else None
+                if signal:
+                    docs.append(doc)
+                    at.append(index)
+                    signals.append(signal)
+            yield pa.RecordBatch.from_arrays([pa.array(docs, pa.string()), pa.array(at, pa.int32()), pa.array(signals, pa.string())], names=["doc_id", "item_idx", "signal"])
+
+    ordered = rows.repartition("doc_id").sortWithinPartitions("doc_id", "item_idx")
+    muted = ordered.mapInArrow(fold, "doc_id string, item_idx int, signal string")
     return _plan(muted.withColumns({"action": F.lit("mute"), "why": F.lit(None)}), "reference")
 
 
@@ -110,7 +117,8 @@ def reference_spans(items: DataFrame) -> DataFrame:
 def title_index(items: DataFrame) -> DataFrame:
     """(doc_id, title_idx, reason): the item that holds the title, or why there is none."""
     page = F.coalesce("page_idx", F.lit(0))
-    signal = T.title_signal(F.col("text"))
+    signal = T.title_signal(F.col("bare"), bare=True)
+    items = items.withColumn("bare", T.stripped(T.filled(F.col("text"))))
     anchor = F.col("type").isin(P.TITLE_TYPES) & (page == 0) & signal.isin(P.ANCHORS)
     head = F.col("item_idx") < P.TITLE_LOOKAHEAD
     facts = items.groupBy("doc_id").agg(
@@ -128,7 +136,7 @@ def title_index(items: DataFrame) -> DataFrame:
 
 def title_span(items: DataFrame) -> DataFrame:
     """(doc_id, title_idx, span_end, reason): items after the title up to a heading, another page or 25 of them."""
-    titles = title_index(items)
+    titles = settled(title_index(items))  # a row a document, read twice
     stops = items.join(titles, "doc_id").where((F.col("item_idx") > F.col("title_idx")) & ((F.coalesce("text_level", F.lit(0)) != 0) | (F.coalesce("page_idx", F.lit(0)) != 0)))
     first = stops.groupBy("doc_id").agg(F.min("item_idx").alias("stop"))
     sizes = items.groupBy("doc_id").agg((F.max("item_idx") + 1).alias("size"))
@@ -138,12 +146,12 @@ def title_span(items: DataFrame) -> DataFrame:
 
 def title_plan(items: DataFrame) -> DataFrame:
     """Signalled lines of the title block are muted, other lines held; page-0 footnotes count without a block."""
-    rows = items.join(title_span(items), "doc_id").where(F.col("type").isin(P.TITLE_TYPES) & ~T.is_blank(F.col("text")))
+    rows = items.where(F.col("type").isin(P.TITLE_TYPES)).join(title_span(items), "doc_id").withColumn("bare", T.stripped(F.col("text"))).where("bare <> ''")
     in_span = (F.col("item_idx") > F.col("title_idx")) & (F.col("item_idx") < F.col("span_end"))
-    t = T.stripped(F.col("text"))
-    foot = F.when((F.col("type") == "page_footnote") & (F.coalesce("page_idx", F.lit(0)) == 0), F.when(t.rlike(P.PUBLICATION), "publication").when(t.rlike(P.CORRESPONDENCE), "correspondence"))
+    t = F.col("bare")
+    foot = F.when((F.col("type") == "page_footnote") & (F.coalesce("page_idx", F.lit(0)) == 0), F.when(t.rlike(P.PUBLICATION), "publication").when(T.is_correspondence(t), "correspondence"))
     block = F.coalesce(in_span, F.lit(False))
-    signal = F.coalesce(F.when(block, T.title_signal(F.col("text"))), foot)
+    signal = F.coalesce(F.when(block, T.title_signal(t, bare=True)), foot)
     rows = rows.withColumns({"signal": signal, "block": block}).where("signal IS NOT NULL OR block")
     rows = rows.withColumn("action", F.when(F.col("signal").isNotNull(), "mute").otherwise("held"))
     return _plan(rows.withColumn("why", F.when(F.col("action") == "held", T.held_reason(F.col("text")))), "title")

@@ -37,7 +37,7 @@ def line_signals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines that a title block's classifier knows, and the shape of them."""
     rows = items_of(spark, sf_dir).withColumn("text", T.stripped(F.col("text"))).where("text <> ''").withColumn("caps", T.caps_ratio(F.col("text")))
     # Exploding the one signal finds it once, where a filter on it would be pushed down and find it twice.
-    signal = F.explode(F.array_compact(F.array(T.title_signal(F.col("text"), F.col("caps")))))
+    signal = F.explode(F.array_compact(F.array(T.title_signal(F.col("text"), F.col("caps"), True))))
     return rows.select("doc_id", "item_idx", signal.alias("signal"), "caps")
 
 
@@ -45,7 +45,7 @@ def line_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: lines that are prose, boilerplate, gibberish, an author line or a lone name."""
     t, caps = F.col("text"), F.col("caps")
     rows = items_of(spark, sf_dir).withColumn("text", T.stripped(t)).where("text <> ''").withColumn("caps", T.caps_ratio(t))
-    return rows.groupBy("doc_id").agg(F.count("*").alias("n"), F.count_if(T.looks_like_prose(t, caps)).alias("prose"), F.count_if(T.is_publisher_boilerplate(t)).alias("boilerplate"), F.count_if(T.is_gibberish(t)).alias("gibberish"), F.count_if(T.looks_like_author_line(t, caps)).alias("authors"), F.count_if(T.is_standalone_name(t)).alias("names"))
+    return rows.groupBy("doc_id").agg(F.count("*").alias("n"), F.count_if(T.looks_like_prose(t, caps)).alias("prose"), F.count_if(T.is_publisher_boilerplate(t, True)).alias("boilerplate"), F.count_if(T.is_gibberish(t)).alias("gibberish"), F.count_if(T.looks_like_author_line(t, caps, True)).alias("authors"), F.count_if(T.is_standalone_name(t, True)).alias("names"))
 
 
 def coverage_of_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
