@@ -93,7 +93,6 @@ LABEL_TAIL = r"[\s._\-#]*([0-9]+(\.[0-9]+)*([a-z](-[a-z])?)?|[ivxIVX]+)[)]?\s*$"
 # Title matching.
 STOPWORDS = ["a", "an", "the", "of", "for", "in", "on", "and", "with", "to", "by", "at", "from", "using", "via", "its", "into", "based"]
 MATCH_WORDS, MATCH_OVERLAP, MATCH_SHARED, TRUNCATED_AT = 3, 0.85, 4, 95
-STORED_TAG = "lightrag"
 ITEM_KEY = r"^([23456789A-HJ-NP-Z]{8})\s+"
 NOTE_TITLE = r"^(?:draft_)?[A-Za-zÀ-ɏ&\-']+\s+\d{4}\s*[-–]\s*(.+)$"
 

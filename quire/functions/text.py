@@ -281,7 +281,7 @@ def failure_reason(message: Column) -> Column:
     )
 
 
-def recorded_filenames(extra: Column, tag: str = P.STORED_TAG) -> Column:
+def recorded_filenames(extra: Column, tag: str) -> Column:
     """The values of a field's `tag:` lines, in order; tag is what a library writes before the name of a stored file."""
     lines = F.transform(F.split(filled(extra), r"\r\n|\r|\n"), stripped)
     named = F.filter(lines, lambda x: F.lower(x).startswith(tag + ":"))

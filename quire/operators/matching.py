@@ -77,16 +77,16 @@ def ascii_title_words(title: Column) -> Column:
     return F.array_sort(F.array_distinct(F.filter(words, lambda w: ~w.isin(P.STOPWORDS) & ((F.length(w) > 1) | w.rlike("^[0-9]$")))))
 
 
-def documents_in_kb(bib: DataFrame, stored: DataFrame) -> DataFrame:
+def documents_in_kb(bib: DataFrame, stored: DataFrame, tag: str) -> DataFrame:
     """(key, how, filename): bibliography items with a stored file. bib: (key, title, extra); stored: (filename).
 
-    A key in a file's name always wins; then a recorded file name, then the title's best match. A file belongs to one item:
+    A key in a file's name always wins; then a file name recorded under `tag`, then the title's best match. A file belongs to one item:
     the highest claim, none where the highest tie.
     """
     keyed = stored.select("filename", F.regexp_extract("filename", P.ITEM_KEY, 1).alias("key")).where("key <> ''")
     stamped = bib.join(keyed, "key").groupBy("key").agg(F.min("filename").alias("filename")).select("key", F.lit("key").alias("how"), "filename")
     rest = bib.join(keyed.select("key").distinct(), "key", "left_anti")
-    listed = rest.select("key", F.posexplode(T.recorded_filenames(F.col("extra"))).alias("pos", "filename")).join(stored, "filename", "left_semi")
+    listed = rest.select("key", F.posexplode(T.recorded_filenames(F.col("extra"), tag)).alias("pos", "filename")).join(stored, "filename", "left_semi")
     exact = listed.groupBy("key").agg(F.min_by("filename", "pos").alias("filename")).select("key", "filename", F.lit(2.0).alias("claim"), F.lit("recorded").alias("how"))
     open_ = rest.join(exact, "key", "left_anti")
     found = best_matches(with_title_words(open_.select(F.col("key").alias("id"), "title"), "title"), with_file_words(stored.select(F.col("filename").alias("id"), "filename"), "filename"))

@@ -74,7 +74,7 @@ TABLES: dict[str, tuple[str, list]] = {
     "digests": ("doc string, digest string", [("d1", "h1"), ("d2", "other"), ("d3", "h3"), ("d4", "h4")]),
     "corpus": ("doc string", [("d1",), ("d2",), ("d3",), ("d4",), ("d5",), ("d6",)]),
     "filenames": ("doc string", [("01405_5.5 The influence",), ("01105_5.1 Another",), ("01205_9.9 None",), ("Room modes_CH01",), ("Room  Modes_CH02",), ("Room modes_Conclusions_CH03",), ("C Equivalent Networks",), ("2020 - Some supplementary data",), ("2021 - Own paper",)]),
-    "bib": ("key string, title string, extra string, tags array<string>, parent string", [("AAAA2222", "Acoustic coherent perfect absorbers", None, ["in-kb", "mine"], None), ("BBBB3333", "Low frequency broadband absorbers with micro slit panels", None, [], None), ("CCCC4444", "Whatever title", "note\nlightrag: 2026 - Nonlinear Dynamics.pdf\nlightrag: x.pdf", [], None), ("DDDD5555", "Loudspeaker room response equalization methods survey", None, ["read"], None), ("EEEE6666", "Loudspeaker room response equalization methods survey", None, [], None), ("FFFF7777", "Keyed item", None, [], None), ("GGGG8888", "child", None, ["in-kb"], "AAAA2222")]),
+    "bib": ("key string, title string, extra string, tags array<string>, parent string", [("AAAA2222", "Acoustic coherent perfect absorbers", None, ["in-kb", "mine"], None), ("BBBB3333", "Low frequency broadband absorbers with micro slit panels", None, [], None), ("CCCC4444", "Whatever title", "note\nshelf: 2026 - Nonlinear Dynamics.pdf\nshelf: x.pdf", [], None), ("DDDD5555", "Loudspeaker room response equalization methods survey", None, ["read"], None), ("EEEE6666", "Loudspeaker room response equalization methods survey", None, [], None), ("FFFF7777", "Keyed item", None, [], None), ("GGGG8888", "child", None, ["in-kb"], "AAAA2222")]),
     "stored": ("filename string", [("2014 - Acoustic coherent perfect absorbers.pdf",), ("2023 - Ultra broadband symmetrical acoustic coherent perfect absorbers in ducts.pdf",), ("2026 - Nonlinear Dynamics.pdf",), ("2019 - Loudspeaker room response equalization methods survey.pdf",), ("FFFF7777 2020 - Anything at all.pdf",), ("M Room Acoustics.pdf",)]),
     "equations": (S.EQUATIONS, [("d1", 1, "Z = R + j ( \\omega M - \\frac { 3 2 } { \\omega C } )", "s1"), ("d2", 4, "Z = R + j ( \\omega M - \\frac { 3 2 } { \\omega C } )", "s2"), ("d3", 2, "Z = r + j ( \\omega m - \\frac { 3 3 } { \\omega c } )", "s3"), ("d1", 5, "x = y", "s1"), ("d2", 6, "x = y", "s2"), ("d2", 7, "p = \\sqrt { 2 } + \\frac { 1 } { k }", "s2"), ("d3", 8, "p = \\sqrt { 2 } - \\frac { 1 } { k }", "s3"), ("d4", 9, "\\nabla ^ 2 p + k ^ 2 p = 0", "s4")]),
     "latex": ("id int, s string", [(1, "\\mathrm { w i t h ~ f r o n t } x"), (2, "p _ { I \\times } = \\mathsf { t a n h } ( x )"), (3, "\\frac { \\hat { \\sigma } p } { \\hat { \\sigma } n }"), (4, "\\frac { \\bar { X } - \\mu } { \\hat { \\sigma } / \\sqrt { n } } + \\hat { \\sigma }"), (5, "\\frac{\\hat{o} p}{\\hat{o} n} and \\hat{c}_n"), (6, "plain text"), (7, "_ { \\mathsf { I } \\mathsf { I } \\times } y")]),

@@ -116,7 +116,7 @@ _SIGNIFICANT = "list_distinct(list_filter(regexp_extract_all(lower({0}), '[a-z0-
 _STEM = r"regexp_replace(regexp_replace(regexp_replace(filename, '(?i)\.pdf$', ''), '^([23456789A-HJ-NP-Z]{8})\s+', ''), '^[0-9]{4}\s*-\s*', '')"
 STORED = rf"""s1 AS (SELECT filename, regexp_extract(filename, '^([23456789A-HJ-NP-Z]{{8}})\s+', 1) AS key, {_SIGNIFICANT.format(_STEM)} AS words FROM stored),
   s2 AS (SELECT b.key, 'key' AS how, min(filename) AS filename FROM bib b JOIN s1 USING (key) WHERE parent IS NULL GROUP BY b.key), s3 AS (SELECT * FROM bib WHERE parent IS NULL AND key NOT IN (SELECT key FROM s2)),
-  s4 AS (SELECT key, unnest(list_transform(list_filter(string_split(coalesce(extra, ''), chr(10)), lambda x: starts_with(lower(trim(x)), 'lightrag:')), lambda x: trim(regexp_replace(x, '^[^:]*:', '')))) AS filename FROM s3),
+  s4 AS (SELECT key, unnest(list_transform(list_filter(string_split(coalesce(extra, ''), chr(10)), lambda x: starts_with(lower(trim(x)), 'shelf:')), lambda x: trim(regexp_replace(x, '^[^:]*:', '')))) AS filename FROM s3),
   s5 AS (SELECT key, first(filename) AS filename FROM s4 JOIN stored USING (filename) GROUP BY key), s6 AS (SELECT key, {_SIGNIFICANT.format("title")} AS words FROM s3 WHERE key NOT IN (SELECT key FROM s5)),
   s7 AS (SELECT s6.key, filename, len(list_intersect(s6.words, s1.words)) AS shared, len(s6.words) AS m, len(s1.words) AS n FROM s6, s1), s8 AS (SELECT key, filename, shared / least(m, n) AS score, shared / (m + n - shared) AS jac FROM s7 WHERE least(m, n) >= 3 AND shared >= 4 AND shared / least(m, n) >= 0.85),
   s9 AS (SELECT *, rank() OVER (PARTITION BY key ORDER BY score DESC, jac DESC) AS r FROM s8), s10 AS (SELECT key, filename, score + jac AS claim FROM s9 WHERE r = 1 QUALIFY count(*) OVER (PARTITION BY key) = 1),
@@ -561,13 +561,13 @@ def proposed_sources(filenames):
 
 @query(f"WITH {STORED} SELECT key, how, filename FROM found")
 def stored_items(bib, stored):
-    return matching.documents_in_kb(bib.where("parent IS NULL"), stored)
+    return matching.documents_in_kb(bib.where("parent IS NULL"), stored, "shelf")
 
 
 @query(f"""WITH {STORED}, w AS (SELECT b.key, parent, tags, CASE WHEN parent IS NOT NULL THEN [] ELSE list_distinct(list_concat(CASE WHEN f.key IS NULL THEN [] ELSE ['in-kb'] END, list_filter(tags, lambda x: x IN ('in-kb', 'read')))) END AS want FROM bib b LEFT JOIN found f USING (key)),
   c AS (SELECT key, list_sort(list_distinct(tags)) AS before, list_sort(list_distinct(list_concat(list_filter(tags, lambda x: x NOT IN ('in-kb', 'read')), want))) AS after FROM w) SELECT * FROM c WHERE before <> after""", joined=('before', 'after'))
 def tag_changes(bib, stored):
-    found = matching.documents_in_kb(bib.where("parent IS NULL"), stored)
+    found = matching.documents_in_kb(bib.where("parent IS NULL"), stored, "shelf")
     return matching.plan_changes(bib, found, bib.where("false"), {"in_kb": "in-kb", "read": "read"})
 
 

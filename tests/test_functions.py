@@ -44,7 +44,7 @@ def test_strings(spark):
     assert one(spark, T.template_key(F.col("t")), t=" 3.1 Waves 102\n") == "#.# Waves #"
     assert one(spark, T.desoft(F.col("t")), t="absorp­\ntion") == "absorption"
     assert one(spark, T.strip_heredocs(F.col("t")), t="cat <<'EOF'\na | b; echo $?\nEOF\nls") == "cat <<HEREDOC\nls"
-    assert one(spark, T.recorded_filenames(F.col("t")), t="x\nLightRAG: a: b.pdf \nlightrag:\nlightrag: c.pdf") == ["a: b.pdf", "c.pdf"]
+    assert one(spark, T.recorded_filenames(F.col("t"), "shelf"), t="x\nShelf: a: b.pdf \nshelf:\nshelf: c.pdf") == ["a: b.pdf", "c.pdf"]
     assert one(spark, T.context_sections(F.col("t")), t="a\n# B\nc\n## D\n") == ["a\n", "# B\nc\n", "## D\n"]
     assert one(spark, T.context_sections(F.col("t")), t="plain") == ["plain"]
     assert one(spark, T.sanitize_filename(F.col("t")), t="a\tb​:  c?" + "x" * 100) == "a b_ c_" + "x" * 73
