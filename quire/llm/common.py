@@ -71,9 +71,21 @@ class Scratch:
         return out
 
 
+#: Bytes of strings and lists in a side of a join that is broadcast at most.
+BROADCAST_BYTES = 64 << 20
+
+
 def hinted(df: DataFrame, most: int) -> DataFrame:
-    """df for the small side of a join: broadcast if it is counted to have so few rows, else left to shuffle."""
-    return F.broadcast(df) if df.count() <= most else df
+    """df for the small side of a join: broadcast if it is counted to have so few rows and so few bytes in columns of any length,
+    else left to shuffle."""
+    size = F.lit(0).cast("long")
+    for name, kind in df.dtypes:
+        if kind in ("string", "binary"):
+            size = size + F.coalesce(F.octet_length(F.col(f"`{name}`")), F.lit(0))
+        elif kind.startswith("array"):
+            size = size + 8 * F.coalesce(F.size(F.col(f"`{name}`")), F.lit(0))
+    rows, held = df.agg(F.count("*"), F.coalesce(F.sum(size), F.lit(0))).first()
+    return F.broadcast(df) if rows <= most and held <= BROADCAST_BYTES else df
 
 
 def batched(spark: SparkSession) -> None:

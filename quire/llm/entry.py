@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, jaccard_join, lines, packing, pii, quality, toxicity, urls, vectors, warc
+from . import bpe, divergence, jaccard_join, lines, packing, pii, quality, toxicity, urls, vectors, warc
 from .common import table
 
 URL_RULES = [urls.Rule("block", "com/en/"), urls.Rule("allow", "example.com/en/7"), urls.Rule("allow", "net/de/"), urls.Rule("block", "example.net/de/8"), urls.Rule("block", "org/es/")]
@@ -55,6 +55,10 @@ def op10_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.drop_boilerplate(table(spark, sf_dir, "documents")).select("doc_id", "lines_before", "lines_dropped", "text")
 
 
+def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
 OP9_SQL = r"""
 WITH u AS (SELECT page_id, CASE WHEN contains(coalesce(url, ''), '://') THEN substr(url, position('://' IN url) + 3) ELSE '' END AS r FROM pages),
 h AS (SELECT page_id, translate(regexp_extract(r, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, regexp_extract(r, '^[^/?#]*([^?#]*)', 1) AS path FROM u),
@@ -86,9 +90,26 @@ SELECT doc_id, CASE WHEN text IS NULL THEN 0 ELSE len(parts) END::BIGINT AS line
 """
 
 
+OP11_SQL = r"""
+WITH docs AS (SELECT row_number() OVER () AS doc, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS text FROM documents),
+w AS (SELECT doc, lang, source, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM docs),
+kept AS (SELECT lang, term, count(*)::HUGEINT AS n FROM w GROUP BY lang, term HAVING count(DISTINCT doc) >= 30),
+groups AS (SELECT DISTINCT lang, source FROM docs),
+counts AS (SELECT lang, source, term, count(*) AS n FROM w GROUP BY ALL),
+cells AS (SELECT g.lang, g.source, k.term, coalesce(c.n, 0)::HUGEINT AS n FROM groups g JOIN kept k USING (lang) LEFT JOIN counts c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+shares AS (SELECT *, 1 + 1000000000 * (n + 5) // (sum(n) OVER (PARTITION BY lang, source) + 5 * count(*) OVER (PARTITION BY lang, source)) AS p FROM cells),
+q AS (SELECT *, 1 + 1000000000 * (n + 5) // (sum(n) OVER (PARTITION BY lang) + 5 * count(*) OVER (PARTITION BY lang)) AS q FROM kept),
+sums AS (SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+pairs AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(s.value, 0)::BIGINT AS value FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN sums s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source),
+terms AS (SELECT s.lang, s.source, 'term' AS part, s.term AS item, (p - q)::BIGINT AS value FROM shares s JOIN q ON s.lang = q.lang AND s.term = q.term WHERE s.n > 0 AND p > q),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INTEGER AS rank FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms))
+SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= 50
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_warc, op2_jaccard, op3_bpe, op4_packing, op5_toxicity, op6_quality, op7_pii, op8_vectors, op9_urls, op10_lines)}
+    return {f.__name__: f for f in (op1_warc, op2_jaccard, op3_bpe, op4_packing, op5_toxicity, op6_quality, op7_pii, op8_vectors, op9_urls, op10_lines, op11_divergence)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op9_urls": OP9_SQL, "op10_lines": OP10_SQL}
+    return {"op9_urls": OP9_SQL, "op10_lines": OP10_SQL, "op11_divergence": OP11_SQL}
