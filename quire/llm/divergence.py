@@ -45,7 +45,7 @@ def pieces(data: np.ndarray, offsets: np.ndarray, size: int = PIECE_BYTES) -> tu
         at, end = int(offsets[row]), int(offsets[row + 1])
         while end - at > size:
             cut = at + size
-            while cut < end and (inside := _letter[data[cut : cut + size]]).all():
+            while cut < end and (inside := _letter[data[cut : min(cut + size, end)]]).all():
                 cut += len(inside)
             if cut >= end:
                 break
