@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, divergence, jaccard_join, lines, packing, pii, quality, toxicity, urls, vectors, warc
+from . import bpe, divergence, jaccard_join, lines, packing, pii, quality, repair, toxicity, urls, vectors, warc
 from .common import table
 
 URL_RULES = [urls.Rule("block", "com/en/"), urls.Rule("allow", "example.com/en/7"), urls.Rule("allow", "net/de/"), urls.Rule("block", "example.net/de/8"), urls.Rule("block", "org/es/")]
@@ -59,6 +59,10 @@ def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(table(spark, sf_dir, "documents"))
 
 
+def op12_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
+
+
 OP9_SQL = r"""
 WITH u AS (SELECT page_id, CASE WHEN contains(coalesce(url, ''), '://') THEN substr(url, position('://' IN url) + 3) ELSE '' END AS r FROM pages),
 h AS (SELECT page_id, translate(regexp_extract(r, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, regexp_extract(r, '^[^/?#]*([^?#]*)', 1) AS path FROM u),
@@ -108,7 +112,7 @@ SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_warc, op2_jaccard, op3_bpe, op4_packing, op5_toxicity, op6_quality, op7_pii, op8_vectors, op9_urls, op10_lines, op11_divergence)}
+    return {f.__name__: f for f in (op1_warc, op2_jaccard, op3_bpe, op4_packing, op5_toxicity, op6_quality, op7_pii, op8_vectors, op9_urls, op10_lines, op11_divergence, op12_repair)}
 
 
 def oracle_sql() -> dict[str, str]:

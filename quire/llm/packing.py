@@ -52,6 +52,22 @@ def tokenizer_pieces(path: str, pattern: str) -> tuple[Pieces, Callable[[str], l
     return pieces, lambda text: plain.encode(text, add_special_tokens=False).ids, special
 
 
+def encoded(texts: pa.Array, tokenizer_path: str, pattern: str) -> Iterator[tuple[int, bytes]]:
+    """The ids of each text of a column without nulls, as the tokenizer gives them with its own settings, in little-endian
+    unsigned 32-bit integers; with the text's number. Texts that hold a special token are encoded by the library whole."""
+    pieces, whole_text, special = tokenizer_pieces(tokenizer_path, pattern)
+    data, offsets = utf8(texts)
+    for a, b in slices(offsets, TOKEN_SLICE):
+        every, borders = pieces.ids(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
+        raw, part = every.tobytes(), data[offsets[a] : offsets[b]].tobytes()
+        marked = any(x in part for x in special)
+        for i, (x, y) in enumerate(zip(borders.tolist(), borders[1:].tolist()), a):
+            if marked and any(z in part[offsets[i] - offsets[a] : offsets[i + 1] - offsets[a]] for z in special):
+                yield i, np.array(whole_text(texts[i].as_py()), "<u4").tobytes()
+            else:
+                yield i, raw[4 * x : 4 * y]
+
+
 def pack(docs: DataFrame, tokenizer_path: str, pattern: str, key: str = "doc_id", text: str = "text", most: int = SEQUENCE_TOKENS, end_id: int = END_ID, with_ids: bool = True) -> DataFrame:
     """One row per piece: key, start, length, ids_crc32, doc_tokens, sequence_id, offset, bucket, and ids if asked for.
 
@@ -65,30 +81,21 @@ def pack(docs: DataFrame, tokenizer_path: str, pattern: str, key: str = "doc_id"
     kind, levels = docs.schema[key].dataType.simpleString(), most.bit_length()
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        (pieces, whole_text, special), end = tokenizer_pieces(tokenizer_path, pattern), struct.pack("<I", end_id)
+        end = struct.pack("<I", end_id)
         task, counts = TaskContext.get().partitionId() << 32, [0] * levels
         names = ["key", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "bucket", *(["ids"] if with_ids else [])]
         for batch in batches:
             at, rows, lists = [], [], []
-            data, offsets = utf8(batch.column(1))
-            for a, b in slices(offsets, TOKEN_SLICE):
-                every, borders = pieces.ids(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
-                raw = every.tobytes()
-                part = data[offsets[a] : offsets[b]].tobytes()
-                marked = any(x in part for x in special)
-                for i, (x, y) in enumerate(zip(borders.tolist(), borders[1:].tolist()), a):
-                    ids = raw[4 * x : 4 * y]
-                    if marked and any(z in part[offsets[i] - offsets[a] : offsets[i + 1] - offsets[a]] for z in special):
-                        ids = np.array(whole_text(batch.column(1)[i].as_py()), "<u4").tobytes()
-                    ids, n, start = ids + end, len(ids) // 4 + 1, 0
-                    for length in lengths(n, most):
-                        bucket, cut = length.bit_length() - 1, ids[4 * start : 4 * (start + length)]
-                        rows.append((start, length, zlib.crc32(cut), n, (task + counts[bucket]) * levels + bucket, 0, bucket))
-                        at.append(i)
-                        if with_ids:
-                            lists.append(np.frombuffer(cut, "<u4").astype(np.int32))
-                        counts[bucket] += 1
-                        start += length
+            for i, ids in encoded(batch.column(1), tokenizer_path, pattern):
+                ids, n, start = ids + end, len(ids) // 4 + 1, 0
+                for length in lengths(n, most):
+                    bucket, cut = length.bit_length() - 1, ids[4 * start : 4 * (start + length)]
+                    rows.append((start, length, zlib.crc32(cut), n, (task + counts[bucket]) * levels + bucket, 0, bucket))
+                    at.append(i)
+                    if with_ids:
+                        lists.append(np.frombuffer(cut, "<u4").astype(np.int32))
+                    counts[bucket] += 1
+                    start += length
             table = np.array(rows, np.int64).reshape(-1, 7)
             columns = [batch.column(0).take(pa.array(at, pa.int64())), *(pa.array(c, pa.int64()) for c in table.T), *([pa.array(lists, pa.list_(pa.int32()))] if with_ids else [])]
             whole = pa.RecordBatch.from_arrays(columns, names=names)
