@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, divergence, jaccard_join, lines, packing, pii, quality, repair, toxicity, urls, vectors, warc
+from . import bpe, divergence, jaccard_join, lines, packing, pii, quality, repair, toxicity, trie, urls, vectors, warc
 from .common import table
 
 URL_RULES = [urls.Rule("block", "com/en/"), urls.Rule("allow", "example.com/en/7"), urls.Rule("allow", "net/de/"), urls.Rule("block", "example.net/de/8"), urls.Rule("block", "org/es/")]
@@ -63,6 +63,10 @@ def op12_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
 
 
+def op13_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.prefix_tree(table(spark, sf_dir, "conversations"))
+
+
 OP9_SQL = r"""
 WITH u AS (SELECT page_id, CASE WHEN contains(coalesce(url, ''), '://') THEN substr(url, position('://' IN url) + 3) ELSE '' END AS r FROM pages),
 h AS (SELECT page_id, translate(regexp_extract(r, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, regexp_extract(r, '^[^/?#]*([^?#]*)', 1) AS path FROM u),
@@ -111,9 +115,29 @@ SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR
 """
 
 
+OP13_SQL = r"""
+WITH turns AS (SELECT conv_id AS c, coalesce(role, '') AS r, coalesce(text, '') AS x, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, sha256(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) - 1 AS at FROM conversations WHERE conv_id IS NOT NULL),
+ids AS (SELECT DISTINCT c FROM turns),
+checked AS (SELECT c, list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(c::VARCHAR, ''), lambda y: ascii(y)::BIGINT)),
+  lambda s, b: list_reduce(list_prepend(xor(s, b), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]), lambda v, i: CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384::BIGINT) ELSE v >> 1 END)) AS crc FROM ids),
+convs AS (SELECT c, c - c % 5 AS base, xor(crc, 4294967295::BIGINT) % 9 AS h FROM checked),
+sizes AS (SELECT v.c, v.h, v.base, least(v.h, count(t.c)) AS k FROM convs v LEFT JOIN turns t ON t.c = v.base GROUP BY v.c, v.h, v.base),
+rebuilt AS (SELECT s.c, t.at + 1 AS d, r, x FROM sizes s JOIN turns t ON t.c = s.base AND t.at < s.h UNION ALL SELECT s.c, t.at - s.h + s.k + 1, r, x FROM sizes s JOIN turns t ON t.c = s.c AND t.at >= s.h),
+prefixes AS (SELECT c, d, list({'r': r, 'x': x}) OVER (PARTITION BY c ORDER BY d) AS p, strlen(x) AS bytes FROM rebuilt UNION ALL SELECT c, 0, []::STRUCT(r VARCHAR, x VARCHAR)[], 0 FROM ids),
+nodes AS (SELECT d, p, min(c) AS owner, count(*) AS n, any_value(bytes) AS bytes FROM prefixes GROUP BY d, p),
+lasts AS (SELECT p, d, string_agg(c::VARCHAR, ',' ORDER BY c) AS members FROM prefixes SEMI JOIN (SELECT c, max(d) AS d FROM prefixes GROUP BY c) m ON prefixes.c = m.c AND prefixes.d = m.d GROUP BY p, d),
+kids AS (SELECT list_slice(p, 1, d - 1) AS p, count(*) AS children FROM nodes WHERE d > 0 GROUP BY ALL),
+full_ AS (SELECT n.*, coalesce(children, 0) AS children FROM nodes n LEFT JOIN kids k ON n.p = k.p),
+up AS (SELECT unnest(range(0, d + 1)) AS i, p, n, bytes, children FROM full_),
+sums AS (SELECT list_slice(p, 1, i) AS p, count(*) FILTER (children = 0) AS leaves, sum((n - 1) * bytes)::BIGINT AS saved FROM up GROUP BY ALL)
+SELECT f.owner AS conv_id, f.d::BIGINT AS depth, CASE WHEN f.d > 0 THEN a.owner END AS parent_conv_id, f.n AS n_convs, f.children AS n_children, s.leaves AS n_leaves, s.saved AS saved_tokens, sha256(coalesce(l.members, '')) AS ends_sha256
+FROM full_ f JOIN sums s ON s.p = f.p LEFT JOIN nodes a ON a.p = list_slice(f.p, 1, f.d - 1) AND a.d = f.d - 1 LEFT JOIN lasts l ON l.p = f.p
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_warc, op2_jaccard, op3_bpe, op4_packing, op5_toxicity, op6_quality, op7_pii, op8_vectors, op9_urls, op10_lines, op11_divergence, op12_repair)}
+    return {f.__name__: f for f in (op1_warc, op2_jaccard, op3_bpe, op4_packing, op5_toxicity, op6_quality, op7_pii, op8_vectors, op9_urls, op10_lines, op11_divergence, op12_repair, op13_trie)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op9_urls": OP9_SQL, "op10_lines": OP10_SQL, "op11_divergence": OP11_SQL}
+    return {"op9_urls": OP9_SQL, "op10_lines": OP10_SQL, "op11_divergence": OP11_SQL, "op13_trie": OP13_SQL}
