@@ -115,7 +115,7 @@ def _handed_up(chains: DataFrame, scratch: Scratch) -> DataFrame:
         left = scratch.cut(left, "trie-left")
 
 
-def _digests(ids: DataFrame, key: list[str], scratch: Scratch) -> DataFrame:
+def _digests(ids: DataFrame, key: list[str]) -> DataFrame:
     """(key, ends_sha256) of rows (key, c): SHA-256 of each key's ids in decimal, ascending, joined by commas.
 
     Ranges of ids are joined to long strings first, so a key of very many ids comes to its task in few rows, which are hashed
@@ -213,7 +213,7 @@ def prefix_tree(rows: DataFrame, conv: str = "conv_id", turn: str = "turn", role
     # A node has what hangs on it and what the nodes below it on its chain have: sums from the chain's end.
     ended = ends.join(paths.select("c", F.col("d").alias("length"), *PARTS), ["c", "length"], "left").select("c", F.col("length").alias("depth"), *PARTS)
     zero = lambda c: F.coalesce(c, F.lit(0))
-    shas = _digests(ended.select("depth", *(F.coalesce(g, F.lit(0).cast(SUM)).alias(g) for g in PARTS), "c"), ["depth", *PARTS], scratch)
+    shas = _digests(ended.select("depth", *(F.coalesce(g, F.lit(0).cast(SUM)).alias(g) for g in PARTS), "c"), ["depth", *PARTS])
     last = chains.select(F.col("c").alias("conv_id"), F.col("first"), F.col("length"), F.col("parent"))
     tip = bare.select(F.col("c").alias("conv_id"), F.col("leaves").alias("tip"))
     whole = nodes.join(up, ["conv_id", "depth"], "left").join(last.join(tip, "conv_id"), "conv_id")
