@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 #: Rows that a side of a join is broadcast with at most; beyond, the join shuffles or goes block by block.
 BROADCAST_ROWS = 100_000
+#: Bytes that its columns of any length may hold together.
+BROADCAST_BYTES = 64 << 20
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -34,8 +36,18 @@ def settled(df: DataFrame) -> DataFrame:
 
 
 def hinted(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
-    """df for the small side of a join: broadcast if it is counted to have so few rows, else left to shuffle."""
-    return F.broadcast(df) if df.count() <= most else df
+    """df for the small side of a join: broadcast if it is counted to have so few rows and so few bytes, else left to shuffle."""
+    size = F.lit(0).cast("long")
+    for name, kind in df.dtypes:
+        c = F.col(f"`{name}`")
+        if kind in ("string", "binary"):
+            size = size + F.coalesce(F.octet_length(c), F.lit(0))
+        elif kind == "array<string>":
+            size = size + F.coalesce(F.octet_length(F.array_join(c, " ")), F.lit(0))
+        elif kind.startswith(("array", "map")):
+            size = size + 64 * F.coalesce(F.size(c), F.lit(0))
+    rows, held = df.agg(F.count("*"), F.coalesce(F.sum(size), F.lit(0))).first()
+    return F.broadcast(df) if rows <= most and held <= BROADCAST_BYTES else df
 
 
 def ranked(rows: DataFrame, order: list[str], name: str = "k") -> DataFrame:

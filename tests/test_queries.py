@@ -3,10 +3,10 @@
 import pytest
 from conftest import SF, canonical
 
-from quire.queries import corpus, files, inline
+from quire.queries import corpus, files, inline, retrieval
 
-ALL = corpus.QUERIES | inline.QUERIES | files.QUERIES
-SQL = corpus.SQL | inline.SQL | files.SQL
+ALL = corpus.QUERIES | inline.QUERIES | files.QUERIES | retrieval.QUERIES
+SQL = corpus.SQL | inline.SQL | files.SQL | retrieval.SQL
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
