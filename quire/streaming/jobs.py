@@ -1,16 +1,22 @@
-"""Streams: an event log read as it grows, windows over it with late data, and the job state machine kept as state."""
+"""Streams: an event log read as it grows, windows over it with late data, the job state machine as state that survives a restart."""
 
 from __future__ import annotations
 
+import contextlib
+import time
 from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from ..operators.workflow import TRANSITIONS
 
+#: State that processors keep is stored in RocksDB, beside the checkpoint.
+PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+STEPS = "job_id string, event_id long, at timestamp, before string, status string, allowed boolean"
+
 
 def event_log(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """A folder of JSON lines as a stream; lines that do not parse come in column corrupt."""
@@ -23,21 +29,103 @@ def windowed_counts(events: DataFrame, at: str, kind: str, window: str = "5 minu
     return rows.select(F.col("window.start").alias("start"), kind, "n", "total")
 
 
-def _check(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    before = state.get[0] if state.exists else None
-    out = []
-    for batch in batches:
-        for row in batch.sort_values("at").itertuples():
-            allowed = before is None or row.status in TRANSITIONS.get(before, [])
-            out.append((key[0], row.at, before, row.status, allowed))
-            before = row.status if allowed else before
-    state.update((before,))
-    yield pd.DataFrame(out, columns=["job_id", "at", "before", "status", "allowed"])
+class Steps(StatefulProcessor):
+    """Of each job the last status, and the events that the watermark has not passed; a timer stands at the earliest of them.
+
+    Events wait until none before them can come any more, so steps are judged in order of time whatever batch brings them.
+    """
+
+    def __init__(self, allowed: dict[str, list[str]] | None):
+        self.allowed = allowed
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.last = handle.getValueState("last", "status string")
+        self.waiting = handle.getListState("waiting", "at long, event_id long, status string")
+        self.timer = handle.getValueState("timer", "at long")
+
+    def _set(self, at: int) -> None:
+        held = self.timer.get()[0] if self.timer.exists() else None
+        if held is None or at < held:
+            if held is not None:
+                self.handle.deleteTimer(held)
+            self.handle.registerTimer(at)
+            self.timer.update((at,))
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        new = []
+        for batch in rows:
+            new += zip((batch["at"].astype("datetime64[us]").astype("int64")).tolist(), batch["event_id"].tolist(), batch["status"].tolist(), strict=True)
+        self.waiting.appendList([(int(a), int(e), s) for a, e, s in new])
+        self._set(min(a for a, _, _ in new) // 1000 + 1)
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        passed = timerValues.getCurrentWatermarkInMs()
+        held = sorted((tuple(x) for x in self.waiting.get()), key=lambda x: x[:2])
+        ready = [x for x in held if x[0] // 1000 < passed]
+        rest = held[len(ready) :]
+        before, out = self.last.get()[0] if self.last.exists() else None, []
+        for at, event, status in ready:
+            allowed = self.allowed is None or before is None or status in self.allowed.get(before, [])
+            out.append((key[0], event, pd.Timestamp(at, unit="us"), before, status, allowed))
+            before = status if allowed else before
+        if out:
+            self.last.update((before,))
+        self.timer.clear()
+        if rest:
+            self.waiting.put(rest)
+            self._set(rest[0][0] // 1000 + 1)
+        else:
+            self.waiting.clear()
+        if out:
+            yield pd.DataFrame(out, columns=["job_id", "event_id", "at", "before", "status", "allowed"])
+
+    def close(self) -> None:
+        pass
+
+
+def checked_transitions(events: DataFrame, late: str = "1 hour", transitions: dict[str, list[str]] | None = TRANSITIONS) -> DataFrame:
+    """Each step (job_id string, event_id long, at, status) of a stream with the state before it and whether it was allowed.
+
+    Refused steps do not move the job; transitions None allows all. Steps of a job come in order of at, then event_id, once
+    the watermark is past them; events that come later than `late` behind the latest are dropped. The session's state store
+    must be RocksDB (see stateful).
+    """
+    rows = events.select(F.col("job_id").cast("string").alias("job_id"), F.col("event_id").cast("long").alias("event_id"), "at", "status").withWatermark("at", late)
+    return rows.groupBy("job_id").transformWithStateInPandas(Steps(transitions), STEPS, "Append", "EventTime")
+
+
+@contextlib.contextmanager
+def stateful(spark: SparkSession):
+    """The session's state store set to the one that processors need, and back."""
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(name)
+    spark.conf.set(name, PROVIDER)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
 
+def append(rows: DataFrame, path: str, checkpoint: str, stop_after: int | None = None, limit: float = 600) -> int:
+    """Append a stream to a folder of Parquet files until its source is read, or stop it once so many batches are through.
 
-def checked_transitions(events: DataFrame) -> DataFrame:
-    """Each step (job_id, at, status) of a stream with the state before it and whether it was allowed; refused steps do not move the job."""
-    return events.groupBy("job_id").applyInPandasWithState(_check, "job_id string, at timestamp, before string, status string, allowed boolean", "status string", "append", "NoTimeout")
+    Started again with the same checkpoint it goes on where it was: offsets, state, timers and the sink's log agree on batches,
+    so each row is there once. Gives the number of the last batch that is through, -1 if there is none.
+    """
+    writer = rows.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint)
+    query = writer.trigger(availableNow=True).start() if stop_after is None else writer.trigger(processingTime="0 seconds").start()
+    if stop_after is None:
+        query.awaitTermination(int(limit))
+    else:
+        end = time.monotonic() + limit
+        while time.monotonic() < end and query.isActive and (not query.lastProgress or query.lastProgress["batchId"] + 1 < stop_after):
+            time.sleep(0.05)
+        query.stop()
+    if failed := query.exception():
+        raise failed
+    return query.lastProgress["batchId"] if query.lastProgress else -1
 
 
 def append_events(events: DataFrame, path: str, checkpoint: str):

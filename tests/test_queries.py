@@ -3,10 +3,10 @@
 import pytest
 from conftest import SF, canonical
 
-from quire.queries import corpus, files, inline, retrieval
+from quire.queries import corpus, files, inline, retrieval, streams
 
-ALL = corpus.QUERIES | inline.QUERIES | files.QUERIES | retrieval.QUERIES
-SQL = corpus.SQL | inline.SQL | files.SQL | retrieval.SQL
+ALL = corpus.QUERIES | inline.QUERIES | files.QUERIES | retrieval.QUERIES | streams.QUERIES
+SQL = corpus.SQL | inline.SQL | files.SQL | retrieval.SQL | streams.SQL
 
 
 @pytest.mark.parametrize("name", sorted(SQL))

@@ -39,13 +39,38 @@ def test_jsonl(spark, tmp_path):
 
 
 def test_stream_checks_transitions(spark, tmp_path):
-    rows = [("j1", "2024-01-01 00:00:00", "candidate"), ("j1", "2024-01-01 00:00:01", "parsing"), ("j1", "2024-01-01 00:00:02", "indexed"), ("j1", "2024-01-01 00:00:03", "planned"), ("j2", "2024-01-01 00:00:00", "failed")]
-    spark.createDataFrame(rows, "job_id string, at string, status string").selectExpr("job_id", "to_timestamp(at) at", "status").write.parquet(str(tmp_path / "in"))
-    stream = spark.readStream.schema("job_id string, at timestamp, status string").parquet(str(tmp_path / "in"))
-    q = jobs.checked_transitions(stream).writeStream.format("memory").queryName("checked").outputMode("append").trigger(availableNow=True).start()
-    q.awaitTermination(120)
-    got = {(r.job_id, r.status): r.allowed for r in spark.table("checked").collect()}
-    assert got == {("j1", "candidate"): True, ("j1", "parsing"): True, ("j1", "indexed"): False, ("j1", "planned"): True, ("j2", "failed"): True}
+    """Rows of two batches in the wrong order, a refused step, equal times, and a late one; stopped between the batches."""
+    late = [("j1", 5, "2024-01-01 00:00:02", "indexed"), ("j1", 6, "2024-01-01 00:00:03", "planned"), ("j2", 7, "2024-01-01 00:00:00", "failed"), ("j1", 4, "2024-01-01 00:00:01", "parsing")]
+    first = [("j1", 3, "2024-01-01 00:00:00", "candidate"), ("j3", 9, "2024-01-01 00:00:01", "parsing"), ("j3", 8, "2024-01-01 00:00:01", "candidate")]
+    end = [(None, 0, "2024-01-03 00:00:00", None)]
+    source, out, checkpoint = (str(tmp_path / x) for x in ("in", "out", "checkpoint"))
+    with jobs.stateful(spark):
+        for rows in (late, first, end, [("j9", 1, "2024-01-01 00:00:00", "lost")], end):
+            spark.createDataFrame(rows, "job_id string, event_id long, at string, status string").selectExpr("job_id", "event_id", "to_timestamp(at) at", "status").coalesce(1).write.mode("append").parquet(source)
+            stream = spark.readStream.schema("job_id string, event_id long, at timestamp, status string").option("maxFilesPerTrigger", 1).parquet(source)
+            jobs.append(jobs.checked_transitions(stream), out, checkpoint)
+    assert spark.conf.get("spark.sql.streaming.stateStore.providerClass") != jobs.PROVIDER
+    got = {r.event_id: (r.job_id, str(r.at), r.before, r.allowed) for r in spark.read.schema(jobs.STEPS).parquet(out).where("job_id IS NOT NULL").collect()}
+    day = "2024-01-01 00:00:0"
+    assert got == {3: ("j1", day + "0", None, True), 4: ("j1", day + "1", "candidate", True), 5: ("j1", day + "2", "parsing", False), 6: ("j1", day + "3", "parsing", True), 7: ("j2", day + "0", None, True), 8: ("j3", day + "1", None, True), 9: ("j3", day + "1", "candidate", True)}
+
+
+def test_a_stream_stopped_and_started_again(spark, tmp_path):
+    """Files one a batch, stopped after two: what waits in state and its timers are there again."""
+    source, out, checkpoint = (str(tmp_path / x) for x in ("in", "out", "checkpoint"))
+    rows = [(f"j{i % 3}", i, f"2024-01-01 0{i // 10}:{i % 10:02}:00", f"s{i}") for i in range(40)] + [(None, -1, "2024-01-03 00:00:00", None)]
+    for a in range(0, 41, 10):
+        spark.createDataFrame(rows[a : a + 10 + (a == 30)], "job_id string, event_id long, at string, status string").selectExpr("job_id", "event_id", "to_timestamp(at) at", "status").coalesce(1).write.mode("append").parquet(source)
+        if a == 30:
+            break
+    stream = lambda: spark.readStream.schema("job_id string, event_id long, at timestamp, status string").option("maxFilesPerTrigger", 1).parquet(source)
+    read = lambda: spark.read.schema(jobs.STEPS).parquet(out).where("job_id IS NOT NULL").collect()
+    with jobs.stateful(spark):
+        assert jobs.append(jobs.checked_transitions(stream(), transitions=None), out, checkpoint, stop_after=2) >= 1
+        assert len(read()) < 40
+        jobs.append(jobs.checked_transitions(stream(), transitions=None), out, checkpoint)
+    got = {r.event_id: r.before for r in read()}
+    assert len(read()) == 40 and got == {i: f"s{i - 3}" if i > 2 else None for i in range(40)}
 
 
 def test_stream_windows(spark, tmp_path):
