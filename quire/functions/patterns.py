@@ -125,7 +125,6 @@ STATISTICS = (
     r"|standard\s+deviation|estimator|confidence\s+interval|p[\s-]value|\\bar\s*\{\s*X\s*\}"
 )
 TRIVIAL_SKELETON = r"^[#N=,.;:()\[\]{}+\-*/^_\s]*$"
-PROFILE_BLOCK = 400
 
 # Letters that Unicode decomposition leaves whole, and what they fold to.
 FOLD_FROM, FOLD_TO = "łŁøØðÐþÞđĐıŒœæÆß", "lLoOdDtTdDiOoaAs"

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -136,6 +138,10 @@ def choose_attachment(attachments: DataFrame) -> DataFrame:
     return per.select("key", chosen.alias("chosen"), reason.alias("reason"))
 
 
+#: Characters that most skeletons are made of, counted to rule out pairs.
+_COUNTED = "#\\{}()+-=^_ aefinorst"
+
+
 def equations(rows: DataFrame) -> DataFrame:
     """Equations (doc, item, latex, source) with skeleton, nums and profile; one Python pass computes all three."""
     return rows.where(~T.is_blank(F.col("latex"))).withColumn("k", equation_key(F.col("latex"))).select("doc", "item", "latex", "source", "k.*")
@@ -149,14 +155,30 @@ def equation_classes(eqs: DataFrame) -> DataFrame:
     return grouped.where(F.size("sources") > 1).orderBy("constants_agree", F.desc("size"), "skeleton")
 
 
-def equation_pairs(eqs: DataFrame, least: float, block: int = P.PROFILE_BLOCK) -> DataFrame:
-    """Pairs of unlike skeletons of other sources within blocks of one profile; larger blocks than `block` are left out."""
+def equation_pairs(eqs: DataFrame, least: float) -> DataFrame:
+    """Pairs of unlike skeletons of other sources with one profile, of a ratio of at least `least`.
+
+    Different skeletons meet once, whatever the number of equations that share them, and only where their lengths and counts of
+    characters allow the ratio: both bound the matching blocks from above. So no block is left out for its size.
+    """
     rows = eqs.where(~F.col("skeleton").rlike(P.TRIVIAL_SKELETON))
-    fine = rows.groupBy("profile").agg(F.count("*").alias("n")).where((F.col("n") > 1) & (F.col("n") <= block)).select("profile")
-    rows = rows.join(fine, "profile", "left_semi").select("profile", F.struct("doc", "item").alias("id"), "skeleton", "nums", "source")
-    a, b = rows.select([F.col(c).alias("a_" + c) for c in rows.columns]), rows.select([F.col(c).alias("b_" + c) for c in rows.columns])
-    near = a.join(b, (F.col("a_profile") == F.col("b_profile")) & (F.col("a_id") < F.col("b_id")) & (F.col("a_skeleton") != F.col("b_skeleton")) & (F.col("a_source") != F.col("b_source")))
-    near = near.withColumn("ratio", text_ratio(F.col("a_skeleton"), F.col("b_skeleton"))).where(F.col("ratio") >= least)
+    kinds = rows.groupBy("profile", "skeleton").agg(F.count_distinct("source").alias("sources"), F.min("source").alias("source")).withColumn("n", F.length("skeleton"))
+    # The shorter is at least least / (2 - least) as long, so it is found within a few bands of lengths that grow by that factor.
+    band = F.floor(F.log(F.greatest(F.col("n"), F.lit(1)).cast("double")) / math.log((2 - least) / least) if least < 1 else F.col("n")).cast("long")
+    side = lambda x: kinds.select("profile", *(F.col(c).alias(f"{x}_{c}") for c in ("skeleton", "sources", "source", "n")), band.alias(f"{x}_band"))
+    near_band = F.explode(F.array(F.col("b_band") - 1, F.col("b_band"), F.col("b_band") + 1)).alias("a_band")
+    met = side("a").join(side("b").select("*", near_band), ["profile", "a_band"]).where("a_skeleton < b_skeleton")
+    most = lambda x: F.transform(F.sequence(F.lit(0), F.lit(len(_COUNTED) - 1)), lambda i: F.length(F.col(x)) - F.length(F.replace(F.col(x), F.substring(F.lit(_COUNTED), i + 1, 1), F.lit(""))))
+    total = F.col("a_n") + F.col("b_n")
+    met = met.where((2 * F.least("a_n", "b_n") >= least * total) & (F.col("a_sources") + F.col("b_sources") > 2) | (2 * F.least("a_n", "b_n") >= least * total) & (F.col("a_source") != F.col("b_source")))
+    # Characters that one has more of than the other can't match.
+    apart = F.aggregate(F.zip_with(most("a_skeleton"), most("b_skeleton"), lambda x, y: F.abs(x - y)), F.lit(0), lambda s, x: s + x)
+    met = met.where(total - apart >= least * total).withColumn("ratio", text_ratio(F.col("a_skeleton"), F.col("b_skeleton"))).where(F.col("ratio") >= least).select("profile", "a_skeleton", "b_skeleton", "ratio")
+    whole = lambda x: rows.select("profile", F.col("skeleton").alias(f"{x}_skeleton"), F.struct("doc", "item").alias(f"{x}_id"), F.col("nums").alias(f"{x}_nums"), F.col("source").alias(f"{x}_source"))
+    near = met.join(whole("a"), ["profile", "a_skeleton"]).join(whole("b"), ["profile", "b_skeleton"]).where("a_source <> b_source")
+    turned = F.col("a_id") > F.col("b_id")
+    first, second = (lambda c, x=x, y=y: F.when(turned, F.col(f"{y}_{c}")).otherwise(F.col(f"{x}_{c}")) for x, y in (("a", "b"), ("b", "a")))
+    near = near.select(first("id").alias("a_id"), second("id").alias("b_id"), "ratio", first("nums").alias("a_nums"), second("nums").alias("b_nums"))
     near = near.withColumns({"constants_agree": F.col("a_nums") == F.col("b_nums"), "first_diff": first_difference(F.col("a_nums"), F.col("b_nums")), "evidence": F.least(F.size("a_nums"), F.size("b_nums"))})
     return near.select("a_id", "b_id", "ratio", "constants_agree", "first_diff", "evidence").orderBy("constants_agree", F.desc("evidence"), F.desc("ratio"), "a_id", "b_id")
 

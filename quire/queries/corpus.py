@@ -8,9 +8,8 @@ from pyspark.sql import functions as F
 
 from ..functions import patterns as P
 from ..functions import text as T
-from ..operators import checks, layout, matching, retrieval, votes
+from ..operators import checks, layout, matching, needles, retrieval, votes
 from ..plans import rules
-from ..plans.storage import BROADCAST_ROWS
 from ..sources.bundles import documents_as_items
 
 
@@ -138,21 +137,10 @@ def spaced_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def benchmark_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(item, documents) of benchmark passages of which a document holds the whole: the longest word of each joins first."""
-    docs = _t(spark, sf_dir, "documents").select("doc_id", "text")
-    items = _t(spark, sf_dir, "benchmark").where("text <> ''")
-    # Every word but the outer two of a passage stands between spaces in a text that holds it, so an equi-join finds them.
-    inner = F.expr("slice(split(text, ' '), 2, greatest(size(split(text, ' ')) - 2, 0))")
-    keyed = items.withColumn("inner", inner).withColumn("anchor", F.when(F.size("inner") > 0, F.element_at(F.array_sort("inner", lambda a, b: F.when(F.length(a) != F.length(b), F.length(b) - F.length(a)).when(a < b, -1).when(a > b, 1).otherwise(0)), 1)))
-    words = docs.select("doc_id", F.explode(F.array_distinct(F.split("text", " "))).alias("anchor"))
-    near = words.join(keyed.select("item_id", "anchor", F.col("text").alias("passage")), "anchor").join(docs, "doc_id")
-    hits = near.where(F.col("text").contains(F.col("passage"))).select("item_id", "doc_id")
-    # Passages of one or two words have no inner word; they meet the documents block by block.
-    short = keyed.where("anchor IS NULL").select("item_id", F.col("text").alias("passage"))
-    for i in range(blocks := -(-short.count() // BROADCAST_ROWS)):
-        some = F.broadcast(short.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == i))
-        hits = hits.unionByName(docs.join(some, F.col("text").contains(F.col("passage"))).select("item_id", "doc_id"))
-    return hits.groupBy("item_id").agg(F.count_distinct("doc_id").alias("documents"))
+    """(item, documents) of benchmark passages of which a document holds the whole."""
+    docs = _t(spark, sf_dir, "documents").select(F.col("doc_id").alias("doc"), "text")
+    found = needles.occurrences(docs, _t(spark, sf_dir, "benchmark").select(F.col("item_id").alias("needle"), "text"))
+    return found.groupBy(F.col("needle").alias("item_id")).agg(F.count_distinct("doc").alias("documents"))
 
 
 def fuzzy_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
