@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from collections.abc import Sequence
 from html import unescape
 from pathlib import PurePath
 
@@ -96,14 +97,18 @@ def variant_patterns(name: str) -> list[str]:
     return [*out, (glue + "{0,12}").join(map(re.escape, "".join(name_tokens(name))))]
 
 
-def lcs(a: list[str], b: list[str]) -> int:
-    """Length of the longest common subsequence."""
-    row = [0] * (len(b) + 1)
-    for x in a:
-        before = 0
-        for j, y in enumerate(b, 1):
-            before, row[j] = row[j], before + 1 if x == y else max(row[j], row[j - 1])
-    return row[-1]
+def lcs(a: Sequence, b: Sequence) -> int:
+    """The length of the longest common subsequence: a column of the table is one whole number, a bit for each member of a."""
+    places: dict = {}
+    for i, c in enumerate(a):
+        places[c] = places.get(c, 0) | 1 << i
+    full = (1 << len(a)) - 1
+    row = full
+    for c in b:
+        # A zero bit is a step of the table; each new member moves at most one step a run down to where it stands.
+        hit = row & places.get(c, 0)
+        row = ((row + hit) | (row - hit)) & full
+    return len(a) - row.bit_count()
 
 
 def is_subsequence(a: str, b: str) -> bool:

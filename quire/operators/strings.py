@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import unicode
 from ..functions.vectorised import vectorised
 from ..plans.storage import settled
 
@@ -49,23 +47,7 @@ def near_pairs(rows: DataFrame, distance: int) -> DataFrame:
     return near.select(F.when(turned, F.col("b")).otherwise(F.col("a")).alias("a"), F.when(turned, F.col("a")).otherwise(F.col("b")).alias("b"), "distance", F.least("text", "other").alias("left_text"), F.greatest("text", "other").alias("right_text"))
 
 
-def lcs_bits(a: str, b: str) -> int:
-    """The length of the longest common subsequence: a column of the table is one whole number, a bit for each character of a."""
-    if not a or not b:
-        return 0
-    places: dict[str, int] = {}
-    for i, c in enumerate(a):
-        places[c] = places.get(c, 0) | 1 << i
-    full = (1 << len(a)) - 1
-    row = full
-    for c in b:
-        # A zero bit is a step of the table; each new character moves at most one step a run down to where it stands.
-        hit = row & places.get(c, 0)
-        row = ((row + hit) | (row - hit)) & full
-    return len(a) - row.bit_count()
-
-
 @vectorised("int")
 def lcs(a: pd.Series, b: pd.Series) -> pd.Series:
     """Lengths of the longest common subsequences of two columns, in characters; null where one is."""
-    return pd.Series([lcs_bits(x, y) if x is not None and y is not None else None for x, y in zip(a, b, strict=True)], dtype="Int32")
+    return pd.Series([unicode.lcs(x, y) if x is not None and y is not None else None for x, y in zip(a, b, strict=True)], dtype="Int32")

@@ -6,6 +6,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from quire.functions import unicode
 from quire.operators import needles, strings
 
 
@@ -30,7 +31,7 @@ def common(a, b):
 @settings(max_examples=200, deadline=None)
 @given(st.text(alphabet="abcé", max_size=150), st.text(alphabet="abcé", max_size=90))
 def test_common_subsequence(a, b):
-    assert strings.lcs_bits(a, b) == common(a, b)
+    assert unicode.lcs(a, b) == common(a, b)
 
 
 def test_common_subsequence_of_columns(spark):
