@@ -32,8 +32,8 @@ SAMPLE_NUMBERS = 16 << 20
 LISTS_PER_ROOT = 0.25
 #: Sample vectors whose made neighbours fit the probes, and the share of those neighbours that the probes are to reach.
 PROBE_SAMPLE, REACHED = 4096, 0.998
-#: Rows whose distances to all centroids are held at once.
-ROWS = 4096
+#: Rows whose distances to all centroids are held at once, and whose cosines with a whole block are.
+ROWS, COMPARED = 4096, 64
 
 
 def _assigned(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
@@ -287,10 +287,16 @@ def _links_of(classes: DataFrame, dim: int, n: int, threshold: float, schema: st
         side = np.asarray(t.column("side"))
         keys, copies, x = keys_of(t), np.asarray(t.column("copies")), _unit(_matrix(t.column("v"), t.num_rows))
         a, b = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
-        hits = _linked(x[a], x[b], threshold)
-        if t.column("inner")[0].as_py():
-            hits &= before(keys[a], keys[b])
-        links = np.concatenate([hits @ copies[b], hits.T @ copies[a]])
+        inner, y = t.column("inner")[0].as_py(), x[b]
+        hits, left, right = np.zeros((len(a), len(b)), bool), np.zeros(len(a), np.int64), np.zeros(len(b), np.int64)
+        for i in range(0, len(a), COMPARED):  # cosines of a few rows at a time: all that stays is a bit for each pair
+            some = slice(i, i + COMPARED)
+            hits[some] = _linked(x[a[some]], y, threshold)
+            if inner:
+                hits[some] &= before(keys[a[some]], keys[b])
+            left[some] = hits[some] @ copies[b]
+            right += copies[a[some]] @ hits[some]
+        links = np.concatenate([left, right])
         ends = np.concatenate([keys[a], keys[b]])
         rows = [(*ends[i].tolist(), int(links[i]), None, None) for i in np.flatnonzero(links)]
         for group in forest(hits):
