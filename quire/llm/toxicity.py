@@ -153,17 +153,25 @@ def held_out(key: Column) -> Column:
 
 
 def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic") -> Model:
-    """Fit on labelled documents that are not held out. A document labelled twice is toxic if any label says so."""
+    """Fit on labelled documents that are not held out. A document labelled twice is toxic if any label says so. An id with
+    several texts gives each of them, within the bounds of the sample."""
     known = labels.where(F.col(label).isNotNull() & F.col(key).isNotNull() & ~held_out(F.col(key))).groupBy(F.col(key).alias("id")).agg(F.max(label).cast("int").alias("y"))
     shares = {r["y"]: r["count"] for r in known.groupBy("y").count().collect()}
     first = lambda y, n: known.where(F.col("y") == y).orderBy(F.xxhash64("id"), "id").limit(n)
     chosen = first(1, SAMPLE_TOXIC).unionByName(first(0, SAMPLE_CLEAN))
-    rows = cut(docs.select(F.col(key).alias("id"), text_of(text).alias("body")).join(F.broadcast(chosen), "id"), "toxicity-sample")
+    # Keys, hashes and lengths choose the documents; texts are fetched last. A text repeated under one id counts once.
+    texts = docs.select(F.col(key).alias("id"), text_of(text).alias("body")).withColumn("h", F.xxhash64("body"))
+    known = texts.join(F.broadcast(chosen), "id").groupBy("y", "id", "h").agg(F.first(F.octet_length("body")).alias("bytes"))
+    known = cut(known, "toxicity-lengths")
+    order = [F.xxhash64("id"), F.col("id"), F.col("h")]
+    least = lambda y, n: known.where(F.col("y") == y).orderBy(*order).limit(n)
+    rows = least(1, SAMPLE_TOXIC).unionByName(least(0, SAMPLE_CLEAN))
     # Of those, whole documents by hash until the class's bytes are reached.
-    order = [F.xxhash64("id"), F.col("id"), F.xxhash64("body")]
-    before = F.sum(F.octet_length("body")).over(Window.partitionBy("y").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1))
+    before = F.sum("bytes").over(Window.partitionBy("y").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1))
     most = F.when(F.col("y") == 1, SAMPLE_BYTES_TOXIC).otherwise(SAMPLE_BYTES_CLEAN)
-    rows = rows.withColumn("before", F.coalesce(before, F.lit(0))).where(F.col("before") < most).select("id", "y", "body").orderBy(*order, "body").toArrow()
+    taken = rows.withColumn("before", F.coalesce(before, F.lit(0))).where(F.col("before") < most).select("id", "h", "y")
+    taken = cut(taken, "toxicity-taken")
+    rows = cut(texts.join(F.broadcast(taken), ["id", "h"]).dropDuplicates(["id", "h"]), "toxicity-sample").orderBy(*order, "body").toArrow()
     total = shares.get(0, 0) + shares.get(1, 0)
     return fit(rows.column("body").to_pylist(), np.asarray(rows.column("y")), shares.get(1, 0) / total if total else 0.0)
 

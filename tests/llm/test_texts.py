@@ -219,6 +219,18 @@ def test_toxicity_is_fitted_on_whole_texts(spark):
     assert all([rows[r.doc_id][1][s.start : s.end].strip() for s in r.sentences] == ["you are a zorgle"] * (r.doc_id % 2) for r in got)
 
 
+def test_a_labelled_id_that_repeats_stays_within_the_sample(spark, monkeypatch):
+    taken = []
+    monkeypatch.setattr(toxicity, "SAMPLE_TOXIC", 4)
+    monkeypatch.setattr(toxicity, "SAMPLE_CLEAN", 6)
+    monkeypatch.setattr(toxicity, "fit", lambda texts, y, rate: taken.extend(zip(texts, y, strict=True)))
+    rows = [(1, f"text {i % 50}", "clash") for i in range(500)] + [(i, "clean", "clash") for i in range(2, 30)]
+    labels = [(1, 1)] + [(i, 0) for i in range(2, 30)]
+    toxicity.train(spark.createDataFrame(rows, "doc_id long, text string, h string"), spark.createDataFrame(labels, "doc_id long, toxic int"))
+    assert sum(y == 1 for _, y in taken) == 4 and sum(y == 0 for _, y in taken) == 6
+    assert len({t for t, y in taken if y == 1}) == 4  # repeated rows count once
+
+
 def test_toxicity_sample_takes_whole_documents_until_its_bytes(spark, monkeypatch):
     rows, labels = long_toxic(60)
     taken = []
