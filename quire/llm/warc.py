@@ -34,8 +34,10 @@ REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-dig
 #: An archive is closed beyond so many compressed bytes; its dictionary is trained on its first records, up to these bounds.
 ARCHIVE_BYTES, DICTIONARY_BYTES, SAMPLE_RECORDS, SAMPLE_BYTES = 64 << 20, 16 << 10, 200, 1 << 20
 READ_BYTES = 1 << 16
-#: A record that decodes to more is refused, whatever its frame claims.
-RECORD_BYTES = 1 << 30
+#: Compressed bytes that are decoded at a time: the format can make 128 KB of four of them, so 32 MB of these at most.
+FEED_BYTES = 1 << 10
+#: A record that decodes to more is refused, whatever its frame claims; a payload that Spark can hold, with its headers, is less.
+RECORD_BYTES = (1 << 31) + (1 << 20)
 #: Groups of equal payloads that are broadcast at most; beyond, the join shuffles.
 BROADCAST_GROUPS = 500_000
 #: Payloads of at least so many bytes are stored once.
@@ -165,13 +167,15 @@ def records(stream, size: int = READ_BYTES, most: int = RECORD_BYTES) -> Iterato
         frame, parts, held = opener.decompressobj(), [], 0
         try:
             while not frame.eof:
-                parts.append(frame.decompress(rest))
+                parts.append(frame.decompress(rest[:FEED_BYTES]))
                 held += len(parts[-1])
                 if held > most:
                     raise BadArchive(f"more than {most} bytes")
-                rest = frame.unused_data if frame.eof else stream.read(size)
+                rest = (frame.unused_data if frame.eof else b"") + rest[FEED_BYTES:]
                 if not frame.eof and not rest:
-                    raise BadArchive("the last frame is cut off")
+                    rest = stream.read(size)
+                    if not rest:
+                        raise BadArchive("the last frame is cut off")
             yield decode(b"".join(parts))
         except (BadArchive, zstd.ZstdError, UnicodeDecodeError) as e:
             raise BadArchive(f"record {number}: {e}") from e

@@ -4,6 +4,7 @@ import base64
 import hashlib
 import io
 import struct
+import tracemalloc
 
 import pytest
 import zstandard as zstd
@@ -93,6 +94,19 @@ def test_a_record_that_decodes_to_too_much_is_refused():
         list(warc.records(io.BytesIO(data), most=1_000_000))
 
 
+def test_a_bomb_is_refused_in_little_memory():
+    bomb = warc.encode({"WARC-Type": "response", "WARC-Record-ID": "<urn:page:1>", "WARC-Date": "2024-01-01T00:00:00Z"}, bytes(600_000_000))
+    data = archive([GOOD, bomb])
+    del bomb
+    assert len(data) < 60_000
+    tracemalloc.start()
+    with pytest.raises(warc.BadArchive, match="record 1: more than"):
+        list(warc.records(io.BytesIO(data), most=1_000_000))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 100 << 20
+
+
 def test_revisits_that_do_not_match_what_they_refer_to(spark):
     rows = [(1, 3, "A", "response", None), (2, 3, "A", "revisit", 1), (3, 4, "A", "revisit", 1), (4, 3, "B", "revisit", 1), (5, 3, "A", "revisit", 9)]
     df = spark.createDataFrame(rows, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long")
