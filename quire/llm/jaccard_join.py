@@ -6,8 +6,8 @@ sampled shingles: at each further node a set follows the least shingles under tw
 shares with the chance of its similarity. What is still large at the last level is compared in blocks. The runs are repeated
 until a pair at the threshold has met with the target recall even if all its buckets are split to the last level.
 
-In a large bucket the sets much like one of its pivots need no further splitting: they are joined to the pivot, and so is,
-by a looser limit, whatever could be similar to one of them (Jaccard distance obeys the triangle inequality).
+In a large bucket the sets much like one of its pivots need no further splitting: they are joined to the pivot. Whatever could
+be similar to one of them (Jaccard distance obeys the triangle inequality) without being like the pivot meets them by sketches.
 
 Meetings only propose, by ids and small sketches. What they connect is compared exactly, all with all, in blocks: that gives
 the link counts, also of pairs that no bucket met, and the edges of spanning forests whose components are the classes. Pairs
@@ -37,7 +37,7 @@ ROOT_MEAN, FOLLOWED = 1.0, 2
 LEAF, BLOCK_SHINGLES, BLOCK_SETS = 2048, 1 << 19, 2048
 #: Sketch slots of a byte, and how many agree for an exact comparison (at similarity 0.8, 3 pairs in 100,000 fall below).
 SLOTS, AGREE = 48, 27
-#: Slots that agree with a pivot for a set to be settled (similarity about 0.87), and for it to be joined to the pivot.
+#: Slots that agree with a pivot for a set to be settled (similarity about 0.87), and for it to meet the settled ones.
 SETTLED, LOOSE = 42, 16
 PIVOTS = 2
 #: Ids and shared paths that are broadcast at most; beyond, the joins shuffle.
@@ -339,11 +339,24 @@ def _followed(rows: DataFrame) -> DataFrame:
     return rows.select("cid", F.xxhash64("path", "slot", _slot(F.col("slot"))).alias("path"))
 
 
+def _halo(met: DataFrame, near: Column, name: str) -> DataFrame:
+    """Sets that a pivot settles and sets that are not much like it, yet may be similar to one of those, in blocks that meet
+    under g: side 0 and 1. A set that agrees with the pivot itself is joined to it without that."""
+    rows = met.withColumn("side", F.when(near >= SETTLED, 0).when((near >= LOOSE) & (near < AGREE), 1).cast("long")).where("side IS NOT NULL")
+    counts = rows.groupBy("path").agg(*(F.ceil(F.count_if(F.col("side") == k) / BLOCK_SETS).cast("long").alias(f"b{k}") for k in (0, 1))).where("b0 > 0 AND b1 > 0")
+    rows = rows.join(counts, "path")
+    own = F.pmod(F.xxhash64("cid"), F.when(F.col("side") == 0, F.col("b0")).otherwise(F.col("b1")))
+    other = F.explode(F.sequence(F.lit(0).cast("long"), F.when(F.col("side") == 0, F.col("b1")).otherwise(F.col("b0")) - 1))
+    rows = rows.withColumn("own", own).withColumn("other", other)
+    place = [F.when(F.col("side") == k, F.col("own")).otherwise(F.col("other")) for k in (0, 1)]
+    return rows.select(F.concat_ws(":", F.lit(name), "path", *place).alias("g"), "side", "cid", "n", *_SKETCHES)
+
+
 def _proposals(classes: DataFrame, threshold: float, scratch: Scratch) -> DataFrame:
     """Edges (a, b) between classes (cid) that met and whose sketches agree; classes without any have none."""
     sketched = classes.select("cid", "n", *_SKETCHES)
     level = classes.select("cid", F.explode("paths").alias("path"))
-    leaves, edges = [], []
+    leaves, edges, halos = [], [], []
     for i in range(LEVELS):
         # Nearly all buckets hold one set. So only the paths are counted, and rows of ids meet those that are shared.
         sizes = scratch.cut(level.groupBy("path").agg(F.count("*").alias("m")).where("m > 1"), f"jaccard-sizes{i}")
@@ -359,9 +372,9 @@ def _proposals(classes: DataFrame, threshold: float, scratch: Scratch) -> DataFr
         alike = [F.when(F.col("cid") == F.col(f"p{j}.cid"), 0).otherwise(_agreement("", f"p{j}.")).alias(f"a{j}") for j in range(PIVOTS)]
         met = scratch.cut(met.select("cid", "n", *_SKETCHES, "path", "m", "total", *(F.col(f"p{j}.cid").alias(f"p{j}") for j in range(PIVOTS)), *alike), f"jaccard-met{i}")
         for j in range(PIVOTS):
-            joined = met.where(F.col(f"a{j}") >= LOOSE)
-            active = met.where(F.col(f"a{j}") >= SETTLED).select("path").distinct()  # elsewhere nothing is settled, so nothing needs joining
-            edges.append(joined.join(active, "path", "left_semi").select(F.col(f"p{j}").alias("a"), F.col("cid").alias("b")))
+            near = F.col(f"a{j}")
+            edges.append(met.where(near >= AGREE).select(F.col(f"p{j}").alias("a"), F.col("cid").alias("b")))
+            halos.append(_halo(met, near, f"{i}.{j}"))
         rest = met.where(F.greatest(*(F.col(f"a{j}") for j in range(PIVOTS))) < SETTLED)
         if i == LEVELS - 1:
             leaves.append(rest.select("cid", "n", *_SKETCHES, F.col("path").alias("bucket"), _blocks(F.col("m"), F.col("total")).alias("blocks")))
@@ -371,6 +384,8 @@ def _proposals(classes: DataFrame, threshold: float, scratch: Scratch) -> DataFr
     for x in leaves[1:]:
         held = held.unionByName(x)
     held = _in_blocks(held, "bucket", "blocks").select("g", "side", "cid", "n", *_SKETCHES)
+    for x in halos:
+        held = held.unionByName(x)
     found = map_arrow(held.repartition("g").sortWithinPartitions("g"), _sift(threshold), "a long, b long")
     for x in edges:
         found = found.unionByName(x)

@@ -100,6 +100,27 @@ def test_settled_sets_lose_no_link(spark, monkeypatch):
     assert got_texts(got) == brute([(i, shingles(t)) for i, t in rows], same_texts)
 
 
+def test_texts_of_one_template_stay_apart(spark, monkeypatch):
+    """Near-copy pairs of texts that share two fifths of their words: no proposed component joins unlike texts in number."""
+    sizes = []
+
+    def watched(edges, label, scratch=None):
+        out = components(edges, label, scratch)
+        if label == "jaccard":
+            sizes.append(out.groupBy("component").count().agg(F.max("count")).first()[0])
+        return out
+
+    monkeypatch.setattr(jaccard_join, "components", watched)
+    monkeypatch.setattr(jaccard_join, "LEAF", 64)
+    shared = [f"t{i}" for i in range(90)]
+    rows = []
+    for i in range(400):
+        own = [f"{i}x{j}" for j in range(110)]
+        rows += [(2 * i, " ".join(shared + own)), (2 * i + 1, " ".join(shared + own[:-3] + ["other"]))]
+    got = jaccard_join.near_texts(spark.createDataFrame(rows, "doc_id long, text string"), secret=3).collect()
+    assert all(r.n_links == 1 and r.class_id == r.doc_id // 2 * 2 for r in got) and sizes[0] < 20
+
+
 def test_words_that_clash_in_polynomials_stay_apart(spark):
     twins = ["".join("ab"[(i.bit_count() + k) % 2] for i in range(2048)) for k in (0, 1)]
     rows = [(k, " ".join(f"w{i}" for i in range(20)) + " " + twins[k] + " " + " ".join(f"v{i}" for i in range(3))) for k in (0, 1)] + [(2 + k, x) for k, x in enumerate(twins)]
@@ -178,6 +199,17 @@ def test_huge_and_tiny_components(spark):
     assert {r.vec_id: (r.n_links, r.component_id) for r in got.collect()} == {1: (2, 1), 2: (2, 1), 3: (2, 1), 4: (0, 4)}
 
 
+def test_cosines_of_a_full_group_go_by_few_rows(spark):
+    """No product of more than a few rows with a block is made at once; counts at both ends come out whole."""
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(1, 8)) + 0.02 * rng.normal(size=(700, 8))
+    assert vectors.COMPARED * vectors.BLOCK * 8 <= 16 << 20
+    got = vectors.near_vectors(spark.createDataFrame([(i, v.tolist(), 1) for i, v in enumerate(x)], "vec_id long, embedding array<double>, label int")).collect()
+    u = x / np.linalg.norm(x, axis=1)[:, None]
+    want = (u @ u.T >= 0.93).sum(1) - 1
+    assert sum(r.n_links for r in got) >= 0.98 * want.sum() and all(r.n_links <= want[r.vec_id] for r in got) and sum(r.component_id == 0 for r in got) > 690
+
+
 def test_components_of_a_chain_and_a_star(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 140)] + [(300, 300), (None, 5)]
     got = {r.id: r.component for r in components(spark.createDataFrame(edges, "a long, b long"), "test").collect()}
