@@ -3,10 +3,10 @@
 import pytest
 from conftest import SF, canonical
 
-from quire.queries import corpus, files, inline, retrieval, streams, texts
+from quire.queries import corpus, files, inline, ranges, retrieval, streams, texts
 
-ALL = corpus.QUERIES | inline.QUERIES | files.QUERIES | retrieval.QUERIES | streams.QUERIES | texts.QUERIES
-SQL = corpus.SQL | inline.SQL | files.SQL | retrieval.SQL | streams.SQL | texts.SQL
+ALL = corpus.QUERIES | inline.QUERIES | files.QUERIES | retrieval.QUERIES | streams.QUERIES | texts.QUERIES | ranges.QUERIES
+SQL = corpus.SQL | inline.SQL | files.SQL | retrieval.SQL | streams.SQL | texts.SQL | ranges.SQL
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
