@@ -1,13 +1,18 @@
 """Personal data: base patterns, and a skip-chain conditional random field that makes labels consistent in a document.
 
 Nodes are the words with a digit or an @. Neighbouring words share a chain potential; words with the same normal form, or
-with a like one (digits that end alike, one domain, one network), share a skip potential, however far apart: open words with
-each label that a base pattern confirms for their form, or, if there is none, with the like word before. Loopy belief
-propagation gives each node's label; words that a base pattern confirms are observed.
-
-The potentials are fitted to the base patterns' own labels in a bounded sample, by the gradient of the likelihood with the
-expectations of loopy belief propagation, so nothing is labelled by hand. So a word is found by its shape and neighbours,
-where a pattern's match failed for what stands beside it, or by a like word that is confirmed. What is found must still
+with a like one (digits that end alike, one domain, one local part, one network), share a skip potential, however far apart:
+open words with each label that a base pattern confirms for their form, or, if there is none, with the like word before. A
+number may be written in several words: runs of up to SEGMENT_WORDS have forms as well, of all their digits, and each of their
+words shares in the run's edges. Loopy belief propagation gives each node's label; words that a base pattern confirms are
+observed.
+
+The potentials are fitted by the gradient of the likelihood, with the expectations of loopy belief propagation, on a bounded
+sample; nothing is labelled by hand. Labels are the base patterns' own, and to the end of each sample text some of what they
+confirm there is added in writings that they do not know, with its label, and as many drawn numbers and names in the same
+writings, which are none. So the skip potentials learn what a repeat in another writing is worth, whatever its shape. A word
+is found by its shape and neighbours, where a pattern's match failed for what stands beside it, or by a like word that is
+confirmed. What is found must still
 have the form of its kind: a card's digits and check sum, four numbers of an address, digits of a telephone number; and
 without a confirmed like word also its usual writing.
 """
@@ -34,7 +39,11 @@ SAMPLE_DOCS, SAMPLE_BYTES = 2000, 40_000_000
 SAME, SHORT, LIKE = 0, 1, 2
 LONG_FORM = 7
 #: The priors of the potentials: skip potentials of agreement by kind of edge, the others nought; and their spreads.
-SKIP_PRIOR, SKIP_SPREAD, SPREAD = (6.0, 1.0, 3.0), 0.5, 3.0
+SKIP_PRIOR, SKIP_SPREAD, SPREAD = (0.0, 0.0, 0.0), 5.0, 3.0
+#: Words of one number at most, and the digits that a number of several words has.
+SEGMENT_WORDS, SEGMENT_DIGITS = 5, (9, 19)
+#: Confirmed spans of a sample text that are added to it in another writing at most.
+PLANTED = 4
 STEPS, RATE = 120, 0.15
 #: Messages are passed until none changes by SETTLED, at most ROUNDS times; in the fit, from where they were, FIT_ROUNDS times.
 ROUNDS, SETTLED, DAMPING, FIT_ROUNDS = 200, 1e-4, 0.3, 12
@@ -102,10 +111,10 @@ def key_of(word: str) -> str | None:
 
 
 def like_forms(word: str) -> list[str]:
-    """Weaker normal forms: the last seven digits of a number, the domain of an address, the network of four numbers."""
+    """Weaker normal forms: the last seven digits of a number, domain and local part of an address, the network of four numbers."""
     at = word.strip(_EDGE).lower().rpartition("@")
     if at[1]:
-        return [f"@{at[2]}"] if at[0] and "." in at[2] else []
+        return ([f"@{at[2]}"] if at[0] and "." in at[2] else []) + ([f"l{at[0]}"] if len(at[0]) >= 4 and at[2] else [])
     if any(c.isalpha() for c in word):
         return []
     digits, numbers = _NOT_DIGIT.sub("", word), re.findall("[0-9]+", word)
@@ -118,8 +127,9 @@ def shape(word: str, before: str, after: str) -> list[float]:
     """Features of a word; before and after are the words beside it if they are nodes too, else empty."""
     bare = word.strip(_EDGE)
     digits = _NOT_DIGIT.sub("", word)
-    n, letters = len(digits), any(c.isalpha() for c in word)
-    return [1, "@" in word, "@" in word and "." in word.rpartition("@")[2], word[0] == "+", word[0] == "(", n <= 2, n == 3, 4 <= n <= 6, n == 7, 8 <= n <= 11, 12 <= n <= 19, n > 19, bare.count(".") == 3 and not letters, letters, "-" in bare, 12 <= n <= 19 and luhn(digits), before[:1] == "+", before[:1] == "(", after[:1] == "("]
+    letters = any(c.isalpha() for c in word)
+    n = len(digits) if "@" not in word else -1  # how many digits an address holds tells nothing
+    return [1, "@" in word, "@" in word and "." in word.rpartition("@")[2], word[0] == "+", word[0] == "(", 0 <= n <= 2, n == 3, 4 <= n <= 6, n == 7, 8 <= n <= 11, 12 <= n <= 19, n > 19, bare.count(".") == 3 and not letters, letters, "-" in bare, 12 <= n <= 19 and luhn(digits), before[:1] == "+", before[:1] == "(", after[:1] == "("]
 
 
 N_FEATURES = len(shape("0", "", ""))
@@ -136,6 +146,7 @@ class Graph(NamedTuple):
 
     skip: like words, each with the one before, and the kind of edge. hubs: open nodes with the labels that like words are
     confirmed to have, each label once, and the kind; as those are observed, open words do not answer for each other.
+    truth: in a sample, the labels to fit where they are not the base ones.
     """
 
     spans: list[tuple[int, int]]
@@ -144,6 +155,7 @@ class Graph(NamedTuple):
     chain: np.ndarray
     skip: np.ndarray
     hubs: np.ndarray
+    truth: np.ndarray | None = None
 
 
 def graph(text: str, spans: list[tuple[int, int]], neighbours: list[bool], base: list[tuple[int, int, int]]) -> Graph:
@@ -156,24 +168,44 @@ def graph(text: str, spans: list[tuple[int, int]], neighbours: list[bool], base:
     for a, kind, b in base:
         seen[np.searchsorted(ends, a, "right") : np.searchsorted(starts, b, "left")] = kind + 1
     chain = [(i - 1, i) for i in range(1, n) if neighbours[i]]
+    digits = [_NOT_DIGIT.sub("", w) if not any(c.isalpha() or c == "@" for c in w) else None for w in words]
     last: dict[str, int] = {}
     held: dict[str, set[int]] = {}
-    skip, forms = [], []
+    skip: list[tuple[int, int, int]] = []
+    forms: list[list[tuple[int, str]]] = [[] for _ in words]
     for i, w in enumerate(words):
         key = key_of(w)
-        forms.append(([(f"={key}", SAME if len(key) >= LONG_FORM else SHORT)] if key else []) + [(x, LIKE) for x in like_forms(w)])
+        mine = [(f"={key}", SAME if len(key) >= LONG_FORM else SHORT, range(i, i + 1))] if key else []
+        if w.strip(_EDGE)[:1] == "+" and digits[i]:  # a number is also the number without its country code
+            mine += [(f"={digits[i][k:]}", SAME, range(i, i + 1)) for k in (1, 2, 3) if len(digits[i]) - k >= LONG_FORM]
+        mine += [(x, LIKE, range(i, i + 1)) for x in like_forms(w)]
+        whole, at = digits[i], i
+        while whole is not None and at and neighbours[at] and digits[at - 1] is not None and i - at + 2 <= SEGMENT_WORDS:
+            at -= 1
+            whole = digits[at] + whole
+            if len(whole) > SEGMENT_DIGITS[1]:
+                break
+            if len(whole) >= SEGMENT_DIGITS[0]:
+                mine += [(f"={whole}", SAME, range(at, i + 1)), (f"t{whole[-7:]}", LIKE, range(at, i + 1))]
         linked = set()
-        for form, kind in forms[-1]:
-            if form in last and last[form] not in linked:  # of two edges to one word, the stronger
-                linked.add(last[form])
-                skip.append((last[form], i, kind))
+        for form, kind, members in mine:
+            before = last.get(form)
+            if before is not None and before not in members:
+                for m in members:  # of two edges between two words, the stronger
+                    if (before, m) not in linked:
+                        linked.add((before, m))
+                        skip.append((before, m, kind))
+            labels = {int(seen[m]) for m in members}
+            if len(labels) == 1 and 0 not in labels:
+                held.setdefault(form, set()).update(labels)
+            for m in members:
+                forms[m].append((kind, form))
+        for form, *_ in mine:
             last[form] = i
-            if seen[i]:
-                held.setdefault(form, set()).add(int(seen[i]))
     hubs = []
     for i, mine in enumerate(forms):
         known: set[int] = set()
-        for form, kind in mine if not seen[i] else ():
+        for kind, form in sorted(mine) if not seen[i] else ():
             hubs += [(i, label, kind) for label in sorted(held.get(form, set()) - known)]
             known |= held.get(form, set())
     three = lambda x: np.array(x, np.int64).reshape(-1, 3)
@@ -233,7 +265,7 @@ def fit(graphs: list[Graph]) -> Potentials:
     first = np.cumsum([0] + [len(g.spans) for g in graphs])
     joined = lambda name, width, ends: np.concatenate([np.zeros((0, width), np.int64), *(np.concatenate([getattr(g, name)[:, :ends] + f, getattr(g, name)[:, ends:]], 1) for g, f in zip(graphs, first))])
     x = np.concatenate([np.zeros((0, N_FEATURES)), *(g.features for g in graphs)])
-    y = np.concatenate([np.zeros(0, np.int64), *(g.seen for g in graphs)])
+    y = np.concatenate([np.zeros(0, np.int64), *(g.seen if g.truth is None else g.truth for g in graphs)])
     field = Field(len(y), joined("chain", 2, 2), joined("skip", 3, 2))
     n, prior = len(field.chain), np.repeat(np.array(SKIP_PRIOR)[:, None], k, 1)
     observed, one = np.eye(k)[y], np.eye(k)
@@ -279,7 +311,7 @@ def fits(word: str, kind: int, like: bool, tails: set[str]) -> bool:
     digits, numbers = _NOT_DIGIT.sub("", word), re.findall("[0-9]+", word)
     if kind == 0:
         local, _, domain = word.rpartition("@")
-        return bool(local) and "." in domain.strip(".")
+        return bool(local) and ("." in domain.strip(".") or like and bool(domain.strip(".")))
     if kind == 1:
         return len(numbers) == 4 and all(len(x.lstrip("0")) <= 3 and int(x[-4:]) <= 255 for x in numbers)
     if kind == 2:
@@ -366,20 +398,72 @@ def train(docs: DataFrame, text: str = "text") -> Potentials:
     inside = np.flatnonzero(np.cumsum(np.concatenate([[0], np.asarray(order.column("bytes"))[:-1]])) < SAMPLE_BYTES) if order.num_rows else []
     last = order.column("h")[len(inside) - 1].as_py() if len(inside) else -(1 << 63)
     texts = sample.where(F.col("h") <= last).toArrow().sort_by("h").column("body").to_pylist()
-    graphs = []
-    for t in texts:
-        held = nodes(*utf8(pa.array([t], pa.large_string())))[0]
-        if held:
-            graphs.append(graph(t, *certain(t, *held), base_spans(t)))
-    return fit([g for g in graphs if g.spans])
+    rng = np.random.default_rng(17)
+    return fit([g for t in texts if (g := sampled(*planted(t, rng))) is not None])
+
+
+def sampled(text: str, marks: list[tuple[int, int, int]]) -> Graph | None:
+    """The graph of a sample text with the labels to fit; marks: (start, end, label) of what was added to it."""
+    held = nodes(*utf8(pa.array([text], pa.large_string())))[0]
+    if not held:
+        return None
+    spans, neighbours = certain(text, *held, [(a, b) for a, b, _ in marks])
+    if not spans:
+        return None
+    g = graph(text, spans, neighbours, base_spans(text))
+    truth = g.seen.copy()
+    for a, b, label in marks:
+        inside = [i for i, (x, y) in enumerate(spans) if x < b and a < y and not g.seen[i]]
+        truth[inside] = label
+    return g._replace(truth=truth)
+
+
+def rewritten(kind: int, word: str, rng: np.random.Generator) -> str:
+    """Personal data in a writing that the base patterns do not know."""
+    digits = _NOT_DIGIT.sub("", word)
+    sign = lambda *signs: signs[rng.integers(len(signs))]
+    if kind == 0:
+        local, _, domain = word.rpartition("@")
+        return f"{local}@{domain.split('.')[0]}"
+    if kind == 1:
+        return sign("-", "[.]", ":", "_").join(re.findall("[0-9]+", word))
+    if kind == 2:
+        return sign(".", "/", "_").join(digits[i : i + 4] for i in range(0, len(digits), 4))
+    own = (digits, digits[-10:], digits[-7:])[rng.integers(3)]  # with and without country, and within a place
+    if rng.random() < 0.3:
+        return own
+    parts = [own[:-7], own[-7:-4], own[-4:]]
+    return sign(" ", "-", ".", "/").join(x for x in parts if x)
 
 
-def certain(text: str, spans: list[tuple[int, int]], neighbours: list[bool]) -> tuple[list[tuple[int, int]], list[bool]]:
-    """Nodes and neighbours without the nodes in doubtful spans that no base span confirms: no label of theirs is known."""
+def planted(text: str, rng: np.random.Generator) -> tuple[str, list[tuple[int, int, int]]]:
+    """text with confirmed spans repeated in other writings at its end, and drawn ones in the same writings; and their marks."""
+    base = base_spans(text)
+    if not base:
+        return text, []
+    words, marks, out = text[:10_000].split() or ["-"], [], [text]
+    at = len(text)
+    word = lambda: words[rng.integers(len(words))]
+    for i in rng.permutation(len(base))[:PLANTED]:
+        a, kind, b = base[i]
+        # Drawn ones have other digits, and of an address other letters.
+        drawn = "".join(str(rng.integers(10)) if c.isdigit() else chr(97 + rng.integers(26)) if kind == 0 and c.isalpha() else c for c in text[a:b])
+        drawn = [] if kind == 2 and luhn(_NOT_DIGIT.sub("", drawn)) else [(rewritten(kind, drawn, rng), 0)]  # a check sum that holds tells nothing
+        for new, label in ((rewritten(kind, text[a:b], rng), kind + 1), *drawn):
+            before = f" {word()} "
+            out += [before, new, f" {word()}"]
+            marks.append((at + len(before), at + len(before) + len(new), label))
+            at += sum(map(len, out[-3:]))
+    return "".join(out), marks
+
+
+def certain(text: str, spans: list[tuple[int, int]], neighbours: list[bool], known: list[tuple[int, int]] = ()) -> tuple[list[tuple[int, int]], list[bool]]:
+    """Nodes and neighbours without the nodes in doubtful spans that no base span confirms: no label of theirs is known. known:
+    further spans whose nodes stay."""
     doubt = doubtful(text)
     if not doubt:
         return spans, neighbours
-    sure = [(a, b) for a, _, b in base_spans(text)]
+    sure = [*((a, b) for a, _, b in base_spans(text)), *known]
     kept = [not any(x < b and a < y for x, y in doubt) or any(x < b and a < y for x, y in sure) for a, b in spans]
     return [x for x, k in zip(spans, kept, strict=True) if k], [bool(n and i and kept[i - 1]) for i, (n, k) in enumerate(zip(neighbours, kept, strict=True)) if k]
 
