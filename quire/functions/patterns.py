@@ -70,12 +70,17 @@ MARKERS_WAIVING_LENGTH = 2
 BODY_PARAGRAPH_CHARS = 300
 
 # Damage and leaks.
-MANGLED = r"(?U)(?:\s+[a-z]{1,2}\b){5,}"
+# Possessive: the matcher goes over a run step by step, where it would call itself for each word; a word can end in one place only.
+MANGLED = r"(?U)(?:\s+[a-z]{1,2}\b){5,}+"
 SINGLE_LETTER = r"(?U)\b[b-hj-z]\b"
+# The same where only ASCII makes words and white space, as SQL has it.
+MANGLED_ASCII = r"(?:[\t\n\f\r ]+[a-z]{1,2}(?![A-Za-z0-9_])){5,}+"
+SINGLE_LETTER_ASCII = r"(?<![A-Za-z0-9_])[b-hj-z](?![A-Za-z0-9_])"
+BLANK_ASCII = r"\A[\t\n\f\r ]*+\z"
 LEAST_SINGLES = 3
 MATH = r"(?s)\$[^$]*\$|\\\(.*?\\\)|\\\[.*?\\\]"
 TAG = r"<[^>]+>"
-LEAK = r"(?i)Noah Carter|World Athletics|Carbon-Fiber Spikes|100m Sprint|Knowledge Graph Specialist"
+LEAK = r"(?iu)Noah Carter|World Athletics|Carbon-Fiber Spikes|100m Sprint|Knowledge Graph Specialist"
 IMAGE_TEXT_CHARS = 200
 MARKUP = r"<[^>]+>|\$[^$]*\$|\\[a-zA-Z]+"
 SYMBOLIC_SHARE = 0.35

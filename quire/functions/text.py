@@ -16,8 +16,8 @@ def stripped(text: Column) -> Column:
     return F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
 
 
-def is_blank(text: Column) -> Column:
-    return stripped(filled(text)) == ""
+def is_blank(text: Column, ascii_only: bool = False) -> Column:
+    return filled(text).rlike(P.BLANK_ASCII) if ascii_only else stripped(filled(text)) == ""
 
 
 def count_of(text: Column, pattern: str) -> Column:
@@ -137,10 +137,11 @@ def strip_math(text: Column) -> Column:
     return F.regexp_replace(filled(text), P.MATH, " ")
 
 
-def is_mangled(text: Column, kind: Column) -> Column:
+def is_mangled(text: Column, kind: Column, ascii_only: bool = False) -> Column:
     """Prose with a run of short words of which three or more are single letters other than a and i."""
-    runs = matches_of(strip_math(text), P.MANGLED)
-    return F.coalesce(kind.isin(P.PROSE_TYPES), F.lit(False)) & F.exists(runs, lambda r: F.regexp_count(r, F.lit(P.SINGLE_LETTER)) >= P.LEAST_SINGLES)
+    run, single = (P.MANGLED_ASCII, P.SINGLE_LETTER_ASCII) if ascii_only else (P.MANGLED, P.SINGLE_LETTER)
+    runs = matches_of(strip_math(text), run)
+    return F.coalesce(kind.isin(P.PROSE_TYPES), F.lit(False)) & F.exists(runs, lambda r: F.regexp_count(r, F.lit(single)) >= P.LEAST_SINGLES)
 
 
 def has_leak(text: Column) -> Column:

@@ -50,24 +50,25 @@ def is_red(unverifiable: Column, error: Column, rate: Column, threshold: float =
     return F.when(unverifiable, False).when(error.isNotNull(), True).otherwise(F.coalesce(rate > threshold, F.lit(False)))
 
 
-def body_of(items: DataFrame) -> Column:
+def body_of(items: DataFrame, ascii_only: bool = False) -> Column:
     """An item's text; that of a muted one is its original."""
     now = T.item_body(F.col("text"), F.col("table_body"), F.col("code_body"))
-    return F.when(T.is_blank(now), F.coalesce("orig_text", F.lit(""))).otherwise(now)
+    return F.when(T.is_blank(now, ascii_only), F.coalesce("orig_text", F.lit(""))).otherwise(now)
 
 
-def parse_check(items: DataFrame) -> DataFrame:
-    """Per document: items, pages, counts of damage and of empty parts, characters, and pages without text."""
-    rows = items.withColumn("body_text", body_of(items)).withColumn("prose", F.col("type").isin(P.PROSE_TYPES))
-    chars = F.when(F.col("prose"), F.length("body_text")).otherwise(0)
-    empty = lambda t: F.count_if((F.col("type") == t) & T.is_blank(F.col("body_text")))
+def parse_check(items: DataFrame, ascii_only: bool = False) -> DataFrame:
+    """Per document: items, pages, counts of damage and of empty parts, characters, and pages without text. ascii_only takes
+    but ASCII letters and white space for such, as SQL's patterns do. Items without a document are one document."""
+    rows = items.withColumn("body_text", body_of(items, ascii_only))
+    chars = F.when(F.col("type").isin(P.PROSE_TYPES), F.length("body_text")).otherwise(0)
+    empty = lambda t: F.count_if((F.col("type") == t) & T.is_blank(F.col("body_text"), ascii_only))
     per = rows.groupBy("doc_id").agg(
-        F.count("*").alias("items"), (F.coalesce(F.max("page_idx"), F.lit(-1)) + 1).alias("pages"), F.count_if(T.is_mangled(F.col("body_text"), F.col("type"))).alias("mangled"),
+        F.count("*").alias("items"), (F.coalesce(F.max("page_idx"), F.lit(-1)) + 1).alias("pages"), F.count_if(T.is_mangled(F.col("body_text"), F.col("type"), ascii_only)).alias("mangled"),
         F.count_if((F.col("body_text") != "") & T.has_leak(F.col("body_text"))).alias("leaks"), empty("text").alias("empty_text"), F.count_if((F.col("type") == "table") & (T.table_text(F.col("body_text")) == "")).alias("empty_table"),
         empty("equation").alias("empty_equation"), F.sum(chars).cast("long").alias("chars"),
+        F.count_distinct(F.when(chars > 0, F.col("page_idx"))).alias("texted"),
     )
-    texted = rows.withColumn("c", chars).where("c > 0 AND page_idx IS NOT NULL").groupBy("doc_id").agg(F.count_distinct("page_idx").alias("texted"))
-    return per.join(texted, "doc_id", "left").withColumn("textless_pages", F.col("pages") - F.coalesce("texted", F.lit(0))).drop("texted")
+    return per.withColumn("textless_pages", F.col("pages") - F.col("texted")).drop("texted")
 
 
 def textless_pages(items: DataFrame) -> DataFrame:
