@@ -2,11 +2,21 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..functions.vectorised import BATCH_BYTES, batched
+from ..plans.storage import hinted, settled
+
+#: Vectors of a block, queries of a block, and queries that are compared with a block of vectors at a time.
+VECTORS, QUERIES, STRIP = 8192, 1024, 64
 
 
 def cosine(a: Column, b: Column) -> Column:
@@ -18,13 +28,109 @@ def cosine(a: Column, b: Column) -> Column:
     return dot / F.nullif(norm(a) * norm(b), F.lit(0.0))
 
 
+def _blocks(rows: DataFrame, most: int) -> DataFrame:
+    """(ids, size, data) of rows (id, vector): vectors of one size side by side, at most so many; size 0 holds those without a cosine."""
+    kind = rows.schema["id"].dataType.simpleString()
+    wide = "float" if rows.schema["vector"].dataType.elementType.simpleString() == "float" else "double"
+    code, held = ("<f4", 4) if wide == "float" else ("<f8", 8)
+
+    def cut(table: pa.Table) -> Iterator[pa.RecordBatch]:
+        ids, lists = table.column(0).combine_chunks(), table.column(1).combine_chunks()
+        sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        flat, first = lists.flatten(), np.concatenate([[0], np.cumsum(sizes)])
+        holes = np.concatenate([[0], np.cumsum(flat.is_null().to_numpy(zero_copy_only=False))]) if flat.null_count else np.zeros(len(flat) + 1, np.int64)
+        usable = np.where(holes[first[1:]] > holes[first[:-1]], 0, sizes)
+        values = pc.fill_null(flat, 0).to_numpy(zero_copy_only=False).astype(code)
+        for size in np.unique(usable).tolist():
+            rows_of = np.flatnonzero(usable == size)
+            step = max(1, min(most, BATCH_BYTES // (held * size))) if size else most
+            for at in range(0, len(rows_of), step):
+                some = rows_of[at : at + step]
+                own = ids.take(pa.array(some))
+                data = values[first[some][:, None] + np.arange(size)].tobytes()
+                yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(pa.array([0, len(some)], pa.int32()), own), pa.array([size], pa.int32()), pa.array([data], pa.binary())], names=["ids", "size", "data"])
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept, n, held_bytes = [], 0, 0
+        for batch in batches:
+            kept, n, held_bytes = [*kept, batch], n + batch.num_rows, held_bytes + batch.nbytes
+            if n >= most or held_bytes >= BATCH_BYTES:
+                yield from cut(pa.Table.from_batches(kept))
+                kept, n, held_bytes = [], 0, 0
+        if n:
+            yield from cut(pa.Table.from_batches(kept))
+
+    return rows.select("id", F.col("vector").cast(f"array<{wide}>").alias("vector")).mapInArrow(task, f"ids array<{kind}>, size int, data binary").withColumn("wide", F.lit(code))
+
+
+def _norms(x: np.ndarray) -> np.ndarray:
+    """As cosine() has them, component by component."""
+    total = np.zeros(x.shape[0])
+    for column in x.T:
+        total += column * column
+    return np.sqrt(total)
+
+
+def _best(q: np.ndarray, v: np.ndarray, order: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(row of q, row of v, score, is null): the k best of each row of q, equal ones by order, with the very scores of cosine().
+
+    A matrix product finds what can be among them within its rounding; those are summed again in order of the components.
+    """
+    out, across, down, lengths, of_q = [], np.ascontiguousarray(q.T), np.ascontiguousarray(v.T), _norms(v), _norms(q)
+    margin = 8 * (q.shape[1] + 8) * np.finfo(float).eps
+    for a in range(0, len(q), STRIP):
+        norms = of_q[a : a + STRIP, None] * lengths
+        near = (q[a : a + STRIP] @ down) / norms
+        null = norms == 0
+        odd = (~np.isfinite(near) | (norms < 1e-280)) & ~null
+        near[odd | null] = -np.inf
+        if len(v) > k:
+            near = (near >= np.partition(near, len(v) - k, axis=1)[:, len(v) - k, None] - margin) | odd
+        else:
+            near = np.ones(norms.shape, bool)
+        i, j = np.nonzero(near)
+        dot = np.zeros(len(i))
+        for x, y in zip(across, down, strict=True):
+            dot += x[a + i] * y[j]
+        score, none = dot / norms[i, j], null[i, j]
+        lost = np.isnan(score) & ~none
+        place = np.lexsort((order[j], np.where(none | lost, 0, -score), np.where(none, 2, np.where(lost, 0, 1)), i))
+        i, j, score, none = i[place], j[place], score[place], none[place]
+        top = np.arange(len(i)) - np.searchsorted(i, i) < k
+        out.append((a + i[top], j[top], score[top], none[top]))
+    return tuple(map(np.concatenate, zip(*out)))
+
+
 def top_k(queries: DataFrame, vectors: DataFrame, k: int = 20) -> DataFrame:
     """(query, id, score, rank): the k nearest vectors of each query, exactly. A stated set of queries meets all vectors.
 
-    The queries are the small side; only k rows of each query leave a task, as ranks are limited before the shuffle.
+    Queries and vectors meet in blocks, so neither side is whole anywhere; of a pair of blocks k rows of each query are left,
+    and ranks are limited once more before the shuffle. Scores are those of cosine(), null ones come last.
     """
-    pairs = vectors.select("id", F.col("vector").alias("v")).crossJoin(queries.select(F.col("id").alias("query"), F.col("vector").alias("q")))
-    scored = pairs.select("query", "id", cosine(F.col("q"), F.col("v")).alias("score"))
+    spark = vectors.sparkSession
+    batched(spark)
+    left = settled(_blocks(queries, QUERIES).toDF("asked", "asked_size", "asked_data", "asked_wide"))
+    right = settled(_blocks(vectors, VECTORS).repartition(2 * spark.sparkContext.defaultParallelism))
+    of_query, of_vector = (x.schema["id"].dataType.simpleString() for x in (queries, vectors))
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for r in range(batch.num_rows):
+                asked, ids = (batch.column(c)[r].values for c in ("asked", "ids"))
+                m, n = (batch.column(c)[r].as_py() for c in ("asked_size", "size"))
+                order = np.empty(len(ids), np.int64)
+                order[pc.sort_indices(ids, null_placement="at_start").to_numpy()] = np.arange(len(ids))
+                if m == n and n:
+                    q, v = (np.frombuffer(batch.column(f"{c}data")[r].as_py(), batch.column(f"{c}wide")[r].as_py()).reshape(-1, n).astype(float) for c in ("asked_", ""))
+                    with np.errstate(all="ignore"):
+                        i, j, score, none = _best(q, v, order, k)
+                else:
+                    first = np.argsort(order)[:k]
+                    i, j = np.repeat(np.arange(len(asked)), len(first)), np.tile(first, len(asked))
+                    score, none = np.zeros(len(i)), np.ones(len(i), bool)
+                yield pa.RecordBatch.from_arrays([asked.take(pa.array(i)), ids.take(pa.array(j)), pa.array(score, mask=none)], names=["query", "id", "score"])
+
+    scored = right.crossJoin(hinted(left)).mapInArrow(task, f"query {of_query}, id {of_vector}, score double")
     ranked = scored.withColumn("rank", F.row_number().over(W.partitionBy("query").orderBy(F.desc("score"), "id")))
     return ranked.where(F.col("rank") <= k)
 
