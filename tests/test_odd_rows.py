@@ -1,11 +1,17 @@
 """Queries over odd rows against their SQL: what the small tables don't hold and larger ones do."""
 
+import random
+
 import duckdb
 import pyarrow as pa
 import pyarrow.parquet as pq
 from conftest import canonical
+from pyspark.sql import Window
+from pyspark.sql import functions as F
 from test_queries import ALL, SQL
 
+from quire.operators import retrieval
+
 
 def same_rows(spark, folder, name, **tables):
     con = duckdb.connect()
@@ -26,3 +32,25 @@ def test_parse_severity(spark, tmp_path):
     texts = ["q w" + " e r t y u" * 20_000, "sí y la y de y é", "oh la y de la y té", "a b c d é", "x d e f g h_ z", "x\x0bb\x0bc\x0bd\x0be\x0bf", " ", "\x0b", " \t\n \n\f", "", None, "Worſe", "World Athleticſ", "ok", "\n" * 90 + "end", "$b c d e f g$ x"]
     rows = same_rows(spark, tmp_path, "parse_severity", documents=documents(texts + ["lost", "w\n" * 50], [*range(len(texts)), None, None]))
     assert {r["doc_id"] for r in rows if r["mangled"]} >= {"0", "2"}
+
+
+def test_nearest_of_odd_vectors(spark, monkeypatch):
+    """Scores, ties and nulls as the plain expression has them, over many blocks."""
+    rng = random.Random(7)
+    inf, nan = float("inf"), float("nan")
+    odd = [None, [], [0.0] * 4, [1.0, None, 0.0, 0.0], [nan, 1.0, 0.0, 0.0], [inf, 1.0, 0.0, 0.0], [1.0, 0.0], [1e-160] * 4, [1e-170, 0.0, 0.0, 0.0], [1e200] * 4, [-1.0, -2.0, -3.0, -4.0]]
+    vectors = [[rng.gauss(0, 1) for _ in range(4)] for _ in range(300)] + odd + [[1.0, 2.0, 3.0, 4.0]] * 40 + [[2.0, 4.0, 6.0, 8.0]] * 40
+    monkeypatch.setattr(retrieval, "VECTORS", 32)
+    monkeypatch.setattr(retrieval, "QUERIES", 16)
+    monkeypatch.setattr(retrieval, "STRIP", 5)
+    rows = spark.createDataFrame([(f"é{i % 7}x{i}", v) for i, v in enumerate(vectors)], "id string, vector array<double>").repartition(3)
+    for wide in ("double", "float"):
+        own = rows.withColumn("vector", F.col("vector").cast(f"array<{wide}>"))
+        asked = own.where("substring(id, -1) IN ('0', '5', '9') OR size(vector) <> 4")
+        for k in (1, 20, 500):
+            pairs = own.select("id", F.col("vector").alias("v")).crossJoin(asked.select(F.col("id").alias("query"), F.col("vector").alias("q"))).select("query", "id", retrieval.cosine(F.col("q"), F.col("v")).alias("score"))
+            want = pairs.withColumn("rank", F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), "id"))).where(F.col("rank") <= k)
+            assert sorted(map(repr, retrieval.top_k(asked, own, k).collect())) == sorted(map(repr, want.collect()))
+    assert retrieval.top_k(rows.where("false"), rows).count() == retrieval.top_k(rows, rows.where("false")).count() == 0
+    plan = retrieval.top_k(asked, own)._jdf.queryExecution().executedPlan().toString()
+    assert "zip_with" not in plan
