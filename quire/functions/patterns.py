@@ -6,6 +6,8 @@ Fixed values: they must equal those of the documents' processing this engine rep
 
 # Item types and groups of them.
 KNOWN_TYPES = ["text", "header", "footer", "table", "equation", "image", "page_number", "page_footnote", "code", "list", "aside_text", "chart"]
+#: White space of any kind, as (?U)\s has it.
+WHITE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 PROSE_TYPES = ["text", "header"]
 BODY_TYPES = ["text", "header", "footer", "aside_text"]
 NOISE_TYPES = ["header", "footer", "aside_text"]
@@ -57,6 +59,11 @@ NAME_CHARS = 34
 WHY_KEYWORD, WHY_PROSE, WHY_NONE = "關鍵字", "散文", "沒有訊號"
 
 # Wrapper pages.
+#: Of each phrase below a word, in lower case.
+AD_WORDS = (
+    "interested also learn whitepaper shore zurich advance potential money belongs challenge lock-in cite link submit related citing views crossmark issn homepage"
+    " conditions citation additional commons scholarworks brought proof pii appear enhancements"
+).split()
 AD_MARKERS = (
     r"(?iU)articles?\s+you\s+may\s+be\s+interested\s+in|you\s+may\s+also\s+like|learn\s+more|get\s+the\s+whitepaper|lake\s?shore|zurich\s+instruments"
     r"|advance\s+your\s+science|potential\s+to\s+shape\s+the\s+future|save\s+your\s+money\s+for\s+your\s+research|belongs\s+in|challenge\s+us|lock-in\s+amplifiers|whitepaper"

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -13,7 +16,7 @@ def filled(text: Column) -> Column:
 
 def stripped(text: Column) -> Column:
     """Without white space at the ends, of any kind; null stays null."""
-    return F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
+    return F.btrim(text, F.lit(P.WHITE))
 
 
 def is_blank(text: Column, ascii_only: bool = False) -> Column:
@@ -83,8 +86,9 @@ def caps_ratio(text: Column) -> Column:
 
 def looks_like_prose(text: Column, caps: Column | None = None) -> Column:
     """caps: the text's caps_ratio where it is at hand, so that it is found once."""
-    words = F.regexp_count(filled(text), F.lit(r"(?U)\S+"))
-    return (words >= P.PROSE_WORDS) & ((caps_ratio(text) if caps is None else caps) < P.PROSE_CAPS)
+    # The word that decides is looked for; those behind it need no count.
+    enough = filled(text).rlike(rf"(?U)\A\s*+(?:\S++\s++){{{P.PROSE_WORDS - 1}}}\S")
+    return enough & ((caps_ratio(text) if caps is None else caps) < P.PROSE_CAPS)
 
 
 def looks_like_author_line(text: Column, caps: Column | None = None, bare: bool = False) -> Column:
@@ -127,7 +131,10 @@ def held_reason(text: Column) -> Column:
 
 def distinct_markers(text: Column) -> Column:
     """How many different wrapper-page phrases a page holds."""
-    return F.size(F.array_distinct(F.transform(matches_of(filled(text), P.AD_MARKERS), lambda m: F.lower(stripped(m)))))
+    # Each phrase holds one of a few words; a page without them is not searched for phrases. ſ, ı and İ match s and i.
+    # The lambda's variable is found once for all words.
+    may = F.exists(F.array(F.lower(filled(text))), lambda low: reduce(or_, (low.contains(x) for x in P.AD_WORDS))) | filled(text).rlike("[ſıİ]")
+    return F.when(may, F.size(F.array_distinct(F.transform(matches_of(filled(text), P.AD_MARKERS), lambda m: F.lower(stripped(m)))))).otherwise(0)
 
 
 # Damage.

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions import patterns as P
 from ..functions import text as T
-from ..plans.storage import settled
+from ..plans.storage import hinted, settled
 
 PLAN = ["doc_id", "item_idx", "rule", "action", "signal", "why"]
 
@@ -30,7 +30,7 @@ def page_counts(items: DataFrame) -> DataFrame:
 
 def _band(items: DataFrame, low: int, high: int, names: tuple[str, str]) -> DataFrame:
     """Per document: the k-th least of one edge and the k-th greatest of the other, k a tenth; null below five paragraphs."""
-    body = items.where((F.col("type") == "text") & ~T.is_blank(F.col("text")) & (F.size("bbox") >= 4))
+    body = items.where((F.col("type") == "text") & (F.size("bbox") >= 4) & ~T.is_blank(F.col("text")))
     sorted_ = body.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.col("bbox")[low])).alias("a"), F.sort_array(F.collect_list(F.col("bbox")[high])).alias("b"))
     n = F.size("a")
     k = F.floor(n * P.BODY_EDGE_PERCENT / 100).cast("int")
@@ -71,11 +71,14 @@ def reference_plan(items: DataFrame) -> DataFrame:
     """Reference and acknowledgement sections, from a heading of the kind to the next one as high or a resumption of the body.
 
     Which sections open depends on which items earlier ones muted, so documents are folded in order, one after another in
-    each task; a task keeps the open sections of one document at a time.
+    each task; a task keeps the open sections of one document at a time. Only documents that hold a heading of the kind or
+    an item marked as a reference are moved at all.
     """
-    rows = items.select(
-        "doc_id", "item_idx", "type", "sub_type", F.coalesce("text_level", F.lit(0)).alias("level"), T.section_kind(F.col("text")).alias("kind"), T.resumes_body(F.col("text")).alias("resumes")
-    )
+    level = F.coalesce("text_level", F.lit(0))
+    kind = F.when(level > 0, T.section_kind(F.col("text")))
+    concerned = settled(items.where(kind.isNotNull() | (F.col("sub_type") == "ref_text")).select(F.col("doc_id").alias("concerned")).distinct())
+    held = items.join(hinted(concerned), F.col("doc_id").eqNullSafe(F.col("concerned")), "left_semi")
+    rows = held.select("doc_id", "item_idx", "type", "sub_type", level.alias("level"), kind.alias("kind"), T.resumes_body(F.col("text")).alias("resumes"))
 
     def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         here, opened = None, []  # the document, and level and kind of the sections that go on in it, the first to open first
@@ -115,29 +118,36 @@ def reference_spans(items: DataFrame) -> DataFrame:
 
 
 def title_index(items: DataFrame) -> DataFrame:
-    """(doc_id, title_idx, reason): the item that holds the title, or why there is none."""
+    """(doc_id, title_idx, reason): the item that holds the title, or why there is none. Only where a title that is not the
+    first item depends on it are the first page's lines looked at for an anchor."""
     page = F.coalesce("page_idx", F.lit(0))
-    signal = T.title_signal(F.col("bare"), bare=True)
-    items = items.withColumn("bare", T.stripped(T.filled(F.col("text"))))
-    anchor = F.col("type").isin(P.TITLE_TYPES) & (page == 0) & signal.isin(P.ANCHORS)
     head = F.col("item_idx") < P.TITLE_LOOKAHEAD
     facts = items.groupBy("doc_id").agg(
-        F.bool_or(F.coalesce(anchor, F.lit(False))).alias("anchored"),
         F.max(F.when(F.col("item_idx") == 0, F.coalesce(F.col("text_level") == 1, F.lit(False)))).alias("first_is_title"),
         F.max(F.when(F.col("item_idx") == 0, page)).alias("first_page"),
         F.min(F.when(head & (page != 0), F.col("item_idx"))).alias("turn"),
         F.min(F.when(head & (F.col("text_level") == 1), F.col("item_idx"))).alias("found"),
     )
+    facts = settled(facts)
     behind = F.col("found").isNotNull() & (F.col("turn").isNull() | (F.col("found") < F.col("turn")))
+    open_ = settled(facts.where(behind & ~F.coalesce("first_is_title", F.lit(False))).select(F.col("doc_id").alias("open")))
+    lines = items.where(F.col("type").isin(P.TITLE_TYPES) & (page == 0)).join(hinted(open_), F.col("doc_id").eqNullSafe(F.col("open")), "left_semi")
+    signal = T.title_signal(T.stripped(T.filled(F.col("text"))), bare=True)
+    anchors = lines.select(F.col("doc_id").alias("anchor"), F.coalesce(signal.isin(P.ANCHORS), F.lit(False)).alias("is")).where("is").select("anchor").distinct()
+    facts = facts.join(anchors.withColumn("anchored", F.lit(True)), F.col("doc_id").eqNullSafe(F.col("anchor")), "left").withColumn("anchored", F.coalesce("anchored", F.lit(False)))
     index = F.when(F.col("first_is_title"), F.when(F.col("first_page") == 0, 0)).when(behind & F.col("anchored"), F.col("found"))
     reason = F.when(index.isNotNull(), "").when(F.col("first_is_title"), "not on page 0").when(behind, "no anchor").otherwise("no title")
     return facts.select("doc_id", index.cast("int").alias("title_idx"), reason.alias("reason"))
 
 
+#: A title stands among the items looked ahead at, so what ends its block, or is in it, stands here at the latest.
+LAST_OF_SPAN = P.TITLE_LOOKAHEAD + 1 + P.TITLE_SPAN
+
+
 def title_span(items: DataFrame) -> DataFrame:
     """(doc_id, title_idx, span_end, reason): items after the title up to a heading, another page or 25 of them."""
     titles = settled(title_index(items))  # a row a document, read twice
-    stops = items.join(titles, "doc_id").where((F.col("item_idx") > F.col("title_idx")) & ((F.coalesce("text_level", F.lit(0)) != 0) | (F.coalesce("page_idx", F.lit(0)) != 0)))
+    stops = items.where(F.col("item_idx") <= LAST_OF_SPAN).join(titles, "doc_id").where((F.col("item_idx") > F.col("title_idx")) & ((F.coalesce("text_level", F.lit(0)) != 0) | (F.coalesce("page_idx", F.lit(0)) != 0)))
     first = stops.groupBy("doc_id").agg(F.min("item_idx").alias("stop"))
     sizes = items.groupBy("doc_id").agg((F.max("item_idx") + 1).alias("size"))
     end = F.least(F.coalesce("stop", "size"), F.col("title_idx") + 1 + P.TITLE_SPAN)
@@ -146,13 +156,15 @@ def title_span(items: DataFrame) -> DataFrame:
 
 def title_plan(items: DataFrame) -> DataFrame:
     """Signalled lines of the title block are muted, other lines held; page-0 footnotes count without a block."""
-    rows = items.where(F.col("type").isin(P.TITLE_TYPES)).join(title_span(items), "doc_id").withColumn("bare", T.stripped(F.col("text"))).where("bare <> ''")
+    near = (F.col("item_idx") <= LAST_OF_SPAN) | (F.col("type") == "page_footnote")
+    rows = items.where(F.col("type").isin(P.TITLE_TYPES) & near).join(title_span(items), "doc_id").withColumn("bare", T.stripped(F.col("text"))).where("bare <> ''")
     in_span = (F.col("item_idx") > F.col("title_idx")) & (F.col("item_idx") < F.col("span_end"))
     t = F.col("bare")
     foot = F.when((F.col("type") == "page_footnote") & (F.coalesce("page_idx", F.lit(0)) == 0), F.when(t.rlike(P.PUBLICATION), "publication").when(T.is_correspondence(t), "correspondence"))
     block = F.coalesce(in_span, F.lit(False))
-    signal = F.coalesce(F.when(block, T.title_signal(t, bare=True)), foot)
-    rows = rows.withColumns({"signal": signal, "block": block}).where("signal IS NOT NULL OR block")
+    signal = F.coalesce(F.when(F.col("block"), T.title_signal(t, bare=True)), foot)
+    # Exploding the one signal finds it once; a filter on it would be pushed down and find it again.
+    rows = rows.withColumn("block", block).where(F.col("block") | (F.col("type") == "page_footnote")).withColumn("signal", F.explode(F.array(signal))).where("signal IS NOT NULL OR block")
     rows = rows.withColumn("action", F.when(F.col("signal").isNotNull(), "mute").otherwise("held"))
     return _plan(rows.withColumn("why", F.when(F.col("action") == "held", T.held_reason(F.col("text")))), "title")
 
@@ -167,13 +179,15 @@ def wrapper_pages(items: DataFrame) -> DataFrame:
     """(doc_id, markers, longest, fires): is page 0 a publisher's wrapper?"""
     page = items.where("page_idx = 0").select("doc_id", "item_idx", T.stripped(T.filled(F.col("text"))).alias("t"))
     blob = page.groupBy("doc_id").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("item_idx", "t"))), lambda x: x.t), "\n").alias("blob"), F.max(F.length("t")).alias("longest"))
-    blob = blob.withColumn("markers", T.distinct_markers(F.col("blob")))
+    # Exploded, so that the long text is searched once for all that asks for the count.
+    blob = blob.select("doc_id", "longest", F.explode(F.array(T.distinct_markers(F.col("blob")))).alias("markers"))
     fires = (F.col("markers") > 0) & ~((F.col("longest") >= P.BODY_PARAGRAPH_CHARS) & (F.col("markers") < P.MARKERS_WAIVING_LENGTH))
     return blob.select("doc_id", "markers", "longest", fires.alias("fires"))
 
 
 def cover_plan(items: DataFrame, claimed: DataFrame | None = None) -> DataFrame:
-    rows = _unclaimed(items, claimed).where("page_idx = 0").join(wrapper_pages(items).where("fires").select("doc_id"), "doc_id", "left_semi")
+    fires = settled(wrapper_pages(items).where("fires").select("doc_id"))
+    rows = _unclaimed(items.where("page_idx = 0").join(hinted(fires), "doc_id", "left_semi"), claimed)
     return _plan(rows.withColumns({"action": F.lit("mute"), "signal": F.lit("wrapper_page"), "why": F.lit(None)}), "cover")
 
 

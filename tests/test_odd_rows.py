@@ -10,7 +10,9 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 from test_queries import ALL, SQL
 
-from quire.operators import retrieval
+from quire.functions import patterns as P
+from quire.functions import text as T
+from quire.operators import layout, retrieval
 
 
 def same_rows(spark, folder, name, **tables):
@@ -54,3 +56,26 @@ def test_nearest_of_odd_vectors(spark, monkeypatch):
     assert retrieval.top_k(rows.where("false"), rows).count() == retrieval.top_k(rows, rows.where("false")).count() == 0
     plan = retrieval.top_k(asked, own)._jdf.queryExecution().executedPlan().toString()
     assert "zip_with" not in plan
+
+
+def test_white_space_prose_and_phrases(spark):
+    """The quicker forms against the patterns that they stand for."""
+    texts = [f"{w}a {w} b{w}{w}" for w in P.WHITE] + ["", "\x1c a\x1f", "a\n", " \n", "​ x", "word " * 11, "word " * 12, "\xa0".join("abcdefghijkl"), "\n x" * 12, None]
+    got = spark.createDataFrame([(t,) for t in texts], "t string").select(
+        T.stripped(F.col("t")).alias("a"), F.regexp_replace("t", r"(?U)^\s+|\s+$", "").alias("b"), T.looks_like_prose(F.col("t"), F.lit(0.0)).alias("c"), (F.regexp_count(F.coalesce("t", F.lit("")), F.lit(r"(?U)\S+")) >= P.PROSE_WORDS).alias("d")
+    )
+    for r in got.collect():
+        assert (r["a"], r["c"]) == (r["b"], r["d"])
+    phrases = ["ARTICLE you may be  interested in", "you may also like", "Learn\nmore", "lakeſhore", "whİtepaper", "lock-ın amplifiers", "PII : S1", "part of the open Commons", "LİNK", "to cite this article", "nothing here", "belongs here", None]
+    marked = spark.createDataFrame([(t,) for t in phrases], "t string").select("t", T.distinct_markers(F.col("t")).alias("n"), F.size(F.regexp_extract_all(F.coalesce("t", F.lit("")), F.lit(P.AD_MARKERS), F.lit(0))).alias("m")).collect()
+    assert all((r["n"] > 0) == (r["m"] > 0) for r in marked) and sum(r["n"] for r in marked) >= 7
+    alternatives = P.AD_MARKERS.removeprefix("(?iU)").split("|")
+    assert all(any(w in a.replace("\\b", "").lower() for w in P.AD_WORDS) for a in alternatives)
+
+
+def test_documents_without_a_heading_of_the_kind_are_not_moved(spark):
+    rows = [("a", 0, "text", None, "References", 1), ("a", 1, "text", None, "one", None), ("b", 0, "text", None, "Title", 1), ("b", 1, "text", "ref_text", "[1] x", None), ("c", 0, "text", None, "Title", 1), (None, 0, "text", None, "References", 1), (None, 1, "text", None, "two", None)]
+    items = spark.createDataFrame(rows, "doc_id string, item_idx int, type string, sub_type string, text string, text_level int")
+    got = sorted(repr((r["doc_id"], r["item_idx"], r["signal"])) for r in layout.reference_plan(items).collect())
+    assert len(got) == 5 and "('c', 0" not in "".join(got)
+    assert "BroadcastHashJoin" in layout.reference_plan(items)._jdf.queryExecution().executedPlan().toString()
