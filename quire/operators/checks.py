@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import patterns as P
@@ -17,6 +16,14 @@ def word_counts(rows: DataFrame, doc: str, text: str, ascii_only: bool = False)
     return rows.select(F.col(doc).alias("doc"), F.explode(words).alias("word")).groupBy("doc", "word").agg(F.count("*").alias("n"))
 
 
+def paired_counts(rows: DataFrame, doc: str, witness: str, content: str) -> DataFrame:
+    """(doc, word, a, b): both word multisets of each document whose two texts stand in one row, counted in tasks and then
+    in one shuffle. Words as in word_counts with ascii_only."""
+    side = lambda text, a: F.transform(T.ascii_words(F.col(text)), lambda w: F.struct(w.alias("word"), F.lit(a).alias("a")))
+    words = rows.select(F.col(doc).alias("doc"), F.explode(F.concat(side(witness, 1), side(content, 0))).alias("s")).select("doc", "s.word", "s.a")
+    return words.groupBy("doc", "word").agg(F.sum("a").alias("a"), F.sum(1 - F.col("a")).alias("b"))
+
+
 def item_strings(items: DataFrame) -> DataFrame:
     """(doc_id, text) of everything in items that is text, originals of muted fields included and of repaired ones not."""
     plain = [F.col(c) for c in ("text", "content", "body", "code_body", "table_body")]
@@ -34,10 +41,14 @@ def coverage(witness: DataFrame, content: DataFrame, top: int = 10) -> DataFrame
     than 15 %, cannot tell.
     """
     w, c = witness.withColumnRenamed("n", "a"), content.withColumnRenamed("n", "b")
-    both = w.join(c, ["doc", "word"], "full").na.fill(0, ["a", "b"]).withColumn("gone", F.greatest(F.col("a") - F.col("b"), F.lit(0)))
-    ranked = both.withColumn("r", F.row_number().over(W.partitionBy("doc").orderBy(F.desc("gone"), "word")))
-    worst = F.sort_array(F.collect_list(F.when((F.col("r") <= top) & (F.col("gone") > 0), F.struct((-F.col("gone")).alias("k"), "word"))))
-    rows = ranked.groupBy("doc").agg(F.sum("a").alias("pdf_words"), F.sum("b").alias("content_words"), F.sum("gone").alias("missing"), worst.alias("w"))
+    return coverage_of(w.join(c, ["doc", "word"], "full").na.fill(0, ["a", "b"]), top)
+
+
+def coverage_of(both: DataFrame, top: int = 10) -> DataFrame:
+    """coverage() of the counts of both sides, (doc, word, a, b). Sums leave the tasks, and of words those that are missing."""
+    both = both.withColumn("gone", F.greatest(F.col("a") - F.col("b"), F.lit(0)))
+    worst = F.slice(F.sort_array(F.collect_list(F.when(F.col("gone") > 0, F.struct((-F.col("gone")).alias("k"), "word")))), 1, top)
+    rows = both.groupBy("doc").agg(F.sum("a").alias("pdf_words"), F.sum("b").alias("content_words"), F.sum("gone").alias("missing"), worst.alias("w"))
     rows = rows.withColumn("top", F.transform("w", lambda x: F.struct(x.word.alias("word"), (-x.k).alias("n")))).drop("w")
     return rows.withColumns({"rate": F.try_divide("missing", "pdf_words"), "unverifiable": (F.col("pdf_words") == 0) | witness_short(F.col("pdf_words"), F.col("content_words"))})
 

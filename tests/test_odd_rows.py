@@ -79,3 +79,10 @@ def test_documents_without_a_heading_of_the_kind_are_not_moved(spark):
     got = sorted(repr((r["doc_id"], r["item_idx"], r["signal"])) for r in layout.reference_plan(items).collect())
     assert len(got) == 5 and "('c', 0" not in "".join(got)
     assert "BroadcastHashJoin" in layout.reference_plan(items)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_coverage_takes_words_through_one_shuffle(spark, tmp_path):
+    texts = ["zeta alpha\nzeta alpha\nzeta beta", "soft\xad hyphen\nsoft\xad hyphen", "", None, "abc", "same line\n" * 5 + "LAST same"]
+    same_rows(spark, tmp_path, "coverage_of_lines", documents=documents(texts))
+    plan = ALL["coverage_of_lines"](spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") <= 2 and "Join" not in plan
