@@ -10,6 +10,8 @@ from ..streaming import jobs
 
 #: Waves that the events arrive in; each holds its share of the time, so a row is at most a wave late.
 WAVES = 5
+#: Batches that the files of a start are read in, about.
+BATCHES = 4
 EVENTS = "job_id string, event_id long, at timestamp, status string"
 
 
@@ -36,7 +38,9 @@ def event_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
         for waves in (range(0), range(WAVES - 2, WAVES)):
             if waves:
                 _arrived(spark, sf_dir, source, waves)
-            stream = spark.readStream.schema(EVENTS).option("maxFilesPerTrigger", 2).parquet(source)
+            # A share of the files a batch: batches have a cost of their own, so their number must not grow with the files.
+            files = len(spark.read.schema(EVENTS).parquet(source).inputFiles())
+            stream = spark.readStream.schema(EVENTS).option("maxFilesPerTrigger", max(2, -(-files // BATCHES))).parquet(source)
             jobs.append(jobs.checked_transitions(stream, f"{late} seconds", None), out, checkpoint, None if waves else 2)
     return spark.read.schema(jobs.STEPS).parquet(out).where("job_id IS NOT NULL").select("job_id", "event_id", "before", "status")
 
