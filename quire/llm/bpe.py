@@ -354,8 +354,8 @@ _BLANK[[*range(9, 14), *range(28, 33)]] = True
 _WIDE_BLANK[[0xE1, 0xE2, 0xE3]] = True  # lead bytes of white space beyond U+00FF
 _CUTS[[10, 32]] = True
 _ASCII_LETTER[[*range(65, 91), *range(97, 123)]] = True
-#: Bytes of text whose words are looked up together.
-TOKEN_SLICE = 1 << 20
+#: Bytes of text whose words are looked up together; arrays of this length and wider ones are what a worker holds beside its table.
+TOKEN_SLICE = 1 << 18
 
 
 @functools.lru_cache(maxsize=2)

@@ -35,11 +35,19 @@ def tokenizer_pieces(path: str, pattern: str) -> tuple[Pieces, Callable[[str], l
     while the worker process lives. The pieces are ordinary text, special tokens in them too."""
     from tokenizers import Tokenizer
 
-    plain, tokenizer = Tokenizer.from_file(path), Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
-    special = [x.content.encode() for x in plain.get_added_tokens_decoder().values() if x.special]
+    tokenizer = Tokenizer.from_file(path)
+    special = [x.content.encode() for x in tokenizer.get_added_tokens_decoder().values() if x.special]
+    own, tokenizer.encode_special_tokens = tokenizer.encode_special_tokens, True
     encode = tokenizer.encode
 
+    def whole_text(text: str) -> list[int]:
+        """With the tokenizer's own settings, which are back to those of pieces afterwards."""
+        tokenizer.encode_special_tokens = own
+        try:
+            return encode(text, add_special_tokens=False).ids
+        finally:
+            tokenizer.encode_special_tokens = True
+
     def words_of(words: list[str]) -> list[bytes]:
         """One call for many words: the tokenizer's own word numbers part the ids."""
         got = encode(" " + " ".join(words), add_special_tokens=False)
@@ -49,7 +57,7 @@ def tokenizer_pieces(path: str, pattern: str) -> tuple[Pieces, Callable[[str], l
         return [data[a:b] for a, b in zip(borders.tolist(), borders[1:].tolist())]
 
     pieces = Pieces(pattern, lambda piece: struct.pack(f"<{len(x := encode(piece, add_special_tokens=False).ids)}I", *x), words_of)
-    return pieces, lambda text: plain.encode(text, add_special_tokens=False).ids, special
+    return pieces, whole_text, special
 
 
 def encoded(texts: pa.Array, tokenizer_path: str, pattern: str) -> Iterator[tuple[int, bytes]]:
