@@ -113,7 +113,7 @@ def appended_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = _write(spark, {"log/a.json": "\n".join(json.dumps({"job_id": j, "at": at, "status": status}) for j, at, status in TABLES["history"][1])})
     for _ in range(2):
         events = jobs.event_log(spark, f"{folder}/log", "job_id string, at int, status string").drop("corrupt")
-        jobs.append_events(events, f"{folder}/table", f"{folder}/state").awaitTermination(120)
+        jobs.append_events(events, f"{folder}/table", f"{folder}/state").awaitTermination()
     return spark.read.schema("job_id string, at int, status string").parquet(f"{folder}/table")
 
 

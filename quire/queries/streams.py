@@ -42,7 +42,10 @@ def event_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
             files = len(spark.read.schema(EVENTS).parquet(source).inputFiles())
             stream = spark.readStream.schema(EVENTS).option("maxFilesPerTrigger", max(2, -(-files // BATCHES))).parquet(source)
             jobs.append(jobs.checked_transitions(stream, f"{late} seconds", None), out, checkpoint, None if waves else 2)
-    return spark.read.schema(jobs.STEPS).parquet(out).where("job_id IS NOT NULL").select("job_id", "event_id", "before", "status")
+    steps, arrived = spark.read.schema(jobs.STEPS).parquet(out), spark.read.schema(EVENTS).parquet(source)
+    if steps.count() != arrived.count() - 1:  # all but the row that moves the watermark
+        raise RuntimeError("the stream has dropped events as late, or was stopped before its end")
+    return steps.where("job_id IS NOT NULL").select("job_id", "event_id", "before", "status")
 
 
 SQL = {

@@ -108,20 +108,24 @@ def stateful(spark: SparkSession):
         spark.conf.set(name, before)
 
 
-def append(rows: DataFrame, path: str, checkpoint: str, stop_after: int | None = None, limit: float = 600) -> int:
-    """Append a stream to a folder of Parquet files until its source is read, or stop it once so many batches are through.
+def append(rows: DataFrame, path: str, checkpoint: str, stop_after: int | None = None, limit: float | None = None) -> int:
+    """Append a stream to a folder of Parquet files until what its source holds is read, or stop it before that once so many
+    batches are through.
 
     Started again with the same checkpoint it goes on where it was: offsets, state, timers and the sink's log agree on batches,
-    so each row is there once. Gives the number of the last batch that is through, -1 if there is none.
+    so each row is there once. A stream that fails, or is not through after `limit` seconds (None: however long it takes),
+    raises and is stopped, so that part of a result is never taken for the whole. Gives the number of the last batch that is
+    through, -1 if there is none.
     """
-    writer = rows.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint)
-    query = writer.trigger(availableNow=True).start() if stop_after is None else writer.trigger(processingTime="0 seconds").start()
-    if stop_after is None:
-        query.awaitTermination(int(limit))
-    else:
-        end = time.monotonic() + limit
-        while time.monotonic() < end and query.isActive and (not query.lastProgress or query.lastProgress["batchId"] + 1 < stop_after):
-            time.sleep(0.05)
+    began = time.monotonic()
+    query = rows.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    try:
+        while not query.awaitTermination(0.05):  # raises what the stream failed with
+            if stop_after is not None and (done := query.lastProgress) and done["batchId"] + 1 >= stop_after:
+                break
+            if limit is not None and time.monotonic() - began > limit:
+                raise TimeoutError(f"the stream to {path} was not through after {limit} seconds")
+    finally:
         query.stop()
     if failed := query.exception():
         raise failed

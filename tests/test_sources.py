@@ -2,9 +2,15 @@
 
 import hashlib
 import json
+import time
+
+import pytest
+from pyspark.errors import StreamingQueryException
+from pyspark.sql import functions as F
 
 from quire import schema
 from quire.operators import workflow
+from quire.queries import streams
 from quire.sources import bundles
 from quire.streaming import jobs
 
@@ -73,6 +79,43 @@ def test_a_stream_stopped_and_started_again(spark, tmp_path):
     assert len(read()) == 40 and got == {i: f"s{i - 3}" if i > 2 else None for i in range(40)}
 
 
+def test_a_stream_that_is_not_through_is_no_result(spark, tmp_path):
+    """Past its limit, or with a batch that fails, append raises and leaves no stream behind; the same checkpoint goes on."""
+    source, out, checkpoint = (str(tmp_path / x) for x in ("in", "out", "checkpoint"))
+    for a in range(0, 40, 10):
+        spark.range(a, a + 10).coalesce(1).write.mode("append").parquet(source)
+
+    def stream(step):
+        return spark.readStream.schema("id long").option("maxFilesPerTrigger", 1).parquet(source).select(F.udf(step, "long")("id").alias("id"))
+
+    def slow(i):
+        time.sleep(0.3)
+        return i
+
+    def broken(i):
+        return i // (i < 25)
+
+    for stop_after in (None, 4):
+        with pytest.raises(TimeoutError):
+            jobs.append(stream(slow), out, checkpoint, stop_after=stop_after, limit=2)
+        assert not spark.streams.active
+    with pytest.raises(StreamingQueryException):
+        jobs.append(stream(broken), out, checkpoint)
+    assert jobs.append(stream(lambda i: i), out, checkpoint) == 3
+    assert sorted(r.id for r in spark.read.schema("id long").parquet(out).collect()) == list(range(40))
+    assert jobs.append(stream(lambda i: i), out, f"{checkpoint}2", stop_after=9) == 3  # fewer batches than asked: read to the end
+
+
+def test_event_steps_refuses_a_part(spark, tmp_path, monkeypatch):
+    """Events that the watermark has dropped as late are missed, not left out of the result."""
+    spark.createDataFrame([(i, i % 3, f"2024-01-{1 + i:02} 00:00:00") for i in range(30)], "event_id long, user_id long, ts string").selectExpr("event_id", "user_id", "to_timestamp(ts) ts", "'view' event_type").write.parquet(str(tmp_path / "events.parquet"))
+    assert streams.event_steps(spark, str(tmp_path)).count() == 30
+    arrived = streams._arrived
+    monkeypatch.setattr(streams, "_arrived", lambda *a: arrived(*a[:3], a[3][::-1]) if a[3].stop < streams.WAVES else arrived(*a))
+    with pytest.raises(RuntimeError):
+        streams.event_steps(spark, str(tmp_path))
+
+
 def test_stream_windows(spark, tmp_path):
     spark.read.parquet("/root/testdata/sf0.001/events.parquet").selectExpr("CAST(ts AS timestamp) ts", "event_type", "value").write.parquet(str(tmp_path / "in"))
     stream = spark.readStream.schema("ts timestamp, event_type string, value double").parquet(str(tmp_path / "in"))
