@@ -15,6 +15,8 @@ from ..operators.workflow import TRANSITIONS
 
 #: State that processors keep is stored in RocksDB, beside the checkpoint.
 PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+#: Microseconds of an event without a time: before all others.
+NEVER = -(2**63)
 STEPS = "job_id string, event_id long, at timestamp, before string, status string, allowed boolean"
 
 
@@ -55,7 +57,7 @@ class Steps(StatefulProcessor):
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         new = []
         for batch in rows:
-            new += zip((batch["at"].astype("datetime64[us]").astype("int64")).tolist(), batch["event_id"].tolist(), batch["status"].tolist(), strict=True)
+            new += zip(batch["micros"].tolist(), batch["event_id"].tolist(), batch["status"].tolist(), strict=True)
         self.waiting.appendList([(int(a), int(e), s) for a, e, s in new])
         self._set(min(a for a, _, _ in new) // 1000 + 1)
         return iter(())
@@ -68,7 +70,7 @@ class Steps(StatefulProcessor):
         before, out = self.last.get()[0] if self.last.exists() else None, []
         for at, event, status in ready:
             allowed = self.allowed is None or before is None or status in self.allowed.get(before, [])
-            out.append((key[0], event, pd.Timestamp(at, unit="us"), before, status, allowed))
+            out.append((key[0], event, at, before, status, allowed))
             before = status if allowed else before
         if out:
             self.last.update((before,))
@@ -93,7 +95,10 @@ def checked_transitions(events: DataFrame, late: str = "1 hour", transitions: di
     must be RocksDB (see stateful).
     """
     rows = events.select(F.col("job_id").cast("string").alias("job_id"), F.col("event_id").cast("long").alias("event_id"), "at", "status").withWatermark("at", late)
-    return rows.groupBy("job_id").transformWithStateInPandas(Steps(transitions), STEPS, "Append", "EventTime")
+    # Time goes in and out as microseconds: pandas is given timestamps in the session's time zone, the watermark is none of it.
+    rows = rows.withColumn("micros", F.coalesce(F.unix_micros("at"), F.lit(NEVER)))
+    steps = rows.groupBy("job_id").transformWithStateInPandas(Steps(transitions), STEPS.replace("at timestamp", "at long"), "Append", "EventTime")
+    return steps.withColumn("at", F.timestamp_micros(F.nullif("at", F.lit(NEVER))))
 
 
 @contextlib.contextmanager

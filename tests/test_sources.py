@@ -116,6 +116,29 @@ def test_event_steps_refuses_a_part(spark, tmp_path, monkeypatch):
         streams.event_steps(spark, str(tmp_path))
 
 
+def test_events_without_a_time_come_first(spark, tmp_path):
+    source, out, checkpoint = (str(tmp_path / x) for x in ("in", "out", "checkpoint"))
+    for rows in ([("j1", 2, "2024-01-01 00:00:00", "b"), ("j1", 1, None, "a"), ("j2", 3, None, "c")], [(None, 0, "2024-01-03 00:00:00", None)]):
+        spark.createDataFrame(rows, "job_id string, event_id long, at string, status string").selectExpr("job_id", "event_id", "to_timestamp(at) at", "status").coalesce(1).write.mode("append").parquet(source)
+    with jobs.stateful(spark):
+        stream = spark.readStream.schema("job_id string, event_id long, at timestamp, status string").parquet(source)
+        jobs.append(jobs.checked_transitions(stream, transitions=None), out, checkpoint)
+    got = spark.read.schema(jobs.STEPS).parquet(out).collect()
+    assert {(r.event_id, r.at and str(r.at), r.before) for r in got} == {(1, None, None), (2, "2024-01-01 00:00:00", "a"), (3, None, None)}
+
+
+def test_event_steps_in_another_time_zone(spark, tmp_path):
+    """Events of half an hour, hours away from UTC: what waits is held against the watermark in the same zone."""
+    spark.range(30).selectExpr("id event_id", "id % 3 user_id", "timestamp_ntz '2024-01-01 00:00:00' + make_dt_interval(0, 0, int(id)) ts", "concat('s', id) event_type").write.parquet(str(tmp_path / "events.parquet"))
+    for zone in ("Asia/Taipei", "America/Lima"):
+        try:
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            got = {r.event_id: r.before for r in streams.event_steps(spark, str(tmp_path)).collect()}
+        finally:
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+        assert got == {i: f"s{i - 3}" if i > 2 else None for i in range(30)}
+
+
 def test_stream_windows(spark, tmp_path):
     spark.read.parquet("/root/testdata/sf0.001/events.parquet").selectExpr("CAST(ts AS timestamp) ts", "event_type", "value").write.parquet(str(tmp_path / "in"))
     stream = spark.readStream.schema("ts timestamp, event_type string, value double").parquet(str(tmp_path / "in"))
